@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, line_dedup
+from . import decontaminate, exact_dedup, language_id, line_dedup
 
 QUERIES = {
+    "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op2_language_id": language_id.op2_language_id,
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
 }
