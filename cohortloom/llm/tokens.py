@@ -20,7 +20,8 @@ MAX_WORDS = 100_000
 
 # characters whose lower case and normal form are plain; after lower-casing only a-z and the letters from ß on remain
 _PLAIN = re.compile(r"[\n\x20-\x7EÀ-ÖØ-öø-ÿ]*")
-_NO_LETTER = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
+_SIGNS = re.compile(r"[^\sa-zß-öø-ÿ0-9](?:(?<=')(?:s|t|re|ve|m|ll|d)|[^\sa-zß-öø-ÿ0-9]*)")
+_DIGIT = re.compile("[0-9]")
 
 
 def load_spec(path: str) -> str:
@@ -67,27 +68,36 @@ class Encoder:
                 self.pieces[piece] = raw[start:end]
                 start = end
 
+    def _lookup(self, cut: list[list[str]]) -> list[bytes]:
+        """Ids of texts that are cut into pieces; the new pieces of all of them are learnt first."""
+        got = [list(map(self.pieces.get, c)) for c in cut]
+        gaps = [[k for k, ids in enumerate(row) if ids is None] if None in row else [] for row in got]
+        if new := {c[k] for c, at in zip(cut, gaps) for k in at}:
+            self._learn(list(new))
+            for c, row, at in zip(cut, got, gaps):
+                for k in at:
+                    row[k] = self.pieces[c[k]]
+        return list(map(b"".join, got))
+
     def _is_plain(self, text: str) -> bool:
         return _PLAIN.fullmatch(text) is not None and not any(s in text for s in self.special)
 
     def _pieces_of(self, text: str) -> list[str]:
-        return _NO_LETTER.sub(r" \g<0> ", text.lower()).split()
+        text = _SIGNS.sub(r" \g<0> ", text.lower())
+        return (_DIGIT.sub(r" \g<0> ", text) if _DIGIT.search(text) else text).split()
 
     def _odd(self, text: str) -> bytes:
         """A text with other characters: its plain words as ever, the others as they are."""
+        words = text.replace("\n", " ").split(" ")
+        plain = [self._is_plain(w) for w in words]
+        ids = iter(self._lookup([self._pieces_of(w) for w, p in zip(words, plain) if p]))
         out = []
-        for word in text.replace("\n", " ").split(" "):
-            if self._is_plain(word):
-                pieces = self._pieces_of(word)
-                if new := [p for p in set(pieces) if p not in self.pieces]:
-                    self._learn(new)
-                out += [self.pieces[p] if p in self.pieces else self._direct([p])[0] for p in pieces]
-            else:
-                if word not in self.words:
-                    if len(self.words) >= MAX_WORDS:
-                        self.words.clear()
-                    self.words[word] = self._direct([word])[0]
-                out.append(self.words[word])
+        for word, p in zip(words, plain):
+            if not p and word not in self.words:
+                if len(self.words) >= MAX_WORDS:
+                    self.words.clear()
+                self.words[word] = self._direct([word])[0]
+            out.append(next(ids) if p else self.words[word])
         return b"".join(out)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -97,13 +107,9 @@ class Encoder:
         out = []
         for a in range(0, len(texts), 64):
             part = [t or "" for t in texts[a : a + 64]]
-            cut = [self._pieces_of(t) if self._is_plain(t) else None for t in part]
-            if new := set().union(*(c for c in cut if c)).difference(self.pieces):
-                self._learn(list(new))
-            get = self.pieces.__getitem__
-            # texts of other characters come after: they may empty the dictionary
-            done = [None if c is None else b"".join(map(get, c)) for c in cut]
-            out += [self._odd(t) if ids is None else ids for t, ids in zip(part, done)]
+            plain = [self._is_plain(t) for t in part]
+            ids = iter(self._lookup([self._pieces_of(t) for t, p in zip(part, plain) if p]))
+            out += [next(ids) if p else self._odd(t) for t, p in zip(part, plain)]
         return out
 
 
