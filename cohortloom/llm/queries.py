@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, language_id, line_dedup, packing, token_files
+from . import decontaminate, exact_dedup, language_id, line_dedup, packing, simhash, token_files
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_token_files": token_files.op6_token_files,
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+    "op10_simhash": simhash.op10_simhash,
 }
 
 ORACLE_SQL = {
