@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, language_id, line_dedup, packing, simhash, token_files
+from . import decontaminate, exact_dedup, language_id, line_dedup, packing, simhash, substring_dedup, token_files
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
     "op2_language_id": language_id.op2_language_id,
     "op3_packing": packing.op3_packing,
+    "op5_substring_dedup": substring_dedup.op5_substring_dedup,
     "op6_token_files": token_files.op6_token_files,
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
