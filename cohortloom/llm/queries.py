@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, language_id, line_dedup, packing, simhash, substring_dedup, token_files
+from . import decontaminate, exact_dedup, language_id, line_dedup, packing, pii, simhash, substring_dedup, token_counts, token_files
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
     "op2_language_id": language_id.op2_language_id,
     "op3_packing": packing.op3_packing,
+    "op4_token_counts": token_counts.op4_token_counts,
     "op5_substring_dedup": substring_dedup.op5_substring_dedup,
     "op6_token_files": token_files.op6_token_files,
+    "op7_personal_data": pii.op7_personal_data,
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_simhash": simhash.op10_simhash,
