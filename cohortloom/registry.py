@@ -2,5 +2,39 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+import importlib
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
+
+from .fixtures import view, with_views
+
+QUERIES: dict[str, Callable] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+class Tables:
+    """The tables and adapter views of one folder, as attributes."""
+
+    def __init__(self, spark, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __getattr__(self, name: str) -> DataFrame:
+        return view(self.spark, self.sf_dir, name)
+
+
+def query(name: str, sql: str | None = None):
+    """Register a function of Tables as a query, with the SQL that gives the same rows."""
+
+    def put(f: Callable[[Tables], DataFrame]):
+        QUERIES[name] = lambda spark, sf_dir: f(Tables(spark, sf_dir))
+        if sql:
+            ORACLE_SQL[name] = with_views(sql)
+        return f
+
+    return put
+
+
+for _module in ("predicates", "joins", "aggregates", "timeline", "sampling", "changes", "text", "values", "sources", "jobs", "evaluation", "streams"):
+    if importlib.util.find_spec(f"cohortloom.plans.{_module}"):
+        importlib.import_module(f"cohortloom.plans.{_module}")
