@@ -55,6 +55,21 @@ SELECT l_orderkey % 500 AS image_id, l_orderkey * 10 + l_linenumber AS box_id, l
   CAST(l_partkey % 50 + 5 + l_quantity AS DOUBLE) AS x2, CAST(l_suppkey % 40 + 5 + l_linenumber * 7 AS DOUBLE) AS y2,
   l_discount AS score, l_tax AS shift, CASE WHEN l_linenumber % 2 = 1 THEN 'gt' ELSE 'pred' END AS role
 FROM lineitem WHERE l_linenumber <= 2""",
+    "reports": """
+SELECT o_orderkey AS report_id, o_custkey AS patient_id, o_orderdate AS exam_ts, o_orderkey % 6 AS f, o_orderkey % 4 AS d, o_orderkey % 5 AS s,
+  CASE o_orderkey % 4 WHEN 0 THEN 'US BREAST LEFT LIMITED' WHEN 1 THEN 'MAMMO SCREENING BILATERAL' WHEN 2 THEN 'US GUIDED BX R BI' ELSE 'MR BREAST RT W CONTRAST' END AS description,
+  'EXAM: ' || o_orderpriority || ' MODALITY: Ultrasound Hand DENSITY: heterogeneously dense ' || o_orderstatus || ' FINDINGS: - ' ||
+  CASE o_orderkey % 6 WHEN 0 THEN 'oval circumscribed hypoechoic mass with posterior enhancement.' WHEN 1 THEN 'no spiculated mass.' WHEN 2 THEN 'no oval area but irregular spiculated mass.'
+    WHEN 3 THEN 'anechoic and hypoechoic round areas, circumscribed and indistinct.' WHEN 4 THEN 'complex cyst is no longer seen.' ELSE 'lymph node with echogenic halo.' END ||
+  ' IMPRESSION: BI-RADS ' || CASE o_orderkey % 5 WHEN 0 THEN '4a' WHEN 1 THEN '2' WHEN 2 THEN '(5)' WHEN 3 THEN '3' ELSE 'unknown' END || ' - probably benign finding. CONCORDANCE: ' ||
+  CASE WHEN o_orderkey % 7 = 0 THEN 'no' ELSE 'Yes' END || CASE WHEN o_orderkey % 3 = 0 THEN ' Addendum on 01/02/2003 at 10:11:12 for Dr. Smith' ELSE '' END AS body
+FROM orders""",
+    "notes": """
+SELECT l_orderkey AS note_id, l_partkey AS note_part, l_suppkey AS note_lab, l_partkey % 6 AS k, l_quantity AS q,
+  'SPECIMEN FINAL DIAGNOSIS: ' || CASE l_partkey % 6 WHEN 0 THEN 'A. Left breast, invasive ductal carcinoma.' WHEN 1 THEN 'A) Right breast, negative for carcinoma.' WHEN 2 THEN 'Fibroadenoma, left.'
+    WHEN 3 THEN 'A. Right breast, lobular carcinoma in situ.' WHEN 4 THEN 'A. No evidence of malignancy in nodes; DCIS was found elsewhere and far away in the second specimen.' ELSE 'A. Skin.' END ||
+  CASE WHEN l_suppkey % 2 = 0 THEN chr(10) || 'B. Right breast, benign. COMMENT none' ELSE '' END || ' CLINICAL: text' AS note
+FROM lineitem WHERE l_linenumber = 1""",
 }
 
 

@@ -1,10 +1,537 @@
-"""Text rules as Column expressions."""
+"""Text rules as Column expressions: patterns are data, each rule is one expression over Java regular expressions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import re
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+HEADER = "[A-Z]{2,}:"
+
+
+def found(c: Column, pattern: str, group: int = 1) -> Column:
+    """The group of the first match, null without a match or with an empty group."""
+    return F.nullif(F.regexp_extract(c, pattern, group), F.lit(""))
+
+
+def any_of(c: Column, patterns: Sequence[str]) -> Column:
+    return c.rlike("|".join(f"(?:{p})" for p in patterns))
+
+
+def strip(c: Column) -> Column:
+    return F.regexp_replace(c, r"^\s+|\s+\z", "")
+
+
+def section(c: Column, header: str, next_header: str = HEADER) -> Column:
+    """H1: the text after a header, up to the next header."""
+    body = F.regexp_extract(c, rf"(?s){header}\s*(.*?)\s*(?:(?={next_header})|\z)", 1)
+    return F.when(c.rlike(header), body)
+
+
+FINDINGS_HEADERS = ("FINDINGS", "Ultrasound Findings", "Findings:")
+
+
+def findings(*sources: Column) -> Column:
+    """H2: of the first source with a findings header the text after it, up to the impression."""
+
+    def of(c: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for h in reversed(FINDINGS_HEADERS):
+            out = F.when(c.contains(h), F.regexp_extract(c, rf"(?s){re.escape(h)}[\s:\-]*(.*?)\s*(?:IMPRESSION|\z)", 1)).otherwise(out)
+        return out
+
+    return F.coalesce(*map(of, sources))
+
+
+def impression(c: Column) -> Column:
+    """H1: the impression; without a colon after the header, colons among its first 50 characters do not count."""
+    loose = F.regexp_extract(c, r"(?s)IMPRESSION\s*(.*)", 1)
+    loose = F.concat(F.replace(F.substring(loose, 1, 50), F.lit(":"), F.lit("")), F.substring(loose, 51, 1_000_000_000))
+    cut = F.regexp_extract(loose, rf"(?s)^(.*?)\s*(?:(?={HEADER})|\z)", 1)
+    return F.when(c.contains("IMPRESSION:"), section(c, "IMPRESSION:")).when(c.contains("IMPRESSION"), cut)
+
+
+def final_diagnosis(c: Column) -> Column:
+    """H3: the final diagnosis up to the next capital heading, with a letter before its first part."""
+    body = strip(F.regexp_extract(c, r"(?s)FINAL DIAGNOSIS:?(.*)", 1))
+    lettered = F.when(body.rlike(r"^A[.)]"), body).otherwise(F.concat(F.lit("A. "), body))
+    cut = F.regexp_extract(lettered, r"(?s)^(.*?)\s*(?:\s(?:[A-Z]{4,}:|\b[A-Z][A-Z\s]{3,}\s-)|\z)", 1)
+    return F.when(c.contains("FINAL DIAGNOSIS"), cut)
+
+
+def synoptic(c: Column, dialect: str = "new") -> Column:
+    """H4: the text after the synoptic heading of either dialect."""
+    pattern = r"(?s)SYNOPTIC REPORT:?\s*(.*?)\s*\z" if dialect == "new" else r"(?s)Synoptic Report\s*:\s*(.*?)\s*\z"
+    return F.when(c.rlike("SYNOPTIC REPORT" if dialect == "new" else r"Synoptic Report\s*:"), F.regexp_extract(c, pattern, 1))
+
+
+# Markup of the older reports, in the order in which it is taken away.
+RTF_STEPS = (
+    (r"(?s)^.*?\\plain\\f\d+\\fs\d+\s?", ""),
+    (r"\\par\b", "\n"),
+    (r"\\tab\b", " "),
+    (r"\\'[0-9a-fA-F]{2}", " "),
+    (r"\\[a-zA-Z]+-?\d*\s?", ""),
+    (r"\\[^a-zA-Z]", ""),
+    (r"[{}]", ""),
+    (r"[ \t]+", " "),
+    (r" ?\n ?", "\n"),
+    (r"\n{3,}", "\n\n"),
+    (r"^\s+|\s+\z", ""),
+)
+
+
+def strip_rtf(c: Column) -> Column:
+    for pattern, new in RTF_STEPS:
+        c = F.regexp_replace(c, pattern, new)
+    return c
+
+
+def classify_blob(text: Column) -> Column:
+    """Kind of one document of a joined note."""
+    organ = text.rlike(r"(?:^|\n)A\.\s+(?:Breast|Lymph nodes?|Skin|Nipple)[^:\n]{0,80}:")
+    markers = text.startswith("Source:") | (text.contains("Estrogen:") & text.contains("Progesterone:") & text.contains("HER2"))
+    frozen = text.contains("Frozen section histologic interpretation") | text.contains("HOLDOVER") | text.contains("HOLD OVER")
+    return (
+        F.when(F.coalesce(text, F.lit("")) == "", "OTHER")
+        .when(text.contains("Received fresh"), "GROSS")
+        .when(~organ & markers, "MARKERS")
+        .when(frozen, "FROZEN")
+        .when((F.length(text) < 200) | text.startswith("Stains for"), "ADDENDUM")
+        .when(organ, "FINAL")
+        .otherwise("OTHER")
+    )
+
+
+def rtf_final(c: Column) -> Column:
+    """H5: of the documents in a note the final diagnosis: with a synoptic part if there is one, then the longest."""
+    blobs = F.transform(F.filter(F.split(c, r"(?=\{\\rtf1)"), lambda b: F.ltrim(b).startswith("{\\rtf1")), strip_rtf)
+    finals = F.filter(blobs, lambda b: classify_blob(b) == "FINAL")
+    ranked = F.transform(finals, lambda b, i: F.struct(b.rlike("(?i)Synoptic Report").alias("s"), F.length(b).alias("n"), (-i).alias("k"), b.alias("b")))
+    return F.array_max(ranked)["b"]
+
+
+def labelled_value(c: Column, label: str) -> Column:
+    """H6: the value after a label, up to the next label."""
+    return found(F.upper(c), rf"{label}:\s*([^:]+?)(?=\s+\w+:|\s*\z)")
+
+
+# Forms of the assessment, with description (score, description, or the other way round) and without.
+_N = r"(?:0|1|2|3|4[abc]?|5|6)"
+SCORED = (
+    (rf"\bCategory\s*(?:number|#|no\.)?[:\s]*\(?({_N})\)?(?::\s*|\s+|,\s*|\s*-\s*|\s*/\s*)([^.]+)", 1, 2),
+    (rf"\bCategory\s*(?:number|#|no\.)?[:\s]*\(?({_N})\)?\s+\(([^)]+)\)", 1, 2),
+    (rf"\bCategory\s+({_N})\s*\(([^)]+)\)", 1, 2),
+    (r"ACR\s+code:?\s+(\d+[a-z]?)\s+([^.]+)", 1, 2),
+    (r"BI-?RADS:?\s+ASSESSMENT:\s*CODE:\s*(\d+[a-z]?)-([^.\s]+)", 1, 2),
+    (r"BI-?RADS:?\s*Code\s*(\d+[a-z]?),\s*([^.\s]+)", 1, 2),
+    (r"(?:Ultrasound|US)\s+BI-?RADS:\s*\(?(\d+[a-z]?)\)?\s+([^\s.]+)", 1, 2),
+    (
+        r"(?:BI-?RADS\s*(?:ASSESSMENT|Category|code|Final\s+Assessment)?|ASSESSMENT:\s*BI-?RADS|OVERALL\s*STUDY\s*BI-?RADS)(?:\s*CATEGORY)?:?\s*\(?(\d+[a-z]?)\)?(?::\s*|\s+|,\s*|\s*-\s*)([^.]+)",
+        1,
+        2,
+    ),
+    (r"(?:IMPRESSION:|ASSESSMENT:)?\s*BI-?RADS\s*\(?(\d+[a-z]?)\)?\s*(?:-|,)\s*([^.]+)", 1, 2),
+    (r"BI-?RADS:\s*([^(]+)\s*\((\d+[a-z]?)\)", 2, 1),
+    (r"Final\s+Assessment:\s*\(?(\d+[a-z]?)\)?\s*(?:-|,)?\s*([^.]+)", 1, 2),
+    (r"BI-?RADS(?:®\s*ATLAS)?\s*category\s*\(?overall\)?:\s*\(?(\d+[a-z]?)\)?\s+([^.]+)", 1, 2),
+    (r"BI-?RADS®\s*Category:\s*(\d+[a-z]?)\s*-\s*([^.]+)", 1, 2),
+)
+PLAIN_SCORES = (
+    r"(?:Ultrasound|US)\s+BI-?RADS:\s*\(?(\d+[a-z]?)\)?",
+    r"BI-?RADS(?:\s*(?:Category|code))?(?::|:?\s+CATEGORY)?\s*\(?(\d+[a-z]?)\)?",
+    r"OVERALL\s*STUDY\s*BI-?RADS:\s*\(?(\d+[a-z]?)\)?",
+    r"BI-?RADS\s+Category\s+No\.\s*(\d+[a-z]?)",
+    rf"\bCategory\s*(?:number|#|no\.)?[:\s]*\(?({_N})\)?",
+    rf"\bCategory\s+({_N})\b",
+)
+END_WORDS = ("benign", "malignant", "malignancy", "suspicious", "negative", "positive", "cancer", "indeterminate", "incomplete")
+
+
+def ordinal_score(c: Column) -> Column:
+    """H7: struct<score, description> by the first form that occurs; the description ends with its first key word."""
+    end = rf"(?is)^(.*?\b(?:{'|'.join(END_WORDS)}))(?:\W.*|\z)"
+    out = F.struct(F.lit(None).cast("string").alias("score"), F.lit(None).cast("string").alias("description"))
+    for p in reversed(PLAIN_SCORES):
+        out = F.when(c.rlike(f"(?i){p}"), F.struct(F.upper(F.regexp_extract(c, f"(?i){p}", 1)).alias("score"), F.lit(None).cast("string").alias("description"))).otherwise(out)
+    for p, score, text in reversed(SCORED):
+        p = f"(?i){p}"
+        description = strip(F.regexp_extract(c, p, text))
+        short = F.when(description.rlike(end), F.regexp_extract(description, end, 1)).otherwise(F.nullif(description, F.lit("")))
+        out = F.when(c.rlike(p), F.struct(F.upper(F.regexp_extract(c, p, score)).alias("score"), short.alias("description"))).otherwise(out)
+    return out
+
+
+# Tokens of a side by source, the description first.
+SIDE_TOKENS = (
+    (("RIGHT", "R BI", " RT", "RT "), ("LEFT", "L BI", " LT", "LT ")),
+    (("RIGHT", "R BI"), ("LEFT", "L BI")),
+    (("RIGHT", "R BI"), ("LEFT", "L BI")),
+)
+
+
+def laterality(*columns: Column, tokens=SIDE_TOKENS) -> Column:
+    """H8: BILATERAL, RIGHT or LEFT by the first column that has a token."""
+
+    def of(c: Column, right, left) -> Column:
+        has = lambda words: any_of(F.upper(c), [re.escape(w) for w in words])
+        return F.when(has(("BILAT", "BOTH")), "BILATERAL").when(has(right), "RIGHT").when(has(left), "LEFT")
+
+    return F.coalesce(*[of(c, *t) for c, t in zip(columns, tokens)])
+
+
+def lesion_laterality(c: Column) -> Column:
+    """H8: side of one part; both or none is UNKNOWN."""
+    text = F.replace(F.upper(F.coalesce(c, F.lit(""))), F.lit(" "), F.lit(""))
+    right, left = text.contains("RIGHT"), text.contains("LEFT")
+    return F.when(right & ~left, "RIGHT").when(left & ~right, "LEFT").otherwise("UNKNOWN")
+
+
+def biopsy_flags(*columns: Column) -> Column:
+    """H9: struct<any, us>; an ultrasound biopsy needs both words in the same column."""
+    biopsy = lambda c: F.coalesce(F.upper(c).rlike("BIOPSY|BX|ASP|SPECIMEN"), F.lit(False))
+    us = lambda c: biopsy(c) & F.coalesce(F.upper(c).rlike(r"US|ULTRASOUND|\bUL\b"), F.lit(False))
+    some = lambda f: F.array_contains(F.array(*map(f, columns)), True)
+    return F.struct(some(biopsy).alias("any"), some(us).alias("us"))
+
+
+GUIDANCE = {"ULTRASOUND": "US", "US": "US", "MAMMO": "MAMMO", "TOMO": "TOMO", "STEREOTACTIC": "STEREOTACTIC", "STEREO": "STEREOTACTIC", "MR": "MR"}
+
+
+def guidance(c: Column, is_biopsy: Column, codes: dict[str, str] = GUIDANCE) -> Column:
+    """The code of the nearest known word before ' GUID'; OTHER for a biopsy without one."""
+    words = F.split(F.trim(F.substring_index(F.upper(c), " GUID", 1)), r"\s+")
+    pairs = F.create_map(*[F.lit(x) for kv in codes.items() for x in kv])
+    known = F.filter(F.transform(words, lambda w: F.try_element_at(pairs, w)), lambda x: x.isNotNull())
+    return F.when(F.upper(c).contains(" GUID"), F.coalesce(F.try_element_at(known, F.lit(-1)), F.when(is_biopsy, F.lit("OTHER"))))
+
+
+def tail_from_first(c: Column, terms: Sequence[str] = ("ADDENDUM", "AMENDMENT", "APPENDED")) -> Column:
+    """The text from the earliest of the terms on."""
+    return F.when(any_of(F.upper(c), terms), strip(F.regexp_extract(c, rf"(?is)(?:{'|'.join(terms)}).*", 0)))
+
+
+def yes_no_after(c: Column, label: str) -> Column:
+    """T or F by the answer after a label."""
+    answer = F.upper(F.regexp_extract(c, rf"(?i){label}\s*:[\s\W]*(YES|NO)\b", 1))
+    return F.when(answer == "YES", "T").when(answer == "NO", "F")
+
+
+BOILERPLATE = ("COMMENT", "REPORT", "CLINICAL HISTORY", "CASE NUMBER")
+
+
+def split_lettered_parts(df: DataFrame, column: str, part: str = "part") -> DataFrame:
+    """A row for each lettered part ('A. text'), cut at boilerplate; a row without any part stays, with a null part."""
+    text = F.upper(F.col(column))
+    raw = F.regexp_extract_all(text, F.lit(r"(?s)(?:^|\n)([A-Z][.)]\s+(?:(?!\n[A-Z][.)]\s).)*)"), F.lit(1))
+    cut = lambda p: strip(F.regexp_extract(p, rf"(?s)^[A-Z][.)]\s+(.*?)(?:{'|'.join(BOILERPLATE)}|\z)", 1))
+    parts = F.filter(F.transform(raw, lambda p: F.struct(F.substring(p, 1, 1).alias("letter"), cut(p).alias("body"))), lambda p: p["body"] != "")
+    return df.withColumn(part, F.explode_outer(F.transform(parts, lambda p: F.concat(p["letter"], F.lit(". "), p["body"]))))
+
+
+def unnegated(term: str, negations: Sequence[tuple[str, int]], reach: int, between: str = r"[\s\S]") -> str:
+    """A pattern for a term without a negation (pattern, its least length) in the ``reach`` characters before it."""
+    before = "".join(rf"(?<!{n}{between}{{0,{max(0, reach - size)}}})" for n, size in negations)
+    return f"(?={term}){before}(?:{term})"
+
+
+# Pathology wording. Negations come with the least length of their match.
+CATEGORY_NEGATIONS = (
+    (r"NEGATIVE\s{1,5}FOR", 12),
+    (r"NO\s{1,5}EVIDENCE\s{1,5}OF", 14),
+    (r"FREE\s{1,5}OF", 7),
+    (r"ABSENCE\s{1,5}OF", 10),
+    (r"NOT\s{1,5}DIAGNOSTIC", 14),
+    (r"\bNO\s", 3),
+)
+MALIGNANT = (
+    r"INVASIVE\s+DUCTAL\s+CARCINOMA", r"DUCTAL\s+CARCINOMA\s+IN\s+SITU", r"\bDCIS\b", r"METASTATIC\s+CARCINOMA", r"INVASIVE\s+CARCINOMA", "CARCINOMA",
+    r"\bMALIGNAN(?:T|CY)\b", r"\bTUMOR\s+CELLS\b", "METASTATIC", r"\bMELANOMA\b",
+)
+NEGATED = (
+    r"NEGATIVE\s+FOR\s+(?:MALIGNAN[CT]|CARCINOMA|INVASIVE|DCIS|ATYPIA|TUMOR|NEOPLASM|METASTATIC)",
+    r"NO\s+EVIDENCE\s+OF\s+(?:RESIDUAL\s+)?(?:MALIGNAN[CT]|CARCINOMA|INVASIVE|DCIS|TUMOR|NEOPLASM|ATYPIA)",
+    r"ABSENCE\s+OF\s+(?:MALIGNAN[CT]|CARCINOMA|INVASIVE|DCIS|TUMOR|NEOPLASM)",
+    r"FREE\s+OF\s+(?:MALIGNAN[CT]|CARCINOMA|INVASIVE|TUMOR|NEOPLASM)",
+    r"NO\s+(?:MALIGNAN[CT]|CARCINOMA|INVASIVE|TUMOR|NEOPLASM)\s+SEEN",
+    r"NEGATIVE\s+LYMPH",
+    r"NO\s+MALIGNANCY\s+PRESENT",
+    r"NO\s+RESIDUAL\s+(?:INVASIVE|CARCINOMA|DCIS|TUMOR|DISEASE|MALIGNAN[CT])",
+    r"NO\s+LYMPH\s+NODE\s+TISSUE",
+    r"WITHOUT\s+(?:HISTOLOGIC(?:AL)?\s+|SIGNIFICANT\s+)?ABNORMALITY",
+    r"NO\s+HISTOLOGIC(?:AL)?\s+ABNORMALITY",
+)
+BENIGN = (
+    r"\bBENIGN\b", "FIBROCYSTIC", "FIBROADENOMA", r"NORMAL\s+BREAST\s+TISSUE", r"INTRADUCTAL\s+PAPILLOMA", r"DUCT\s+ECTASIA", r"PERIDUCTAL\s+FIBROSIS",
+    r"SCLEROSING\s+ADENOSIS", r"APOCRINE\s+METAPLASIA", r"USUAL\s+DUCTAL\s+HYPERPLASIA", r"ATYPICAL\s+DUCTAL\s+HYPERPLASIA", r"COLUMNAR\s+CELL\s+CHANGE",
+    r"RADIAL\s+SCAR", "FIBROSIS", r"BREAST\s+IMPLANT", r"RUPTURED\s+IMPLANT", r"IMPLANT\s+CAPSULE", r"GROSS\s+ONLY\s+AS\s+DESCRIBED", r"FAT\s+NECROSIS",
+    "UNREMARKABLE", "ESTROGEN", r"DYSTROPHIC\s+CALCIFICATIONS?", "NEGATIVE", "SCAR", "FIBROTIC ", r"BREAST\s+CAPSULE", r"FIBROMUSCULAR\s+TISSUE",
+    r"FIBROADIPOSE\s+TISSUE", r"FIBROUS\s+TISSUE", r"BIOPSY\s+SITE\s+CHANGES?", "NEUROFIBROMA", r"\bNEVUS\b", "PSEUDOANGIOMATOUS", r"\bNODULAR\s+FASCIITIS\b",
+    r"\bLCIS\b", r"LOBULAR\s+CARCINOMA\s+IN[\s\-]+SITU", r"ATYPICAL\s+LOBULAR\s+HYPERPLASIA", r"\bALH\b", r"LOBULAR\s+NEOPLASIA",
+)
+
+
+def path_category(c: Column) -> Column:
+    """MALIGNANT if a malignant term stands without a negation in the 50 characters before it (lobular carcinoma in
+    situ is none), else BENIGN by a negation or a benign term, else UNKNOWN."""
+    text = F.upper(F.coalesce(c, F.lit("")))
+    situ = r"(?![\s,\-]*IN[\s\-]+SITU)"
+    hits = [unnegated(rf"(?:(?<!\bLOBULAR\s{{0,5}})(?:{m})|(?:{m}){situ})", CATEGORY_NEGATIONS, 50) for m in MALIGNANT]
+    return F.when(any_of(text, hits), "MALIGNANT").when(any_of(text, NEGATED + BENIGN), "BENIGN").otherwise("UNKNOWN")
+
+
+TYPE_NEGATIONS = (*CATEGORY_NEGATIONS[:4], (r"\bNO\s", 3), ("WITHOUT", 7), (r"RULED\s{1,5}OUT", 9), ("EXCLUDE", 7))
+CANCER_TYPES = (
+    (r"INVASIVE\s+(?:GRADE\s+\d+.*?)?DUCTAL\s+CARCINOMA", "INVASIVE DUCTAL CARCINOMA"),
+    (r"DUCTAL\s+CARCINOMA\s+IN\s+SITU", "DUCTAL CARCINOMA IN SITU"),
+    (r"LOBULAR\s+CARCINOMA\s+IN\s+SITU", "LOBULAR CARCINOMA IN SITU"),
+    (r"INVASIVE\s+MAMMARY\s+CARCINOMA", "INVASIVE MAMMARY CARCINOMA"),
+    (r"\bDCIS\b", "DUCTAL CARCINOMA IN SITU"),
+    (r"\bLCIS\b", "LOBULAR CARCINOMA IN SITU"),
+    (r"ADENOID\s+CYSTIC\s+CARCINOMA", "ADENOID CYSTIC CARCINOMA"),
+    ("ADENOCARCINOMA", "ADENOCARCINOMA"),
+    (r"INFLAMMATORY\s+CARCINOMA", "INFLAMMATORY CARCINOMA"),
+    (r"MUCINOUS\s+CARCINOMA", "MUCINOUS CARCINOMA"),
+    (r"TUBULAR\s+CARCINOMA", "TUBULAR CARCINOMA"),
+    (r"MEDULLARY\s+CARCINOMA", "MEDULLARY CARCINOMA"),
+    (r"PAPILLARY\s+CARCINOMA", "PAPILLARY CARCINOMA"),
+    (r"METASTATIC\s+CARCINOMA", "METASTATIC CARCINOMA"),
+    ("MICROMETASTASIS", "MICROMETASTASIS"),
+    (r"ISOLATED\s+TUMOR\s+CELLS?", "ISOLATED TUMOR CELLS"),
+    (r"MULTIFOCAL\s+ATYPICAL\s+DUCTAL\s+HYPERPLASIA", "MULTIFOCAL ATYPICAL DUCTAL HYPERPLASIA"),
+    (r"ATYPICAL\s+DUCTAL\s+HYPERPLASIA", "ATYPICAL DUCTAL HYPERPLASIA"),
+    (r"ATYPICAL\s+LOBULAR\s+HYPERPLASIA", "ATYPICAL LOBULAR HYPERPLASIA"),
+    (r"\bADH\b", "ATYPICAL DUCTAL HYPERPLASIA"),
+    (r"\bALH\b", "ATYPICAL LOBULAR HYPERPLASIA"),
+    (r"(?:INVASIVE|INFILTRATIVE)\s+LOBULAR\s+CARCINOMA", "INVASIVE LOBULAR CARCINOMA"),
+    (r"(?:INVASIVE|INFILTRATIVE)\s+CARCINOMA", "INVASIVE CARCINOMA"),
+    (r"\bCARCINOMA\b", "CARCINOMA"),
+    ("SARCOMA", "OTHER"),
+    ("LYMPHOMA", "OTHER"),
+    ("MELANOMA", "OTHER"),
+)
+TYPE_BENIGN = (
+    r"NEGATIVE\s+FOR\s+(?:MALIGNAN[CT]|CARCINOMA|INVASIVE|DCIS|TUMOR|METASTATIC|METASTASIS)",
+    r"NO\s+EVIDENCE\s+OF\s+(?:MALIGNAN[CT]|CARCINOMA|INVASIVE|DCIS|TUMOR|NEOPLASM|ATYPIA)",
+    r"ABSENCE\s+OF\s+(?:MALIGNAN[CT]|CARCINOMA|INVASIVE|DCIS|TUMOR|NEOPLASM)",
+    r"\bBENIGN\b", "FIBROCYSTIC", "FIBROADENOMA", r"NORMAL\s+BREAST\s+TISSUE", r"SCLEROSING\s+ADENOSIS", r"USUAL\s+DUCTAL\s+HYPERPLASIA", r"\bPASH\b",
+    r"NEGATIVE\s+MARGIN", r"NO\s+SIGNIFICANT\s+HISTOPATHOLOGY",
+)
+
+
+def first_unnegated(c: Column, rules: Sequence[tuple[str, str]] = CANCER_TYPES, benign: Sequence[str] = TYPE_BENIGN, reach: int = 100) -> Column:
+    """The first rule of the list with a term that is not negated in the ``reach`` characters before it."""
+    text = F.upper(F.coalesce(c, F.lit("")))
+    out = F.when(any_of(text, benign), "BENIGN").otherwise("UNKNOWN")
+    for pattern, name in reversed(rules):
+        out = F.when(text.rlike(unnegated(pattern, TYPE_NEGATIONS, reach)), name).otherwise(out)
+    return out
+
+
+# The finding lexicon, its negations and what ends a negation's scope.
+LEXICON = {
+    "margin": (
+        (r"\bcircumscribed\b", "circumscribed"), (r"\b(?:macro|macrolobulated)\b", "macrolobulated"), (r"\b(?:micro|microlobulated)\b", "microlobulated"),
+        (r"\bindistinct\b", "indistinct"), (r"\bangular\b", "angular"), (r"\bspiculat(?:ed|ion)\b", "spiculated"),
+    ),
+    "shape": ((r"\b(?:oval|ovoid)\b", "oval"), (r"\bround\b", "round"), (r"\birregular\b", "irregular")),
+    "orientation": ((r"\bparallel\b", "parallel"), (r"\bnot\s+parallel\b", "not parallel"), (r"\bantiparallel\b", "not parallel")),
+    "echo": (
+        (r"\banecho(?:ic|genicity)\b", "anechoic"), (r"\bhypoecho(?:ic|genicity)\b", "hypoechoic"), (r"\bisoecho(?:ic|genicity)\b", "isoechoic"),
+        (r"\bhyperecho(?:ic|genicity)\b", "hyperechoic"), (r"\bcomplex\b", "complex"), (r"\bheterogene?ous\b", "heterogeneous"),
+    ),
+    "posterior": ((r"\benhancement\b", "enhancement"), (r"\bshadowing\b", "shadowing"), (r"\bno\s+posterior\s+(?:acoustic\s+)?features?\b", "no posterior features")),
+    "boundary": ((r"\babrupt\s+interface\b", "abrupt interface"), (r"\bechogenic\s+halo\b", "echogenic halo"), (r"\barchitectural\s+distortion\b", "architectural distortion")),
+}
+PRE_NEGATIONS = (
+    (r"\bno\b", 2), (r"\bwithout\b", 7), (r"\babsent\b", 6), (r"\bdenies\b", 6), (r"\bnot\s{1,3}(?:seen|present|identified|appreciated|visible)\b", 8), (r"\bfree\s{1,3}of\b", 7),
+    (r"\backs?\b", 3), (r"\bnegative\s{1,3}for\b", 12),
+)
+POST_NEGATION = (
+    r"\b(?:is|are|was|were)\s+(?:no\s+longer|not)\s+(?:seen|visible|present|identified|appreciated)\b|\b(?:has|have)\s+resolved\b|\b(?:is|are)\s+absent\b"
+    r"|\b(?:was|were)\s+ruled\s+out\b"
+)
+TERMINATOR = r"\.|\bbut\b|\bhowever\b|\balthough\b|\bshowing\b|\bdemonstrat(?:es|ing)\b|\bpresent\b"
+
+
+def lexicon_features(c: Column, lexicon=LEXICON, reach: int = 150) -> Column:
+    """Struct of each feature's values (sorted, joined) that stand without negation: none in the ``reach`` characters
+    before, since the last terminator, and none in as many after; margins and echo patterns are consolidated."""
+    text = F.lower(c)
+    scope = rf"(?:(?!{TERMINATOR})[\s\S])"
+
+    def values(feature: str) -> Column:
+        hits = [F.when(text.rlike(unnegated(p, PRE_NEGATIONS, reach, scope) + rf"(?![\s\S]{{0,{reach}}}?(?:{POST_NEGATION}))"), F.lit(v)) for p, v in lexicon[feature]]
+        return consolidate(feature, F.array_sort(F.array_distinct(F.array_compact(F.array(*hits)))))
+
+    return F.struct(*[F.when(c.isNotNull(), F.nullif(F.array_join(values(f), ", "), F.lit(""))).alias(f) for f in lexicon])
+
+
+def consolidate(feature: str, values: Column) -> Column:
+    """Other margins displace 'circumscribed'; complex before heterogeneous before one echo pattern; several are heterogeneous."""
+    only = lambda v: F.array(F.lit(v))
+    if feature == "margin":
+        return F.when(F.size(values) > 1, F.array_remove(values, "circumscribed")).otherwise(values)
+    if feature == "echo":
+        return F.when(F.array_contains(values, "complex"), only("complex")).when(F.size(values) > 1, only("heterogeneous")).otherwise(values)
+    return values
+
+
+def isolate_section(c: Column, keep: str = "ULTRASOUND|SONO", other: str = "MAMMO", exempt: Sequence[str] = ("DUE", "CORRELAT")) -> Column:
+    """Of a text about two examinations the part from ``keep`` on; null if it is about the other one only. Mentions
+    of the other one in a sentence with an exempt word before them do not count."""
+    up = F.upper(c)
+    real = rf"(?:^|\.)(?:(?!{'|'.join(exempt)})[^.])*?\b{other}"
+    has_keep = up.rlike(rf"\b(?:{keep})\b")
+    part = strip(F.regexp_extract(c, rf"(?is)\b(?:{keep})\b.*", 0))
+    return F.when(~up.rlike(rf"\b{other}"), c).when(has_keep, part).when(~up.rlike(real), c)
+
+
+# What is taken out of a report, in order.
+_CRED = r"(?:M\.D\.|MD|M\. D\.|D\.O\.|DO|Ph\.D\.|PhD)\b"
+_MORE = r"(?:MD|DO|PA|NP|RN|DDS|DMD|PhD|MBBS|M\.D\.|D\.O\.)\b"
+_MONTHS = "January|February|March|April|May|June|July|August|September|October|November|December|Jan|Feb|Mar|Apr|Jun|Jul|Aug|Sep|Oct|Nov|Dec"
+SCRUB = (
+    (r"(?s)\b[A-Z][a-z]+\s+[A-Z]\..*", "[NAME AND SUBSEQUENT TEXT REMOVED]"),
+    (r"(?is)Dictated (?:on|by).*", "[DICTATION SECTION REMOVED]"),
+    (r"(?is)Interpreted by.*", "[INTERPRETATION SECTION REMOVED]"),
+    (r"(?is)Transcribed by.*", "[TRANSCRIPTION SECTION REMOVED]"),
+    (r"(?is)(?:Electronically )?Signed by.*", "[SIGNATURE SECTION REMOVED]"),
+    (r"(?is)Assisted by.*", "[ASSISTANT INFO REMOVED]"),
+    (r"(?is)electronically signed.*", "[SIGNATURE SECTION REMOVED]"),
+    (r"(?is)Imaging Technologist:.*", "[TECHNOLOGIST INFO REMOVED]"),
+    (r".{10}M\.\s?D\.", "[NAME REMOVED]"),
+    (rf"\b[A-Z][a-z]+\s+(?:[A-Z]\.\s+)?[A-Z][a-z]+\s+{_CRED}", "[NAME REMOVED]"),
+    (rf"\b[A-Z][a-z]+,\s+[A-Z][a-z]+\s+{_CRED}", "[NAME REMOVED]"),
+    (rf"\b[A-Z]\.\s?[A-Z]\.\s+[A-Z][a-z]+,?\s+{_MORE}", "[NAME REMOVED]"),
+    (rf"\b[A-Z][a-z]+\s+[A-Z][a-z]+,?\s+{_MORE}", "[NAME REMOVED]"),
+    (r"\bDr\.\s+[A-Z][A-Za-z.\s]+\b", "[NAME REMOVED]"),
+    (rf"\b[A-Z]\.\s+[A-Z][a-z]+,?\s+{_MORE}", "[NAME REMOVED]"),
+    (r"\b\d{1,2}:\d{2}:\d{2}\b", "[TIME REMOVED]"),
+    (rf"(?i)\b(?:{_MONTHS})\s+\d{{1,2}}\b", "[DATE REMOVED]"),
+    (r"\b\d{1,2}/\d{1,2}/\d{2,4}\b", "[DATE REMOVED]"),
+    (r"\b\d{4}\b", "[YEAR REMOVED]"),
+)
+
+
+def scrub_text(c: Column, steps=SCRUB) -> Column:
+    """Names, signatures, times, dates and years out of a report."""
+    for pattern, new in steps:
+        c = F.regexp_replace(c, pattern, new)
+    return c
+
+
+# Caption words by attribute, in order of precedence; cut-off letters come from character recognition.
+CAPTION_WORDS = {
+    "area": {"axilla": ("ax",), "breast": ("breast",), "supraclavicular": ("superclavicular", "supraclavicular"), "subclavicular": ("subclavicular", "subclavcular")},
+    "laterality": {"left": ("lt", "left", "eft", "ft"), "right": ("rt", "right", "ight", "ght", "ht")},
+    "orientation": {"long": ("long", "lon", "ong"), "trans": ("trans", "tran", "tra", "ans"), "anti-radial": ("anti-rad", "anti-radial"), "radial": ("radial",), "oblique": ("oblique",)},
+}
+QUADRANTS = ("uoq", "uiq", "liq", "loq")
+
+
+def caption_attributes(c: Column, words=CAPTION_WORDS) -> Column:
+    """struct<area, laterality, orientation, clock_pos, nipple_dist> of an image's caption."""
+    plain = F.replace(F.replace(F.lower(c), F.lit(" "), F.lit("")), F.lit("$"), F.lit("s"))
+
+    def attribute(levels: dict) -> Column:
+        out = F.lit("unknown")
+        for name, tokens in reversed(levels.items()):
+            out = F.when(any_of(plain, [re.escape(t) for t in tokens]), name).otherwise(out)
+        return out
+
+    clock = F.translate(F.regexp_replace(F.regexp_extract(c, r"\d{1,2}\s*[:.*]\s*\d{1,2}", 0), r"\s", ""), ".*", "::")
+    quadrant = F.lit("unknown")
+    for q in reversed(QUADRANTS):
+        quadrant = F.when(c.contains(q), q).otherwise(quadrant)
+    cm = F.regexp_extract(F.replace(F.lower(c), F.lit("scm"), F.lit("5cm")), r"(\d+)(?:-(\d+))?\s*cm", 0)
+    low, high = F.regexp_extract(cm, r"^(\d+)", 1).try_cast("int"), F.regexp_extract(cm, r"-(\d+)", 1).try_cast("int")
+    distance = F.when(high.isNull(), low).otherwise(F.bround((low + high) / 2).cast("int"))
+    return F.struct(
+        *[attribute(levels).alias(name) for name, levels in words.items()],
+        F.when(clock != "", clock).otherwise(quadrant).alias("clock_pos"),
+        F.when((distance > 0) & (distance <= 25), distance).alias("nipple_dist"),
+    )
+
+
+# Lesion wording by class, the first class wins.
+LESION_TYPES = (
+    ("Node", (r"\blymph\s*node\b", r"\bintramammary\s+(?:lymph\s+)?node\b", r"\baxillary\s+(?:lymph\s+)?node\b")),
+    (
+        "Lesion",
+        (
+            r"\b(?:mass|lesion|complex|complicated|bilobed|calcified|solid|nodule|tumou?r|cancer|carcinoma|malignancy|septate[ds]?|septation|vascularity|vascular)\b",
+            r"\b(?:shadowing|sebaceous|adenoma|fibroadenoma|papilloma|clip|intraductal)\b",
+            r"\bblood\s*flow\b", r"\bbiopsy[- ]?proven\b", r"\bless\s+defined\b", r"\bill[- ]?defined\b", r"\birregular\s+margin\b", r"\bpartially\s+circumscribed\b",
+        ),
+    ),
+    ("Simple cyst", (r"cysts?\b", r"\bcystic\b")),
+)
+
+
+def first_rule_label(c: Column, rules=LESION_TYPES, other: str = "Other") -> Column:
+    """The first class with a pattern that occurs; null for no text."""
+    out = F.lit(other)
+    for name, patterns in reversed(rules):
+        out = F.when(any_of(F.lower(c), patterns), name).otherwise(out)
+    return F.when(F.trim(c) != "", out)
+
+
+def to_cm(c: Column) -> Column:
+    """A length in centimetres; without a unit it is one."""
+    text = F.lower(F.trim(c))
+    value = F.regexp_extract(text, r"^([\d.]+)\s*(?:cm|mm)?", 1).try_cast("double")
+    return F.when(text.rlike(r"^[\d.]+\s*mm"), value / 10).otherwise(value)
+
+
+def clock_hour(c: Column) -> Column:
+    """The hour 1 to 12 of a clock position."""
+    hour = F.regexp_extract(F.trim(c), r"^(\d+)", 1).try_cast("int")
+    return F.when(hour.between(1, 12), hour).when(hour == 0, 12)
+
+
+def clock_decimal(c: Column) -> Column:
+    """A clock position as decimal hours."""
+    text = F.trim(F.replace(F.lower(F.trim(c)), F.lit("o'clock"), F.lit("")))
+    hours, minutes = F.regexp_extract(text, r"^(\d+):(\d+)$", 1).try_cast("int"), F.regexp_extract(text, r"^(\d+):(\d+)$", 2).try_cast("int")
+    return F.when(text.contains(":"), hours + minutes / 60).otherwise(text.try_cast("double"))
+
+
+def dicom_time(*tags: Column) -> Column:
+    """The first tag that is a time HHMMSS[.F...], as HH:MM:SS[.fff]."""
+
+    def of(c: Column) -> Column:
+        t = F.trim(c)
+        clock = F.concat_ws(":", F.substring(t, 1, 2), F.substring(t, 3, 2), F.substring(t, 5, 2))
+        fraction = F.regexp_extract(t, r"\.(.+)$", 1)
+        full = F.when(fraction != "", F.concat(clock, F.lit("."), F.rpad(F.substring(fraction, 1, 3), 3, "0"))).otherwise(clock)
+        return F.when(t.rlike(r"^\d{6}[^.]*(?:\..*)?$"), full)
+
+    return F.coalesce(*map(of, tags))
+
+
+REPLY = "array<struct<direction:string,distance:string,size:string,type:string>>"
+
+
+def parse_reply(c: Column) -> Column:
+    """struct<label, n, error> of a reply that holds a JSON list, in a code fence or not."""
+    bare = F.trim(F.regexp_replace(c, r"```(?:json)?\n?", ""))
+    items = F.from_json(bare, REPLY, {"mode": "PERMISSIVE"})
+    good = bare.rlike(r"(?s)^\[.*\]$") & items.isNotNull() & ~F.exists(items, lambda x: x.isNull() | (x["direction"].isNull() & x["type"].isNull()))
+    label = F.array_join(F.transform(items, lambda x: F.concat(F.lit("["), F.concat_ws(", ", x["direction"], x["distance"], x["size"], x["type"]), F.lit("]"))), ", ")
+    return F.struct(F.when(good, label).otherwise("").alias("label"), F.when(good, F.size(items)).otherwise(0).alias("n"), F.when(~F.coalesce(good, F.lit(False)), "unreadable").alias("error"))
+
+
+def path_part(c: Column, i: int) -> Column:
+    """A part of a path, counted from 1 or from the end."""
+    return F.try_element_at(F.split(c, "/"), F.lit(i))
+
+
+def stem(c: Column) -> Column:
+    return F.regexp_replace(path_part(c, -1), r"\.[^.]*$", "")
+
 
 def map_codes(c: Column, words: dict[str, str], other: str | None = None, missing: str | None = None) -> Column:
     """The code of the first key word that the text has (any case)."""
@@ -12,3 +539,26 @@ def map_codes(c: Column, words: dict[str, str], other: str | None = None, missin
     for word, code in words.items():
         out = out.when(F.upper(c).contains(word.upper()), F.lit(code))
     return out.otherwise(F.lit(other))
+
+
+def norm_side(c: Column) -> Column:
+    v = F.upper(F.trim(c))
+    return F.when(v.isin("LEFT", "L"), "LEFT").when(v.isin("RIGHT", "R"), "RIGHT").when(v.isin("BILATERAL", "BOTH"), "BILATERAL").when(~v.isin("NOT_SPECIFIED", "UNKNOWN", "NAN", ""), v)
+
+
+def side_match(exam: Column, path: Column) -> Column:
+    """How the side of an exam and of a finding agree."""
+    u, p = norm_side(exam), norm_side(path)
+    return (
+        F.when(p.isNull() & u.isNull(), "UNKNOWN_BOTH")
+        .when(p.isNull(), "UNKNOWN_PATH")
+        .when(u == "BILATERAL", "BILATERAL_US")
+        .when(u == p, "EXACT")
+        .when(u.isNull(), "UNKNOWN_US")
+        .otherwise("MISMATCH")
+    )
+
+
+def strip_evidence_rank(c: Column) -> Column:
+    """BENIGN2 is BENIGN."""
+    return F.regexp_replace(c, r"([A-Z]+)\d+", "$1")
