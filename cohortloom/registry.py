@@ -35,6 +35,6 @@ def query(name: str, sql: str | None = None):
     return put
 
 
-for _module in ("predicates", "joins", "aggregates", "timeline", "sampling", "changes", "text", "values", "sources", "jobs", "evaluation", "streams"):
+for _module in ("predicates", "joins", "aggregates", "timeline", "sampling", "changes", "text", "values", "sources", "jobs", "evaluation", "streams", "surface"):
     if importlib.util.find_spec(f"cohortloom.plans.{_module}"):
         importlib.import_module(f"cohortloom.plans.{_module}")

@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators import changes as G
 
@@ -49,28 +49,22 @@ def stream_audit(stream: DataFrame, ts: str, by: Sequence[str], window: str = "1
     return stream.withWatermark(ts, late).groupBy(F.window(ts, window).alias("w"), *by).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), *by, "n")
 
 
-class PatientState(StatefulProcessor):
-    """Number of events so far and worst score of each patient, over batches in order of arrival."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("seen", "events long, worst int")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        events, worst = self.state.get() if self.state.exists() else (0, 0)
-        for pdf in rows:
-            events += int(pdf["is_event"].sum())
-            scores = pdf["score"].dropna()
-            worst = max(worst, int(scores.max())) if len(scores) else worst
-        self.state.update((events, worst))
-        yield pd.DataFrame({"patient_id": [key[0]], "events": [events], "worst": [worst]})
-
-    def close(self) -> None:
-        pass
+def _patient_state(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Number of events so far and worst score of one patient."""
+    events, worst = state.get if state.exists else (0, 0)
+    for pdf in batches:
+        events += int(pdf["is_event"].sum())
+        scores = pdf["score"].dropna()
+        worst = max(worst, int(scores.max())) if len(scores) else worst
+    state.update((events, worst))
+    yield pd.DataFrame({"patient_id": [key[0]], "events": [events], "worst": [worst]})
 
 
 def stream_patient_state(stream: DataFrame) -> DataFrame:
     """M5: patient_id, is_event, score -> the patient's state after each batch."""
-    return stream.groupBy("patient_id").transformWithStateInPandas(statefulProcessor=PatientState(), outputStructType="patient_id long, events long, worst int", outputMode="Update", timeMode="None")
+    return stream.groupBy("patient_id").applyInPandasWithState(
+        _patient_state, "patient_id long, events long, worst int", "events long, worst int", "update", GroupStateTimeout.NoTimeout
+    )
 
 
 def stream_window_link(exams: DataFrame, path: DataFrame, days: int, late: str = LATE) -> DataFrame:
