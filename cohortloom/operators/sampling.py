@@ -77,9 +77,12 @@ def mini_split(key: Column, share: float, seed: int) -> Column:
 
 
 def random_split(df: DataFrame, key: str, share: float, seed: int, strata: Sequence[str] = ()) -> DataFrame:
-    """K9: 'test' for the first round(share * rows) rows of each stratum in hash order, else 'train'."""
-    group = Window.partitionBy(*(strata or [F.lit(0)]))
-    if not strata:  # one bucket of hashes a partition, not all rows in one
+    """K9: 'test' for the first round(share * rows) rows of each stratum in hash order, else 'train'.
+
+    Without strata each row is drawn by its own hash, so that no task has to rank all rows.
+    """
+    group = Window.partitionBy(*strata)
+    if not strata:
         u = unit_hash(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
         return df.withColumn("split", F.when(u < share, "test").otherwise("train"))
     rank = F.row_number().over(group.orderBy(seeded(F.col(key), seed), key))

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .lineage import cut
+
 DAY = 86_400_000_000
 
 
@@ -135,7 +137,8 @@ def with_row_id(df: DataFrame, order: Sequence[str], name: str = "row_id") -> Da
 
     Only one count of each range partition meets in one task.
     """
-    dealt = df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
+    # written once: a second sampling of the ranges could cut elsewhere
+    dealt = cut(df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()))
     ranked = dealt.withColumn("_k", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
     sizes = dealt.groupBy("_p").agg(F.count("*").alias("_size"))
     before = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))

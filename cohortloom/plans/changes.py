@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import changes as G
+from ..operators.lineage import new_path
 from ..registry import query
 
 NEW_EXAMS = "SELECT accession_number + 7 AS accession_number, CASE WHEN patient_id % 2 = 0 THEN 'CT' END AS modality, bi_rads FROM exams WHERE modality = 'MR'"
@@ -67,11 +68,7 @@ def g7(t):
 
 @query("G8_publish_replace", "SELECT modality, CAST(count(*) AS BIGINT) AS n FROM exams GROUP BY modality")
 def g8(t):
-    import tempfile
-    import uuid
-
-    conf = t.spark.sparkContext.getCheckpointDir() or t.spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-    root = f"{conf}/exams-{uuid.uuid4().hex}"
+    root = new_path(t.spark, "exams")
     first = G.publish(table(t).limit(0), root, 0)
     G.publish(table(t), root, first)
     return G.read_version(t.spark, root).groupBy("modality").agg(F.count("*").alias("n"))
@@ -156,11 +153,7 @@ def g17(t):
 
 @query("G18_publish_versions", "SELECT 'current' AS version, count(*) AS n FROM exams WHERE modality = 'US' UNION ALL SELECT 'first', count(*) FROM exams UNION ALL SELECT 'stale', 1")
 def g18(t):
-    import tempfile
-    import uuid
-
-    conf = t.spark.sparkContext.getCheckpointDir() or t.spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-    root = f"{conf}/versions-{uuid.uuid4().hex}"
+    root = new_path(t.spark, "versions")
     first = G.publish(table(t), root, 0)
     G.publish(table(t).where("modality = 'US'"), root, first)
     try:

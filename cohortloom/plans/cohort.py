@@ -15,6 +15,7 @@ from ..operators import joins as J
 from ..operators import predicates as P
 from ..operators import sampling as K
 from ..operators import timeline as W
+from ..operators.lineage import cut
 from ..sources.spec import ExportSpec, rules
 
 BENIGN_MALIGNANT = ["MALIGNANT", "BENIGN"]
@@ -324,14 +325,11 @@ def em_rates(rows: DataFrame, group: str, cls: str, found: str, iterations: int
     """
     counts = rows.groupBy(group, cls).agg(F.count("*").alias("k"), F.sum(found).alias("f"))
     counts = counts.withColumn("total", F.sum("f").over(Window.partitionBy(group))).select(group, cls, "k", "total")
-    if rows.sparkSession.sparkContext.getCheckpointDir() is None:
-        import tempfile
-
-        rows.sparkSession.sparkContext.setCheckpointDir(rows.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
     # groups of the same composition and total act alike
     shape = counts.groupBy(group).agg(F.sort_array(F.collect_list(F.struct(cls, "k"))).alias("mix"), F.max("total").alias("total"))
     shapes = shape.groupBy("mix", "total").agg(F.count("*").alias("weight")).withColumn("shape", F.struct("mix", "total"))
-    cells = shapes.select("shape", "total", "weight", F.inline("mix")).checkpoint()
+    cells = shapes.select("shape", "total", "weight", F.inline("mix"))
+    cells = cut(cells)
     classes = cells.groupBy(cls).agg(F.sum(F.col("k") * F.col("weight")).alias("n"))
     sizes = {r[cls]: r.n for r in classes.collect()}
     rates = {c: 0.5 for c in sizes}

@@ -1,11 +1,9 @@
 """Queries of sources and sinks; files go to the shared checkpoint folder and are read back."""
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..operators.predicates import exclude_first
+from ..operators.lineage import new_path
 from ..registry import query
 from ..sources import io
 from ..sources.spec import ExportSpec, build_predicate
@@ -13,8 +11,7 @@ from .predicates import image_rules
 
 
 def folder(t, name):
-    root = t.spark.sparkContext.getCheckpointDir() or t.spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-    return f"{root}/{name}-{uuid.uuid4().hex}"
+    return new_path(t.spark, name)
 
 
 @query("S1_read_tables", "SELECT r_name, count(*) AS n FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name")
