@@ -92,7 +92,7 @@ def lesion_skeletons(lesions: DataFrame) -> DataFrame:
         .agg(
             F.array_join(F.array_sort(F.collect_set("lesion_id")), ",").alias("source_ids"),
             F.count("*").alias("n"),
-            F.min_by("laterality", F.when(F.col("laterality").isNotNull(), F.col("lesion_id"))).alias("laterality"),
+            F.min(F.when(F.col("laterality").isNotNull(), F.struct("lesion_id", "laterality")))["laterality"].alias("laterality"),
             F.round(F.max("size_cm") * 10, 6).alias("size_mm"),
         )
         .drop("own")

@@ -106,7 +106,7 @@ def a11(t):
 @query(
     "A12_lesion_skeletons",
     """SELECT accession_number, clock, distance_cm, clock IS NULL AS unplaced, string_agg(DISTINCT image_name, ',' ORDER BY image_name) AS source_ids, count(*) AS n,
-  arg_min(laterality, image_name) AS laterality, round(max(size_cm) * 10, 6) AS size_mm FROM lesions
+  min(struct_pack(a := image_name, b := laterality)).b AS laterality, round(max(size_cm) * 10, 6) AS size_mm FROM lesions
   GROUP BY accession_number, clock, distance_cm, CASE WHEN clock IS NULL THEN image_name END""",
 )
 def a12(t):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..registry import query
 from ..sources.spec import ExportSpec
 from . import cohort as C
+from .joins import MATCH
 from .predicates import RULE_SQL, image_rules
 
 
@@ -65,7 +66,60 @@ def diagnosed(t):
     return C.diagnose(exams.unionByName(path))
 
 
-@query("C4_diagnose")
+def _diagnose_sql() -> str:
+    """The rules once more, side by side, as SQL windows."""
+    later = "OVER (PARTITION BY patient_id ORDER BY us RANGE BETWEEN 1 FOLLOWING AND {} FOLLOWING)"
+    day = 86_400_000_000
+    w = {n: later.format(n * day) for n in (240, 450, 730, 1095)}
+    some = lambda cond, over: f"coalesce(bool_or(coalesce({cond}, false)) {over}, false)"
+    enc = "OVER (PARTITION BY patient_id, enc)"
+    marks, sides = [], ("LEFT", "RIGHT")
+    for v, k in (("MALIGNANT", "m"), ("BENIGN", "b")):
+        marks.append(some(f"pi = '{v}' AND (pl IS NULL OR pl NOT IN ('LEFT', 'RIGHT'))", enc) + f" AS e{k}_x")
+        for s in sides:
+            marks += [some(f"pi = '{v}' AND pl = '{s}'", enc) + f" AS e{k}_{s}", some(f"pi = '{v}' AND pl = '{s}'", w[240]) + f" AS n{k}_{s}"]
+    marks += [some(f"pi = 'MALIGNANT' AND pl = '{s}'", "OVER (PARTITION BY patient_id)") + f" AS ever_{s}" for s in sides]
+    marks += [
+        some("bx = 'T'", f"OVER (PARTITION BY patient_id ORDER BY us RANGE BETWEEN {30 * day} PRECEDING AND {120 * day} FOLLOWING)") + " AS near",
+        some("bx = 'T'", w[240]) + " AS next_bx",
+        some("pi = 'MALIGNANT'", w[450]) + " AS m450",
+        some("ex AND b IS NOT NULL AND b NOT IN ('1', '2')", w[730]) + " AS n730",
+        some("ex AND coalesce(b NOT IN ('1', '2'), true)", w[1095]) + " AS n12",
+        some("ex AND coalesce(b NOT IN ('1', '2', '3'), true)", w[1095]) + " AS n123",
+        f"coalesce(max(us) {w[1095]} - us >= {730 * day}, false) AS far",
+        f"coalesce(max(us) OVER (PARTITION BY patient_id ORDER BY us RANGE BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) - us >= {180 * day}, false) AS followed",
+    ]
+    steps = {}
+    for s in sides:
+        here, calm = f"ex AND sl IN ('{s}', 'BILATERAL')", "followed AND NOT near AND NOT m450"
+        steps[s] = [
+            (f"{here} AND enc IS NOT NULL AND coalesce(cc <> 'F', true) AND (em_{s} OR (sl = '{s}' AND em_x))", "MALIGNANT0", "encounter linked path"),
+            (f"{here} AND enc IS NOT NULL AND coalesce(cc <> 'F', true) AND (eb_{s} OR (sl = '{s}' AND eb_x))", "BENIGN0", "encounter linked path"),
+            (f"{here} AND b IN ('1', '2') AND {calm} AND NOT n730", "BENIGN1", "assumed benign"),
+            (f"{here} AND b = '3' AND {calm} AND (NOT n12 OR (NOT n123 AND far))", "BENIGN3", "assumed benign - birads 3"),
+        ]
+    case = lambda rules, k: "CASE " + " ".join(f"WHEN {r[0]} THEN '{r[k]}'" for r in rules) + " END"
+    first = ", ".join(f"{case(steps[s], 1)} AS d_{s}, {case(steps[s], 2)} AS e_{s}" for s in sides)
+    six = lambda s: f"d_{s} IS NULL AND ex AND sl IN ('{s}', 'BILATERAL') AND b = '6' AND ever_{s} AND (sl = 'BILATERAL' OR (d_LEFT IS NULL AND d_RIGHT IS NULL))"
+    second = ", ".join(f"CASE WHEN {six(s)} THEN 'MALIGNANT1' ELSE d_{s} END AS f_{s}, CASE WHEN {six(s)} THEN 'birads 6 with malignancy' ELSE e_{s} END AS g_{s}" for s in sides)
+    out = []
+    for s in sides:
+        follow = f"""CASE WHEN ex AND sl IN ('{s}', 'BILATERAL') AND f_LEFT IS NULL AND f_RIGHT IS NULL THEN CASE WHEN nm_{s} AND next_bx AND b IN ('4', '4A', '4B', '4C', '5', '6') THEN 'MALIGNANT2'
+          WHEN nb_{s} AND NOT nm_{s} AND b IN ('1', '2', '3', '4', '4A', '4B') THEN 'BENIGN2' END END"""
+        over = f"CASE WHEN ex AND sl IN ('{s}', 'BILATERAL') AND cat IS NOT NULL THEN CASE WHEN lower(cat) LIKE '%malignant%' OR lower(cat) LIKE '%invasive%' THEN 'MALIGNANT4' ELSE 'BENIGN4' END END"
+        name = s.lower()
+        out.append(f"coalesce({over}, f_{s}, {follow}) AS {name}_diagnosis")
+        out.append(f"CASE WHEN {over} IS NOT NULL THEN CASE WHEN trim(a2) <> '' THEN 'addendum A2' ELSE 'addendum A1' END WHEN f_{s} IS NOT NULL THEN g_{s} WHEN {follow} = 'MALIGNANT2' THEN 'malignant pathology' WHEN {follow} IS NOT NULL THEN 'benign pathology' END AS {name}_diagnosis_source")
+    return f"""WITH p AS (SELECT path_accession AS path_id, min(patient_id) AS patient_id, min(path_ts) AS path_ts, min(path_laterality) AS side, min(path_interpretation) AS pi FROM path GROUP BY path_accession),
+t AS (SELECT patient_id, accession_number AS row_id, epoch_us(exam_ts) AS us, true AS ex, CAST(year(exam_ts) AS STRING) AS enc, study_laterality AS sl, CAST(NULL AS STRING) AS pl, bi_rads AS b, is_biopsy AS bx, CAST(NULL AS STRING) AS pi,
+  CASE WHEN accession_number % 13 = 0 THEN 'F' END AS cc, CASE WHEN accession_number % 17 = 0 THEN 'Malignant' WHEN accession_number % 19 = 0 THEN 'Benign' END AS a1, CASE WHEN accession_number % 34 = 0 THEN 'benign finding' ELSE ' ' END AS a2 FROM exams
+UNION ALL SELECT patient_id, -path_id, epoch_us(path_ts), false, CASE WHEN path_id % 3 = 0 THEN CAST(year(path_ts) AS STRING) END, NULL, CASE WHEN path_id % 5 > 0 THEN side END, NULL, NULL, pi, NULL, NULL, NULL FROM p),
+m AS (SELECT *, coalesce(nullif(trim(a2), ''), nullif(trim(a1), '')) AS cat, {', '.join(marks)} FROM t),
+s1 AS (SELECT *, {first} FROM m), s2 AS (SELECT *, {second} FROM s1)
+SELECT row_id, {', '.join(out)} FROM s2 WHERE ex"""
+
+
+@query("C4_diagnose", _diagnose_sql())
 def c4(t):
     return diagnosed(t).where("kind = 'exam'").select("row_id", "left_diagnosis", "left_diagnosis_source", "right_diagnosis", "right_diagnosis_source")
 
@@ -129,10 +183,14 @@ def c11(t):
     return kept.select("image_name", F.lit("kept").alias("reason")).union(rejects.select("image_name", "reason"))
 
 
-@query("C12_match_and_type_lesions")
+@query(
+    "C12_match_and_type_lesions",
+    MATCH + """SELECT b.image_name, b.lesion_id, CASE d.kind WHEN 'R' THEN 'Lesion' WHEN 'A' THEN 'Simple cyst' ELSE 'Node' END AS lesion_type FROM (SELECT image_name, lesion_id,
+  row_number() OVER (PARTITION BY accession_number, image_name ORDER BY round(a + g / 2, 6), lesion_id) AS k FROM m WHERE a <= 1.5 AND g <= 2) b JOIN lesions d ON d.image_name = b.lesion_id WHERE k = 1""",
+)
 def c12(t):
     words = F.when(F.col("kind") == "R", "solid mass").when(F.col("kind") == "A", "cyst").otherwise("lymph node")
-    described = t.lesions.select("accession_number", F.col("image_name").alias("lesion_id"), (F.col("size_cm") * 2).cast("int").alias("d_clock"), F.col("ord").cast("double").alias("d_distance"), words.alias("description"))
+    described = t.lesions.select("accession_number", F.col("image_name").alias("lesion_id"), ((F.col("size_cm") * 2).cast("long") % 12 + 1).alias("d_clock"), F.col("ord").cast("double").alias("d_distance"), words.alias("description"))
     return C.match_and_type_lesions(t.lesions, described).select("image_name", "lesion_id", "lesion_type")
 
 
