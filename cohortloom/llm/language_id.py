@@ -130,8 +130,8 @@ def train(
     ).where("__text IS NOT NULL AND __lang IS NOT NULL")
     per_lang = rows.groupBy("__lang").agg(F.count("*").alias("__n"))
     share = F.least(F.lit(1.0), F.lit(float(max_docs)) / F.col("__n"))
-    # the labels are few and AQE checks their size before it broadcasts them
-    sample = rows.join(per_lang, "__lang").where((F.col("__key") / F.lit(2.0**64) + 0.5) <= share)
+    # the model has a row of BUCKETS numbers for each language, so their counts are small beside it
+    sample = rows.join(F.broadcast(per_lang), "__lang").where((F.col("__key") / F.lit(2.0**64) + 0.5) <= share)
 
     def count(batches):
         sums: dict[str, np.ndarray] = {}
