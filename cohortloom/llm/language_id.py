@@ -156,6 +156,8 @@ def train(
     counted = (
         sample.select("__text", "__lang")
         .mapInArrow(count, "lang string, bucket int, n long")
+        .groupBy("lang", "bucket")
+        .agg(F.sum("n").alias("n"))
         .groupBy("lang", F.shiftright("bucket", 10).alias("part"))
         .agg(F.sort_array(F.collect_list(F.struct("bucket", "n"))).alias("cells"))
     )
