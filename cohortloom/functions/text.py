@@ -369,6 +369,15 @@ def lexicon_features(c: Column, lexicon=LEXICON, reach: int = 150) -> Column:
     return F.struct(*[F.when(c.isNotNull(), F.nullif(F.array_join(values(f), ", "), F.lit(""))).alias(f) for f in lexicon])
 
 
+def lexicon_decisions(c: Column, lexicon=LEXICON, reach: int = 150) -> Column:
+    """The audit of the decisions: array<struct<feature, value, negated>> of all terms that occur."""
+    text = F.lower(c)
+    scope = rf"(?:(?!{TERMINATOR})[\s\S])"
+    after = rf"(?![\s\S]{{0,{reach}}}?(?:{POST_NEGATION}))"
+    one = lambda f, p, v: F.when(text.rlike(p), F.struct(F.lit(f).alias("feature"), F.lit(v).alias("value"), (~text.rlike(unnegated(p, PRE_NEGATIONS, reach, scope) + after)).alias("negated")))
+    return F.array_compact(F.array(*[one(f, p, v) for f, terms in lexicon.items() for p, v in terms]))
+
+
 def consolidate(feature: str, values: Column) -> Column:
     """Other margins displace 'circumscribed'; complex before heterogeneous before one echo pattern; several are heterogeneous."""
     only = lambda v: F.array(F.lit(v))

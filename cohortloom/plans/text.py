@@ -127,6 +127,16 @@ def h16(t):
     return t.reports.select("report_id", H.lexicon_features(H.findings(c())).alias("x")).select("report_id", "x.margin", "x.shape", "x.echo", "x.posterior", "x.boundary")
 
 
+@query(
+    "H16_lexicon_decisions",
+    """SELECT report_id, feature, value, negated FROM reports JOIN (VALUES (0, 'margin', 'circumscribed', false), (0, 'shape', 'oval', false), (0, 'echo', 'hypoechoic', false), (0, 'posterior', 'enhancement', false),
+  (1, 'margin', 'spiculated', true), (2, 'shape', 'oval', true), (2, 'shape', 'irregular', false), (2, 'margin', 'spiculated', false), (3, 'echo', 'anechoic', false), (3, 'echo', 'hypoechoic', false), (3, 'shape', 'round', false),
+  (3, 'margin', 'circumscribed', false), (3, 'margin', 'indistinct', false), (4, 'echo', 'complex', true), (5, 'boundary', 'echogenic halo', false)) v(k, feature, value, negated) ON f = k""",
+)
+def h16b(t):
+    return t.reports.select("report_id", F.inline(H.lexicon_decisions(H.findings(c()))))
+
+
 @query("H17_isolate_section", "SELECT report_id, CASE d WHEN 0 THEN 'US BREAST LEFT LIMITED' WHEN 2 THEN 'US GUIDED BX R BI' WHEN 3 THEN 'MR BREAST RT W CONTRAST' END AS section FROM reports")
 def h17(t):
     return t.reports.select("report_id", H.isolate_section(c("description")).alias("section"))
