@@ -30,9 +30,10 @@ from pyspark.sql import types as T
 from .common import cut_lineage, documents, map_batches, text_or_empty, without
 
 WINDOW = 35
-MINIMISER = 6
+MINIMISER = 4
 BUCKET_BYTES = 3 << 20
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
+HELD_BYTES = 96 << 20
 SAMPLE = 0.02
 HOT_SHARE = 1000
 RESULT = T.StructType(
@@ -81,23 +82,25 @@ def _least(values: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def _words(texts: list[str | None]) -> list[list[bytes]]:
-    return [t.encode("utf-8", "surrogatepass").split() if t else [] for t in texts]
+def _plain(text: str | None) -> bytes:
+    """The words of a text, joined by single spaces."""
+    return b" ".join(text.encode("utf-8", "surrogatepass").split()) if text else b""
 
 
-def _layout(words: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
-    """(words joined by spaces, start of each, end of each)."""
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    return b" ".join(words), np.concatenate(([0], ends[:-1] + 1)) if words else ends, ends
+def _layout(parts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """(all parts joined by spaces, start of each word, its end, words of each part)."""
+    lengths = np.fromiter((p.count(b" ") + 1 if p else 0 for p in parts), np.int64, len(parts))
+    line = b" ".join([p for p in parts if p])
+    ends = np.append(np.flatnonzero(np.frombuffer(line, np.uint8) == 0x20), len(line)) if line else np.zeros(0, np.int64)
+    starts = np.concatenate((np.zeros(min(1, len(ends)), np.int64), ends[:-1] + 1))
+    return line, starts, ends, lengths
 
 
-def _super_kmers(docs: list[list[bytes]], window: int, m: int, hot: np.ndarray) -> tuple:
-    """(line, word starts, word ends, first window of each run, one past its last, document, minimiser)."""
-    words = [w for d in docs for w in d]
-    lengths = np.fromiter(map(len, docs), np.int64, len(docs))
-    owner = np.repeat(np.arange(len(docs)), lengths)
-    line, starts, ends = _layout(words)
-    n = len(words) - window + 1
+def _super_kmers(texts: list[str | None], window: int, m: int, hot: np.ndarray) -> tuple:
+    """(line, word starts, word ends, first window of each run, one past its last, document, minimiser, words of each)."""
+    line, starts, ends, lengths = _layout([_plain(t) for t in texts])
+    owner = np.repeat(np.arange(len(texts)), lengths)
+    n = len(starts) - window + 1
     if n <= 0:
         empty = np.zeros(0, np.int64)
         return line, starts, ends, empty, empty, empty, np.zeros(0, np.uint64), lengths
@@ -159,36 +162,34 @@ def _unpack(blob: bytes) -> tuple[list[bytes], np.ndarray, list[np.ndarray]]:
     return [raw[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())], out[1], out[2:]
 
 
-def repeated_windows(strings: list[bytes], times: np.ndarray, window: int) -> list[np.ndarray]:
-    """For each packed string, which of its windows start more than once among all strings, each taken ``times`` times."""
-    words = [s.split(b" ") for s in strings]
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    line, starts, ends = _layout([w for ws in words for w in ws])
-    owner = np.repeat(np.arange(len(words)), lengths)
+def repeated_windows(strings: list[bytes], times: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(flag of each word of all strings, words of each string): a flagged word starts a window that starts more than
+    once among all strings, each taken ``times`` times."""
+    line, starts, ends, lengths = _layout(strings)
+    owner = np.repeat(np.arange(len(strings)), lengths)
     n = len(owner) - window + 1
+    flags = np.zeros(len(owner), bool)
     at = np.flatnonzero(owner[:n] == owner[window - 1 :]) if n > 0 else np.zeros(0, np.int64)
+    if not len(at):
+        return flags, lengths
     hashes = _rolling(word_hashes(line, starts, ends), window)[at]
     order = np.argsort(hashes, kind="stable")
     at, hashes = at[order], hashes[order]
-    heads = np.concatenate(([True], hashes[1:] != hashes[:-1])) if len(at) else np.zeros(0, bool)
-    group = np.cumsum(heads) - 1
-    size = np.bincount(group)
-    weight = np.bincount(group, weights=times[owner[at]]).astype(np.int64) if len(at) else np.zeros(0, np.int64)
-    hit = (weight > 1)[group]
+    first = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1])))
+    size = np.diff(np.append(first, len(at)))
+    hit = np.repeat(np.add.reduceat(times[owner[at]], first) > 1, size)
     # equal hashes: compare neighbours in full; unequal ones are counted apart
     text = lambda k: line[starts[k] : ends[k + window - 1]]
-    for g in np.flatnonzero(size > 1):
-        a = int(np.searchsorted(group, g))
-        ks = at[a : a + size[g]].tolist()
-        first = text(ks[0])
-        if any(text(k) != first for k in ks[1:]):
+    for g in np.flatnonzero(size > 1).tolist():
+        a, b = int(first[g]), int(first[g] + size[g])
+        windows = [text(k) for k in at[a:b].tolist()]
+        if windows.count(windows[0]) < len(windows):
             count: dict[bytes, int] = {}
-            for k in ks:
-                count[text(k)] = count.get(text(k), 0) + int(times[owner[k]])
-            hit[a : a + size[g]] = [count[text(k)] > 1 for k in ks]
-    flags = np.zeros(len(owner), bool)
+            for w, k in zip(windows, at[a:b].tolist()):
+                count[w] = count.get(w, 0) + int(times[owner[k]])
+            hit[a:b] = [count[w] > 1 for w in windows]
     flags[at[hit]] = True
-    return np.split(flags, np.cumsum(lengths)[:-1]) if len(words) else []
+    return flags, lengths
 
 
 def covered_ranges(docs: DataFrame, window: int = WINDOW, m: int = MINIMISER, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
@@ -198,41 +199,54 @@ def covered_ranges(docs: DataFrame, window: int = WINDOW, m: int = MINIMISER, bu
     shared = docs.sparkSession.sparkContext.broadcast(hot)
 
     def scatter(batches):
+        held: dict[int, dict[bytes, list]] = {}
+        size = 0
+
+        def packed():
+            blobs = [_pack(list(x), list(x.values())) for x in held.values()]
+            out = pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
+            held.clear()
+            return out
+
         for (ids, ths), texts in _chunks(batches, 2):
-            line, starts, ends, first, last, doc, least, lengths = _super_kmers(_words(texts), window, m, shared.value)
+            line, starts, ends, first, last, doc, least, lengths = _super_kmers(texts, window, m, shared.value)
+            if not len(first):
+                continue
             base = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-            held: dict[int, dict[bytes, list]] = {}
-            where = zip(
-                starts[first].tolist(), ends[last + window - 2].tolist(), doc.tolist(), (first - base[doc]).tolist(), (_mix(least) % np.uint64(n_buckets)).tolist()
-            ) if len(first) else ()
-            for a, b, d, at, bucket in where:
+            where = (starts[first], ends[last + window - 2], doc, first - base[doc], _mix(least) % np.uint64(n_buckets))
+            for a, b, d, at, bucket in zip(*(w.tolist() for w in where)):
                 held.setdefault(bucket, {}).setdefault(line[a:b], []).append((ids[d], ths[d], at))
-            blobs = [_pack(list(x), list(x.values())) for x in held.values()]
-            if blobs:
-                yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
+                size += b - a
+            if size >= HELD_BYTES:
+                yield packed()
+                size = 0
+        if held:
+            yield packed()
 
     def gather(table: pa.Table) -> pa.Table:
         parts = [_unpack(b) for b in table.column("blob").to_pylist()]
-        places: dict[bytes, list[tuple[int, int]]] = {}
+        places: dict[bytes, list[tuple[int, int, int]]] = {}
         for p, (strings, counts, _) in enumerate(parts):
             k = 0
             for s, c in zip(strings, counts.tolist()):
                 places.setdefault(s, []).append((p, k, c))
                 k += c
         strings = list(places)
-        times = np.array([sum(c for _, _, c in places[s]) for s in strings], np.int64)
+        times = np.fromiter((sum(c for _, _, c in x) for x in places.values()), np.int64, len(strings))
+        flags, lengths = repeated_windows(strings, times, window)
+        begin = np.cumsum(lengths) - lengths
         out: tuple[list, ...] = ([], [], [], [])
-        for s, flags in zip(strings, repeated_windows(strings, times, window)):
-            edge = np.diff(np.concatenate(([0], flags.astype(np.int8), [0])))
+        for i in np.unique(np.searchsorted(begin, np.flatnonzero(flags), side="right") - 1).tolist():
+            own = flags[begin[i] : begin[i] + lengths[i]]
+            edge = np.diff(np.concatenate(([0], own.astype(np.int8), [0])))
             runs = list(zip(np.flatnonzero(edge == 1).tolist(), (np.flatnonzero(edge == -1) + window - 1).tolist()))
-            if runs:
-                for p, k, c in places[s]:
-                    null, ids, ths, ats = parts[p][2]
-                    for q in range(k, k + c):
-                        at = int(ats[q])
-                        for a, b in runs:
-                            for column, v in zip(out, (None if null[q] else int(ids[q]), int(ths[q]), at + a, at + b)):
-                                column.append(v)
+            for p, k, c in places[strings[i]]:
+                null, ids, ths, ats = parts[p][2]
+                for q in range(k, k + c):
+                    at = int(ats[q])
+                    for a, b in runs:
+                        for column, v in zip(out, (None if null[q] else int(ids[q]), int(ths[q]), at + a, at + b)):
+                            column.append(v)
         return pa.table([pa.array(c, pa.int64()) for c in out], names=["id", "th", "a", "b"])
 
     packed = docs.select("id", "th", "text").mapInArrow(scatter, "bucket long, blob binary")
@@ -245,7 +259,7 @@ def _survey(docs: DataFrame, window: int, m: int) -> tuple[np.ndarray, int]:
 
     def count(batches):
         for _, texts in _chunks(batches, 0):
-            _, starts, ends, first, last, _, least, _ = _super_kmers(_words(texts), window, m, np.zeros(0, np.uint64))
+            _, starts, ends, first, last, _, least, _ = _super_kmers(texts, window, m, np.zeros(0, np.uint64))
             size = int((ends[last + window - 2] - starts[first]).sum()) if len(first) else 0
             keys, n = np.unique(least, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(n, pa.int64()), pa.array([size] + [0] * (len(keys) - 1) if len(keys) else [], pa.int64())], names=["k", "n", "bytes"])
@@ -273,15 +287,20 @@ def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col:
         for texts, batch in batches:
             cut = batch.column(batch.schema.get_field_index("__ranges")).to_pylist()
             n_words, n_removed, kept = [], [], []
-            for words, spans in zip(_words(texts), cut):
-                gone = np.zeros(len(words) + 1, np.int64)
-                for s in spans or ():
-                    gone[s["a"]] += 1
-                    gone[s["b"]] -= 1
-                stay = np.cumsum(gone)[:-1] == 0
-                n_words.append(len(words))
-                n_removed.append(int(len(words) - stay.sum()))
-                kept.append(b" ".join([w for w, s in zip(words, stay.tolist()) if s] if spans else words))
+            for text, spans in zip(texts, cut):
+                line = _plain(text)
+                n = line.count(b" ") + 1 if line else 0
+                n_words.append(n)
+                if spans:
+                    gone = np.zeros(n + 1, np.int64)
+                    np.add.at(gone, [s["a"] for s in spans], 1)
+                    np.add.at(gone, [s["b"] for s in spans], -1)
+                    stay = np.cumsum(gone)[:-1] == 0
+                    line = b" ".join([w for w, s in zip(line.split(b" "), stay.tolist()) if s])
+                    n_removed.append(int(n - stay.sum()))
+                else:
+                    n_removed.append(0)
+                kept.append(line)
             yield [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array([k.decode("utf-8", "surrogatepass") for k in kept], pa.string())]
 
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in names]

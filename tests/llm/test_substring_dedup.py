@@ -56,6 +56,6 @@ def test_edges_and_hot_minimisers(spark, monkeypatch):
 
 def test_equal_hashes_are_compared_in_full(monkeypatch):
     monkeypatch.setattr(sd, "word_hashes", lambda line, starts, ends: np.zeros(len(starts), np.uint64))
-    flags = repeated_windows([b"a b c d", b"b c x", b"q r s"], np.array([1, 1, 1]), 2)
-    assert [f.tolist() for f in flags] == [[False, True, False, False], [True, False, False], [False] * 3]
+    flags, lengths = repeated_windows([b"a b c d", b"b c x", b"q r s"], np.array([1, 1, 1]), 2)
+    assert flags.tolist() == [False, True, False, False, True, False, False, False, False, False] and lengths.tolist() == [4, 3, 3]
     assert repeated_windows([b"q r s"], np.array([2]), 2)[0].tolist() == [True, True, False]
