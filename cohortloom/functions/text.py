@@ -16,6 +16,11 @@ def found(c: Column, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_extract(c, pattern, group), F.lit(""))
 
 
+def bind(value: Column, f) -> Column:
+    """f(value) with the value worked out once, however often f names it."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
 def any_of(c: Column, patterns: Sequence[str]) -> Column:
     return c.rlike("|".join(f"(?:{p})" for p in patterns))
 
@@ -154,13 +159,16 @@ def ordinal_score(c: Column) -> Column:
     """H7: struct<score, description> by the first form that occurs; the description ends with its first key word."""
     end = rf"(?is)^(.*?\b(?:{'|'.join(END_WORDS)}))(?:\W.*|\z)"
     out = F.struct(F.lit(None).cast("string").alias("score"), F.lit(None).cast("string").alias("description"))
+    # a word that every text of the form holds is looked for before the form is
+    word = lambda p: F.upper(c).contains("CATEGORY" if p.startswith(r"\bCategory") else "ACR" if p.startswith("ACR") else "ASSESSMENT" if p.startswith("Final") else "RADS")
     for p in reversed(PLAIN_SCORES):
-        out = F.when(c.rlike(f"(?i){p}"), F.struct(F.upper(F.regexp_extract(c, f"(?i){p}", 1)).alias("score"), F.lit(None).cast("string").alias("description"))).otherwise(out)
+        out = F.when(word(p) & c.rlike(f"(?i){p}"), F.struct(F.upper(F.regexp_extract(c, f"(?i){p}", 1)).alias("score"), F.lit(None).cast("string").alias("description"))).otherwise(out)
     for p, score, text in reversed(SCORED):
+        gate = word(p)
         p = f"(?i){p}"
         description = strip(F.regexp_extract(c, p, text))
         short = F.when(description.rlike(end), F.regexp_extract(description, end, 1)).otherwise(F.nullif(description, F.lit("")))
-        out = F.when(c.rlike(p), F.struct(F.upper(F.regexp_extract(c, p, score)).alias("score"), short.alias("description"))).otherwise(out)
+        out = F.when(gate & c.rlike(p), F.struct(F.upper(F.regexp_extract(c, p, score)).alias("score"), short.alias("description"))).otherwise(out)
     return out
 
 
@@ -276,10 +284,13 @@ BENIGN = (
 def path_category(c: Column) -> Column:
     """MALIGNANT if a malignant term stands without a negation in the 50 characters before it (lobular carcinoma in
     situ is none), else BENIGN by a negation or a benign term, else UNKNOWN."""
-    text = F.upper(F.coalesce(c, F.lit("")))
     situ = r"(?![\s,\-]*IN[\s\-]+SITU)"
     hits = [unnegated(rf"(?:(?<!\bLOBULAR\s{{0,5}})(?:{m})|(?:{m}){situ})", CATEGORY_NEGATIONS, 50) for m in MALIGNANT]
-    return F.when(any_of(text, hits), "MALIGNANT").when(any_of(text, NEGATED + BENIGN), "BENIGN").otherwise("UNKNOWN")
+    # most texts end with the plain search of what no negation covers; only the others need to look behind each term
+    covered = "|".join(rf"{n}[\s\S]{{0,{50 - size}}}" for n, size in CATEGORY_NEGATIONS)
+    free = lambda t: any_of(F.regexp_replace(t, covered, " "), MALIGNANT)
+    judge = lambda t: F.when(any_of(t, MALIGNANT) & free(t) & any_of(t, hits), "MALIGNANT").when(any_of(t, NEGATED + BENIGN), "BENIGN").otherwise("UNKNOWN")
+    return bind(F.upper(F.coalesce(c, F.lit(""))), judge)
 
 
 TYPE_NEGATIONS = (*CATEGORY_NEGATIONS[:4], (r"\bNO\s", 3), ("WITHOUT", 7), (r"RULED\s{1,5}OUT", 9), ("EXCLUDE", 7))
@@ -359,23 +370,45 @@ TERMINATOR = r"\.|\bbut\b|\bhowever\b|\balthough\b|\bshowing\b|\bdemonstrat(?:es
 def lexicon_features(c: Column, lexicon=LEXICON, reach: int = 150) -> Column:
     """Struct of each feature's values (sorted, joined) that stand without negation: none in the ``reach`` characters
     before, since the last terminator, and none in as many after; margins and echo patterns are consolidated."""
-    text = F.lower(c)
+    decided = bind(F.lower(c), lambda text: _decide(text, lexicon, reach))
+
+    def values(x: Column, f: str) -> Column:
+        own = F.array_sort(F.array_distinct(F.transform(F.filter(x, lambda d: (d["feature"] == f) & ~d["negated"]), lambda d: d["value"])))
+        return bind(F.array_join(bind(own, lambda v: consolidate(f, v)), ", "), lambda t: F.when(t != "", t))
+
+    return bind(decided, lambda x: F.struct(*[values(x, f).alias(f) for f in lexicon]))
+
+
+def _decide(text: Column, lexicon, reach: int) -> Column:
+    """array<struct<feature, value, negated>> of the terms that occur in a lower-case text.
+
+    What negations cover is blanked once for all terms: from a negation to the end of its scope, and the stretch before a
+    negation that follows. Only a term that occurs several times, or a scope that reaches its limit, is looked at place by
+    place.
+    """
     scope = rf"(?:(?!{TERMINATOR})[\s\S])"
+    negation = "|".join(n for n, _ in PRE_NEGATIONS)
+    after = rf"(?![\s\S]{{0,{reach}}}?(?:{POST_NEGATION}))"
+    views = F.struct(
+        text.alias("t"),
+        F.regexp_replace(text, rf"(?:{negation}){scope}{{0,{reach}}}", " ").alias("pre"),
+        F.when(text.rlike(POST_NEGATION), F.regexp_replace(text, rf"[\s\S]{{0,{reach}}}(?:{POST_NEGATION})", " ")).otherwise(text).alias("post"),
+        text.rlike(rf"(?:{negation}){scope}{{{reach - 12}}}").alias("far"),
+    )
 
-    def values(feature: str) -> Column:
-        hits = [F.when(text.rlike(unnegated(p, PRE_NEGATIONS, reach, scope) + rf"(?![\s\S]{{0,{reach}}}?(?:{POST_NEGATION}))"), F.lit(v)) for p, v in lexicon[feature]]
-        return consolidate(feature, F.array_sort(F.array_distinct(F.array_compact(F.array(*hits)))))
+    def one(x: Column, feature: str, pattern: str, value: str) -> Column:
+        exact = x["t"].rlike(unnegated(pattern, PRE_NEGATIONS, reach, scope) + after)
+        several = F.size(F.regexp_extract_all(x["t"], F.lit(pattern), F.lit(0))) > 1
+        begins_negated = pattern.startswith(r"\bno\s")
+        plain = F.lit(None).cast("boolean") if begins_negated else F.when(~(x["far"] | several), x["pre"].rlike(pattern) & x["post"].rlike(pattern))
+        return F.when(x["t"].rlike(pattern), F.struct(F.lit(feature).alias("feature"), F.lit(value).alias("value"), (~F.coalesce(plain, exact)).alias("negated")))
 
-    return F.struct(*[F.when(c.isNotNull(), F.nullif(F.array_join(values(f), ", "), F.lit(""))).alias(f) for f in lexicon])
+    return bind(views, lambda x: F.array_compact(F.array(*[one(x, f, p, v) for f, terms in lexicon.items() for p, v in terms])))
 
 
 def lexicon_decisions(c: Column, lexicon=LEXICON, reach: int = 150) -> Column:
     """The audit of the decisions: array<struct<feature, value, negated>> of all terms that occur."""
-    text = F.lower(c)
-    scope = rf"(?:(?!{TERMINATOR})[\s\S])"
-    after = rf"(?![\s\S]{{0,{reach}}}?(?:{POST_NEGATION}))"
-    one = lambda f, p, v: F.when(text.rlike(p), F.struct(F.lit(f).alias("feature"), F.lit(v).alias("value"), (~text.rlike(unnegated(p, PRE_NEGATIONS, reach, scope) + after)).alias("negated")))
-    return F.array_compact(F.array(*[one(f, p, v) for f, terms in lexicon.items() for p, v in terms]))
+    return bind(F.lower(c), lambda text: _decide(text, lexicon, reach))
 
 
 def consolidate(feature: str, values: Column) -> Column:

@@ -8,11 +8,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from .fixtures import view, with_views
+from .operators.lineage import spread
 
 QUERIES: dict[str, Callable] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
+#: Views whose queries search texts: many expressions by row.
+TEXTS = ("reports", "notes")
+
+
 class Tables:
     """The tables and adapter views of one folder, as attributes."""
 
@@ -20,7 +25,8 @@ class Tables:
         self.spark, self.sf_dir = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        return view(self.spark, self.sf_dir, name)
+        rows = view(self.spark, self.sf_dir, name)
+        return spread(rows) if name in TEXTS else rows
 
 
 def query(name: str, sql: str | None = None):
