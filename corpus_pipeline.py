@@ -1,7 +1,7 @@
 """A corpus pipeline over ``documents``: language ID, line dedup, SimHash near-dedup, decontamination, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; all but the last return the columns
-of ``documents``. Near duplicates have fingerprints of five-word shingles that differ in at most three bits.
+of ``documents``. Near duplicates have sets of five-word shingles with a Jaccard similarity of at least 0.8.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import decontaminate, language_id, line_dedup, packing, simhash
+from cohortloom.llm import decontaminate, language_id, line_dedup, packing, shingle_join
 from cohortloom.llm.common import documents, shared_path
 
 
@@ -26,7 +26,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
-    return simhash.drop_near_duplicates(docs, words=5, max_bits=3)
+    return shingle_join.drop_similar(docs, words=5, max_bits=3)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
