@@ -1,9 +1,9 @@
 """Token ids of whole texts by a public tokenizer, with the ids of words that recur kept in the worker.
 
 A tokenizer that throws white space away and closes every word with a suffix gives each word the same ids wherever it
-stands. For such a one, a text of plain letters, digits and signs is cut into the tokenizer's words, words seen before
-are looked up, and only new ones go to the tokenizers library (many at a time). Words with any other character go to the
-library as they are, and any other tokenizer gets the whole text.
+stands. For such a one, a text of plain letters, digits and signs is cut at white space and chunks seen before are looked
+up; new ones are cut into the tokenizer's words, of which only new ones go to the tokenizers library (many at a time).
+Words with any other character go to the library as they are, and any other tokenizer gets the whole text.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Bounds of a worker's memory: a full dictionary is emptied and filled anew.
+#: Bounds of a worker's memory: a full dictionary is emptied and filled anew. Chunks of several words take half of it.
 MAX_PIECES = 1_000_000
 MAX_WORDS = 100_000
 
@@ -30,6 +30,12 @@ def load_spec(path: str) -> str:
         return f.read()
 
 
+def pieces_of(chunk: str) -> list[str]:
+    """The tokenizer's words of a chunk without white space."""
+    chunk = _SIGNS.sub(r" \g<0> ", chunk)
+    return (_DIGIT.sub(r" \g<0> ", chunk) if _DIGIT.search(chunk) else chunk).split()
+
+
 class Encoder:
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
@@ -54,11 +60,9 @@ class Encoder:
 
     def _learn(self, new: list[str]) -> None:
         """Encode new pieces together: each ends with its only token that has the suffix."""
-        if len(self.pieces) + len(new) > MAX_PIECES:
-            self.pieces.clear()
         for a in range(0, len(new), 4000):
             part = new[a : a + 4000]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
             at = np.flatnonzero(self.ends[ids]) + 1
             if len(at) != len(part):
                 self.pieces.update(zip(part, self._direct(part)))
@@ -69,28 +73,31 @@ class Encoder:
                 start = end
 
     def _lookup(self, cut: list[list[str]]) -> list[bytes]:
-        """Ids of texts that are cut into pieces; the new pieces of all of them are learnt first."""
-        got = [list(map(self.pieces.get, c)) for c in cut]
+        """Ids of texts that are cut at white space; what is new in all of them is learnt first."""
+        if len(self.pieces) > MAX_PIECES:
+            self.pieces.clear()
+        known = self.pieces
+        got = [list(map(known.get, c)) for c in cut]
         gaps = [[k for k, ids in enumerate(row) if ids is None] if None in row else [] for row in got]
         if new := {c[k] for c, at in zip(cut, gaps) for k in at}:
-            self._learn(list(new))
+            parts = {c: pieces_of(c) for c in new}
+            self._learn(list({p for ps in parts.values() for p in ps if p not in known}))
+            whole = {c: b"".join([known[p] for p in ps]) for c, ps in parts.items()}
+            if len(known) < MAX_PIECES // 2:
+                known.update(whole)
             for c, row, at in zip(cut, got, gaps):
                 for k in at:
-                    row[k] = self.pieces[c[k]]
+                    row[k] = whole[c[k]]
         return list(map(b"".join, got))
 
     def _is_plain(self, text: str) -> bool:
         return _PLAIN.fullmatch(text) is not None and not any(s in text for s in self.special)
 
-    def _pieces_of(self, text: str) -> list[str]:
-        text = _SIGNS.sub(r" \g<0> ", text.lower())
-        return (_DIGIT.sub(r" \g<0> ", text) if _DIGIT.search(text) else text).split()
-
     def _odd(self, text: str) -> bytes:
         """A text with other characters: its plain words as ever, the others as they are."""
         words = text.replace("\n", " ").split(" ")
         plain = [self._is_plain(w) for w in words]
-        ids = iter(self._lookup([self._pieces_of(w) for w, p in zip(words, plain) if p]))
+        ids = iter(self._lookup([w.lower().split() for w, p in zip(words, plain) if p]))
         out = []
         for word, p in zip(words, plain):
             if not p and word not in self.words:
@@ -108,7 +115,7 @@ class Encoder:
         for a in range(0, len(texts), 64):
             part = [t or "" for t in texts[a : a + 64]]
             plain = [self._is_plain(t) for t in part]
-            ids = iter(self._lookup([self._pieces_of(t) for t, p in zip(part, plain) if p]))
+            ids = iter(self._lookup([t.lower().split() for t, p in zip(part, plain) if p]))
             out += [next(ids) if p else self._odd(t) for t, p in zip(part, plain)]
         return out
 

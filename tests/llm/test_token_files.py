@@ -21,11 +21,12 @@ def test_block_round_trip(values, lanes, every):
     old = tf.LANES, tf.CHECKPOINT
     tf.LANES, tf.CHECKPOINT = lanes, every
     try:
+        lanes, parts = tf.encode_block(ids, freq, np.cumsum(freq) - freq)
         t = tf.tables(freq)
-        payload = tf.encode_block(ids, t[0], t[1])
-        assert (tf.decode_block(payload, *t) == ids).all()
-        parts = [tf.decode_block(payload, *t, first=k, last=k + 1) for k in range(3001)][: -(-len(ids) // (every * max(1, min(lanes, len(ids))))) or 1]
-        assert (np.concatenate(parts) == ids).all()
+        # every part stands alone
+        back = [tf.decode_part(p, lanes, *t) for p in reversed(parts)][::-1]
+        assert [len(x) for x in back] == [p["n_tokens"] for p in parts]
+        assert (np.concatenate([*back, ids[:0]]) == ids).all()
     finally:
         tf.LANES, tf.CHECKPOINT = old
 
@@ -53,6 +54,10 @@ def test_edges_and_damage(spark, monkeypatch):
     for r in found:
         assert r.start == at
         at += len(r.ids) // 4
+    again = tf.read_token_files(spark, path, spread=3)
+    assert sorted((r.start, bytes(r.ids)) for r in again.collect()) == sorted((r.start, bytes(r.ids)) for r in found)
+    with pytest.raises(TypeError, match="integer"):
+        tf.write_token_files(docs.selectExpr("string(doc_id) AS doc_id", "text"), path, PATH, end_id=1)
     none = shared_path(spark, "tokens")
     tf.write_token_files(docs.limit(0), none, PATH, end_id=1)
     assert tf.read_token_files(spark, none).count() == 0
@@ -61,3 +66,29 @@ def test_edges_and_damage(spark, monkeypatch):
     with pytest.raises(Exception, match="damaged"):
         tf.read_token_files(spark, bad).collect()
     assert public_tokenizers.path("word_bpe_49k.json") == PATH
+
+
+def test_long_blocks_and_ranges(spark, monkeypatch):
+    """Documents over many parts and blocks; a range of the corpus from the parts that it meets."""
+    rows = [(i, " ".join(f"word{(i * j) % 97} and" for j in range(3000 if i % 7 == 0 else 20))) for i in range(60)]
+    path = shared_path(spark, "tokens")
+    monkeypatch.setattr(tf, "SEGMENT", 40_000)
+    monkeypatch.setattr(tf, "BLOCK", 10_000)
+    monkeypatch.setattr(tf, "LANES", 64)
+    monkeypatch.setattr(tf, "CHECKPOINT", 16)
+    # one shard written in this process, as a task writes it
+    shard, out = tf._Shard(0), []
+    corpus = [ids + np.array([1], np.uint32).tobytes() for ids in direct([r[1] for r in rows])]
+    for (i, _), ids in zip(rows, corpus):
+        out += list(shard.add(i, ids))
+    out += [shard.flush()]
+    assert len(out) > 2 and any(len(r["blocks"]) > 1 for r in out) and any(len(b["parts"]) > 3 for r in out for b in r["blocks"])
+    spark.createDataFrame(out, tf.SEGMENT_SCHEMA).write.parquet(path)
+    whole = b"".join(corpus)
+    for spread in (None, 5):
+        found = sorted(tf.read_token_files(spark, path, spread=spread).collect(), key=lambda r: r.start)
+        assert [(r.doc_id, bytes(r.ids)) for r in found] == [(i, x) for (i, _), x in zip(rows, corpus)]
+        for first, last in ((0, None), (1, 2), (5_000, 45_017), (len(whole) // 4 - 3, None), (7, 7)):
+            got = sorted(tf.read_token_range(spark, path, first, last, spread).collect(), key=lambda r: r.start)
+            assert b"".join(bytes(r.ids) for r in got) == whole[4 * first : None if last is None else 4 * last]
+            assert [r.start for r in got] == [first + sum(len(x.ids) // 4 for x in got[:k]) for k in range(len(got))]
