@@ -50,11 +50,11 @@ SELECT CAST(l_orderkey AS STRING) || '_' || CAST(l_linenumber AS STRING) || '_'
   CASE l_linestatus WHEN 'O' THEN 'LEFT' ELSE 'RIGHT' END AS laterality, l_returnflag AS kind, l_linenumber AS ord
 FROM lineitem""",
     "boxes": """
-SELECT l_orderkey % 500 AS image_id, l_orderkey * 10 + l_linenumber AS box_id, l_partkey AS part, l_suppkey AS supp,
+SELECT l_orderkey AS image_id, l_orderkey * 10 + l_linenumber AS box_id, l_partkey AS part, l_suppkey AS supp,
   CAST(l_partkey % 50 AS DOUBLE) AS x1, CAST(l_suppkey % 40 AS DOUBLE) AS y1,
   CAST(l_partkey % 50 + 5 + l_quantity AS DOUBLE) AS x2, CAST(l_suppkey % 40 + 5 + l_linenumber * 7 AS DOUBLE) AS y2,
   l_discount AS score, l_tax AS shift, CASE WHEN l_linenumber % 2 = 1 THEN 'gt' ELSE 'pred' END AS role
-FROM lineitem WHERE l_linenumber <= 2""",
+FROM lineitem""",
     "reports": """
 SELECT o_orderkey AS report_id, o_custkey AS patient_id, o_orderdate AS exam_ts, o_orderkey % 6 AS f, o_orderkey % 4 AS d, o_orderkey % 5 AS s,
   CASE o_orderkey % 4 WHEN 0 THEN 'US BREAST LEFT LIMITED' WHEN 1 THEN 'MAMMO SCREENING BILATERAL' WHEN 2 THEN 'US GUIDED BX R BI' ELSE 'MR BREAST RT W CONTRAST' END AS description,

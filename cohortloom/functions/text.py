@@ -227,6 +227,7 @@ def yes_no_after(c: Column, label: str) -> Column:
     return F.when(answer == "YES", "T").when(answer == "NO", "F")
 
 
+# What ends a lettered part.
 BOILERPLATE = ("COMMENT", "REPORT", "CLINICAL HISTORY", "CASE NUMBER")
 
 
@@ -239,19 +240,28 @@ def split_lettered_parts(df: DataFrame, column: str, part: str = "part") -> Data
     return df.withColumn(part, F.explode_outer(F.transform(parts, lambda p: F.concat(p["letter"], F.lit(". "), p["body"]))))
 
 
-def unnegated(term: str, negations: Sequence[tuple[str, int]], reach: int, between: str = r"[\s\S]") -> str:
-    """A pattern for a term without a negation (pattern, its least length) in the ``reach`` characters before it."""
+def unnegated(term: str, negations: Sequence[tuple[str, int]], reach: int) -> str:
+    """A pattern for a term without a negation (pattern, its least length) that begins in the ``reach`` characters before it.
+
+    The negation is looked ahead for from each of these places, so its blanks may be as many as they like.
+    """
+    before = "".join(rf"(?<!(?={n})[\s\S]{{{size},{reach}}})" for n, size in negations)
+    return f"(?={term}){before}(?:{term})"
+
+
+def unnegated_in_scope(term: str, negations: Sequence[tuple[str, int]], reach: int, between: str) -> str:
+    """The same, if everything between negation and term must be ``between``; negations have a bounded length here."""
     before = "".join(rf"(?<!{n}{between}{{0,{max(0, reach - size)}}})" for n, size in negations)
     return f"(?={term}){before}(?:{term})"
 
 
 # Pathology wording. Negations come with the least length of their match.
 CATEGORY_NEGATIONS = (
-    (r"NEGATIVE\s{1,5}FOR", 12),
-    (r"NO\s{1,5}EVIDENCE\s{1,5}OF", 14),
-    (r"FREE\s{1,5}OF", 7),
-    (r"ABSENCE\s{1,5}OF", 10),
-    (r"NOT\s{1,5}DIAGNOSTIC", 14),
+    (r"NEGATIVE\s+FOR", 12),
+    (r"NO\s+EVIDENCE\s+OF", 14),
+    (r"FREE\s+OF", 7),
+    (r"ABSENCE\s+OF", 10),
+    (r"NOT\s+DIAGNOSTIC", 14),
     (r"\bNO\s", 3),
 )
 MALIGNANT = (
@@ -285,15 +295,17 @@ def path_category(c: Column) -> Column:
     """MALIGNANT if a malignant term stands without a negation in the 50 characters before it (lobular carcinoma in
     situ is none), else BENIGN by a negation or a benign term, else UNKNOWN."""
     situ = r"(?![\s,\-]*IN[\s\-]+SITU)"
-    hits = [unnegated(rf"(?:(?<!\bLOBULAR\s{{0,5}})(?:{m})|(?:{m}){situ})", CATEGORY_NEGATIONS, 50) for m in MALIGNANT]
+    # the word is looked for in the 50 characters before the term, as the negations are
+    hits = [unnegated(rf"(?:(?<!\bLOBULAR\s{{0,43}})(?:{m})|(?:{m}){situ})", CATEGORY_NEGATIONS, 50) for m in MALIGNANT]
     # most texts end with the plain search of what no negation covers; only the others need to look behind each term
-    covered = "|".join(rf"{n}[\s\S]{{0,{50 - size}}}" for n, size in CATEGORY_NEGATIONS)
+    covered = "|".join(rf"(?={n})[\s\S]{{{size},50}}" for n, size in CATEGORY_NEGATIONS)
     free = lambda t: any_of(F.regexp_replace(t, covered, " "), MALIGNANT)
     judge = lambda t: F.when(any_of(t, MALIGNANT) & free(t) & any_of(t, hits), "MALIGNANT").when(any_of(t, NEGATED + BENIGN), "BENIGN").otherwise("UNKNOWN")
     return bind(F.upper(F.coalesce(c, F.lit(""))), judge)
 
 
-TYPE_NEGATIONS = (*CATEGORY_NEGATIONS[:4], (r"\bNO\s", 3), ("WITHOUT", 7), (r"RULED\s{1,5}OUT", 9), ("EXCLUDE", 7))
+# Negations, cancer types in order of precedence, and benign wording.
+TYPE_NEGATIONS = (*CATEGORY_NEGATIONS[:4], (r"\bNO\s", 3), ("WITHOUT", 7), (r"RULED\s+OUT", 9), ("EXCLUDE", 7))
 CANCER_TYPES = (
     (r"INVASIVE\s+(?:GRADE\s+\d+.*?)?DUCTAL\s+CARCINOMA", "INVASIVE DUCTAL CARCINOMA"),
     (r"DUCTAL\s+CARCINOMA\s+IN\s+SITU", "DUCTAL CARCINOMA IN SITU"),
@@ -309,6 +321,7 @@ CANCER_TYPES = (
     (r"MEDULLARY\s+CARCINOMA", "MEDULLARY CARCINOMA"),
     (r"PAPILLARY\s+CARCINOMA", "PAPILLARY CARCINOMA"),
     (r"METASTATIC\s+CARCINOMA", "METASTATIC CARCINOMA"),
+    (r"METASTATIC\s+ADENOCARCINOMA", "METASTATIC ADENOCARCINOMA"),
     ("MICROMETASTASIS", "MICROMETASTASIS"),
     (r"ISOLATED\s+TUMOR\s+CELLS?", "ISOLATED TUMOR CELLS"),
     (r"MULTIFOCAL\s+ATYPICAL\s+DUCTAL\s+HYPERPLASIA", "MULTIFOCAL ATYPICAL DUCTAL HYPERPLASIA"),
@@ -321,7 +334,9 @@ CANCER_TYPES = (
     (r"\bCARCINOMA\b", "CARCINOMA"),
     ("SARCOMA", "OTHER"),
     ("LYMPHOMA", "OTHER"),
+    ("CARCINOSARCOMA", "OTHER"),
     ("MELANOMA", "OTHER"),
+    (r"SQUAMOUS\s+CELL\s+CARCINOMA", "OTHER"),
 )
 TYPE_BENIGN = (
     r"NEGATIVE\s+FOR\s+(?:MALIGNAN[CT]|CARCINOMA|INVASIVE|DCIS|TUMOR|METASTATIC|METASTASIS)",
@@ -357,8 +372,8 @@ LEXICON = {
     "boundary": ((r"\babrupt\s+interface\b", "abrupt interface"), (r"\bechogenic\s+halo\b", "echogenic halo"), (r"\barchitectural\s+distortion\b", "architectural distortion")),
 }
 PRE_NEGATIONS = (
-    (r"\bno\b", 2), (r"\bwithout\b", 7), (r"\babsent\b", 6), (r"\bdenies\b", 6), (r"\bnot\s{1,3}(?:seen|present|identified|appreciated|visible)\b", 8), (r"\bfree\s{1,3}of\b", 7),
-    (r"\backs?\b", 3), (r"\bnegative\s{1,3}for\b", 12),
+    (r"\bno\b", 2), (r"\bwithout\b", 7), (r"\babsent\b", 6), (r"\bdenies\b", 6), (r"\bnot\s(?:seen|present|identified|appreciated|visible)\b", 8), (r"\bfree\sof\b", 7),
+    (r"\backs?\b", 3), (r"\bnegative\sfor\b", 12),
 )
 POST_NEGATION = (
     r"\b(?:is|are|was|were)\s+(?:no\s+longer|not)\s+(?:seen|visible|present|identified|appreciated)\b|\b(?:has|have)\s+resolved\b|\b(?:is|are)\s+absent\b"
@@ -367,10 +382,16 @@ POST_NEGATION = (
 TERMINATOR = r"\.|\bbut\b|\bhowever\b|\balthough\b|\bshowing\b|\bdemonstrat(?:es|ing)\b|\bpresent\b"
 
 
+def _one_blank(c: Column) -> Column:
+    """Lower case, runs of blanks as one: negations may be parted by any number of them."""
+    return F.regexp_replace(F.lower(c), r"\s+", " ")
+
+
 def lexicon_features(c: Column, lexicon=LEXICON, reach: int = 150) -> Column:
     """Struct of each feature's values (sorted, joined) that stand without negation: none in the ``reach`` characters
-    before, since the last terminator, and none in as many after; margins and echo patterns are consolidated."""
-    decided = bind(F.lower(c), lambda text: _decide(text, lexicon, reach))
+    before, since the last terminator, and none in as many after; margins and echo patterns are consolidated. Runs of
+    blanks count as one character."""
+    decided = bind(_one_blank(c), lambda text: _decide(text, lexicon, reach))
 
     def values(x: Column, f: str) -> Column:
         own = F.array_sort(F.array_distinct(F.transform(F.filter(x, lambda d: (d["feature"] == f) & ~d["negated"]), lambda d: d["value"])))
@@ -397,7 +418,7 @@ def _decide(text: Column, lexicon, reach: int) -> Column:
     )
 
     def one(x: Column, feature: str, pattern: str, value: str) -> Column:
-        exact = x["t"].rlike(unnegated(pattern, PRE_NEGATIONS, reach, scope) + after)
+        exact = x["t"].rlike(unnegated_in_scope(pattern, PRE_NEGATIONS, reach, scope) + after)
         several = F.size(F.regexp_extract_all(x["t"], F.lit(pattern), F.lit(0))) > 1
         begins_negated = pattern.startswith(r"\bno\s")
         plain = F.lit(None).cast("boolean") if begins_negated else F.when(~(x["far"] | several), x["pre"].rlike(pattern) & x["post"].rlike(pattern))
@@ -408,7 +429,7 @@ def _decide(text: Column, lexicon, reach: int) -> Column:
 
 def lexicon_decisions(c: Column, lexicon=LEXICON, reach: int = 150) -> Column:
     """The audit of the decisions: array<struct<feature, value, negated>> of all terms that occur."""
-    return bind(F.lower(c), lambda text: _decide(text, lexicon, reach))
+    return bind(_one_blank(c), lambda text: _decide(text, lexicon, reach))
 
 
 def consolidate(feature: str, values: Column) -> Column:
@@ -431,26 +452,27 @@ def isolate_section(c: Column, keep: str = "ULTRASOUND|SONO", other: str = "MAMM
     return F.when(~up.rlike(rf"\b{other}"), c).when(has_keep, part).when(~up.rlike(real), c)
 
 
-# What is taken out of a report, in order.
-_CRED = r"(?:M\.D\.|MD|M\. D\.|D\.O\.|DO|Ph\.D\.|PhD)\b"
-_MORE = r"(?:MD|DO|PA|NP|RN|DDS|DMD|PhD|MBBS|M\.D\.|D\.O\.)\b"
-_MONTHS = "January|February|March|April|May|June|July|August|September|October|November|December|Jan|Feb|Mar|Apr|Jun|Jul|Aug|Sep|Oct|Nov|Dec"
+# What is taken out of a report, step by step in order.
+_MONTHS = "Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec|January|February|March|April|May|June|July|August|September|October|November|December"
 SCRUB = (
     (r"(?s)\b[A-Z][a-z]+\s+[A-Z]\..*", "[NAME AND SUBSEQUENT TEXT REMOVED]"),
     (r"(?is)Dictated (?:on|by).*", "[DICTATION SECTION REMOVED]"),
     (r"(?is)Interpreted by.*", "[INTERPRETATION SECTION REMOVED]"),
     (r"(?is)Transcribed by.*", "[TRANSCRIPTION SECTION REMOVED]"),
-    (r"(?is)(?:Electronically )?Signed by.*", "[SIGNATURE SECTION REMOVED]"),
+    (r"(?is)Signed by.*", "[SIGNATURE SECTION REMOVED]"),
     (r"(?is)Assisted by.*", "[ASSISTANT INFO REMOVED]"),
+    (r"(?is)Electronically signed by.*", "[SIGNATURE SECTION REMOVED]"),
     (r"(?is)electronically signed.*", "[SIGNATURE SECTION REMOVED]"),
     (r"(?is)Imaging Technologist:.*", "[TECHNOLOGIST INFO REMOVED]"),
+    (r".{10}M\.D\.", "[NAME REMOVED]"),
     (r".{10}M\.\s?D\.", "[NAME REMOVED]"),
-    (rf"\b[A-Z][a-z]+\s+(?:[A-Z]\.\s+)?[A-Z][a-z]+\s+{_CRED}", "[NAME REMOVED]"),
-    (rf"\b[A-Z][a-z]+,\s+[A-Z][a-z]+\s+{_CRED}", "[NAME REMOVED]"),
-    (rf"\b[A-Z]\.\s?[A-Z]\.\s+[A-Z][a-z]+,?\s+{_MORE}", "[NAME REMOVED]"),
-    (rf"\b[A-Z][a-z]+\s+[A-Z][a-z]+,?\s+{_MORE}", "[NAME REMOVED]"),
+    (r"\b[A-Z][a-z]+\s+[A-Z]\.\s+[A-Z][a-z]+\s+(?:M\.D\.|MD|M\. D\.|D\.O\.|DO|Ph\.D\.|PhD)\b", "[NAME REMOVED]"),
+    (r"\b[A-Z][a-z]+\s+[A-Z][a-z]+\s+(?:M\.D\.|MD|M\. D\.|D\.O\.|DO|Ph\.D\.|PhD)\b", "[NAME REMOVED]"),
+    (r"\b[A-Z][a-z]+,\s+[A-Z][a-z]+\s+(?:M\.D\.|MD|M\. D\.|D\.O\.|DO|Ph\.D\.|PhD)\b", "[NAME REMOVED]"),
+    (r"\b[A-Z]\.\s?[A-Z]\.\s+[A-Z][a-z]+,?\s+(?:MD|DO|PA|NP|RN|DDS|DMD|PhD|MBBS|M\.D\.|D\.O\.)\b", "[NAME REMOVED]"),
+    (r"\b[A-Z][a-z]+\s+[A-Z][a-z]+,?\s+(?:MD|DO|PA|NP|RN|DDS|DMD|PhD|MBBS|M\.D\.|D\.O\.)\b", "[NAME REMOVED]"),
     (r"\bDr\.\s+[A-Z][A-Za-z.\s]+\b", "[NAME REMOVED]"),
-    (rf"\b[A-Z]\.\s+[A-Z][a-z]+,?\s+{_MORE}", "[NAME REMOVED]"),
+    (r"\b[A-Z]\.\s+[A-Z][a-z]+,?\s+(?:MD|DO|PA|NP|RN|DDS|DMD|PhD|MBBS|M\.D\.|D\.O\.)\b", "[NAME REMOVED]"),
     (r"\b\d{1,2}:\d{2}:\d{2}\b", "[TIME REMOVED]"),
     (rf"(?i)\b(?:{_MONTHS})\s+\d{{1,2}}\b", "[DATE REMOVED]"),
     (r"\b\d{1,2}/\d{1,2}/\d{2,4}\b", "[DATE REMOVED]"),
@@ -471,6 +493,7 @@ CAPTION_WORDS = {
     "laterality": {"left": ("lt", "left", "eft", "ft"), "right": ("rt", "right", "ight", "ght", "ht")},
     "orientation": {"long": ("long", "lon", "ong"), "trans": ("trans", "tran", "tra", "ans"), "anti-radial": ("anti-rad", "anti-radial"), "radial": ("radial",), "oblique": ("oblique",)},
 }
+# Quadrants of a caption, in order of precedence.
 QUADRANTS = ("uoq", "uiq", "liq", "loq")
 
 

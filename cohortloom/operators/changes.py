@@ -11,7 +11,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import versions as V
 from .timeline import first_by
+from .versions import StaleVersion
 
 
 def union_all_by_name(*frames: DataFrame) -> DataFrame:
@@ -152,40 +154,21 @@ def labels_from_rows(rows: DataFrame, key: str, label: str, order: Sequence[str]
     return first_by(rows.where(F.col(label).isNotNull()), [key], order).select(key, label, F.lit(quality).alias("quality"))
 
 
-class StaleVersion(RuntimeError):
-    pass
-
-
 def current_version(spark: SparkSession, root: str) -> int:
     """The highest version under ``root``, 0 if there is none."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return 0
-    names = [s.getPath().getName() for s in fs.listStatus(path)]
-    return max((int(n[2:]) for n in names if n.startswith("v=")), default=0)
+    return max(V.versions(spark, root), default=0)
 
 
 def publish(df: DataFrame, root: str, expected: int) -> int:
-    """Write the table's next version if ``expected`` is the current one, else fail; readers never see a part.
-
-    The files go to a staging folder; the rename fails if somebody else has published that version meanwhile.
-    """
+    """Write the table's next version if ``expected`` is the current one, else fail; readers never see a part."""
     spark = df.sparkSession
     if current_version(spark, root) != expected:
         raise StaleVersion(f"version {expected} is not the current one")
-    import uuid
-
-    stage = f"{root}/_staging-{uuid.uuid4().hex}"
-    df.write.parquet(stage)
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    target = path(f"{root}/v={expected + 1}")
-    if fs.exists(target) or not fs.rename(path(stage), target):
-        fs.delete(path(stage), True)
-        raise StaleVersion(f"version {expected + 1} is there already")
+    folder = V.new_folder(root, "data")
+    df.write.parquet(folder)
+    V.add_entry(spark, root, expected + 1, {"folder": folder})
     return expected + 1
 
 
 def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    return spark.read.parquet(f"{root}/v={version or current_version(spark, root)}")
+    return spark.read.parquet(V.entry(spark, root, version or current_version(spark, root))["folder"])

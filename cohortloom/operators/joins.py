@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .timeline import DAY, micros
+from .timeline import DAY, first_by, micros
 
 
 def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, str | list[str], str]]) -> DataFrame:
@@ -46,6 +46,18 @@ def side_matches(exam_side: Column, side: Column) -> Column:
     return (exam_side == "BILATERAL") | (exam_side == side)
 
 
+def _in_reach(left: DataFrame, left_ts: str, right: DataFrame, right_ts: str, before_days: int, after_days: int) -> DataFrame:
+    """Rows of the same patient whose times may lie within [-before, after] days: pairs of neighbouring stretches of time.
+
+    A stretch is as long as the reach, so each left row has one and each right row stands in those around its own; the
+    caller tests the exact times. A patient's rows of other years never meet.
+    """
+    reach = (before_days + after_days + 1) * DAY
+    stretch = lambda c: F.floor(micros(F.col(c)) / F.lit(reach)).cast("long")
+    around = F.array(*[stretch(right_ts) + k for k in ((-1, 0, 1) if before_days else (-1, 0))])
+    return left.withColumn("_s", stretch(left_ts)).join(right.withColumn("_s", F.explode(around)), ["patient_id", "_s"]).drop("_s")
+
+
 def link_events_asof(events: DataFrame, path: DataFrame, exams: DataFrame, before_days: int = 1, after_days: int = 180) -> DataFrame:
     """Pathology within [-before, after] days of an event of the same patient and side, each with the latest exam
     strictly before the event.
@@ -54,7 +66,7 @@ def link_events_asof(events: DataFrame, path: DataFrame, exams: DataFrame, befor
     exam_id, exam_ts. One row for each (event, path).
     """
     gap = micros(F.col("path_ts")) - micros(F.col("event_ts"))
-    linked = events.join(path, "patient_id").where(gap.between(-before_days * DAY, after_days * DAY) & side_matches(F.col("event_side"), F.col("path_side")))
+    linked = _in_reach(events, "event_ts", path, "path_ts", before_days, after_days).where(gap.between(-before_days * DAY, after_days * DAY) & side_matches(F.col("event_side"), F.col("path_side")))
     # the latest exam of each event by a window over exams and events together: no pair of them is made
     marks = events.select("patient_id", F.col("event_ts").alias("ts"), F.lit(1).alias("kind"), "event_id", F.lit(None).cast(exams.schema["exam_id"].dataType).alias("exam_id"))
     marks = marks.unionByName(exams.select("patient_id", F.col("exam_ts").alias("ts"), F.lit(0).alias("kind"), F.lit(None).cast(events.schema["event_id"].dataType).alias("event_id"), "exam_id"))
@@ -68,13 +80,13 @@ def link_all_in_window(exams: DataFrame, path: DataFrame, days: int = 240) -> Da
     """All pathology of the same patient in [0, days] days after an exam, with the category of the match.
 
     exams: patient_id, accession_number, exam_ts, study_laterality. path: patient_id, path_accession, path_ts,
-    path_laterality. One row for each (accession_number, path_accession).
+    path_laterality. One row for each (accession_number, path_accession): the nearest in days, then the first category.
     """
     gap = F.floor((micros(F.col("path_ts")) - micros(F.col("exam_ts"))) / DAY)
-    pairs = exams.join(path, "patient_id").withColumn("days", gap).where(F.col("days").between(0, days))
+    pairs = _in_reach(exams, "exam_ts", path, "path_ts", 0, days + 1).withColumn("days", gap).where(F.col("days").between(0, days))
     side = F.col("study_laterality")
     category = F.when(side == F.col("path_laterality"), "same_side").when(side == "BILATERAL", "bilateral_exam").when(side.isNull() | F.col("path_laterality").isNull(), "unknown_side").otherwise("other_side")
-    return pairs.withColumn("match", category).dropDuplicates(["accession_number", "path_accession"])
+    return first_by(pairs.withColumn("match", category), ["accession_number", "path_accession"], ["days", "match"])
 
 
 def encounter_link(rows: DataFrame, keys: Sequence[str], side: str, label: str, order: Sequence[str]) -> DataFrame:
@@ -159,8 +171,6 @@ def relabel_by_content(labels: DataFrame, old: DataFrame, new: DataFrame) -> Dat
 
 def enrich_annotations(annotations: DataFrame, original: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """Annotations with the first original row of their key."""
-    from .timeline import first_by
-
     return annotations.join(first_by(original, [key], order), key, "left")
 
 

@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only where none is set."""
+    """The session's checkpoint folder; a temporary one only where none is set and all runs in one process."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and sc.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
     return sc.getCheckpointDir()
 
 

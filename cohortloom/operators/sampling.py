@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .timeline import running_totals
+
 
 def page(df: DataFrame, order: Sequence, start: int, n: int) -> DataFrame:
     """K2: rows [start, start + n) in a total order."""
@@ -31,23 +33,24 @@ def sample_n(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     return df.orderBy(seeded(F.col(key), seed), key).limit(n)
 
 
+def _in_hash_order(df: DataFrame, by: Sequence[str], key: str, seed: int) -> DataFrame:
+    """``_k``, the row's number within its group in hash order, and ``_k_all``, the group's size; groups may be of any size."""
+    return running_totals(df.withColumn("_h", seeded(F.col(key), seed)), by, ["_h", key], {"_k": F.lit(1)}).drop("_h")
+
+
 def sample_per_class(df: DataFrame, group: str, key: str, n: int, seed: int, least: int = 0) -> DataFrame:
     """K5: up to n rows of each class; classes of fewer than ``least`` rows are left out."""
-    rank = F.row_number().over(Window.partitionBy(group).orderBy(seeded(F.col(key), seed), key))
-    out = df.withColumns({"_k": rank, "_n": F.count("*").over(Window.partitionBy(group))})
-    return out.where((F.col("_k") <= n) & (F.col("_n") >= least)).drop("_k", "_n")
+    out = _in_hash_order(df, [group], key, seed)
+    return out.where((F.col("_k") <= n) & (F.col("_k_all") >= least)).drop("_k", "_k_all")
 
 
 def rebalance(df: DataFrame, group: str, key: str, mode: str, seed: int) -> DataFrame:
     """K6: as many rows of each class as the smallest ('under') or the largest ('over') has; copies get a number."""
-    counts = df.groupBy(group).agg(F.count("*").alias("_n"))
-    goal = (F.min if mode == "under" else F.max)("_n").over(Window.partitionBy(F.lit(0)))
-    counts = counts.withColumn("_goal", goal)
-    rank = F.row_number().over(Window.partitionBy(group).orderBy(seeded(F.col(key), seed), key))
-    rows = df.withColumn("_k", rank).join(counts, group)
-    copies = F.sequence(F.lit(0), F.ceil(F.col("_goal") / F.col("_n")).cast("int") - 1) if mode == "over" else F.array(F.lit(0))
+    goal = df.groupBy(group).agg(F.count("*").alias("_n")).agg((F.min if mode == "under" else F.max)("_n").alias("_goal"))
+    rows = _in_hash_order(df, [group], key, seed).join(F.broadcast(goal))  # one row
+    copies = F.sequence(F.lit(0), F.ceil(F.col("_goal") / F.col("_k_all")).cast("int") - 1) if mode == "over" else F.array(F.lit(0))
     rows = rows.withColumn("copy", F.explode(copies))
-    return rows.where(F.col("copy") * F.col("_n") + F.col("_k") <= F.col("_goal")).drop("_n", "_goal", "_k")
+    return rows.where(F.col("copy") * F.col("_k_all") + F.col("_k") <= F.col("_goal")).drop("_k", "_k_all", "_goal")
 
 
 def unit_hash(key: Column) -> Column:
@@ -79,18 +82,16 @@ def mini_split(key: Column, share: float, seed: int) -> Column:
 def random_split(df: DataFrame, key: str, share: float, seed: int, strata: Sequence[str] = ()) -> DataFrame:
     """K9: 'test' for the first round(share * rows) rows of each stratum in hash order, else 'train'.
 
-    Without strata each row is drawn by its own hash, so that no task has to rank all rows.
+    Without strata each row is drawn by its own hash, so that no rows have to be ranked.
     """
-    group = Window.partitionBy(*strata)
     if not strata:
         u = unit_hash(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
         return df.withColumn("split", F.when(u < share, "test").otherwise("train"))
-    rank = F.row_number().over(group.orderBy(seeded(F.col(key), seed), key))
-    return df.withColumn("split", F.when(rank <= F.round(F.count("*").over(group) * share), "test").otherwise("train"))
+    rows = _in_hash_order(df, strata, key, seed)
+    return rows.withColumn("split", F.when(F.col("_k") <= F.round(F.col("_k_all") * share), "test").otherwise("train")).drop("_k", "_k_all")
 
 
 def choose_fraction(df: DataFrame, group: str, key: str, share: float, seed: int, name: str = "chosen") -> DataFrame:
     """Flags int(share * rows) rows of each group."""
-    w = Window.partitionBy(group)
-    rank = F.row_number().over(w.orderBy(seeded(F.col(key), seed), key))
-    return df.withColumn(name, rank <= F.floor(F.count("*").over(w) * share + 1e-9))
+    rows = _in_hash_order(df, [group], key, seed)
+    return rows.withColumn(name, F.col("_k") <= F.floor(F.col("_k_all") * share + 1e-9)).drop("_k", "_k_all")

@@ -132,7 +132,7 @@ def event_gaps(df: DataFrame, patient: str, ts: str, limit: int) -> DataFrame:
     return rows.withColumns({"gap_days": gap, "outside": ~gap.between(0, limit)}).drop("us")
 
 
-def with_row_id(df: DataFrame, order: Sequence[str], name: str = "row_id") -> DataFrame:
+def with_row_id(df: DataFrame, order: Sequence, name: str = "row_id") -> DataFrame:
     """Dense ids from 1 in a total order, without gathering the rows: partitions by range, then offsets.
 
     Only one count of each range partition meets in one task.
@@ -156,11 +156,30 @@ def is_duplicated(df: DataFrame, keys: Sequence[str], name: str = "duplicated")
     return df.withColumn(name, F.count("*").over(Window.partitionBy(*keys)) > 1)
 
 
+def running_totals(df: DataFrame, by: Sequence[str], order: Sequence, values: dict[str, Column]) -> DataFrame:
+    """Running sums of ``values`` within groups in a total order, and the groups' sums (name with ``_all``).
+
+    No group is gathered, so a few groups may hold the whole table: rows are dealt by ranges of group and order, summed
+    within a range, and each range adds what the ranges before it have of the group.
+    """
+    # written once: a second sampling of the ranges could cut elsewhere
+    dealt = cut(df.withColumns(values).repartitionByRange(*by, *order).withColumn("_p", F.spark_partition_id()))
+    upto = Window.partitionBy("_p", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranges = dealt.groupBy("_p", *by).agg(*[F.sum(v).alias(v) for v in values])
+    group = Window.partitionBy(*by)
+    before = group.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select(F.col("_p").alias("_q"), *[F.col(c).alias(f"_g{i}") for i, c in enumerate(by)], *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"_b{i}") for i, v in enumerate(values)], *[F.sum(v).over(group).alias(f"{v}_all") for v in values])
+    same = F.col("_p") == F.col("_q")
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    inner = dealt.withColumns({v: F.sum(v).over(upto) for v in values}).join(ranges, same)
+    return inner.withColumns({v: F.col(v) + F.col(f"_b{i}") for i, v in enumerate(values)}).drop("_p", "_q", *[f"_g{i}" for i in range(len(by))], *[f"_b{i}" for i in range(len(values))])
+
+
 def precision_recall(df: DataFrame, by: Sequence[str], score: str, tie: str, hit: Column, positives: Column) -> DataFrame:
     """Precision and recall after each row by falling score; ``positives`` is the number to be found."""
-    order = Window.partitionBy(*by).orderBy(F.col(score).desc(), tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hits, n = F.sum(hit.cast("int")).over(order), F.count("*").over(order)
-    return df.withColumns({"precision": hits / n, "recall": F.try_divide(hits, positives)})
+    rows = running_totals(df, by, [F.col(score).desc(), F.col(tie)], {"_hits": F.coalesce(hit.cast("int"), F.lit(0)), "_rows": F.lit(1)})
+    return rows.withColumns({"precision": F.col("_hits") / F.col("_rows"), "recall": F.try_divide("_hits", positives)}).drop("_hits", "_rows", "_hits_all", "_rows_all")
 
 
 def average_precision(curve: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -203,24 +203,35 @@ def final_dataset(exams: DataFrame, path: DataFrame) -> DataFrame:
     return G.resolve_duplicates(kept, "accession_number", "modality", ["ts"])
 
 
+UNNUMBERED = "anon-" + "0" * 12
+
+
+def _shape(c: Column) -> Column:
+    """An id with zeros for its digits; ids without digits share one shape."""
+    return F.when(c.rlike("[0-9]"), F.regexp_replace(c, "[0-9]", "0")).otherwise(F.lit(UNNUMBERED))
+
+
 def pseudonym_table(ids: DataFrame, column: str, secret: str, known: DataFrame | None = None) -> DataFrame:
-    """(id, pseudonym): digits of the id's length by the rank of its keyed hash; known ids keep theirs.
+    """(id, pseudonym), one to one: the id with other digits, by the rank of its keyed hash; known ids keep theirs.
 
-    Ids with a prefix of letters keep it. Ranks come from range partitions, not from one sorted task.
+    Letters, hyphens and their places stay, as they make the id's shape; ranks are counted within a shape, which has no
+    more ids than its digits have values. An id without digits becomes a number. Ranks come from range partitions, not
+    from one sorted task.
     """
     new = ids.select(F.col(column).cast("string").alias("id")).where("id IS NOT NULL").distinct()
     if known is not None:
         new = new.join(known, "id", "left_anti")
-    prefix, digits = F.regexp_extract("id", r"^(\D*)", 1), F.regexp_extract("id", r"(\d+)$", 1)
-    new = new.withColumns({"prefix": prefix, "len": F.length(digits), "h": F.sha2(F.concat(F.lit(secret), F.lit(":"), F.col("id")), 256)})
-    ranked = W.with_row_id(new, ["prefix", "len", "h"], "row")
-    first = ranked.groupBy("prefix", "len").agg(F.min("row").alias("first"))
-    before = first.withColumn("taken", F.lit(0).cast("long"))
+    new = new.withColumns({"shape": _shape(F.col("id")), "h": F.sha2(F.concat(F.lit(secret), F.lit(":"), F.col("id")), 256)})
+    ranked = W.with_row_id(new, ["shape", "h", "id"], "row")
+    before = ranked.groupBy("shape").agg(F.min("row").alias("first")).withColumn("taken", F.lit(0).cast("long"))
     if known is not None:
-        used = known.groupBy(F.regexp_extract("id", r"^(\D*)", 1).alias("prefix"), F.length(F.regexp_extract("id", r"(\d+)$", 1)).alias("len")).agg(F.count("*").alias("taken"))
-        before = first.join(used, ["prefix", "len"], "left").withColumn("taken", F.coalesce("taken", F.lit(0)))
-    number = F.col("row") - F.col("first") + F.col("taken")
-    fresh = ranked.join(before, ["prefix", "len"]).select("id", F.concat("prefix", F.lpad(number.cast("string"), F.col("len"), F.lit("0"))).alias("pseudonym"))
+        used = known.groupBy(_shape(F.col("pseudonym")).alias("shape")).agg(F.count("*").alias("taken"))
+        before = before.drop("taken").join(used, "shape", "left").withColumn("taken", F.coalesce("taken", F.lit(0)))
+    parts = F.split("shape", "0", -1)
+    number = F.lpad((F.col("row") - F.col("first") + F.col("taken")).cast("string"), F.size(parts) - 1, "0")
+    # a digit after each part of the shape but the last
+    filled = F.array_join(F.zip_with(parts, F.split(number, ""), lambda p, d: F.concat(p, F.coalesce(d, F.lit("")))), "")
+    fresh = ranked.join(before, "shape").select("id", filled.alias("pseudonym"))
     return fresh if known is None else known.unionByName(fresh)
 
 
@@ -319,11 +330,14 @@ def extraction_queue(rows: DataFrame, key: str, text: str, done: DataFrame) -> D
     return J.anti(hashed, finished, "text_hash").groupBy("text_hash").agg(F.min(key).alias("first_key"), F.count("*").alias("waiting"))
 
 
+MAX_CLASSES = 1000
+
+
 def em_rates(rows: DataFrame, group: str, cls: str, found: str, iterations: int = 100, tolerance: float = 1e-6) -> DataFrame:
     """Rate of each class from the totals of groups: share each group's total by the rates, sum by class, repeat.
 
     rows: one per instance with its group, class and 0/1 ``found``. The counts by (group, class) are made once and
-    checkpointed; the rates are one row per class and are broadcast.
+    checkpointed; the rates are one row per class, of at most ``MAX_CLASSES``.
     """
     counts = rows.groupBy(group, cls).agg(F.count("*").alias("k"), F.sum(found).alias("f"))
     counts = counts.withColumn("total", F.sum("f").over(Window.partitionBy(group))).select(group, cls, "k", "total")
@@ -333,7 +347,9 @@ def em_rates(rows: DataFrame, group: str, cls: str, found: str, iterations: int
     cells = shapes.select("shape", "total", "weight", F.inline("mix"))
     cells = cut(cells)
     classes = cells.groupBy(cls).agg(F.sum(F.col("k") * F.col("weight")).alias("n"))
-    sizes = {r[cls]: r.n for r in classes.collect()}
+    sizes = {r[cls]: r.n for r in classes.limit(MAX_CLASSES + 1).collect()}
+    if len(sizes) > MAX_CLASSES:
+        raise ValueError(f"{cls} has more than {MAX_CLASSES} classes")
     rates = {c: 0.5 for c in sizes}
     for _ in range(iterations):
         pairs = F.create_map(*[F.lit(x) for kv in sorted(rates.items()) for x in kv])

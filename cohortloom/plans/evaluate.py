@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,29 +35,24 @@ def set_agreement(truth: DataFrame, pred: DataFrame, key: str, value: str) -> Da
     return out.withColumn("recall", F.round(F.try_divide(F.col("hit"), F.col("hit") + F.col("miss")), 6))
 
 
-def greedy_matches(pred: DataFrame, truth: DataFrame, least: float) -> DataFrame:
-    """Predictions by falling score, each taking the free true box of the image with the largest overlap.
+def greedy_matches(pred: DataFrame, truth: DataFrame, limits: Sequence[float]) -> DataFrame:
+    """For each overlap limit the predictions by falling score, each taking the free true box of its image with the
+    largest overlap: limit, image_id, box_id, gt_id, score, iou.
 
-    Only overlapping pairs travel; the choice is sequential within an image, whose boxes are few.
+    Only overlapping pairs travel; the choice is sequential within an image, whose boxes are few, and folds over them.
     """
-    pairs = J.iou_join(pred, truth, least).select("image_id", "box_id", "gt_id", "score", "iou")
-
-    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        taken_p, taken_t, keep = set(), set(), []
-        for r in pdf.sort_values(["score", "box_id", "iou", "gt_id"], ascending=[False, True, False, True]).itertuples():
-            if r.box_id not in taken_p and r.gt_id not in taken_t:
-                taken_p.add(r.box_id)
-                taken_t.add(r.gt_id)
-                keep.append(r.Index)
-        return pdf.loc[keep]
-
-    return pairs.groupBy("image_id").applyInPandas(choose, pairs.schema)
+    pairs = J.iou_join(pred, truth, min(limits)).select("image_id", F.struct((-F.col("score")).alias("s"), "box_id", (-F.col("iou")).alias("i"), "gt_id", "score", "iou").alias("x"))
+    fits = F.filter(F.array(*[F.lit(float(x)) for x in limits]), lambda limit: F.col("x.iou") >= limit)
+    ordered = pairs.withColumn("limit", F.explode(fits)).groupBy("limit", "image_id").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+    free = lambda taken, x: ~F.exists(taken, lambda t: (t["box_id"] == x["box_id"]) | (t["gt_id"] == x["gt_id"]))
+    kept = F.aggregate("xs", F.slice("xs", 1, 0), lambda taken, x: F.when(free(taken, x), F.array_append(taken, x)).otherwise(taken))
+    return ordered.select("limit", "image_id", F.explode(kept).alias("x")).select("limit", "image_id", "x.box_id", "x.gt_id", "x.score", "x.iou")
 
 
 def detection_metrics(pred: DataFrame, truth: DataFrame, least: float) -> DataFrame:
     """Counts, precision, recall, F1, miss rate and false finds per image."""
     part = lambda df, kind: df.select("image_id", F.lit(kind).alias("kind"))
-    rows = part(pred, "pred").union(part(truth, "true")).union(part(greedy_matches(pred, truth, least), "tp"))
+    rows = part(pred, "pred").union(part(truth, "true")).union(part(greedy_matches(pred, truth, [least]), "tp"))
     counts = rows.agg(*[F.count_if(F.col("kind") == k).alias(n) for k, n in (("pred", "n_pred"), ("true", "n_true"), ("tp", "tp"))], F.count_distinct("image_id").alias("images"))
     precision, recall = F.try_divide("tp", "n_pred"), F.try_divide("tp", "n_true")
     return counts.select(
@@ -76,14 +70,9 @@ def detection_metrics(pred: DataFrame, truth: DataFrame, least: float) -> DataFr
 def mean_average_precision(pred: DataFrame, truth: DataFrame, limits: Sequence[float]) -> DataFrame:
     """Average precision for each overlap limit and their mean (limit null)."""
     total = truth.count()
-    parts = []
-    for least in limits:
-        hits = greedy_matches(pred, truth, least).select("image_id", "box_id", F.lit(1).alias("hit"))
-        marked = pred.join(hits, ["image_id", "box_id"], "left").withColumn("limit", F.lit(least))
-        parts.append(marked.select("limit", "score", "box_id", F.coalesce("hit", F.lit(0)).alias("hit")))
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
+    hits = greedy_matches(pred, truth, limits).select("limit", "image_id", "box_id", F.lit(1).alias("hit"))
+    every = pred.withColumn("limit", F.explode(F.array(*[F.lit(float(x)) for x in limits])))
+    rows = every.join(hits, ["limit", "image_id", "box_id"], "left").select("limit", "score", "box_id", F.coalesce("hit", F.lit(0)).alias("hit"))
     ap = W.average_precision(W.precision_recall(rows, ["limit"], "score", "box_id", F.col("hit") == 1, F.lit(total)), ["limit"])
     return ap.unionByName(ap.agg(F.lit(None).cast("double").alias("limit"), F.round(F.avg("ap"), 6).alias("ap")))
 

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import sampling as K
+from ..operators.timeline import with_row_id
 from ..registry import query
 
 
@@ -10,12 +11,9 @@ def _hash(key, seed):
     return f"md5('{seed}:' || CAST({key} AS STRING))"
 
 
-@query("K1_order_by", "SELECT patient_id, exam_ts, accession_number, row_number() OVER (ORDER BY patient_id, exam_ts DESC, accession_number) AS k FROM exams ORDER BY patient_id, exam_ts DESC, accession_number LIMIT 500")
+@query("K1_order_by", "SELECT patient_id, exam_ts, accession_number, row_number() OVER (ORDER BY patient_id, exam_ts DESC, accession_number) AS k FROM exams")
 def k1(t):
-    from pyspark.sql import Window
-
-    top = t.exams.orderBy("patient_id", F.col("exam_ts").desc(), "accession_number").limit(500).select("patient_id", "exam_ts", "accession_number")
-    return top.withColumn("k", F.row_number().over(Window.orderBy("patient_id", F.col("exam_ts").desc(), "accession_number")))
+    return with_row_id(t.exams.select("patient_id", "exam_ts", "accession_number"), ["patient_id", F.col("exam_ts").desc(), "accession_number"], "k")
 
 
 @query("K2_page", "SELECT accession_number FROM exams ORDER BY accession_number OFFSET 20 LIMIT 30")

@@ -65,7 +65,7 @@ def s8(t):
 @query("S9_file_inventory", "SELECT 'modality=' || modality AS parent, 1 AS some FROM exams GROUP BY modality")
 def s9(t):
     path = folder(t, "files")
-    t.exams.repartition(1).write.partitionBy("modality").parquet(path)
+    t.exams.write.partitionBy("modality").parquet(path)
     return io.file_inventory(t.spark, path, "*.parquet").groupBy("parent").agg(F.lit(1).alias("some"))
 
 

@@ -10,10 +10,10 @@ from .sources import folder
 EVENTS = "event_id long, patient_id long, ts timestamp, event_type string, is_event boolean, score int"
 
 
-def staged(t, rows, schema, files=3):
+def staged(t, rows, schema, per_trigger=1):
     path = folder(t, "stream")
-    rows.repartition(files).write.parquet(path)
-    return M.arrivals(t.spark, path, schema)
+    rows.write.parquet(path)
+    return M.arrivals(t.spark, path, schema, per_trigger)
 
 
 def timeline(t):
@@ -23,8 +23,8 @@ def timeline(t):
 @query("M1_stream_dedupe", "SELECT event_id FROM events")
 def m1(t):
     rows = timeline(t)
-    stream = staged(t, rows.unionByName(rows), EVENTS)
-    return M.run_to_table(M.stream_dedupe(stream, ["event_id"], "ts", "3650 days"), folder(t, "out"), folder(t, "chk")).select("event_id")
+    stream = staged(t, rows.unionByName(rows), EVENTS, 10_000)
+    return M.run_to_table(M.stream_dedupe(stream, ["event_id"], "ts"), folder(t, "out"), folder(t, "chk")).select("event_id")
 
 
 @query("M2_stream_skip_existing", "SELECT event_id FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
@@ -43,17 +43,17 @@ def m3(t):
     return G.read_version(t.spark, root).select("patient_id", "event_id")
 
 
-@query("M4_stream_audit", "SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n FROM events WHERE date_trunc('day', ts) < (SELECT date_trunc('day', max(ts)) FROM events) GROUP BY 1, 2")
+@query("M4_stream_audit", "SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def m4(t):
-    last = F.lit(timeline(t).agg(F.date_trunc("day", F.max("ts"))).first()[0])
     rows = timeline(t)
-    # a row far ahead closes the windows before it
+    last = F.lit(rows.agg(F.date_trunc("day", F.max("ts"))).first()[0])
+    # a row far ahead closes the windows before it, and its own stays open
     closing = rows.limit(1).withColumn("ts", last + F.expr("INTERVAL 4000 DAYS"))
     first, second = folder(t, "stream"), folder(t, "out")
-    rows.coalesce(1).write.parquet(first)
-    closing.coalesce(1).write.mode("append").parquet(first)
-    out = M.run_to_table(M.stream_audit(M.arrivals(t.spark, first, EVENTS, 10), "ts", ["event_type"]), second, folder(t, "chk"))
-    return out.where(F.col("start") < last).select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
+    rows.write.parquet(first)
+    closing.write.mode("append").parquet(first)
+    out = M.run_to_table(M.stream_audit(M.arrivals(t.spark, first, EVENTS, 10_000), "ts", ["event_type"]), second, folder(t, "chk"))
+    return out.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
 
 
 @query("M5_stream_patient_state", "SELECT patient_id, count(*) FILTER (WHERE is_event) AS events, coalesce(max(score), 0) AS worst FROM timeline GROUP BY patient_id")
@@ -74,7 +74,7 @@ def m5(t):
 def m6(t):
     exams = t.exams.where("is_biopsy = 'T'").select("accession_number", "patient_id", F.col("exam_ts").cast("timestamp").alias("exam_ts"))
     path = t.path.select("path_accession", "path_part", "path_lab", F.col("patient_id").alias("path_patient"), F.col("path_ts").cast("timestamp").alias("path_ts"))
-    a = staged(t, exams, "accession_number long, patient_id long, exam_ts timestamp", 1)
-    b = staged(t, path, "path_accession long, path_part long, path_lab long, path_patient long, path_ts timestamp", 1)
-    linked = M.stream_window_link(a, b, 60, "10000 days")
+    a = staged(t, exams, "accession_number long, patient_id long, exam_ts timestamp", 10_000)
+    b = staged(t, path, "path_accession long, path_part long, path_lab long, path_patient long, path_ts timestamp", 10_000)
+    linked = M.stream_window_link(a, b, 60)
     return M.run_to_table(linked.select("accession_number", "path_accession", "path_part", "path_lab"), folder(t, "out"), folder(t, "chk"))

@@ -21,8 +21,16 @@ def restrict_to_keys(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
 
 
 def read_csv_typed(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """S3: every column as the schema says, so text ids keep their zeros; header names compare in lower case."""
-    return spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("multiLine", True).option("escape", '"').csv(path)
+    """S3: the columns of the schema, found by their names in the header (in lower case), so text ids keep their zeros.
+
+    Other columns are left out; a value that is none of the type is null; an absent column is an error.
+    """
+    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    have = {c.strip().lower(): c for c in raw.columns}
+    fields = T.StructType.fromDDL(schema)
+    if absent := [f.name for f in fields if f.name.lower() not in have]:
+        raise ValueError(f"{path} has no column {', '.join(absent)}")
+    return raw.select(*[F.col(f"`{have[f.name.lower()]}`").try_cast(f.dataType).alias(f.name) for f in fields])
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ";") -> None:

@@ -30,16 +30,15 @@ def stream_skip_existing(stream: DataFrame, done: DataFrame, key: str) -> DataFr
 
 
 def stream_upsert(stream: DataFrame, root: str, key: Sequence[str], order: str, checkpoint: str):
-    """M3: every batch is merged into the published table by key, its last row per key first; a repeated batch gives the
-    same state."""
+    """M3: every batch is merged into the published table by key: the row with the largest ``order`` stays, so a late
+    older row does not displace a newer one and a repeated batch gives the same state."""
     from ..operators.timeline import first_by
 
     def merge(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        rows = first_by(batch.withColumn("_desc", -F.col(order)), key, ["_desc"]).drop("_desc")
         version = G.current_version(spark, root)
-        state = G.upsert(G.read_version(spark, root, version), rows, key) if version else rows
-        G.publish(state, root, version)
+        rows = G.read_version(spark, root, version).unionByName(batch) if version else batch
+        G.publish(first_by(rows, key, [F.col(order).desc_nulls_last()]), root, version)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
