@@ -2,8 +2,12 @@
 
 Explode the normalised lines of each document, hash the keys (two XXH64 with different seeds, 128 bits together), count
 the distinct documents of each hash with map-side combining, look up the lines of frequent keys, and reassemble each
-document from the positions that stay. The frequent keys are checkpointed, so that both sides of the look-up are plain
-shuffles and adaptive execution can split the partition of a hot line.
+document from the positions that stay. Counting distinct ids goes by (key, id) first, so a hot line is spread over its
+documents; the frequent keys are checkpointed, so that both sides of the look-up are plain shuffles and adaptive
+execution can split the partition of a hot line.
+
+Keys are told apart by their 128 bits alone: among n different keys some two agree with a chance of about n * n / 2**129,
+1.5e-15 for 10**12 keys.
 
 Nulls and edges: a null text is one empty line; a null id counts as one more document that comes after all others;
 rows that agree in id are the same document, so a line is not a duplicate for standing in both; an empty table gives an
@@ -17,7 +21,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, documents, text_or_empty, without
+from .common import cut_lineage, documents, fields_of, row_of, text_or_empty
 
 BLANK = " \t\n\x0b\x0c\r"
 
@@ -30,11 +34,38 @@ def ascii_lower(text: Column) -> Column:
 
 
 def _line_hashes(rows: DataFrame, min_chars: int) -> DataFrame:
-    lines = rows.select("__id", "__h", F.posexplode(F.split(ascii_lower(F.col("__text")), "\n", -1)).alias("__pos", "__line"))
-    lines = lines.withColumn("__key", F.btrim(F.col("__line"), F.lit(BLANK))).where(F.length("__key") >= min_chars)
-    return lines.select(
-        "__id", "__h", "__pos", F.xxhash64("__key").alias("__k1"), F.xxhash64(F.lit(7), "__key").alias("__k2")
+    lines = rows.select("id", "h", F.posexplode(F.split(ascii_lower(F.col("text")), "\n", -1)).alias("pos", "line"))
+    lines = lines.withColumn("key", F.btrim(F.col("line"), F.lit(BLANK))).where(F.length("key") >= min_chars)
+    return lines.select("id", "h", "pos", F.xxhash64("key").alias("k1"), F.xxhash64(F.lit(7), "key").alias("k2"))
+
+
+def _marked(docs: DataFrame, id_col: str, text_col: str, min_chars: int, min_docs: int) -> DataFrame:
+    """row (the input columns), n_lines, n_dropped and kept_text."""
+    text = text_or_empty(F.col(f"`{text_col}`").cast("string"))
+    base = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text"), row_of(docs).alias("row")).withColumn("h", F.xxhash64("text"))
+    lines = _line_hashes(base, min_chars)
+    # keys of too few documents need no further look; a null id is one more document, after all others
+    n_docs = F.col("n") + F.col("null").cast("int")
+    repeated = cut_lineage(
+        lines.groupBy("k1", "k2")
+        .agg(F.count_distinct("id").alias("n"), F.min("id").alias("first"), F.bool_or(F.col("id").isNull()).alias("null"))
+        .where((n_docs >= min_docs) & F.col("first").isNotNull())
+        .select("k1", "k2", "first")
+    )
+    dropped = (
+        lines.join(repeated, ["k1", "k2"])
+        .where(F.coalesce(F.col("id") > F.col("first"), F.lit(True)))
+        .groupBy("id", "h")
+        .agg(F.collect_set("pos").alias("drop"))
+        .select(F.col("id").alias("d_id"), F.col("h").alias("d_h"), "drop")
     )
+    joined = base.join(dropped, F.col("id").eqNullSafe(F.col("d_id")) & (F.col("h") == F.col("d_h")), "left")
+    joined = joined.withColumn("lines", F.split("text", "\n", -1))
+    n = F.size("lines")
+    stay = F.array_except(F.sequence(F.lit(0), n - 1), F.col("drop"))
+    kept = F.when(F.col("drop").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stay, lambda i: F.col("lines")[i]), "\n"))
+    n_dropped = F.when(F.col("drop").isNull(), 0).otherwise(F.size("drop"))
+    return joined.select("row", n.cast("long").alias("n_lines"), n_dropped.cast("long").alias("n_dropped"), kept.alias("kept_text"))
 
 
 def mark_duplicate_lines(
@@ -43,59 +74,19 @@ def mark_duplicate_lines(
     """``docs`` with n_lines, n_dropped and kept_text (the document without the lines that repeat elsewhere).
 
     A key (line stripped of blanks, A-Z lower-cased) of at least ``min_chars`` code points that at least ``min_docs``
-    documents hold keeps its lines only in the document with the smallest id.
+    documents hold keeps its lines only in the document with the smallest id. Input columns named like a result are
+    replaced.
     """
     results = ["n_lines", "n_dropped", "kept_text"]
-    base = docs.select(
-        F.col(f"`{id_col}`").alias("__id"),
-        text_or_empty(F.col(f"`{text_col}`").cast("string")).alias("__text"),
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"),
-    ).withColumn("__h", F.xxhash64("__text"))
-    lines = _line_hashes(base, min_chars)
-    # keys that one document holds need no further look; a null id stands after all others
-    frequent = (
-        F.col("__min").isNotNull() & ((F.col("__max") > F.col("__min")) | F.col("__null"))
-        if min_docs == 2
-        else F.col("__docs") + F.col("__null").cast("int") >= min_docs
-    )
-    counts = [] if min_docs == 2 else [F.count_distinct("__id").alias("__docs")]
-    repeated = cut_lineage(
-        lines.groupBy("__k1", "__k2")
-        .agg(F.min("__id").alias("__min"), F.max("__id").alias("__max"), F.bool_or(F.col("__id").isNull()).alias("__null"), *counts)
-        .where(frequent)
-        .select("__k1", "__k2", "__min")
-    )
-    dropped = (
-        lines.join(repeated, ["__k1", "__k2"])
-        .where(F.coalesce(F.col("__id") > F.col("__min"), F.col("__min").isNotNull()))
-        .groupBy("__id", "__h")
-        .agg(F.collect_set("__pos").alias("__drop"))
-        .select(F.col("__id").alias("__did"), F.col("__h").alias("__dh"), "__drop")
-    )
-    joined = base.join(dropped, F.col("__id").eqNullSafe(F.col("__did")) & (F.col("__h") == F.col("__dh")), "left")
-    joined = joined.withColumn("__lines", F.split("__text", "\n", -1))
-    n = F.size("__lines")
-    stay = F.array_except(F.sequence(F.lit(0), n - 1), F.col("__drop"))
-    kept = F.when(F.col("__drop").isNull(), F.col("__text")).otherwise(
-        F.array_join(F.transform(stay, lambda i: F.col("__lines")[i]), "\n")
-    )
-    out = joined.select(
-        "__row",
-        n.cast("long").alias("n_lines"),
-        F.when(F.col("__drop").isNull(), 0).otherwise(F.size("__drop")).cast("long").alias("n_dropped"),
-        kept.alias("kept_text"),
-    )
-    row = out.select("__row.*").columns
-    keep = [c for c in row if c.lower() not in results]
-    return out.select(*[F.col("__row").getField(c).alias(c) for c in keep], *results)
+    return _marked(docs, id_col, text_col, min_chars, min_docs).select(*fields_of("row", [c for c in docs.columns if c.lower() not in results]), *results)
 
 
-def drop_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def drop_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10, min_docs: int = 2) -> DataFrame:
     """``docs`` with the repeated lines taken out of the text; the columns stay as they were (a null text stays null)."""
-    slim = without(docs, [])
-    marked = mark_duplicate_lines(slim, id_col, text_col, **options)
-    text = F.when(F.col(f"`{text_col}`").isNull(), F.col(f"`{text_col}`")).otherwise(F.col("kept_text"))
-    return marked.select(*[(text.alias(c) if c == text_col else F.col(f"`{c}`")) for c in docs.columns])
+    marked = _marked(docs, id_col, text_col, min_chars, min_docs)
+    was = F.col("row").getField(text_col)
+    text = F.when(was.isNull(), was).otherwise(F.col("kept_text"))
+    return marked.select(*[(text if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def op8_line_dedup(spark, sf_dir: str) -> DataFrame:

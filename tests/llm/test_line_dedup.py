@@ -36,6 +36,13 @@ def test_edges(spark):
     assert got == {(str(i), t): want[i] for i, t in rows}
     left = drop_duplicate_lines(docs)
     assert left.columns == docs.columns and {r.doc_id: r.text for r in left.collect()}[3] is None
+    names = ["kept_text", "n_dropped", "row", "id", "h", "lines", "k1", "drop"]
+    odd = drop_duplicate_lines(docs.selectExpr("doc_id", "text", *[f"'mine' AS {c}" for c in names]))
+    assert odd.columns == ["doc_id", "text", *names]
+    assert all(r[c] == "mine" for r in odd.collect() for c in names)
+    assert {str(r.doc_id): r.text for r in odd.collect()} == {str(r.doc_id): r.text for r in left.collect()}
+    assert {r.n_dropped for r in mark_duplicate_lines(docs, min_docs=3).where("doc_id = 2").collect()} == {1}
+    assert {r.n_dropped for r in mark_duplicate_lines(docs, min_docs=3).where("doc_id = 9").collect()} == {0}
     three = mark_duplicate_lines(docs, min_docs=4)
     assert {r.n_dropped for r in three.collect()} == {0}
     assert mark_duplicate_lines(docs.limit(0)).count() == 0
