@@ -7,23 +7,32 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rules of a pattern table that become one expression.
+MAX_RULES = 1000
+
+
+def first_rule(rules: DataFrame, text: Column) -> Column:
+    """The code of the first rule (rule, pattern, code) whose pattern the text has, as one expression over the text."""
+    rows = rules.orderBy("rule").limit(MAX_RULES + 1).collect()
+    if len(rows) > MAX_RULES:
+        raise ValueError(f"more than {MAX_RULES} rules")
+    out = F.lit(None).cast("string")
+    for r in reversed(rows):
+        out = F.when(text.rlike(r.pattern), F.lit(r.code)).otherwise(out)
+    return out
+
+
 def register(spark: SparkSession) -> None:
     """Make the functions known to a session's SQL."""
     spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION clock_distance(a DOUBLE, b DOUBLE) RETURNS DOUBLE RETURN least(abs(a - b) % 12, 12 - abs(a - b) % 12)")
     spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION strip_rank(label STRING) RETURNS STRING RETURN regexp_replace(label, '([A-Z]+)[0-9]+', '$1')")
 
-    @F.pandas_udf("string")
-    def tidy_caption(text: pd.Series) -> pd.Series:
-        return text.str.lower().str.replace("$", "s", regex=False).str.replace(r"\s+", " ", regex=True).str.strip()
-
-    @F.pandas_udf("string")
-    def join_unique(values: pd.Series) -> str:
-        return "; ".join(sorted({v.strip() for v in values.dropna() if v.strip()}))
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION tidy_caption(text STRING) RETURNS STRING RETURN trim(regexp_replace(replace(lower(text), '$', 's'), '\\\\s+', ' '))")
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION join_values(vals ARRAY<STRING>) RETURNS STRING RETURN array_join(array_sort(array_distinct(filter(transform(vals, v -> trim(v)), v -> v <> ''))), '; ')")
 
     @F.udtf(returnType="letter string, part string")
     class LetteredParts:
@@ -31,6 +40,4 @@ def register(spark: SparkSession) -> None:
             for m in re.finditer(r"(?:^|\n)([A-Z])[.)]\s+((?:(?!\n[A-Z][.)]\s).)*)", text or "", re.S):
                 yield m[1], m[2].strip()
 
-    spark.udf.register("tidy_caption", tidy_caption)
-    spark.udf.register("join_unique", join_unique)
     spark.udtf.register("lettered_parts", LetteredParts)

@@ -59,34 +59,43 @@ def _in_reach(left: DataFrame, left_ts: str, right: DataFrame, right_ts: str, be
 
 
 def link_events_asof(events: DataFrame, path: DataFrame, exams: DataFrame, before_days: int = 1, after_days: int = 180) -> DataFrame:
-    """Pathology within [-before, after] days of an event of the same patient and side, each with the latest exam
-    strictly before the event.
+    """Pathology within [-before, after] days of an event of the same patient, each with the latest exam strictly
+    before the event whose side fits (a bilateral exam fits any side).
 
-    events: patient_id, event_id, event_ts, event_side. path: patient_id, path_id, path_ts, path_side. exams: patient_id,
-    exam_id, exam_ts. One row for each (event, path).
+    events: patient_id, event_id, event_ts. path: patient_id, path_id, path_ts, path_side. exams: patient_id, exam_id,
+    exam_ts, exam_side. One row for each (event, path) with exam_id and exam_ts, null where no exam fits.
     """
     gap = micros(F.col("path_ts")) - micros(F.col("event_ts"))
-    linked = _in_reach(events, "event_ts", path, "path_ts", before_days, after_days).where(gap.between(-before_days * DAY, after_days * DAY) & side_matches(F.col("event_side"), F.col("path_side")))
-    # the latest exam of each event by a window over exams and events together: no pair of them is made
-    marks = events.select("patient_id", F.col("event_ts").alias("ts"), F.lit(1).alias("kind"), "event_id", F.lit(None).cast(exams.schema["exam_id"].dataType).alias("exam_id"))
-    marks = marks.unionByName(exams.select("patient_id", F.col("exam_ts").alias("ts"), F.lit(0).alias("kind"), F.lit(None).cast(events.schema["event_id"].dataType).alias("event_id"), "exam_id"))
+    linked = _in_reach(events, "event_ts", path, "path_ts", before_days, after_days).where(gap.between(-before_days * DAY, after_days * DAY))
+    # the latest exam of each event and side by a window over exams and events together: no pair of them is made
+    kind = lambda df, c: df.schema[c].dataType
+    none = lambda df, c: F.lit(None).cast(kind(df, c)).alias(c)
+    marks = events.select("patient_id", F.col("event_ts").alias("ts"), "event_id", none(exams, "exam_id"), none(exams, "exam_side"))
+    marks = marks.unionByName(exams.select("patient_id", F.col("exam_ts").alias("ts"), none(events, "event_id"), "exam_id", "exam_side")).withColumn("us", micros(F.col("ts")))
     past = Window.partitionBy("patient_id").orderBy("us").rangeBetween(Window.unboundedPreceding, -1)
-    exam = F.max(F.when(F.col("kind") == 0, F.struct("us", "exam_id"))).over(past)["exam_id"]
-    latest = marks.withColumn("us", micros(F.col("ts"))).withColumn("exam_id", F.when(F.col("kind") == 1, exam)).where("kind = 1").select("event_id", "exam_id")
-    return linked.join(latest, "event_id", "left")
+    exam = F.struct("us", "exam_id", F.col("ts").alias("exam_ts"))
+    fits = {s: F.col("exam_side").isin(s, "BILATERAL") for s in ("LEFT", "RIGHT", "BILATERAL")}
+    latest = marks.withColumns({s: F.max(F.when(F.col("exam_id").isNotNull() & fit, exam)).over(past) for s, fit in fits.items()}).where("event_id IS NOT NULL").select("event_id", *fits)
+    joined = linked.join(latest, "event_id", "left")
+    chosen = F.lit(None)
+    for s in fits:
+        chosen = F.when(F.col("path_side") == s, F.col(s)).otherwise(chosen)
+    return joined.withColumn("_x", chosen).withColumns({"exam_id": F.col("_x.exam_id"), "exam_ts": F.col("_x.exam_ts")}).drop("_x", *fits)
 
 
 def link_all_in_window(exams: DataFrame, path: DataFrame, days: int = 240) -> DataFrame:
     """All pathology of the same patient in [0, days] days after an exam, with the category of the match.
 
     exams: patient_id, accession_number, exam_ts, study_laterality. path: patient_id, path_accession, path_ts,
-    path_laterality. One row for each (accession_number, path_accession): the nearest in days, then the first category.
+    path_laterality. One row for each (accession_number, path_accession): the nearest in days, then the first category;
+    ``source`` tells a link that the pathology's own accession gives from one that was found by time.
     """
     gap = F.floor((micros(F.col("path_ts")) - micros(F.col("exam_ts"))) / DAY)
     pairs = _in_reach(exams, "exam_ts", path, "path_ts", 0, days + 1).withColumn("days", gap).where(F.col("days").between(0, days))
     side = F.col("study_laterality")
     category = F.when(side == F.col("path_laterality"), "same_side").when(side == "BILATERAL", "bilateral_exam").when(side.isNull() | F.col("path_laterality").isNull(), "unknown_side").otherwise("other_side")
-    return first_by(pairs.withColumn("match", category), ["accession_number", "path_accession"], ["days", "match"])
+    source = F.when(F.col("accession_number") == F.col("path_accession"), "given").otherwise("found")
+    return first_by(pairs.withColumns({"match": category, "source": source}), ["accession_number", "path_accession"], ["days", "match"])
 
 
 def encounter_link(rows: DataFrame, keys: Sequence[str], side: str, label: str, order: Sequence[str]) -> DataFrame:
@@ -134,6 +143,20 @@ def match_lesions(images: DataFrame, described: DataFrame, hours: float = 1.5, c
     return pairs.withColumn("score", F.round(apart + gap / 2, 6))
 
 
+def merge_lesions(existing: DataFrame, matched: DataFrame, cm: float = 0.5) -> DataFrame:
+    """What becomes of each matched description of an image: the image's first lesion of about its size is
+    updated, else a new one is created.
+
+    existing: lesion_id, image_name, measured_cm. matched: image_name, description_id, sizing_cm. Rows: image_name,
+    description_id, action, lesion_id (null for a new one).
+    """
+    own = existing.select("image_name", "measured_cm", "lesion_id")
+    near = F.abs(F.col("measured_cm") - F.col("sizing_cm")) <= cm
+    pairs = matched.join(own, "image_name").where(near).groupBy("image_name", "description_id").agg(F.min("lesion_id").alias("lesion_id"))
+    rows = matched.select("image_name", "description_id").distinct().join(pairs, ["image_name", "description_id"], "left")
+    return rows.withColumn("action", F.when(F.col("lesion_id").isNull(), "create").otherwise("update"))
+
+
 def best_match(matches: DataFrame) -> DataFrame:
     """Of each image the described lesion with the lowest score; the lowest id of equally good ones."""
     return matches.groupBy("accession_number", "image_name").agg(F.min(F.struct("score", "lesion_id")).alias("m")).select("accession_number", "image_name", "m.lesion_id", "m.score")

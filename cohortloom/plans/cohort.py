@@ -76,17 +76,31 @@ def clean_pathology(notes: DataFrame, key: str, order: Sequence[str]) -> DataFra
 
 
 def link_timeline(exams: DataFrame, path: DataFrame) -> DataFrame:
-    """Exam and pathology rows of a patient in one table; pathology near a biopsy gets the accession of its exam.
+    """Exam and pathology rows of a patient in one table; pathology near a biopsy gets the accession of the latest
+    exam before it whose side fits, and rows of an accession share its first synoptic text.
 
     exams: patient_id, accession_number, exam_ts, study_laterality, bi_rads, is_biopsy, modality. path: patient_id,
-    path_id, path_ts, path_laterality, path_interpretation.
+    path_id, path_ts, path_laterality, path_interpretation; optionally accession_number (rows that have one keep it),
+    lesion_diag (rows without one are not linked), synoptic and final_diag.
     """
-    biopsies = exams.where("is_biopsy = 'T'").selectExpr("patient_id", "accession_number AS event_id", "exam_ts AS event_ts", "study_laterality AS event_side")
-    others = exams.where("is_biopsy = 'F'").selectExpr("patient_id", "accession_number AS exam_id", "exam_ts")
-    linked = J.link_events_asof(biopsies, path.selectExpr("patient_id", "path_id", "path_ts", "path_laterality AS path_side"), others)
-    best = linked.groupBy("path_id").agg(F.max_by("exam_id", F.struct("event_ts", "event_id")).alias("accession_number"))
-    named = path.join(best, "path_id", "left").withColumnRenamed("path_ts", "ts")
-    return G.union_all_by_name(exams.withColumnRenamed("exam_ts", "ts").withColumn("kind", F.lit("exam")), named.withColumn("kind", F.lit("path")))
+    absent = {c: F.lit(None).cast("string") for c in ("synoptic", "final_diag") if c not in path.columns}
+    if "accession_number" not in path.columns:
+        absent["accession_number"] = F.lit(None).cast(exams.schema["accession_number"].dataType)
+    path = path.withColumns(absent)
+    open_rows = path.where(P.coalesce_text(F.col("accession_number").cast("string")).isNull() & F.col("path_laterality").isNotNull() & F.col("path_ts").isNotNull())
+    open_rows = open_rows.where("lesion_diag IS NOT NULL") if "lesion_diag" in path.columns else open_rows
+    biopsies = exams.where("is_biopsy = 'T'").selectExpr("patient_id", "accession_number AS event_id", "exam_ts AS event_ts")
+    others = exams.where("study_laterality IS NOT NULL").selectExpr("patient_id", "accession_number AS exam_id", "exam_ts", "study_laterality AS exam_side")
+    linked = J.link_events_asof(biopsies, open_rows.selectExpr("patient_id", "path_id", "path_ts", "path_laterality AS path_side"), others)
+    best = linked.where("exam_id IS NOT NULL").groupBy("path_id").agg(F.max(F.struct("exam_ts", "exam_id"))["exam_id"].alias("_found"))
+    named = path.join(best, "path_id", "left").withColumn("accession_number", F.coalesce("accession_number", "_found")).drop("_found").withColumnRenamed("path_ts", "ts")
+    rows = G.union_all_by_name(exams.withColumnRenamed("exam_ts", "ts").withColumn("kind", F.lit("exam")), named.withColumn("kind", F.lit("path")))
+    # the first row with a synoptic text lends it, with its diagnosis, to the rows of its accession that have none
+    first = W.first_by(rows.where((F.col("synoptic") != "") & F.col("accession_number").isNotNull()), ["accession_number"], ["ts", "path_id"])
+    lent = first.select("accession_number", F.col("synoptic").alias("_s"), F.col("final_diag").alias("_d"))
+    blank = F.coalesce(F.col("synoptic"), F.lit("")) == ""
+    filled = rows.join(lent, "accession_number", "left").withColumns({"final_diag": F.when(blank & F.col("_s").isNotNull(), F.col("_d")).otherwise(F.col("final_diag")), "synoptic": F.when(blank, F.coalesce("_s", "synoptic")).otherwise(F.col("synoptic"))})
+    return filled.select(*rows.columns)
 
 
 SIDES = ("LEFT", "RIGHT")
@@ -251,6 +265,21 @@ def load_entities(studies: DataFrame, images: DataFrame, present: DataFrame) ->
     return fresh, J.semi(images, keys, "accession_number")
 
 
+def load_job(studies: DataFrame, images: DataFrame, present: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All studies of patients that have images, flagged by what their diagnoses say, and the images of patients that
+    are not there yet, of known studies only, with the side of their study where they have none.
+
+    studies: patient_id, accession_number, study_laterality, left_diagnosis, right_diagnosis. images: patient_id,
+    accession_number, image_name, laterality. present: patient_id, accession_number of what is loaded.
+    """
+    says = lambda word: F.coalesce(F.col("left_diagnosis").contains(word), F.lit(False)) | F.coalesce(F.col("right_diagnosis").contains(word), F.lit(False))
+    kept = J.semi(studies, images, "patient_id").withColumns({"has_malignant": says("MALIGNANT"), "has_benign": says("BENIGN")})
+    known = kept.select("accession_number").unionByName(present.select("accession_number"))
+    new = J.semi(J.anti(J.semi(images, studies, "patient_id"), present, "patient_id"), known, "accession_number")
+    sides = studies.groupBy("accession_number").agg(F.min("study_laterality").alias("laterality"))
+    return kept, J.fill_null_from(new, sides, "accession_number", "laterality")
+
+
 def select_new_files(files: DataFrame, cohort: DataFrame, done: DataFrame) -> DataFrame:
     """Files (path, hash) once per hash, ids from the folder name, in the cohort, not done yet."""
     once = W.first_by(files, ["hash"], ["path"])
@@ -298,31 +327,82 @@ def export_dataset(images: DataFrame, exams: DataFrame, spec: ExportSpec) -> Dat
     return out.withColumns({"split": split, "mini": K.mini_split(F.col("patient_id"), spec.mini_share, spec.seed)})
 
 
+def export_tables(images: DataFrame, exams: DataFrame, lesions: DataFrame, path: DataFrame, spec: ExportSpec) -> dict[str, DataFrame]:
+    """The tables of a release, all of them cut to what the specification keeps: images, breasts (exam sides, with
+    ``labelled``), lesions, pathology, and breasts_mini; every one has its patient's split."""
+    split = K.hash_split(F.col("patient_id"), spec.test_share, spec.validation_share)
+    patients = exams.select("accession_number", "patient_id", split.alias("split"))
+    kept = images.withColumn("excluded", P.exclusion_reasons(rules(spec))).where("excluded IS NULL").drop("excluded")
+    kept = J.attach(kept, patients, ["accession_number"], ["patient_id", "split"]).where("patient_id IS NOT NULL")
+    breasts = export_dataset(images, exams, spec)
+    labelled = path.where(F.col("path_interpretation").isin(*BENIGN_MALIGNANT)).select("patient_id", F.col("path_laterality").alias("laterality")).distinct().withColumn("labelled", F.lit(True))
+    breasts = breasts.join(labelled, ["patient_id", "laterality"], "left").withColumn("labelled", F.coalesce("labelled", F.lit(False)))
+    cases = breasts.select("patient_id", "split").distinct()
+    return {
+        "images": kept,
+        "breasts": breasts,
+        "lesions": lesions.join(kept.select("image_name", "split"), "image_name"),
+        "pathology": path.join(cases, "patient_id"),
+        "breasts_mini": breasts.where("mini"),
+    }
+
+
 def audit_report(exams: DataFrame, images: DataFrame) -> DataFrame:
-    """C14: long table of counts."""
+    """C14: long table of counts: modalities, sides, scanners, images an exam, splits by side, device years."""
     n = lambda df, key, c: df.groupBy(F.concat(F.lit(key), F.coalesce(F.col(c).cast("string"), F.lit("none"))).alias("key")).agg(F.count("*").alias("value"))
     sizes = A.per_group_stats(images, "accession_number").select(F.expr("stack(3, 'images.groups', groups, 'images.least', least, 'images.most', most) AS (key, value)"))
-    return n(exams, "modality.", "modality").unionByName(n(exams, "side.", "study_laterality")).unionByName(n(images, "scanner.", "scanner")).unionByName(sizes)
+    matrix = exams.groupBy(F.concat_ws(".", F.lit("split"), K.hash_split(F.col("patient_id")), F.coalesce("study_laterality", F.lit("none"))).alias("key")).agg(F.count("*").alias("value"))
+    years = images.agg(F.min(F.year("acquired")).alias("a"), F.max(F.year("acquired")).alias("b")).select(F.expr("stack(2, 'images.first_year', CAST(a AS BIGINT), 'images.last_year', CAST(b AS BIGINT)) AS (key, value)"))
+    out = n(exams, "modality.", "modality")
+    for part in (n(exams, "side.", "study_laterality"), n(images, "scanner.", "scanner"), sizes, matrix, years):
+        out = out.unionByName(part)
+    return out
 
 
-def dataset_stats(images: DataFrame, exams: DataFrame, steps: P.Rules) -> DataFrame:
-    """The funnel of the images and the sizes of the splits."""
+def dataset_stats(images: DataFrame, exams: DataFrame, steps: P.Rules, gold: DataFrame | None = None) -> DataFrame:
+    """The funnel of the images, the sizes of the splits and, of each split, the gold labels (image_name, kind)."""
     funnel = A.funnel(images, steps).select(F.concat(F.lit("funnel."), "step").alias("key"), F.col("removed").alias("value"))
     splits = exams.groupBy(F.concat(F.lit("split."), K.hash_split(F.col("patient_id"))).alias("key")).agg(F.count("*").alias("value"))
-    return funnel.unionByName(splits)
+    out = funnel.unionByName(splits)
+    if gold is None:
+        return out
+    kept = images.withColumn("_x", P.exclusion_reasons(steps)).where("_x IS NULL").select("image_name", "accession_number")
+    labels = gold.join(kept, "image_name").join(exams.select("accession_number", K.hash_split(F.col("patient_id")).alias("split")), "accession_number")
+    return out.unionByName(labels.groupBy(F.concat_ws(".", F.lit("gold"), "split", "kind").alias("key")).agg(F.count("*").alias("value")))
 
 
 def seed_annotations(lesions: DataFrame, masks: DataFrame) -> DataFrame:
     """What becomes of each mask (image_name): linked to the one annotation of its image's lesions, a fallback row
     without any, skipped with several."""
     skeletons = A.lesion_skeletons(lesions.withColumnRenamed("image_name", "lesion_id"))
+    # an image's lesions of one place are one annotation, those of several places several
     views = skeletons.select(F.explode(F.split("source_ids", ",")).alias("image_name"), F.col("source_ids").alias("annotation"))
-    found = views.groupBy("image_name").agg(F.count_distinct("annotation").alias("n"), F.min("annotation").alias("annotation"))
+    found = views.groupBy("image_name").agg(F.count("*").alias("n"), F.min("annotation").alias("annotation"))
     joined = masks.join(found, "image_name", "left")
     outcome = F.when(F.col("n").isNull(), "fallback").when(F.col("n") == 1, "linked").otherwise("skipped")
     return joined.select("image_name", outcome.alias("outcome"), F.when(F.col("n") == 1, F.col("annotation")).alias("annotation"))
 
 
+def seed_frame_views(frames: DataFrame, lesions: DataFrame) -> DataFrame:
+    """A view of each lesion annotation for every frame of the videos of its exam and side (null: both sides).
+
+    frames: accession_number, frame_name, laterality. lesions as for ``lesion_skeletons``.
+    """
+    skeletons = A.lesion_skeletons(lesions).where("NOT unplaced").select("accession_number", F.col("source_ids").alias("annotation"), F.col("laterality").alias("_side"))
+    same = F.col("laterality").isNull() | F.col("_side").isNull() | (F.col("laterality") == F.col("_side"))
+    return frames.join(skeletons, "accession_number").where(same).select("annotation", "frame_name").distinct()
+
+
+def backfill_extractions(rows: DataFrame, key: str, text: str, column: str, results: DataFrame) -> DataFrame:
+    """C17: rows that wait for ``column`` get the finished result of their text; an error fills nothing.
+
+    results: text_hash, value, error.
+    """
+    good = results.where("error IS NULL").groupBy("text_hash").agg(F.min("value").alias("_value"))
+    hashed = rows.withColumn("_hash", F.when(F.trim(text) != "", F.md5(text)))
+    return hashed.join(good, hashed["_hash"] == good["text_hash"], "left").withColumn(column, F.coalesce(column, "_value")).select(*rows.columns)
+
+
 def extraction_queue(rows: DataFrame, key: str, text: str, done: DataFrame) -> DataFrame:
     """C17: distinct texts that no row done so far has, with the number of rows that wait for each."""
     hashed = rows.where(F.trim(text) != "").withColumn("text_hash", F.md5(text))

@@ -24,6 +24,25 @@ def agreement(truth: DataFrame, pred: DataFrame, key: str, features: Sequence[st
     return out.withColumns({"accuracy": F.round(F.col("same") / F.col("n"), 6), "labelled_accuracy": F.round(F.try_divide("tp", "labelled"), 6)})
 
 
+def row_agreement(truth: DataFrame, pred: DataFrame, key: str, features: Sequence[str]) -> DataFrame:
+    """Each row with whether all its features agree, whether it is labelled at all, and the features that differ."""
+    t = truth.select(key, *[F.col(f).cast("string").alias(f"t_{f}") for f in features])
+    p = pred.select(key, *[F.col(f).cast("string").alias(f"p_{f}") for f in features])
+    differs = F.array_compact(F.array(*[F.when(~F.col(f"t_{f}").eqNullSafe(F.col(f"p_{f}")), F.lit(f)) for f in features]))
+    labelled = F.coalesce(*[F.col(f"t_{f}") for f in features]).isNotNull()
+    return t.join(p, key).select(key, (F.size(differs) == 0).alias("exact"), labelled.alias("labelled"), F.array_join(differs, ",").alias("differs"))
+
+
+def set_overlap(truth: DataFrame, pred: DataFrame, key: str, value: str, ranks: Sequence[str]) -> DataFrame:
+    """Of each key in both: equal sets, share of common values, and whether the values that rank first agree."""
+    t = truth.groupBy(key).agg(F.collect_set(value).alias("t"))
+    p = pred.groupBy(key).agg(F.collect_set(value).alias("p"))
+    first = lambda c: F.element_at(F.filter(F.array(*map(F.lit, ranks)), lambda r: F.array_contains(c, r)), 1)
+    common, all_ = F.size(F.array_intersect("t", "p")), F.size(F.array_union("t", "p"))
+    primary = lambda c: F.when(F.arrays_overlap(F.col(c), F.array(*map(F.lit, ranks))), first(F.col(c)))
+    return t.join(p, key).select(key, ((common == F.size("t")) & (common == F.size("p"))).alias("equal"), F.round(F.try_divide(common, all_), 6).alias("overlap"), primary("t").eqNullSafe(primary("p")).alias("same_primary"))
+
+
 def set_agreement(truth: DataFrame, pred: DataFrame, key: str, value: str) -> DataFrame:
     """Per class what was hit, missed and found too much, over keys that both have."""
     t = truth.groupBy(key).agg(F.collect_set(value).alias("t"))

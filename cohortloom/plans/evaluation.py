@@ -27,6 +27,27 @@ def e2(t):
     return E.set_agreement(t.lineitem.where("l_linenumber <= 3"), t.lineitem.where("l_linenumber >= 3"), "l_orderkey", "l_returnflag")
 
 
+@query(
+    "E1_row_agreement",
+    """SELECT l.image_name, l.laterality IS NOT DISTINCT FROM i.laterality AND l.kind IS NOT DISTINCT FROM i.area AS exact, l.laterality IS NOT NULL OR l.kind IS NOT NULL AS labelled,
+  concat_ws(',', CASE WHEN l.laterality IS DISTINCT FROM i.laterality THEN 'laterality' END, CASE WHEN l.kind IS DISTINCT FROM i.area THEN 'area' END) AS differs
+FROM (SELECT image_name, laterality, CASE kind WHEN 'R' THEN 'BREAST' WHEN 'N' THEN 'AXILLA' END AS kind FROM lesions) l JOIN images i ON l.image_name = i.image_name""",
+)
+def e1b(t):
+    truth = t.lesions.select("image_name", "laterality", F.when(F.col("kind") == "R", "BREAST").when(F.col("kind") == "N", "AXILLA").alias("area"))
+    return E.row_agreement(truth, t.images, "image_name", ["laterality", "area"])
+
+
+@query(
+    "E2_set_overlap",
+    """WITH a AS (SELECT l_orderkey AS k, list_sort(list(DISTINCT l_returnflag)) AS t FROM lineitem WHERE l_linenumber <= 3 GROUP BY 1), b AS (SELECT l_orderkey AS k, list_sort(list(DISTINCT l_returnflag)) AS p FROM lineitem WHERE l_linenumber >= 3 GROUP BY 1)
+SELECT k AS l_orderkey, t = p AS equal, round(len(list_intersect(t, p)) / len(list_distinct(list_concat(t, p))), 6) AS overlap,
+  CASE WHEN list_contains(t, 'R') THEN 'R' WHEN list_contains(t, 'A') THEN 'A' END IS NOT DISTINCT FROM CASE WHEN list_contains(p, 'R') THEN 'R' WHEN list_contains(p, 'A') THEN 'A' END AS same_primary FROM a JOIN b USING (k)""",
+)
+def e2b(t):
+    return E.set_overlap(t.lineitem.where("l_linenumber <= 3"), t.lineitem.where("l_linenumber >= 3"), "l_orderkey", "l_returnflag", ["R", "A"])
+
+
 def boxes(t):
     rows = t.boxes.withColumn("box_id", F.concat_ws("_", "box_id", "part", "supp"))
     return rows.where("role = 'pred'"), rows.where("role = 'gt'")

@@ -47,9 +47,20 @@ def c2(t):
     return rows.select("note_id", F.when(F.col("lesion_diag").startswith("B."), 2).otherwise(1).alias("part"), "path_interpretation")
 
 
-@query("C3_link_timeline", "SELECT kind, count(*) AS n FROM (SELECT 'exam' AS kind FROM exams UNION ALL SELECT 'path' FROM (SELECT DISTINCT path_accession FROM path)) GROUP BY kind")
+@query(
+    "C3_link_timeline",
+    """WITH p AS (SELECT path_accession AS id, min(patient_id) AS patient_id, min(path_ts) AS ts, min(path_laterality) AS side FROM path GROUP BY 1),
+o AS (SELECT *, id % 7 = 0 AS own, CASE WHEN id % 3 = 0 THEN 'S' || id END AS syn FROM p),
+f AS (SELECT o.id, max(struct_pack(t := x.exam_ts, i := x.accession_number)).i AS acc FROM o JOIN exams b ON b.patient_id = o.patient_id AND b.is_biopsy = 'T' AND date_diff('day', b.exam_ts, o.ts) BETWEEN -1 AND 180
+  JOIN exams x ON x.patient_id = o.patient_id AND x.exam_ts < b.exam_ts AND x.study_laterality IN ('BILATERAL', o.side) WHERE NOT own AND o.id % 5 > 0 GROUP BY o.id),
+r AS (SELECT -o.id AS row_id, CASE WHEN own THEN o.id ELSE f.acc END AS acc, o.ts, syn FROM o LEFT JOIN f ON o.id = f.id UNION ALL SELECT accession_number, accession_number, exam_ts, NULL FROM exams),
+l AS (SELECT acc, first(syn ORDER BY ts, -row_id) AS lent FROM r WHERE syn IS NOT NULL AND acc IS NOT NULL GROUP BY acc)
+SELECT row_id, r.acc AS accession_number, coalesce(syn, lent) AS synoptic FROM r LEFT JOIN l ON r.acc = l.acc""",
+)
 def c3(t):
-    return C.link_timeline(exam_rows(t), path_rows(t)).groupBy("kind").agg(F.count("*").alias("n"))
+    own = F.when(F.col("path_id") % 7 == 0, F.col("path_id")).alias("accession_number")
+    path = path_rows(t).select("*", own, F.when(F.col("path_id") % 5 > 0, "text").alias("lesion_diag"), F.when(F.col("path_id") % 3 == 0, F.concat(F.lit("S"), "path_id")).alias("synoptic"))
+    return C.link_timeline(exam_rows(t), path).select(F.when(F.col("kind") == "exam", F.col("accession_number")).otherwise(-F.col("path_id")).alias("row_id"), "accession_number", "synoptic")
 
 
 def diagnosed(t):
@@ -168,6 +179,32 @@ def c8b(t):
     return C.load_entities(t.exams, t.images, t.exams.where("modality = 'MG'"))[1].select("image_name")
 
 
+def _load(t):
+    says = F.when(F.col("bi_rads").isin("4A", "4B", "4C", "5", "6"), "MALIGNANT2").when(F.col("bi_rads").isin("1", "2"), "BENIGN1")
+    studies = t.exams.select("patient_id", "accession_number", "study_laterality", says.alias("left_diagnosis"), F.lit(None).cast("string").alias("right_diagnosis"))
+    images = t.images.where("has_calipers = 0 AND darkness > 40").join(t.exams.select("accession_number", "patient_id"), "accession_number").select("patient_id", "accession_number", "image_name", "laterality")
+    return C.load_job(studies, images, t.exams.where("modality = 'MG'"))
+
+
+SEEN = "SELECT e.patient_id, i.* FROM images i JOIN exams e ON i.accession_number = e.accession_number WHERE has_calipers = 0 AND darkness > 40"
+
+
+@query(
+    "C8_load_flags",
+    f"""SELECT accession_number, coalesce(bi_rads IN ('4A', '4B', '4C', '5', '6'), false) AS has_malignant, coalesce(bi_rads IN ('1', '2'), false) AS has_benign FROM exams WHERE patient_id IN (SELECT patient_id FROM ({SEEN}))""",
+)
+def c8c(t):
+    return _load(t)[0].select("accession_number", "has_malignant", "has_benign")
+
+
+@query(
+    "C8_load_new_images",
+    f"""SELECT image_name, coalesce(s.laterality, e.study_laterality) AS laterality FROM ({SEEN}) s JOIN exams e ON s.accession_number = e.accession_number WHERE s.patient_id NOT IN (SELECT patient_id FROM exams WHERE modality = 'MG')""",
+)
+def c8d(t):
+    return _load(t)[1].select("image_name", "laterality")
+
+
 @query(
     "C9_select_new_files",
     """SELECT image_name AS hash FROM images i JOIN exams e ON i.accession_number = e.accession_number WHERE e.modality = 'US' AND i.has_calipers = 0""",
@@ -180,9 +217,14 @@ def c9(t):
     return C.select_new_files(files, cohort, t.images.where("has_calipers = 1").select(F.col("image_name").alias("hash"))).select("hash")
 
 
-@query("C10_image_attributes", "SELECT i.image_name, CASE WHEN study_laterality IN ('LEFT', 'RIGHT') THEN lower(study_laterality) ELSE 'left' END AS laterality, CAST(2 AS INT) AS nipple_dist FROM images i JOIN exams e ON i.accession_number = e.accession_number")
+@query("C10_image_attributes", """SELECT i.image_name, CASE WHEN study_laterality IN ('LEFT', 'RIGHT') THEN lower(study_laterality) WHEN region_count = 1 THEN 'left' ELSE 'right' END AS laterality, CASE WHEN has_calipers = 1 THEN 'axilla' ELSE 'breast' END AS area,
+  CAST(crop_w // 20 % 12 + 1 AS STRING) || ':30' AS clock_pos, CASE WHEN i.accession_number % 30 BETWEEN 1 AND 25 THEN CAST(i.accession_number % 30 AS INT) END AS nipple_dist FROM images i JOIN exams e ON i.accession_number = e.accession_number""")
 def c10(t):
-    return C.image_attributes(t.images.select("image_name", "accession_number", F.lit("LT BREAST 3:00 1-4 CM").alias("caption")), "caption", t.exams).select("image_name", "laterality", "nipple_dist")
+    side = F.when(F.col("region_count") == 1, "LT ").otherwise("RT ")
+    place = F.when(F.col("has_calipers") == 1, "AX ").otherwise("BREAST ")
+    clock = ((F.col("crop_w") / 20).cast("long") % 12 + 1).cast("string")
+    caption = F.concat(side, place, clock, F.lit(":30 "), (F.col("accession_number") % 30).cast("string"), F.lit(" CM"))
+    return C.image_attributes(t.images.select("image_name", "accession_number", caption.alias("caption")), "caption", t.exams).select("image_name", "laterality", "area", "clock_pos", "nipple_dist")
 
 
 @query(
@@ -220,10 +262,50 @@ def c13(t):
     return C.export_dataset(t.images, t.exams, spec).select("accession_number", "laterality", "images", "n_images", "split")
 
 
+def _release(t):
+    return C.export_tables(t.images, t.exams, t.lesions, t.path, ExportSpec(max_darkness=60, allow_calipers=False, mini_share=0.2))
+
+
+SPLIT = f"CASE WHEN {UNIT.format('patient_id')} < 0.15 THEN 'test' WHEN {UNIT.format('patient_id')} < 0.3 THEN 'val' ELSE 'train' END"
+KEPT = f"SELECT i.*, e.patient_id, {SPLIT.replace('patient_id', 'e.patient_id')} AS split FROM images i JOIN exams e ON i.accession_number = e.accession_number WHERE NOT darkness > 60 AND NOT has_calipers <> 0"
+BREASTS = f"""SELECT accession_number, patient_id, unnest(CASE WHEN study_laterality = 'BILATERAL' THEN ['LEFT', 'RIGHT'] ELSE [study_laterality] END) AS laterality, {SPLIT} AS split,
+  CAST(('0x' || md5('42:' || CAST(patient_id AS STRING)))::UHUGEINT % 10000 AS BIGINT) < 2000 AS mini FROM exams WHERE accession_number IN (SELECT accession_number FROM ({KEPT}))"""
+
+
+@query("C13_export_images", f"SELECT image_name, patient_id, split FROM ({KEPT})")
+def c13b(t):
+    return _release(t)["images"].select("image_name", "patient_id", "split")
+
+
+@query("C13_export_lesions", f"SELECT l.image_name, l.kind, k.split FROM lesions l JOIN ({KEPT}) k ON l.image_name = k.image_name")
+def c13c(t):
+    return _release(t)["lesions"].select("image_name", "kind", "split")
+
+
+@query("C13_export_pathology", f"SELECT p.path_accession, p.path_part, p.path_lab, b.split FROM path p JOIN (SELECT DISTINCT patient_id, split FROM ({BREASTS})) b ON p.patient_id = b.patient_id")
+def c13d(t):
+    return _release(t)["pathology"].select("path_accession", "path_part", "path_lab", "split")
+
+
+@query(
+    "C13_export_labelled",
+    f"""SELECT b.accession_number, b.laterality, EXISTS (SELECT 1 FROM path p WHERE p.patient_id = b.patient_id AND p.path_laterality = b.laterality AND p.path_interpretation IN ('MALIGNANT', 'BENIGN')) AS labelled FROM ({BREASTS}) b""",
+)
+def c13e(t):
+    return _release(t)["breasts"].select("accession_number", "laterality", "labelled")
+
+
+@query("C13_export_mini", f"SELECT accession_number, laterality FROM ({BREASTS}) WHERE mini")
+def c13f(t):
+    return _release(t)["breasts_mini"].select("accession_number", "laterality")
+
+
 @query(
     "C14_audit_report",
     """SELECT 'modality.' || modality AS key, count(*) AS value FROM exams GROUP BY 1 UNION ALL SELECT 'side.' || study_laterality, count(*) FROM exams GROUP BY 1 UNION ALL SELECT 'scanner.' || scanner, count(*) FROM images GROUP BY 1
-UNION ALL SELECT unnest(['images.groups', 'images.least', 'images.most']), unnest([count(*), min(n), max(n)]) FROM (SELECT count(*) AS n FROM images GROUP BY accession_number)""",
+UNION ALL SELECT unnest(['images.groups', 'images.least', 'images.most']), unnest([count(*), min(n), max(n)]) FROM (SELECT count(*) AS n FROM images GROUP BY accession_number)
+UNION ALL SELECT 'split.' || CASE WHEN u < 0.15 THEN 'test' WHEN u < 0.3 THEN 'val' ELSE 'train' END || '.' || side, count(*) FROM (SELECT """ + UNIT.format("patient_id") + """ AS u, study_laterality AS side FROM exams) GROUP BY 1
+UNION ALL SELECT unnest(['images.first_year', 'images.last_year']), unnest([min(year(acquired)), max(year(acquired))]) FROM images""",
 )
 def c14(t):
     return C.audit_report(t.exams, t.images)
@@ -232,18 +314,33 @@ def c14(t):
 @query(
     "C15_dataset_stats",
     f"""SELECT 'funnel.' || step AS key, n AS value FROM (SELECT {RULE_SQL} AS step, count(*) AS n FROM images GROUP BY 1) WHERE step IS NOT NULL
-UNION ALL SELECT 'split.' || CASE WHEN u < 0.15 THEN 'test' WHEN u < 0.3 THEN 'val' ELSE 'train' END, count(*) FROM (SELECT {UNIT.format('patient_id')} AS u FROM exams) GROUP BY 1""",
+UNION ALL SELECT 'split.' || CASE WHEN u < 0.15 THEN 'test' WHEN u < 0.3 THEN 'val' ELSE 'train' END, count(*) FROM (SELECT {UNIT.format('patient_id')} AS u FROM exams) GROUP BY 1
+UNION ALL SELECT 'gold.' || split || '.' || kind, count(*) FROM (SELECT kind, CASE WHEN u < 0.15 THEN 'test' WHEN u < 0.3 THEN 'val' ELSE 'train' END AS split FROM (
+  SELECT l.kind, {UNIT.format('e.patient_id')} AS u FROM lesions l JOIN (SELECT *, {RULE_SQL} AS step FROM images) i ON l.image_name = i.image_name JOIN exams e ON i.accession_number = e.accession_number WHERE step IS NULL)) GROUP BY 1""",
 )
 def c15(t):
-    return C.dataset_stats(t.images, t.exams, image_rules())
+    return C.dataset_stats(t.images, t.exams, image_rules(), t.lesions.select("image_name", "kind"))
 
 
 @query(
     "C16_seed_annotations",
-    """SELECT i.image_name, CASE WHEN l.image_name IS NULL THEN 'fallback' ELSE 'linked' END AS outcome FROM images i LEFT JOIN (SELECT DISTINCT image_name FROM lesions WHERE distance_cm > 3) l ON i.image_name = l.image_name""",
+    """SELECT CAST(e.accession_number AS STRING) AS image_name, CASE WHEN n IS NULL THEN 'fallback' WHEN n = 1 THEN 'linked' ELSE 'skipped' END AS outcome FROM exams e
+LEFT JOIN (SELECT accession_number AS k, count(DISTINCT (clock, distance_cm)) AS n FROM lesions WHERE distance_cm > 3 AND clock IS NOT NULL AND ord <= 3 GROUP BY 1) l ON e.accession_number = l.k""",
 )
 def c16(t):
-    return C.seed_annotations(t.lesions.where("distance_cm > 3"), t.images.select("image_name")).select("image_name", "outcome")
+    """An exam's lesions stand in one image: several places make several annotations, and its mask is skipped."""
+    lesions = t.lesions.where("distance_cm > 3 AND clock IS NOT NULL AND ord <= 3").withColumn("image_name", F.col("accession_number").cast("string"))
+    return C.seed_annotations(lesions, t.exams.select(F.col("accession_number").cast("string").alias("image_name"))).select("image_name", "outcome")
+
+
+@query(
+    "C16_frame_views",
+    """SELECT DISTINCT s.annotation, i.image_name AS frame_name FROM images i JOIN (SELECT accession_number, string_agg(DISTINCT image_name, ',' ORDER BY image_name) AS annotation, min(struct_pack(i := image_name, l := laterality)).l AS side FROM lesions
+  WHERE clock IS NOT NULL GROUP BY accession_number, clock, distance_cm) s ON i.accession_number = s.accession_number AND (i.laterality IS NULL OR i.laterality = s.side)""",
+)
+def c16b(t):
+    frames = t.images.select("accession_number", F.col("image_name").alias("frame_name"), "laterality")
+    return C.seed_frame_views(frames, t.lesions.withColumnRenamed("image_name", "lesion_id"))
 
 
 @query(
@@ -254,6 +351,18 @@ def c17(t):
     return C.extraction_queue(t.documents, "doc_id", "text", t.labels.select("doc_id"))
 
 
+@query(
+    "C17_backfill",
+    """SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'old' ELSE r.value END AS value FROM documents d LEFT JOIN (SELECT md5(text) AS h, min(CAST(n_chars AS STRING)) AS value FROM documents
+  WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 0) AND trim(text) <> '' GROUP BY 1) r ON md5(d.text) = r.h AND trim(d.text) <> ''""",
+)
+def c17b(t):
+    rows = t.documents.select("doc_id", "text", F.when(F.col("doc_id") % 3 == 0, "old").alias("value"))
+    done = t.documents.join(t.labels.select("doc_id", "toxic"), "doc_id").where(F.trim("text") != "")
+    results = done.select(F.md5("text").alias("text_hash"), F.col("n_chars").cast("string").alias("value"), F.when(F.col("toxic") == 1, "failed").alias("error"))
+    return C.backfill_extractions(rows, "doc_id", "text", "value", results).select("doc_id", "value")
+
+
 @query("C18_em_rates")
 def c18(t):
     rows = t.lineitem.select("l_orderkey", "l_returnflag", (F.col("l_discount") > 0.05).cast("int").alias("found"))
@@ -281,6 +390,12 @@ def c20(t):
     return C.annotation_sample(t.images, t.lesions.where("clock > 6"), t.images.where("has_calipers = 1").select("image_name"), 25, 4).select("image_name", "split")
 
 
-@query("C21_detector_table", "SELECT positive, count(*) AS n FROM (SELECT CASE WHEN clock > 6 THEN 1 ELSE 0 END AS positive, has_calipers, scanner FROM images i JOIN (SELECT image_name, max(clock) AS clock FROM lesions GROUP BY 1) l ON i.image_name = l.image_name) WHERE positive = 0 OR has_calipers = 0 GROUP BY 1")
+@query(
+    "C21_detector_table",
+    """WITH f AS (SELECT i.image_name, i.has_calipers, i.scanner, EXISTS (SELECT 1 FROM lesions l WHERE l.image_name = i.image_name AND clock > 6) AS pos FROM images i),
+c AS (SELECT *, row_number() OVER (PARTITION BY scanner ORDER BY md5('3:' || image_name), image_name) AS k, count(*) OVER (PARTITION BY scanner) AS n FROM f WHERE pos AND has_calipers = 1),
+r AS (SELECT image_name, 1 AS positive FROM f WHERE pos AND has_calipers = 0 UNION ALL SELECT image_name, 1 FROM c WHERE k <= floor(n * 0.15 + 1e-9) UNION ALL SELECT image_name, 0 FROM f WHERE NOT pos)
+SELECT image_name, positive, CASE WHEN row_number() OVER (PARTITION BY positive ORDER BY md5('3:' || image_name), image_name) <= round(count(*) OVER (PARTITION BY positive) * 0.2) THEN 'test' ELSE 'train' END AS split FROM r""",
+)
 def c21(t):
-    return C.detector_table(t.images, t.lesions.where("clock > 6"), 0.0, 3).groupBy("positive").agg(F.count("*").alias("n"))
+    return C.detector_table(t.images, t.lesions.where("clock > 6"), 0.15, 3).select("image_name", "positive", "split")

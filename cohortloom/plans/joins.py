@@ -49,26 +49,26 @@ def j5(t):
 
 @query(
     "J6_link_events_asof",
-    """WITH ev AS (SELECT patient_id, accession_number AS event_id, exam_ts AS event_ts, study_laterality AS event_side FROM exams WHERE is_biopsy = 'T'),
-ex AS (SELECT patient_id, accession_number AS exam_id, exam_ts FROM exams WHERE is_biopsy = 'F')
-SELECT event_id, path_accession AS path_id, (SELECT max(struct_pack(t := exam_ts, i := exam_id)).i FROM ex WHERE ex.patient_id = ev.patient_id AND ex.exam_ts < ev.event_ts) AS exam_id
-FROM ev JOIN path p ON p.patient_id = ev.patient_id AND date_diff('day', event_ts, path_ts) BETWEEN -1 AND 180 AND (event_side = 'BILATERAL' OR event_side = path_laterality)""",
+    """WITH ev AS (SELECT patient_id, accession_number AS event_id, exam_ts AS event_ts FROM exams WHERE is_biopsy = 'T'),
+ex AS (SELECT patient_id, accession_number AS exam_id, exam_ts, study_laterality AS side FROM exams WHERE is_biopsy = 'F')
+SELECT event_id, path_accession AS path_id, (SELECT max(struct_pack(t := exam_ts, i := exam_id)).i FROM ex WHERE ex.patient_id = ev.patient_id AND ex.exam_ts < ev.event_ts AND ex.side IN ('BILATERAL', p.path_laterality)) AS exam_id
+FROM ev JOIN path p ON p.patient_id = ev.patient_id AND date_diff('day', event_ts, path_ts) BETWEEN -1 AND 180""",
 )
 def j6(t):
-    events = t.exams.where("is_biopsy = 'T'").selectExpr("patient_id", "accession_number AS event_id", "exam_ts AS event_ts", "study_laterality AS event_side")
-    exams = t.exams.where("is_biopsy = 'F'").selectExpr("patient_id", "accession_number AS exam_id", "exam_ts")
+    events = t.exams.where("is_biopsy = 'T'").selectExpr("patient_id", "accession_number AS event_id", "exam_ts AS event_ts")
+    exams = t.exams.where("is_biopsy = 'F'").selectExpr("patient_id", "accession_number AS exam_id", "exam_ts", "study_laterality AS exam_side")
     path = t.path.selectExpr("patient_id", "path_accession AS path_id", "path_ts", "path_laterality AS path_side")
     return J.link_events_asof(events, path, exams).select("event_id", "path_id", "exam_id")
 
 
 @query(
     "J7_link_all_in_window",
-    f"""SELECT accession_number, path_accession, match FROM (SELECT *, row_number() OVER (PARTITION BY accession_number, path_accession ORDER BY days, match) AS k FROM (SELECT accession_number, path_accession, {GAP} AS days,
+    f"""SELECT accession_number, path_accession, match, CASE WHEN accession_number = path_accession THEN 'given' ELSE 'found' END AS source FROM (SELECT *, row_number() OVER (PARTITION BY accession_number, path_accession ORDER BY days, match) AS k FROM (SELECT accession_number, path_accession, {GAP} AS days,
   CASE WHEN study_laterality = path_laterality THEN 'same_side' WHEN study_laterality = 'BILATERAL' THEN 'bilateral_exam' ELSE 'other_side' END AS match
 FROM exams e JOIN path p ON e.patient_id = p.patient_id WHERE is_biopsy = 'F' AND {GAP} BETWEEN 0 AND 240)) WHERE k = 1""",
 )
 def j7(t):
-    return J.link_all_in_window(t.exams.where("is_biopsy = 'F'"), t.path, 240).select("accession_number", "path_accession", "match")
+    return J.link_all_in_window(t.exams.where("is_biopsy = 'F'"), t.path, 240).select("accession_number", "path_accession", "match", "source")
 
 
 @query(
@@ -193,3 +193,17 @@ m AS (SELECT p.image_id, p.box_id, g.box_id AS gt_id, greatest(least(p.x2, g.x2)
 def j21(t):
     boxes = t.boxes
     return J.iou_join(boxes.where("role = 'pred'"), boxes.where("role = 'gt'"), 0.3).select("box_id", "gt_id", "iou")
+
+
+@query(
+    "J12_merge_lesions",
+    """WITH m AS (SELECT l.image_name, d.image_name AS description_id, d.size_cm AS sizing FROM lesions l JOIN lesions d ON l.accession_number = d.accession_number AND abs(l.distance_cm - d.distance_cm) <= 2),
+e AS (SELECT image_name, image_name AS lesion_id, size_cm AS measured FROM lesions WHERE kind <> 'N')
+SELECT m.image_name, m.description_id, CASE WHEN min(lesion_id) IS NULL THEN 'create' ELSE 'update' END AS action, min(lesion_id) AS lesion_id
+FROM m LEFT JOIN e ON m.image_name = e.image_name AND abs(measured - sizing) <= 0.5 GROUP BY 1, 2""",
+)
+def j12b(t):
+    described = t.lesions.select("accession_number", F.col("image_name").alias("description_id"), F.col("distance_cm").alias("d"), F.col("size_cm").alias("sizing_cm"))
+    matched = t.lesions.select("accession_number", "image_name", "distance_cm").join(described, "accession_number").where("abs(distance_cm - d) <= 2")
+    existing = t.lesions.where("kind <> 'N'").select(F.col("image_name").alias("lesion_id"), "image_name", F.col("size_cm").alias("measured_cm"))
+    return J.merge_lesions(existing, matched).select("image_name", "description_id", "action", "lesion_id")

@@ -1,6 +1,8 @@
 """Queries through user functions in SQL."""
 
-from ..functions.surface import register
+from pyspark.sql import functions as F
+
+from ..functions.surface import first_rule, register
 from ..registry import query
 
 
@@ -9,14 +11,14 @@ def sql(t, text, **frames):
     return t.spark.sql(text, **frames)
 
 
-@query("U1_scalar_functions", "SELECT image_name, least(abs(clock - ord) % 12, 12 - abs(clock - ord) % 12) AS d, lower(kind) || ' x' AS caption, 'BENIGN' AS label FROM lesions")
+@query("U1_scalar_functions", "SELECT image_name, least(abs(clock - ord) % 12, 12 - abs(clock - ord) % 12) AS d, lower(kind) || ' x' AS caption, CASE kind WHEN 'R' THEN 'MALIGNANT' ELSE 'BENIGN' END AS label FROM lesions")
 def u1(t):
-    return sql(t, "SELECT image_name, clock_distance(clock, ord) AS d, tidy_caption(concat(kind, '  X ')) AS caption, strip_rank('BENIGN2') AS label FROM {l}", l=t.lesions)
+    return sql(t, "SELECT image_name, clock_distance(clock, ord) AS d, tidy_caption(concat(kind, '  X ')) AS caption, strip_rank(CASE kind WHEN 'R' THEN 'MALIGNANT4' ELSE 'BENIGN2' END) AS label FROM {l}", l=t.lesions)
 
 
 @query("U2_aggregate_function", "SELECT patient_id, string_agg(DISTINCT modality, '; ' ORDER BY modality) AS modalities FROM exams GROUP BY patient_id")
 def u2(t):
-    return sql(t, "SELECT patient_id, join_unique(modality) AS modalities FROM {e} GROUP BY patient_id", e=t.exams)
+    return sql(t, "SELECT patient_id, join_values(collect_set(modality)) AS modalities FROM {e} GROUP BY patient_id", e=t.exams)
 
 
 @query("U3_table_function", "SELECT note_id, note_part, note_lab, 'B' AS letter FROM notes WHERE note_lab % 2 = 0")
@@ -26,11 +28,6 @@ def u3(t):
 
 @query("U5_pattern_tables", "SELECT report_id, CASE d WHEN 1 THEN 'x-ray' WHEN 3 THEN 'magnetic' ELSE 'sound' END AS code FROM reports")
 def u5(t):
-    """Rules as rows: a pattern table joined to the texts; the first rule in order wins."""
+    """Rules as rows: a small pattern table becomes one expression; the first rule in order wins."""
     rules = t.spark.createDataFrame([(1, "MAMMO", "x-ray"), (2, r"\bMR\b", "magnetic"), (3, r"\bUS\b", "sound")], "rule int, pattern string, code string")
-    return sql(
-        t,
-        "SELECT report_id, min_by(code, rule) AS code FROM {r} JOIN {p} ON description RLIKE pattern GROUP BY report_id",
-        r=t.reports,
-        p=rules,
-    )
+    return t.reports.select("report_id", first_rule(rules, F.col("description")).alias("code"))

@@ -191,10 +191,32 @@ def test_links_by_stretches_equal_loops(spark):
                 want[i, j] = min(want.get((i, j), new), new)
     got = {(r.accession_number, r.path_accession): (r.days, r.match) for r in J.link_all_in_window(e, p, 240).collect()}
     assert got == want and len(want) > 50
-    ev = e.toDF("patient_id", "event_id", "event_ts", "event_side")
+    ev = e.select("patient_id", F.col("accession_number").alias("event_id"), F.col("exam_ts").alias("event_ts"))
     pt = spark.createDataFrame([(a, k, c, d) for k, (a, _, c, d) in enumerate(path)], "patient_id long, path_id long, path_ts timestamp, path_side string")
-    linked = {(r.event_id, r.path_id) for r in J.link_events_asof(ev, pt, e.select("patient_id", F.col("accession_number").alias("exam_id"), "exam_ts")).collect()}
-    assert linked == {(i, k) for q, i, ts, s in exams for k, (r, _, pts, d) in enumerate(path) if q == r and -1 <= (pts - ts).days <= 180 and s is not None and (s == "BILATERAL" or s == d)}
+    linked = J.link_events_asof(ev, pt, e.toDF("patient_id", "exam_id", "exam_ts", "exam_side")).collect()
+    want = {}
+    for q, i, ts, _ in exams:
+        for k, (r, _, pts, side) in enumerate(path):
+            if q == r and -1 <= (pts - ts).days <= 180:
+                before = [(x[2], x[1]) for x in exams if x[0] == q and x[2] < ts and side is not None and x[3] in (side, "BILATERAL")]
+                want[i, k] = max(before)[1] if before else None
+    assert {(r.event_id, r.path_id): r.exam_id for r in linked} == want and len(linked) == len(want)
+    assert any(x is not None for x in want.values())
+
+
+def test_load_backfill_and_frame_views(spark):
+    studies = spark.createDataFrame([(1, 10, "LEFT", "MALIGNANT1", None), (1, 11, None, None, "BENIGN2"), (2, 20, "RIGHT", None, None), (3, 30, "LEFT", None, None)], "patient_id long, accession_number long, study_laterality string, left_diagnosis string, right_diagnosis string")
+    images = spark.createDataFrame([(1, 10, "a", None), (1, 99, "b", "LEFT"), (2, 20, "c", "LEFT"), (9, 90, "d", None)], "patient_id long, accession_number long, image_name string, laterality string")
+    present = spark.createDataFrame([(2, 20)], "patient_id long, accession_number long")
+    kept, new = C.load_job(studies, images, present)
+    assert sorted((r.accession_number, r.has_malignant, r.has_benign) for r in kept.collect()) == [(10, True, False), (11, False, True), (20, False, False)]
+    assert [(r.image_name, r.laterality) for r in new.collect()] == [("a", "LEFT")]
+    rows = spark.createDataFrame([(1, "x", None), (2, "x", "own"), (3, "y", None), (4, " ", None), (5, None, None)], "id long, text string, value string")
+    results = spark.createDataFrame([("x", "done", None), ("y", "half", "failed"), (" ", "blank", None)], "text string, value string, error string").select(F.md5("text").alias("text_hash"), "value", "error")
+    assert {r.id: r.value for r in C.backfill_extractions(rows, "id", "text", "value", results).collect()} == {1: "done", 2: "own", 3: None, 4: None, 5: None}
+    lesions = spark.createDataFrame([(1, 3, 2.0, "LEFT", 1.0, "p"), (1, 3, 2.0, "LEFT", 2.0, "q"), (1, 9, 2.0, None, 1.0, "r"), (1, None, 2.0, "LEFT", 1.0, "s")], "accession_number long, clock long, distance_cm double, laterality string, size_cm double, lesion_id string")
+    frames = spark.createDataFrame([(1, "f1", "LEFT"), (1, "f2", "RIGHT"), (1, "f3", None), (2, "f4", None)], "accession_number long, frame_name string, laterality string")
+    assert sorted(map(tuple, C.seed_frame_views(frames, lesions).collect())) == [("p,q", "f1"), ("p,q", "f3"), ("r", "f1"), ("r", "f2"), ("r", "f3")]
 
 
 def boxes(rng, n, image):
