@@ -288,3 +288,47 @@ def test_em_rates_equal_loops(spark):
             break
     assert {c: n for c, (_, n) in got.items()} == {c: sum(x == c for _, x, _ in rows) for c in "abc"}
     assert all(abs(got[c][0] - rates[c]) < 1e-9 for c in rates)
+
+
+def test_override_audit_equals_loops(spark):
+    rng = random.Random(6)
+    values = [None, "BENIGN1", "MALIGNANT0", "MALIGNANT2"]
+    rows = []
+    for _ in range(200):
+        row = []
+        for _ in range(2):
+            prior = rng.choice(values)
+            row += [prior, rng.choice(["BENIGN4", "MALIGNANT4"]) if rng.random() < 0.4 else prior]
+        rows.append(tuple(row))
+    want = {}
+    for left_prior, left, right_prior, right in rows:
+        for side, old, new in (("left", left_prior, left), ("right", right_prior, right)):
+            if new and new.endswith("4"):
+                change = "filled_empty" if old is None else "equivalent" if old[:3] == new[:3] else "disagreement"
+                want[side, change] = want.get((side, change), 0) + 1
+    found = C.override_audit(spark.createDataFrame(rows, "left_prior string, left_diagnosis string, right_prior string, right_diagnosis string"))
+    assert {(r.side, r.change): r.n for r in found.collect()} == want and len(want) == 6
+
+
+def test_final_dataset_on_literal_rows(spark):
+    """Links, rules, prior positives, duplicates and unlabelled biopsies in one small cohort."""
+    day = lambda y, d: datetime.fromordinal(datetime(y, 1, 1).toordinal() + d)
+    exams = [
+        (1, 10, day(2020, 0), "LEFT", "4A", "F", "US"),
+        (1, 11, day(2020, 10), "LEFT", None, "T", "US"),
+        (1, 12, day(2021, 0), "LEFT", "2", "F", "US"),
+        (2, 20, day(2020, 0), "RIGHT", "1", "F", "US"),
+        (2, 21, day(2021, 0), "RIGHT", "1", "F", "MG"),
+        (3, 30, day(2020, 0), "LEFT", None, "T", "MG"),
+        (4, 40, day(2020, 0), "LEFT", "0", "F", "MG"),
+    ]
+    path = [(1, 900, day(2020, 12), "LEFT", "MALIGNANT")]
+    e = spark.createDataFrame(exams, "patient_id long, accession_number long, exam_ts timestamp, study_laterality string, bi_rads string, is_biopsy string, modality string")
+    p = spark.createDataFrame(path, "patient_id long, path_id long, path_ts timestamp, path_laterality string, path_interpretation string")
+    linked = {(r.kind, r.path_id): r.accession_number for r in C.link_timeline(e, p).where("kind = 'path'").collect()}
+    assert linked == {("path", 900): 10}
+    got = {r.accession_number: r for r in C.final_dataset(e, p).collect()}
+    assert got[10].left_diagnosis == "MALIGNANT2" and got[10].right_diagnosis is None
+    assert not got[10].prior_positive and got[12].prior_positive
+    assert got[20].right_diagnosis == "BENIGN1"
+    assert 30 not in got and 40 not in got
