@@ -6,11 +6,19 @@ Native expressions come first; these wrap them (or a short Python rule) for SQL
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def fold_groups(df: DataFrame, key: str, order: Sequence[str], columns: Sequence[str], start: Column, step: Callable[[Column, Column], Column], finish: Callable[[Column], Column]) -> DataFrame:
+    """U4: a user's function over the ordered rows of each group (a patient's exams): ``step`` folds the rows, ``finish``
+    makes the result. Both are expressions, so no rows leave the engine; a group's rows must fit in one value."""
+    rows = df.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*order, *columns))).alias("_rows"))
+    return rows.select(key, F.aggregate("_rows", start, step, finish).alias("result"))
+
+
 #: Rules of a pattern table that become one expression.
 MAX_RULES = 1000
 

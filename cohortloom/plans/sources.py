@@ -62,6 +62,16 @@ def s8(t):
     return again.groupBy("modality").agg(F.count("*").alias("n"))
 
 
+@query("S8_snapshot_or_csv", "SELECT accession_number, modality, 'csv' AS source FROM exams UNION ALL SELECT accession_number, modality, 'snapshot' FROM exams")
+def s8b(t):
+    csv, path, schema = folder(t, "csv"), folder(t, "snapshot"), "accession_number long, modality string"
+    exams = t.exams.select("modality", "accession_number")
+    io.write_csv(exams, csv)
+    before = io.snapshot_or_csv(t.spark, path, csv, schema).withColumn("source", F.lit("csv"))
+    io.snapshot(exams, path)
+    return before.unionByName(io.snapshot_or_csv(t.spark, path, csv, schema).withColumn("source", F.lit("snapshot")))
+
+
 @query("S9_file_inventory", "SELECT 'modality=' || modality AS parent, 1 AS some FROM exams GROUP BY modality")
 def s9(t):
     path = folder(t, "files")

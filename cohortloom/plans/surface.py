@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.surface import first_rule, register
+from ..functions.surface import first_rule, fold_groups, register
 from ..registry import query
 
 
@@ -26,6 +26,20 @@ def u3(t):
     return sql(t, "SELECT note_id, note_part, note_lab, letter FROM {n}, LATERAL lettered_parts(note)", n=t.notes)
 
 
+@query(
+    "U4_fold_groups",
+    """WITH r AS (SELECT patient_id, is_biopsy, row_number() OVER (PARTITION BY patient_id ORDER BY exam_ts, accession_number) - row_number() OVER (PARTITION BY patient_id, is_biopsy ORDER BY exam_ts, accession_number) AS g FROM exams)
+SELECT patient_id, CAST(coalesce(max(n) FILTER (WHERE is_biopsy = 'F'), 0) AS INT) AS longest FROM (SELECT patient_id, is_biopsy, g, count(*) AS n FROM r GROUP BY 1, 2, 3) GROUP BY patient_id""",
+)
+def u4(t):
+    """Of each patient the longest run of exams without a biopsy."""
+    run = lambda best, now: F.struct(best.alias("best"), now.alias("now"))
+    now = lambda acc, x: F.when(x["is_biopsy"] == "F", acc["now"] + 1).otherwise(0)
+    step = lambda acc, x: run(F.greatest(acc["best"], now(acc, x)), now(acc, x))
+    out = fold_groups(t.exams, "patient_id", ["exam_ts", "accession_number"], ["is_biopsy"], run(F.lit(0), F.lit(0)), step, lambda acc: acc["best"])
+    return out.withColumnRenamed("result", "longest")
+
+
 @query("U5_pattern_tables", "SELECT report_id, CASE d WHEN 1 THEN 'x-ray' WHEN 3 THEN 'magnetic' ELSE 'sound' END AS code FROM reports")
 def u5(t):
     """Rules as rows: a small pattern table becomes one expression; the first rule in order wins."""

@@ -73,6 +73,16 @@ def snapshot(df: DataFrame, path: str, rebuild: bool = False) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def snapshot_or_csv(spark: SparkSession, path: str, csv: str, schema: str) -> DataFrame:
+    """The snapshot, or the CSV files it would be made from where there is none."""
+    return spark.read.parquet(path) if _exists(spark, path) else read_csv_typed(spark, csv, schema)
+
+
+def snapshot_status(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """Name, and whether its snapshot is complete."""
+    return spark.createDataFrame([(n, _exists(spark, p)) for n, p in sorted(paths.items())], "name string, present boolean")
+
+
 def file_inventory(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     """Path, stem and parent folder of the files; only names are read, no content."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(root)
