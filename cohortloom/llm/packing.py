@@ -8,7 +8,8 @@ capacity, the number of windows rises by one and the group is partitioned again.
 
 The last group of a task gives its overhang to sequences whose length is a power of two, which need no padding. Nothing is
 shuffled: groups are formed where the documents are read, and a task holds one group at a time. A task that is run again
-gives the same sequences.
+gives the same sequences if it reads the same rows in the same order, as from a written table; after a shuffle, write the
+documents first.
 
 Nulls and edges: a null or empty text is its end token alone; ids may be null or repeat; a text may have any length; an
 empty table gives no piece.
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents
+from .common import documents, map_arrow
 from .tokens import encoder, load_spec
 
 CAPACITY = 4096
@@ -185,7 +186,7 @@ def pack(
         if packer.out:
             yield rows()
 
-    return source.mapInArrow(run, schema)
+    return map_arrow(source, run, schema)
 
 
 def fill_rate(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:

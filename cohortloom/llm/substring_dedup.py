@@ -2,9 +2,13 @@
 
 A window is ``window`` consecutive words. Its minimiser is the m-mer of words with the least hash among those it holds;
 equal windows have equal minimisers. Consecutive windows that share one travel together, as one packed string of words,
-to the minimiser's bucket (equal strings of a batch once, with their places). There all windows are sorted by a hash and
-equal neighbours are compared word for word, which counts them exactly. Windows that start more than once send the words
-they cover back to their documents.
+to the minimiser's bucket, equal strings of a batch once and with their number. There all windows are sorted by a hash
+and equal neighbours are compared word for word, which counts them exactly.
+
+A bucket returns the strings that hold windows which start more than once, by a 128-bit hash, with the words these cover.
+Where the strings stand is not sent to the buckets, so a passage that a third of the documents hold is as small there as
+any other: the documents are cut into strings once more, and an ordinary join, whose large partitions Spark can split,
+gives each place its words. A bitmap of the returned hashes (8 MB) lets only strings that may be among them travel.
 
 Minimisers that are frequent in a sample of the documents (a common line stands in a third of them) rank behind all
 others, so the windows around such a line spread over the buckets of their other m-mers; what lies wholly within repeated
@@ -18,7 +22,7 @@ apart by id and a hash of the text, and equal rows lose the same words); an empt
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut_lineage, documents, map_batches, text_or_empty, without
+from .common import bitmap, cut_lineage, documents, fields_of, in_bitmap, map_arrow, map_batches, place, row_of, stored, text_or_empty
 
 WINDOW = 35
 MINIMISER = 4
@@ -134,32 +138,26 @@ def _chunks(batches, columns: int) -> Iterator[tuple[list[list], list[str | None
                 a, size = i + 1, 0
 
 
-def _pack(strings: list[bytes], places: list[list[tuple[int, int, int]]]) -> bytes:
-    """Strings and the (has id, id, text hash, first word) places of each, compressed."""
-    flat = [p for ps in places for p in ps]
-    null = np.array([p[0] is None for p in flat], np.uint8)
-    body = [
-        struct.pack("<II", len(strings), len(flat)),
-        np.array([len(s) for s in strings], np.uint32).tobytes(),
-        np.array([len(p) for p in places], np.uint32).tobytes(),
-        null.tobytes(),
-        np.array([p[0] or 0 for p in flat], np.int64).tobytes(),
-        np.array([p[1] for p in flat], np.int64).tobytes(),
-        np.array([p[2] for p in flat], np.uint32).tobytes(),
-        *strings,
-    ]
-    return zstandard.ZstdCompressor(level=3).compress(b"".join(body))
-
-
-def _unpack(blob: bytes) -> tuple[list[bytes], np.ndarray, list[np.ndarray]]:
+def _pack(strings: dict[bytes, int]) -> bytes:
+    """Strings and how often each stands in the batch, compressed."""
+    lengths, times = (np.fromiter(x, np.uint32, len(strings)).tobytes() for x in (map(len, strings), strings.values()))
+    return zstandard.ZstdCompressor(level=3).compress(b"".join([struct.pack("<I", len(strings)), lengths, times, *strings]))
+
+
+def _unpack(blob: bytes) -> tuple[list[bytes], list[int]]:
     raw = zstandard.ZstdDecompressor().decompress(blob)
-    s, p = struct.unpack_from("<II", raw)
-    at, out = 8, []
-    for kind, n in ((np.uint32, s), (np.uint32, s), (np.uint8, p), (np.int64, p), (np.int64, p), (np.uint32, p)):
-        out.append(np.frombuffer(raw, kind, n, at))
-        at += np.dtype(kind).itemsize * n
-    cuts = at + np.concatenate(([0], np.cumsum(out[0], dtype=np.int64)))
-    return [raw[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())], out[1], out[2:]
+    (n,) = struct.unpack_from("<I", raw)
+    lengths, times = np.frombuffer(raw, np.uint32, n, 4), np.frombuffer(raw, np.uint32, n, 4 + 4 * n)
+    cuts = (4 + 8 * n + np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))).tolist()
+    return [raw[a:b] for a, b in zip(cuts, cuts[1:])], times.tolist()
+
+
+def string_keys(strings: Iterable[bytes]) -> np.ndarray:
+    """Two signed numbers for each string, its XXH3 of 128 bits."""
+    import xxhash
+
+    digest = xxhash.xxh3_128_digest
+    return np.frombuffer(b"".join([digest(s) for s in strings]), np.int64).reshape(-1, 2)
 
 
 def repeated_windows(strings: list[bytes], times: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -196,26 +194,27 @@ def covered_ranges(docs: DataFrame, window: int = WINDOW, m: int = MINIMISER, bu
     """(id, th, ranges): word ranges [a, b) of each row of (id, th, text) that repeated windows cover."""
     hot, total = _survey(docs, window, m)
     n_buckets = max(64, total // bucket_bytes)
-    shared = docs.sparkSession.sparkContext.broadcast(hot)
+    context = docs.sparkSession.sparkContext
+    shared = context.broadcast(hot)
 
     def scatter(batches):
-        held: dict[int, dict[bytes, list]] = {}
+        held: dict[int, dict[bytes, int]] = {}
         size = 0
 
         def packed():
-            blobs = [_pack(list(x), list(x.values())) for x in held.values()]
+            blobs = [_pack(x) for x in held.values()]
             out = pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
             held.clear()
             return out
 
-        for (ids, ths), texts in _chunks(batches, 2):
-            line, starts, ends, first, last, doc, least, lengths = _super_kmers(texts, window, m, shared.value)
+        for _, texts in _chunks(batches, 0):
+            line, starts, ends, first, last, _, least, _ = _super_kmers(texts, window, m, shared.value)
             if not len(first):
                 continue
-            base = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-            where = (starts[first], ends[last + window - 2], doc, first - base[doc], _mix(least) % np.uint64(n_buckets))
-            for a, b, d, at, bucket in zip(*(w.tolist() for w in where)):
-                held.setdefault(bucket, {}).setdefault(line[a:b], []).append((ids[d], ths[d], at))
+            where = (starts[first], ends[last + window - 2], _mix(least) % np.uint64(n_buckets))
+            for a, b, bucket in zip(*(w.tolist() for w in where)):
+                strings, s = held.setdefault(bucket, {}), line[a:b]
+                strings[s] = strings.get(s, 0) + 1
                 size += b - a
             if size >= HELD_BYTES:
                 yield packed()
@@ -224,34 +223,43 @@ def covered_ranges(docs: DataFrame, window: int = WINDOW, m: int = MINIMISER, bu
             yield packed()
 
     def gather(table: pa.Table) -> pa.Table:
-        parts = [_unpack(b) for b in table.column("blob").to_pylist()]
-        places: dict[bytes, list[tuple[int, int, int]]] = {}
-        for p, (strings, counts, _) in enumerate(parts):
-            k = 0
-            for s, c in zip(strings, counts.tolist()):
-                places.setdefault(s, []).append((p, k, c))
-                k += c
-        strings = list(places)
-        times = np.fromiter((sum(c for _, _, c in x) for x in places.values()), np.int64, len(strings))
-        flags, lengths = repeated_windows(strings, times, window)
+        count: dict[bytes, int] = {}
+        for blob in table.column("blob").to_pylist():
+            for s, n in zip(*_unpack(blob)):
+                count[s] = count.get(s, 0) + n
+        strings = list(count)
+        flags, lengths = repeated_windows(strings, np.fromiter(count.values(), np.int64, len(count)), window)
         begin = np.cumsum(lengths) - lengths
-        out: tuple[list, ...] = ([], [], [], [])
-        for i in np.unique(np.searchsorted(begin, np.flatnonzero(flags), side="right") - 1).tolist():
-            own = flags[begin[i] : begin[i] + lengths[i]]
-            edge = np.diff(np.concatenate(([0], own.astype(np.int8), [0])))
-            runs = list(zip(np.flatnonzero(edge == 1).tolist(), (np.flatnonzero(edge == -1) + window - 1).tolist()))
-            for p, k, c in places[strings[i]]:
-                null, ids, ths, ats = parts[p][2]
-                for q in range(k, k + c):
-                    at = int(ats[q])
-                    for a, b in runs:
-                        for column, v in zip(out, (None if null[q] else int(ids[q]), int(ths[q]), at + a, at + b)):
-                            column.append(v)
-        return pa.table([pa.array(c, pa.int64()) for c in out], names=["id", "th", "a", "b"])
-
-    packed = docs.select("id", "th", "text").mapInArrow(scatter, "bucket long, blob binary")
-    ranges = packed.groupBy("bucket").applyInArrow(gather, "id long, th long, a long, b long")
-    return ranges.groupBy("id", "th").agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
+        hit = np.unique(np.searchsorted(begin, np.flatnonzero(flags), side="right") - 1).tolist()
+        runs: tuple[list, list] = ([], [])
+        for i in hit:
+            edge = np.diff(np.concatenate(([0], flags[begin[i] : begin[i] + lengths[i]].astype(np.int8), [0])))
+            runs[0].append(np.flatnonzero(edge == 1))
+            runs[1].append(np.flatnonzero(edge == -1) + window - 1)
+        keys = string_keys(strings[i] for i in hit)
+        return pa.table([pa.array(keys[:, 0]), pa.array(keys[:, 1]), *[pa.array(r, pa.list_(pa.int64())) for r in runs]], names=["k1", "k2", "a", "b"])
+
+    packets = map_arrow(docs.select("text"), scatter, "bucket long, blob binary")
+    repeated = packets.groupBy("bucket").applyInArrow(gather, "k1 long, k2 long, a array<long>, b array<long>")
+    repeated = stored(repeated, "repeated")
+    wanted = context.broadcast(bitmap(repeated.select(place(F.col("k1")).alias("p"))))
+
+    def places(batches):
+        for (ids, ths), texts in _chunks(batches, 2):
+            line, starts, ends, first, last, doc, _, lengths = _super_kmers(texts, window, m, shared.value)
+            if not len(first):
+                continue
+            keys = string_keys(line[a:b] for a, b in zip(starts[first].tolist(), ends[last + window - 2].tolist()))
+            good = np.flatnonzero(in_bitmap(wanted.value, keys[:, 0]))
+            at = (first - (np.cumsum(lengths) - lengths)[doc])[good]
+            own = doc[good].tolist()
+            columns = [pa.array(keys[good, 0]), pa.array(keys[good, 1]), pa.array([ids[d] for d in own], pa.int64()), pa.array([ths[d] for d in own], pa.int64()), pa.array(at)]
+            yield pa.RecordBatch.from_arrays(columns, names=["k1", "k2", "id", "th", "at"])
+
+    stand = map_arrow(docs.select("id", "th", "text"), places, "k1 long, k2 long, id long, th long, at long")
+    found = stand.join(repeated, ["k1", "k2"])
+    ranges = F.transform(F.arrays_zip("a", "b"), lambda r: F.struct((F.col("at") + r["a"]).alias("a"), (F.col("at") + r["b"]).alias("b")))
+    return found.select("id", "th", F.explode(ranges).alias("r")).groupBy("id", "th").agg(F.collect_set("r").alias("ranges"))
 
 
 def _survey(docs: DataFrame, window: int, m: int) -> tuple[np.ndarray, int]:
@@ -264,7 +272,7 @@ def _survey(docs: DataFrame, window: int, m: int) -> tuple[np.ndarray, int]:
             keys, n = np.unique(least, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(n, pa.int64()), pa.array([size] + [0] * (len(keys) - 1) if len(keys) else [], pa.int64())], names=["k", "n", "bytes"])
 
-    sample = docs.select("text").sample(SAMPLE, seed=7).mapInArrow(count, "k long, n long, bytes long")
+    sample = map_arrow(docs.select("text").sample(SAMPLE, seed=7), count, "k long, n long, bytes long")
     counted = cut_lineage(sample.groupBy("k").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes")))
     total = counted.agg(F.sum("n"), F.sum("bytes")).first()
     # fewer than HOT_SHARE minimisers can have more than that share
@@ -275,17 +283,16 @@ def _survey(docs: DataFrame, window: int, m: int) -> tuple[np.ndarray, int]:
 def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, m: int = MINIMISER, bucket_bytes: int = BUCKET_BYTES, keep: list[str] | None = None) -> DataFrame:
     """``docs`` with n_words, n_removed and kept_text (words no repeated window covers, joined by one space)."""
     text = text_or_empty(F.col(f"`{text_col}`").cast("string"))
-    slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
-    ranges = covered_ranges(slim, window, m, bucket_bytes).withColumnsRenamed({"id": "__rid", "th": "__rth", "ranges": "__ranges"})
     names = [f.name for f in RESULT]
-    base = docs if keep is None else docs.select(*[F.col(f"`{c}`") for c in keep], *([F.col(f"`{c}`") for c in {id_col, text_col} - set(keep)]))
-    joined = base.withColumn("__th", F.xxhash64(text)).join(
-        ranges, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__rid")) & (F.col("__th") == F.col("__rth")), "left"
-    )
+    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in names]
+    row = row_of(docs, kept) if kept else F.lit(True)
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("th"), text.alias("text"), row.alias("row"))
+    ranges = covered_ranges(rows.select("id", "th", "text"), window, m, bucket_bytes).toDF("r_id", "r_th", "ranges")
+    joined = rows.join(ranges, F.col("id").eqNullSafe(F.col("r_id")) & (F.col("th") == F.col("r_th")), "left").select("row", "text", "ranges")
 
     def run(batches):
         for texts, batch in batches:
-            cut = batch.column(batch.schema.get_field_index("__ranges")).to_pylist()
+            cut = batch.column(0).field(1).to_pylist()
             n_words, n_removed, kept = [], [], []
             for text, spans in zip(texts, cut):
                 line = _plain(text)
@@ -303,13 +310,9 @@ def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col:
                 kept.append(line)
             yield [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array([k.decode("utf-8", "surrogatepass") for k in kept], pa.string())]
 
-    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in names]
-    out = map_batches(joined, text_col, run, RESULT, keep=[*kept, "__ranges"])
-    return without(out, ["__ranges"])
+    return map_batches(joined, "text", run, RESULT, keep=["row", "ranges"]).select(*fields_of("row", kept), *names)
 
 
 def op5_substring_dedup(spark, sf_dir: str) -> DataFrame:
     found = remove_repeated_passages(documents(spark, sf_dir), keep=["doc_id"])
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
-
-

@@ -14,8 +14,8 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Bounds of a worker's memory: a full dictionary is emptied and filled anew. Chunks of several words take half of it.
-MAX_PIECES = 1_000_000
+#: Bounds of a worker's memory: a full dictionary is emptied and filled anew. Chunks of several words take room only while a quarter is free.
+MAX_PIECES = 450_000
 MAX_WORDS = 100_000
 
 # characters whose lower case and normal form are plain; after lower-casing only a-z and the letters from ß on remain
@@ -83,7 +83,7 @@ class Encoder:
             parts = {c: pieces_of(c) for c in new}
             self._learn(list({p for ps in parts.values() for p in ps if p not in known}))
             whole = {c: b"".join([known[p] for p in ps]) for c, ps in parts.items()}
-            if len(known) < MAX_PIECES // 2:
+            if len(known) < MAX_PIECES * 3 // 4:
                 known.update(whole)
             for c, row, at in zip(cut, got, gaps):
                 for k in at:
