@@ -2,11 +2,12 @@
 
 Benchmark texts (questions and answers) and documents are normalised alike: A-Z lower-cased, words are runs of digits,
 letters a-z and characters beyond ASCII. Each run of ``window`` benchmark words (the whole item if it is shorter) is one
-pattern. A document is scanned once; a match is mapped back to word positions and to code-point offsets of the original.
+pattern over the numbers of the benchmark's words; words that no item holds are number zero. A document is scanned once;
+a match is mapped back to word positions and to code-point offsets of the original.
 
-The patterns come from the benchmark alone, whose size is checked: blocks of at most ``block_bytes`` of benchmark text
-make one automaton each, which is broadcast; documents pass the blocks one after the other, so that no block, however
-many there are, has to share memory with another.
+The benchmark is broadcast and each worker builds the automaton, about 110 MB for each MB of benchmark text (measured on
+random words, no two windows alike). A benchmark of more than ``max_bytes`` is refused: raise the limit where workers
+have the memory.
 
 Nulls and edges: a null or empty text has no words; benchmark items without words match nothing; repeated items all
 count; an empty benchmark leaves every document clean; null item ids are reported as ``null``; input columns named like
@@ -15,7 +16,7 @@ a result column are replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -24,10 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut_lineage, documents, map_batches
+from .common import documents, fields_of, map_batches, row_of
 
 WINDOW = 10
-BLOCK_BYTES = 32 << 20
+MAX_BYTES = 8 << 20
 RESULT = T.StructType(
     [
         T.StructField("n_words", T.LongType()),
@@ -46,43 +47,39 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_TABLE).split() if text else []
 
 
-def windows_of(text: str | None, window: int) -> set[bytes]:
-    words = words_of(text)
-    if not words:
-        return set()
-    return {b" ".join(words[i : i + window]) for i in range(max(1, len(words) - window + 1))}
-
-
 @lru_cache(maxsize=2)
 def _automaton(items: tuple[tuple[str, str], ...], window: int):
-    """Patterns stand between spaces, so a match covers whole words; bytes travel as Latin-1 characters."""
+    """(number of each benchmark word, automaton over numbers, words of the shortest pattern); a pattern's value is its words and items."""
     import ahocorasick
 
-    owners: dict[bytes, list[int]] = {}
+    numbers: dict[bytes, int] = {}
+    owners: dict[tuple[int, ...], list[int]] = {}
     for k, (_, text) in enumerate(items):
-        for w in windows_of(text, window):
-            owners.setdefault(w, []).append(k)
-    machine = ahocorasick.Automaton()
-    for w, ks in owners.items():
-        machine.add_word(" " + w.decode("latin-1") + " ", (len(w) + 2, w.count(b" ") + 1, ks))
+        ids = [numbers.setdefault(w, len(numbers) + 1) for w in words_of(text)]
+        for i in range(max(1, len(ids) - window + 1) if ids else 0):
+            own = owners.setdefault(tuple(ids[i : i + window]), [])
+            if not own or own[-1] != k:
+                own.append(k)
+    machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+    for pattern, ks in owners.items():
+        machine.add_word(pattern, (len(pattern), ks))
     if owners:
         machine.make_automaton()
-    return machine if owners else None
+    return numbers, machine if owners else None, min(map(len, owners), default=0)
 
 
-def _scan(text: str | None, machine) -> tuple[int, list[tuple[int, int, list[int]]]]:
+def _scan(text: str | None, numbers: dict[bytes, int], machine, least: int) -> tuple[int, list[tuple[int, int, list[int]]]]:
     """Number of words, and (first word, words, items) of every occurrence."""
     words = words_of(text)
     if not words or machine is None:
         return len(words), []
-    line = " " + b" ".join(words).decode("latin-1") + " "
-    hits, seen, last = [], 0, 0
-    for end, (length, n, items) in machine.iter(line):
-        start = end - length + 1
-        # matches come by their end; count the spaces since the last start in either direction
-        seen += line.count(" ", last, start) if start >= last else -line.count(" ", start, last)
-        last = start
-        hits.append((seen, n, items))
+    get = numbers.get
+    ids = [get(w, 0) for w in words]
+    # a match lies within a stretch of benchmark words: elsewhere the automaton would stay at its root
+    hits = []
+    for stretch in re.finditer(rb"\x01{%d,}" % least, bytes(map(bool, ids))):
+        first, last = stretch.span()
+        hits += [(first + end - n + 1, n, ks) for end, (n, ks) in machine.iter(tuple(ids[first:last]))]
     return len(words), hits
 
 
@@ -97,17 +94,14 @@ def _offsets(text: str, hit: np.ndarray) -> list[list[int]]:
     return [[int(points[starts[a]]), int(points[ends[b - 1]])] for a, b in zip(np.flatnonzero(run == 1), np.flatnonzero(run == -1))]
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
-    """The benchmark in blocks of bounded size, in the order of its items."""
-    rows = benchmark.select(F.col(f"`{item_col}`").cast("string"), F.col(f"`{text_col}`").cast("string"))
-    block, size = [], 0
-    for item, text in rows.toLocalIterator():
-        if block and size + len(text or "") > block_bytes:
-            yield block
-            block, size = [], 0
-        block.append(("null" if item is None else item, text or ""))
-        size += len(text or "")
-    yield block
+def _items(benchmark: DataFrame, item_col: str, text_col: str, max_bytes: int) -> tuple[tuple[str, str], ...]:
+    """The benchmark's items in order, once their size is known to be within the limit."""
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    size = benchmark.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    if size > max_bytes:
+        raise ValueError(f"the benchmark has {size} bytes of text, more than max_bytes = {max_bytes}: its automaton would take some {size >> 20} times 110 MB in each worker")
+    rows = benchmark.select(F.coalesce(F.col(f"`{item_col}`").cast("string"), F.lit("null")), text).collect()
+    return tuple(sorted(map(tuple, rows)))
 
 
 def decontaminate(
@@ -117,47 +111,30 @@ def decontaminate(
     item_col: str = "item_id",
     item_text_col: str = "text",
     window: int = WINDOW,
-    block_bytes: int = BLOCK_BYTES,
+    max_bytes: int = MAX_BYTES,
     keep: list[str] | None = None,
 ) -> DataFrame:
     """``docs`` with n_words, n_hit (words inside any benchmark window), item_ids (sorted strings) and hit_spans.
 
-    ``hit_spans`` are code-point [start, end) ranges of the original text; ranges of different blocks may touch.
+    ``hit_spans`` are code-point [start, end) ranges of the original text.
     """
-    share = docs.sparkSession.sparkContext.broadcast
-    out, before = docs, None
-    for block in _blocks(benchmark, item_col, item_text_col, block_bytes):
-        if before is not None:  # the text must come along for the block to follow
-            out = cut_lineage(_pass(out, before, text_col, window, None, out is docs))
-        before = share(tuple(sorted(block)))
-    return _pass(out, before, text_col, window, keep, out is docs)
-
-
-def _pass(docs: DataFrame, block, text_col: str, window: int, keep: list[str] | None, first: bool) -> DataFrame:
-    prior = ["__item_ids", "__hit_spans"]
-    source = docs if first else docs.withColumnsRenamed({c[2:]: c for c in prior})
-    keep = keep if first or keep is None else [*keep, *prior]
+    shared = docs.sparkSession.sparkContext.broadcast(_items(benchmark, item_col, item_text_col, max_bytes))
 
     def run(batches):
-        items = block.value
-        machine = _automaton(items, window)
-        for texts, batch in batches:
+        items = shared.value
+        built = _automaton(items, window)
+        for texts, _ in batches:
             n_words, n_hit, names, spans = [], [], [], []
-            old_spans = [None] * len(texts) if first else batch.column("__hit_spans").to_pylist()
-            old_names = [None] * len(texts) if first else batch.column("__item_ids").to_pylist()
-            for text, was, had in zip(texts, old_spans, old_names):
-                n, hits = _scan(text, machine)
+            for text in texts:
+                n, hits = _scan(text, *built)
                 hit = None
-                if hits or was:
+                if hits:
                     hit = np.zeros(n, bool)
                     for a, k, _ in hits:
                         hit[a : a + k] = True
-                    for a, b in was or ():
-                        at = len(words_of(text[:a]))
-                        hit[at : at + len(words_of(text[a:b]))] = True
                 n_words.append(n)
                 n_hit.append(0 if hit is None else int(hit.sum()))
-                names.append(sorted({items[k][0] for _, _, ks in hits for k in ks} | set(had or ())))
+                names.append(sorted({items[k][0] for _, _, ks in hits for k in ks}))
                 spans.append([] if hit is None else _offsets(text, hit))
             yield [
                 pa.array(n_words, pa.int64()),
@@ -166,14 +143,14 @@ def _pass(docs: DataFrame, block, text_col: str, window: int, keep: list[str] |
                 pa.array(spans, pa.list_(pa.list_(pa.int64()))),
             ]
 
-    out = map_batches(source, text_col, run, RESULT, keep)
-    return out if first else out.drop(*prior)
+    return map_batches(docs, text_col, run, RESULT, keep)
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The documents without any benchmark window, with the columns they had."""
-    marked = decontaminate(docs.select("*", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")), benchmark, keep=["__row"], **options)
-    return marked.where("n_hit = 0").select("__row.*")
+    packed = docs.select(row_of(docs).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    marked = decontaminate(packed, benchmark, "text", keep=["row"], **options)
+    return marked.where("n_hit = 0").select(*fields_of("row", docs.columns))
 
 
 def op1_decontaminate(spark, sf_dir: str) -> DataFrame:
@@ -186,5 +163,3 @@ def op1_decontaminate(spark, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
-
-

@@ -1,5 +1,7 @@
 import re
 
+import pytest
+
 from cohortloom.llm.decontaminate import decontaminate, drop_contaminated, op1_decontaminate
 
 from conftest import SMALL
@@ -59,22 +61,30 @@ DOCS = [
 ]
 
 
-def test_edges_offsets_and_blocks(spark):
-    docs = spark.createDataFrame(DOCS, "doc_id long, text string, n_words string")
+def test_edges_and_offsets(spark):
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string, n_words string").selectExpr("*", "'r' AS row", "'t' AS __row")
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
-    for block in (1 << 20, 60):
-        rows = decontaminate(docs, bench, block_bytes=block).collect()
-        assert len(rows) == len(DOCS)
-        for r in rows:
-            n, k, names = brute(r.text, ITEMS)
-            assert (r.n_words, r.n_hit) == (n, k)
-            assert set(r.item_ids) == {"null" if x == "None" else x for x in names}
-            assert sum(len(WORD.findall(lower(r.text[a:b]))) for a, b in r.hit_spans) == k
-        one = next(r for r in rows if r.doc_id == 1)
-        assert one.text[one.hit_spans[0][0] : one.hit_spans[-1][1]].lower().startswith("one-two")
+    rows = decontaminate(docs, bench).collect()
+    assert len(rows) == len(DOCS)
+    for r in rows:
+        n, k, names = brute(r.text, ITEMS)
+        assert (r.n_words, r.n_hit, r.row) == (n, k, "r")
+        assert set(r.item_ids) == {"null" if x == "None" else x for x in names}
+        assert sum(len(WORD.findall(lower(r.text[a:b]))) for a, b in r.hit_spans) == k
+    one = next(r for r in rows if r.doc_id == 1)
+    assert one.text[one.hit_spans[0][0] : one.hit_spans[-1][1]].lower().startswith("one-two")
     left = drop_contaminated(docs, bench)
     assert left.columns == docs.columns
-    assert sorted(r.doc_id for r in left.collect()) == [3, 4, 6]
+    got = left.collect()
+    assert sorted(r.doc_id for r in got) == [3, 4, 6]
+    assert {(r.n_words, r.row, r["__row"]) for r in got} == {("k", "r", "t")}
+
+
+def test_large_benchmark_is_refused(spark):
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string, n_words string")
+    bench = spark.createDataFrame(ITEMS, "item_id long, text string")
+    with pytest.raises(ValueError, match="max_bytes"):
+        decontaminate(docs, bench, max_bytes=100)
 
 
 def test_empty_tables(spark):
