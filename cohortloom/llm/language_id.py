@@ -6,7 +6,8 @@ log probabilities, languages x BUCKETS numbers, is broadcast. Scoring gathers th
 them document by document in numpy, in slices of bounded size, so that a text may have any length.
 
 Training reads at most about ``MAX_TRAIN_DOCS`` documents of each language (the documented bound of the sample); a
-language with fewer documents gives all of them. Only text and label are learned from, and only the text is scored.
+language with fewer documents gives all of them. The model, at most ``MAX_LANGS`` x BUCKETS numbers, and the counts of
+documents of each label have that bound; a label column of more values is refused. Only text and label are learned from, and only the text is scored.
 
 Nulls and edges: a null text or one without letters is ``und`` with score 0; rows with a null label or null text teach
 nothing; without any training row every document is ``und``; ties go to the first language in alphabetical order.
@@ -24,12 +25,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, map_batches
+from .common import documents, map_arrow, map_batches, numbered, renamed
 
 SIZES = (1, 2, 3, 4)
 BUCKETS = 1 << 16
 MAX_TRAIN_DOCS = 20_000
+MAX_LANGS = 256
 SLICE = 1 << 18
+EVIDENCE = 64
+MIN_SCORE = 0.7
 UNKNOWN = "und"
 RESULT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
@@ -124,14 +128,19 @@ def train(
 ) -> tuple[list[str], np.ndarray]:
     """(languages in alphabetical order, log probabilities [buckets, languages])."""
     rows = labelled.select(
-        F.col(f"`{text_col}`").cast("string").alias("__text"),
-        F.col(f"`{lang_col}`").cast("string").alias("__lang"),
-        F.xxhash64(F.col(f"`{key_col}`")).alias("__key"),
-    ).where("__text IS NOT NULL AND __lang IS NOT NULL")
-    per_lang = rows.groupBy("__lang").agg(F.count("*").alias("__n"))
-    share = F.least(F.lit(1.0), F.lit(float(max_docs)) / F.col("__n"))
-    # the model has a row of BUCKETS numbers for each language, so their counts are small beside it
-    sample = rows.join(F.broadcast(per_lang), "__lang").where((F.col("__key") / F.lit(2.0**64) + 0.5) <= share)
+        F.col(f"`{text_col}`").cast("string").alias("text"),
+        F.col(f"`{lang_col}`").cast("string").alias("lang"),
+        F.xxhash64(F.col(f"`{key_col}`")).alias("key"),
+    ).where("text IS NOT NULL AND lang IS NOT NULL")
+    # one row for each language, at most MAX_LANGS of them
+    per_lang = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGS + 1).collect()}
+    if len(per_lang) > MAX_LANGS:
+        raise ValueError(f"{lang_col} has more than {MAX_LANGS} values: is it a language label?")
+    share = F.lit(1.0)
+    for lang, n in per_lang.items():
+        if n > max_docs:
+            share = F.when(F.col("lang") == lang, F.lit(max_docs / n)).otherwise(share)
+    sample = rows.where((F.col("key") / F.lit(2.0**64) + 0.5) <= share)
 
     def count(batches):
         sums: dict[str, np.ndarray] = {}
@@ -154,8 +163,7 @@ def train(
             )
 
     counted = (
-        sample.select("__text", "__lang")
-        .mapInArrow(count, "lang string, bucket int, n long")
+        map_arrow(sample.select("text", "lang"), count, "lang string, bucket int, n long")
         .groupBy("lang", "bucket")
         .agg(F.sum("n").alias("n"))
         .groupBy("lang", F.shiftright("bucket", 10).alias("part"))
@@ -173,22 +181,29 @@ def train(
 
 
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str = "text", sizes: tuple[int, ...] = SIZES, keep: list[str] | None = None) -> DataFrame:
-    """``docs`` with lang_pred and score, the posterior probability of that language (equal priors)."""
+    """``docs`` with lang_pred and score, the posterior probability of that language (equal priors).
+
+    Neighbouring n-grams are far from independent, and the plain posterior of any long text is 1. The evidence of a text
+    therefore counts as that of ``EVIDENCE`` n-grams at most: a text of mixed or unknown language keeps a low score,
+    whatever its length. The language is the same either way.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         langs, table = shared.value
         for texts, _ in batches:
             total = np.zeros((len(texts), max(1, len(langs))))
-            seen = np.zeros(len(texts), bool)
+            seen, grams = np.zeros(len(texts), bool), np.zeros(len(texts))
             for points, owner in _slices(texts):
                 for bucket, doc in _grams(points, owner, sizes, len(table)) if langs else ():
                     if len(doc):
                         first = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
                         total[doc[first]] += np.add.reduceat(table[bucket], first, axis=0, dtype=np.float64)
+                        grams[doc[first]] += np.diff(np.append(first, len(doc)))
                 seen[owner] = True
             best = total.argmax(axis=1)
-            chance = np.exp(total - total.max(axis=1, keepdims=True))
+            weight = np.minimum(1.0, EVIDENCE / np.maximum(grams, 1.0))[:, None]
+            chance = np.exp((total - total.max(axis=1, keepdims=True)) * weight)
             chance /= chance.sum(axis=1, keepdims=True)
             seen &= bool(langs)
             names = [langs[k] if s else UNKNOWN for k, s in zip(best.tolist(), seen.tolist())]
@@ -203,12 +218,11 @@ def fit_held_in(docs: DataFrame, id_col: str = "doc_id", **options) -> tuple[lis
     return train(docs.where(~_held_out(F.col(f"`{id_col}`")) & F.col(f"`{id_col}`").isNotNull()), key_col=id_col, **options)
 
 
-def drop_unidentified(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
+def drop_unidentified(docs: DataFrame, min_score: float = MIN_SCORE, text_col: str = "text") -> DataFrame:
     """The documents whose language is known with at least ``min_score``, with the columns they had."""
-    model = fit_held_in(docs)
-    packed = docs.select(F.col("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
-    judged = predict(packed, model, keep=["__row"])
-    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select("__row.*")
+    plain, names = numbered(docs)
+    judged = predict(plain, fit_held_in(docs, text_col=text_col), names[text_col])
+    return renamed(judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)), names)
 
 
 def op2_language_id(spark, sf_dir: str) -> DataFrame:

@@ -1,4 +1,13 @@
+import math
+import unicodedata
+import zlib
+from collections import Counter
+
+import numpy as np
+
+from cohortloom.llm import language_id as li
 from cohortloom.llm.language_id import drop_unidentified, fit_held_in, op2_language_id, predict
+from conftest import SMALL
 
 
 def test_held_out_accuracy(spark):
@@ -6,8 +15,6 @@ def test_held_out_accuracy(spark):
     truth = {r.doc_id: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     rows = op2_language_id(spark, sf).collect()
     assert len(rows) == len(truth)
-    import zlib
-
     for r in rows:
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
         assert 0 <= r.score <= 1
@@ -34,3 +41,83 @@ def test_edges(spark):
     nothing = predict(docs, fit_held_in(docs.limit(0)))
     assert {r.lang_pred for r in nothing.collect()} == {"und"}
     assert predict(docs.limit(0), model).count() == 0
+
+
+def letters(text):
+    """Runs of lower-case letters, one space around and between them."""
+    out = "".join((c.lower() if len(c.lower()) == 1 else c) if unicodedata.category(c)[0] == "L" else " " for c in text or "")
+    return f" {' '.join(out.split(' '))} " if out.split() else ""
+
+
+def bucket(gram):
+    """The hash of one n-gram in plain integers."""
+    m, h = (1 << 64) - 1, 0
+    for k, c in enumerate(gram, 1):
+        h = (h * 0xD6E8FEB86659FD93 & m) ^ (ord(c) * 0x9E3779B97F4A7C15 + k & m)
+    return ((h ^ h >> 29) * 0xBF58476D1CE4E5B9 & m) >> 40
+
+
+def grams(text, seen):
+    line = " ".join(letters(text).split())
+    line = f" {line} " if line else ""
+    for n in li.SIZES:
+        for i in range(len(line) - n + 1):
+            g = line[i : i + n]
+            if g not in seen:
+                seen[g] = bucket(g) % li.BUCKETS
+            yield seen[g]
+
+
+def test_query_equals_brute_force(spark):
+    """Counts by dictionaries and scores by loops give the same languages and the same probabilities."""
+    docs = [r for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    seen, counts = {}, {}
+    held = {r.doc_id: zlib.crc32(str(r.doc_id).encode()) % 4 == 2 for r in docs}
+    for r in docs:
+        if r.lang is not None and r.text is not None and not held[r.doc_id]:
+            counts.setdefault(r.lang, Counter()).update(grams(r.text, seen))
+    langs = sorted(counts)
+    size = {x: sum(counts[x].values()) + 0.5 * li.BUCKETS for x in langs}
+    table = {x: {b: float(np.float32(math.log((c + 0.5) / size[x]))) for b, c in counts[x].items()} for x in langs}
+    rest = {x: float(np.float32(math.log(0.5 / size[x]))) for x in langs}
+    got = {r.doc_id: r for r in op2_language_id(spark, SMALL).collect()}
+    assert got.keys() == held.keys()
+    for r in docs:
+        own = list(grams(r.text, seen))
+        row = got[r.doc_id]
+        assert row.held_out == held[r.doc_id]
+        if not own:
+            assert (row.lang_pred, row.score) == ("und", 0.0)
+            continue
+        total = [sum(table[x].get(b, rest[x]) for b in own) for x in langs]
+        best = max(range(len(langs)), key=lambda k: (total[k], -k))
+        weight = min(1.0, li.EVIDENCE / len(own))
+        chance = 1 / sum(math.exp((t - total[best]) * weight) for t in total)
+        assert row.lang_pred == langs[best]
+        assert abs(row.score - chance) < 1e-4
+
+
+def test_unclear_documents_go(spark):
+    en, de = "the cat and the dog of the house sat on the mat with a hat", "die Katze und der Hund lagen auf der Matte neben dem alten Haus"
+    rows = [(i, en, "en") for i in range(20)] + [(100 + i, de, "de") for i in range(20)]
+    rows += [(200, " ".join(f"{a} {b}" for a, b in zip(en.split(), de.split())), None), (201, en + " " + de, None), (202, en + " " + en, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("*", "'s' AS score", "'p' AS lang_pred", "1 AS row", "2 AS c0")
+    left = drop_unidentified(docs)
+    assert left.columns == docs.columns
+    got = {r.doc_id: r for r in left.collect()}
+    assert 200 not in got and 201 not in got and 202 in got and len(got) == 41
+    assert {(r.score, r.lang_pred, r.row, r.c0) for r in got.values()} == {("s", "p", 1, 2)}
+
+
+def test_ties_repeated_ids_and_too_many_labels(spark):
+    rows = [(1, "abc", "b"), (1, "abc", "a"), (5, "abc", "a"), (5, "abc", "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = predict(docs, li.train(docs))
+    assert [(r.lang_pred, round(r.score, 6)) for r in found.collect()] == [("a", 0.5)] * 4
+    junk = spark.range(li.MAX_LANGS + 5).selectExpr("id AS doc_id", "'abc' AS text", "string(id) AS lang")
+    try:
+        li.train(junk)
+    except ValueError as e:
+        assert "language label" in str(e)
+    else:
+        raise AssertionError("a junk label column passed")
