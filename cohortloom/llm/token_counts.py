@@ -1,13 +1,18 @@
 """Delta-maintained token counts by source, language and tokenizer version.
 
 A batch of changes (inserted documents, deleted documents, revised counts) becomes signed sums, combined before the
-shuffle, and is committed as the folder of its batch number. Totals are the sums over all committed batches, so they are
-additive: a batch changes them by its sums and nothing is recounted. Committing a batch number again replaces its folder
-by the same sums, which makes repeated and retried commits harmless.
+shuffle. Committing a batch writes its sums and the new totals, which are the totals before plus these sums (both are as
+many rows as there are groups, never the documents), to folders of their own and then adds one entry to the log of
+versions (``operators.versions``); the entry is created only if that version is not there yet. So
+
+* a batch is committed whole or not at all: a crash before the entry leaves folders that nobody reads;
+* a batch number that is committed already is left as it is, whatever the repeated commit brings;
+* of two writers one adds the version, the other reads the log again and goes on from there.
 
 Nulls and edges: null source or language is a group of its own; a null text has no tokens; a null count is zero; a group
-whose documents and tokens are both zero leaves the totals; an empty batch commits as empty; without a commit the totals
-are empty.
+whose documents and tokens are both zero leaves the totals; a delete of what was never inserted counts below zero until
+its insert comes; an empty batch commits as empty; without a commit the totals are empty; input columns named
+``tokenizer`` or ``tokens`` are replaced.
 """
 
 from __future__ import annotations
@@ -17,7 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut_lineage, documents, map_batches, shared_path
+from ..operators import versions as V
+from .common import cut_lineage, documents, map_batches, numbered, shared_path
 from .tokens import encoder, load_spec
 
 KEYS = ("source", "lang", "tokenizer")
@@ -38,12 +44,12 @@ def count_tokens(docs: DataFrame, tokenizers: dict[str, str], text_col: str = "t
                     counts[k][a : a + 256] = [len(ids) // 4 for ids in e.encode(texts[a : a + 256])]
             yield [pa.array([list(c) for c in zip(*counts)] if encoders else [[]] * len(texts), pa.list_(pa.int64()))]
 
-    schema = T.StructType([T.StructField("__counts", T.ArrayType(T.LongType()))])
-    counted = map_batches(docs, text_col, run, schema, keep)
-    rest = [F.col(f"`{c}`") for c in counted.columns if c.lower() not in ("__counts", "tokenizer", "tokens")]
-    return counted.select(*rest, F.posexplode("__counts").alias("__k", "tokens")).select(
-        *rest, F.element_at(F.array(*map(F.lit, names)), F.col("__k") + 1).alias("tokenizer"), "tokens"
-    )
+    schema = T.StructType([T.StructField("counts", T.ArrayType(T.LongType()))])
+    plain, of = numbered(docs if keep is None else docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text_col])]))
+    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("tokenizer", "tokens")]
+    counted = map_batches(plain, of[text_col], run, schema, [of[c] for c in kept])
+    each = counted.select(*[of[c] for c in kept], F.posexplode("counts").alias("k", "tokens"))
+    return each.select(*[F.col(of[c]).alias(c) for c in kept], F.element_at(F.array(*map(F.lit, names)), F.col("k") + 1).alias("tokenizer"), "tokens")
 
 
 def _signed(rows: DataFrame, docs: Column, tokens: Column) -> DataFrame:
@@ -62,38 +68,69 @@ def revisions(rows: DataFrame, old: str = "old_tokens", new: str = "tokens") ->
     return _signed(rows, F.lit(0), F.coalesce(F.col(new), F.lit(0)) - F.coalesce(F.col(old), F.lit(0)))
 
 
-def commit(root: str, batch: int, *changes: DataFrame) -> None:
-    """Commit signed changes under a batch number; the same number again replaces what it had."""
-    rows = changes[0]
-    for more in changes[1:]:
-        rows = rows.unionByName(more)
-    sums = rows.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
-    sums.write.mode("overwrite").parquet(f"{root}/batch={batch}")
+def committed(spark: SparkSession, root: str) -> dict[int, int]:
+    """Batch numbers and their versions."""
+    return {V.entry(spark, root, v)["batch"]: v for v in V.versions(spark, root)}
+
+
+def _write(sums: DataFrame, root: str, name: str) -> str:
+    folder = V.new_folder(root, name)
+    sums.write.parquet(folder)
+    return folder
+
+
+def commit(root: str, batch: int, *changes: DataFrame) -> bool:
+    """Commit signed changes under a batch number; False if that number is committed already, and nothing changes."""
+    spark = changes[0].sparkSession
+    folder = None
+    while batch not in (log := committed(spark, root)):
+        if folder is None:
+            rows = changes[0]
+            for more in changes[1:]:
+                rows = rows.unionByName(more)
+            folder = _write(_summed(rows), root, f"batch-{batch}")
+        sums = spark.read.schema(BATCH).parquet(folder)
+        version = max(log.values(), default=0)
+        before = spark.read.schema(BATCH).parquet(V.entry(spark, root, version)["totals"]) if version else sums.limit(0)
+        after = _write(_summed(before.union(sums)).where("docs <> 0 OR tokens <> 0"), root, f"totals-{version + 1}")
+        try:
+            V.add_entry(spark, root, version + 1, {"batch": batch, "sums": folder, "totals": after})
+            return True
+        except V.StaleVersion:
+            continue  # somebody else has added that version
+    return False
+
+
+def _summed(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
 
 
-def totals(spark: SparkSession, root: str, batches: list[int]) -> DataFrame:
-    """source, lang, tokenizer, docs and tokens over the named committed batches."""
-    if not batches:
+def totals(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """source, lang, tokenizer, docs and tokens after all commits, or as they were at a version."""
+    known = V.versions(spark, root)
+    if not known or version == 0:
         return spark.createDataFrame([], BATCH)
-    rows = spark.read.schema(BATCH).parquet(*[f"{root}/batch={b}" for b in sorted(set(batches))])
-    summed = rows.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
-    return summed.where("docs <> 0 OR tokens <> 0")
+    return spark.read.schema(BATCH).parquet(V.entry(spark, root, version or known[-1])["totals"])
 
 
 def op4_token_counts(spark, sf_dir: str) -> DataFrame:
-    """All documents come in with a provisional count, get their exact one, and the toxic ones leave again.
+    """Totals of all documents by source, language and two tokenizer versions (words and bytes).
 
-    The second batch is committed twice, as after a lost driver.
+    All documents come in with a provisional count and get their exact one; the toxic ones leave and, once they have been
+    looked at, come back. The revision is committed twice, as after a lost driver.
     """
     import public_tokenizers
 
     root = shared_path(spark, "token-counts")
-    docs = documents(spark, sf_dir).select("doc_id", "source", "lang", "text", F.ceil(F.length("text") / 4).cast("long").alias("old_tokens"))
-    counted = count_tokens(docs, {"word_bpe_49k": public_tokenizers.path("word_bpe_49k.json")}, keep=["doc_id", "source", "lang", "old_tokens"])
-    counted = cut_lineage(counted)
+    text = F.coalesce("text", F.lit(""))
+    docs = documents(spark, sf_dir).select("doc_id", "source", "lang", "text", F.ceil(F.length("text") / 4).cast("long").alias("old_tokens"), F.octet_length(text).cast("long").alias("bytes"))
+    counted = cut_lineage(count_tokens(docs, {"word_bpe_49k": public_tokenizers.path("word_bpe_49k.json")}, keep=["doc_id", "source", "lang", "old_tokens", "bytes"]))
+    by_byte = counted.withColumns({"tokenizer": F.lit("utf8_bytes"), "tokens": F.col("bytes")})
     toxic = spark.read.parquet(f"{sf_dir}/labels.parquet").where("toxic = 1").select("doc_id")
-    commit(root, 1, inserts(counted, "old_tokens"))
+    marked = cut_lineage(counted.unionByName(by_byte).join(toxic, "doc_id", "left_semi").drop("bytes"))
+    commit(root, 1, inserts(counted, "old_tokens"), inserts(by_byte))
     for _ in range(2):
         commit(root, 2, revisions(counted))
-    commit(root, 3, deletes(counted.join(toxic, "doc_id", "left_semi")))
-    return totals(spark, root, [1, 2, 3])
+    commit(root, 3, deletes(marked))
+    commit(root, 4, inserts(marked))
+    return totals(spark, root)

@@ -1,11 +1,13 @@
 from collections import Counter
 
 import public_tokenizers
+import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cohortloom.llm.common import shared_path
-from cohortloom.llm.token_counts import commit, count_tokens, deletes, inserts, op4_token_counts, revisions, totals
+from cohortloom.llm import token_counts as tc
+from cohortloom.llm.token_counts import commit, committed, count_tokens, deletes, inserts, op4_token_counts, revisions, totals
 from conftest import SMALL
 
 PATHS = {"word": public_tokenizers.path("word_bpe_49k.json"), "byte": public_tokenizers.path("byte_bpe_50k.json")}
@@ -13,39 +15,67 @@ PATHS = {"word": public_tokenizers.path("word_bpe_49k.json"), "byte": public_tok
 
 def test_query_equals_brute_force(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").collect()
-    toxic = {r.doc_id for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect() if r.toxic == 1}
     t = Tokenizer.from_file(PATHS["word"])
     want = Counter()
     for r, e in zip(docs, t.encode_batch([r.text or "" for r in docs], add_special_tokens=False)):
-        if r.doc_id not in toxic:
-            want[r.source, r.lang, "docs"] += 1
-            want[r.source, r.lang, "tokens"] += len(e.ids)
+        for tokenizer, n in (("word_bpe_49k", len(e.ids)), ("utf8_bytes", len((r.text or "").encode()))):
+            want[r.source, r.lang, tokenizer, "docs"] += 1
+            want[r.source, r.lang, tokenizer, "tokens"] += n
     got = Counter()
     for r in op4_token_counts(spark, SMALL).collect():
-        got[r.source, r.lang, "docs"] += r.docs
-        got[r.source, r.lang, "tokens"] += r.tokens
+        got[r.source, r.lang, r.tokenizer, "docs"] += r.docs
+        got[r.source, r.lang, r.tokenizer, "tokens"] += r.tokens
     assert +got == +want
 
 
-def state(spark, root, batches):
-    return {(r.source, r.lang, r.tokenizer): (r.docs, r.tokens) for r in totals(spark, root, batches).collect()}
+def state(spark, root, version=None):
+    return {(r.source, r.lang, r.tokenizer): (r.docs, r.tokens) for r in totals(spark, root, version).collect()}
 
 
 def test_edges_and_repeated_commits(spark):
     root = shared_path(spark, "counts")
-    rows = [("a", "en", "one two"), (None, None, "x"), ("a", "en", None), ("a", "en", "one two")]
-    docs = spark.createDataFrame(rows, "source string, lang string, text string").selectExpr("*", "7 AS Tokens", "1 AS tokenizer")
+    rows = [("a", "en", "one two"), (None, None, "x"), ("a", "en", None), ("a", "en", "one two"), ("long", "en", "word " * 50_000)]
+    docs = spark.createDataFrame(rows, "source string, lang string, text string").selectExpr("*", "7 AS Tokens", "1 AS tokenizer", "'c' AS counts", "'k' AS k", "'0' AS c0")
     counted = count_tokens(docs, PATHS)
-    assert counted.columns == ["source", "lang", "text", "tokenizer", "tokens"]
-    assert counted.count() == 8
-    assert state(spark, root, []) == {}
-    for _ in range(2):
-        commit(root, 1, inserts(counted))
-    one = state(spark, root, [1, 1])
-    assert one[("a", "en", "word")] == (3, 4) and one[(None, None, "byte")] == (1, 1)
+    assert counted.columns == ["source", "lang", "text", "counts", "k", "c0", "tokenizer", "tokens"]
+    assert counted.count() == 10 and {(r.counts, r.k, r.c0) for r in counted.collect()} == {("c", "k", "0")}
+    assert state(spark, root) == {}
+    assert [commit(root, 1, inserts(counted)) for _ in range(2)] == [True, False]
+    one = state(spark, root)
+    assert one[("a", "en", "word")] == (3, 4) and one[(None, None, "byte")] == (1, 1) and one[("long", "en", "word")] == (1, 50_000)
     word = counted.where("tokenizer = 'word'").withColumn("old_tokens", F.col("tokens")).withColumn("tokens", F.col("tokens") + 10)
+    # a repeated number with other content changes nothing
+    assert not commit(root, 1, deletes(counted)) and state(spark, root) == one
     commit(root, 2, revisions(word), deletes(counted.where("tokenizer = 'byte'")))
-    two = state(spark, root, [1, 2])
-    assert two == {("a", "en", "word"): (3, 34), (None, None, "word"): (1, 11)}
+    two = state(spark, root)
+    assert two == {("a", "en", "word"): (3, 34), (None, None, "word"): (1, 11), ("long", "en", "word"): (1, 50_010)}
     commit(root, 3, inserts(counted.limit(0)))
-    assert state(spark, root, [1, 2, 3]) == two
+    assert state(spark, root) == two and state(spark, root, 1) == one
+
+
+def test_crash_other_writers_and_early_deletes(spark, monkeypatch):
+    root = shared_path(spark, "counts")
+    rows = spark.createDataFrame([("a", "en", "t", 5), ("b", None, "t", None)], "source string, lang string, tokenizer string, tokens long")
+    commit(root, 1, inserts(rows))
+    before = state(spark, root)
+    add = tc.V.add_entry
+
+    def crash(*_):
+        raise OSError("lost")
+
+    monkeypatch.setattr(tc.V, "add_entry", crash)
+    with pytest.raises(OSError):
+        commit(root, 2, inserts(rows))
+    assert state(spark, root) == before and committed(spark, root) == {1: 1}
+
+    def late(spark, root, version, content):  # another writer takes the version first
+        monkeypatch.setattr(tc.V, "add_entry", add)
+        commit(root, 7, deletes(spark.createDataFrame([("new", "en", "t", 3)], rows.schema)))
+        add(spark, root, version, content)
+
+    monkeypatch.setattr(tc.V, "add_entry", late)
+    assert commit(root, 2, inserts(rows))
+    assert committed(spark, root) == {1: 1, 7: 2, 2: 3}
+    assert state(spark, root) == {("a", "en", "t"): (2, 10), ("b", None, "t"): (2, 0), ("new", "en", "t"): (-1, -3)}
+    commit(root, 8, inserts(spark.createDataFrame([("new", "en", "t", 3)], rows.schema)))
+    assert ("new", "en", "t") not in state(spark, root)
