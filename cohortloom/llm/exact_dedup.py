@@ -4,8 +4,10 @@ Sampled splitters range-partition the normalised texts by a bounded content key
 whole text), Spark's external sort puts equal texts next to each other, and the window over the run of neighbours
 compares the texts in full. The row with the chosen (largest or smallest) identifier of each run stays.
 
-Texts that hold more than one in ``HOT_SHARE`` of all rows are counted beforehand (map-side combined); there are at most
-``HOT_SHARE`` of them, so their totals are broadcast and their rows are salted over ``SALTS`` sort keys.
+A text that many rows share would fill one task. Such texts are looked for in a sample of the rows; their rows spread
+over ``SALTS`` sort keys, and the partial runs that the sort leaves are put together again: one row for each run, of a
+few texts (a text with more than one in ``HOT_SHARE`` of the sampled rows; there are fewer than ``HOT_SHARE`` of those).
+A text that the sample misses is one run like any other: the sample spreads work and decides nothing.
 
 Nulls and edges: a null text counts as empty; a null identifier loses against any other; of rows that agree in text and
 identifier exactly one is kept; an empty table gives an empty result; other columns are never touched.
@@ -16,11 +18,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import cut_lineage, documents, fields_of, row_of, text_or_empty
 
 HOT_SHARE = 2000
 SALTS = 64
-PREFIX = 32
+SAMPLE = 0.01
+PREFIX = 64
 
 
 def exact_groups(
@@ -37,51 +40,38 @@ def exact_groups(
     ident: Column = F.col(f"`{id_col}`")
     text = text_or_empty(F.col(f"`{text_col}`").cast("string"))
     text = normalise(text) if normalise else text
-    columns = [ident.alias("__id"), text.alias("__text")]
-    if carry:
-        columns.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    rows = docs.select(*columns).withColumn("__sha", F.sha2("__text", 256))
+    rows = docs.select(ident.alias("id"), text.alias("text"), *([row_of(docs).alias("row")] if carry else [])).withColumn("sha", F.sha2("text", 256))
 
-    best = F.max if keep == "max" else F.min
-    least = max(50, docs.count() // HOT_SHARE)
-    hot = (
-        docs.select(ident.alias("__id"), F.sha2(text, 256).alias("__sha"))
-        .groupBy("__sha")
-        .agg(best("__id").alias("__hot_id"), F.count("*").alias("__hot_n"))
-        .where(F.col("__hot_n") > least)
-    )
-    salt = F.when(F.col("__hot_n").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("__id"), F.lit(SALTS)).cast("int"))
-    dealt = (
-        rows.join(F.broadcast(hot), "__sha", "left")
-        .withColumns({"__prefix": F.substring("__text", 1, PREFIX), "__salt": salt})
-        .repartitionByRange("__prefix", "__sha", "__salt")
-    )
-    order = F.col("__id").desc_nulls_last() if keep == "max" else F.col("__id").asc_nulls_last()
-    run = Window.partitionBy("__prefix", "__sha", "__salt", "__text").orderBy(order)
+    counted = cut_lineage(docs.sample(SAMPLE, seed=11).select(F.sha2(text, 256).alias("sha")).groupBy("sha").agg(F.count("*").alias("n")))
+    least = max(4, (counted.agg(F.sum("n")).first()[0] or 0) // HOT_SHARE)
+    hot = counted.where(F.col("n") > least).select("sha", F.lit(True).alias("hot"))
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).otherwise(0)
+    dealt = rows.join(F.broadcast(hot), "sha", "left").withColumns({"prefix": F.substring("text", 1, PREFIX), "salt": salt, "hot": F.coalesce("hot", F.lit(False))})
+    dealt = dealt.repartitionByRange("prefix", "sha", "salt")
+
+    order = [F.col("id").desc_nulls_last() if keep == "max" else F.col("id").asc_nulls_last()]
+    run = Window.partitionBy("prefix", "sha", "salt", "text").orderBy(*order)
     whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    is_hot = F.col("__hot_n").isNotNull()
     judged = dealt.select(
-        F.col("__id"),
-        F.when(is_hot, F.col("__hot_id")).otherwise(F.first("__id").over(whole)).alias("keep_id"),
-        F.when(is_hot, F.col("__hot_n")).otherwise(F.count("*").over(whole)).alias("group_size"),
-        F.row_number().over(run).alias("__rank"),
-        F.col("__sha").alias("text_sha256"),
-        *(["row"] if carry else []),
-    )
-    kept = (F.col("__rank") == 1) & F.col("__id").eqNullSafe(F.col("keep_id"))
-    return judged.select(
-        F.col("__id").alias(id_col), "keep_id", "group_size", kept.alias("kept"), "text_sha256", *(["row"] if carry else [])
+        "id", "sha", "hot", F.first("id").over(whole).alias("keep_id"), F.count("*").over(whole).alias("group_size"), F.row_number().over(run).alias("rank"), *(["row"] if carry else [])
     )
+    judged = cut_lineage(judged) if not hot.isEmpty() else judged
+    # the partial runs of hot texts: at most SALTS rows for each
+    best = F.max if keep == "max" else F.min
+    parts = judged.where("hot AND rank = 1").groupBy("sha").agg(best("keep_id").alias("all_id"), F.sum("group_size").alias("all_n"))
+    judged = judged.join(F.broadcast(parts), "sha", "left")
+    keep_id, size = F.when(F.col("hot"), F.col("all_id")).otherwise(F.col("keep_id")), F.coalesce("all_n", "group_size")
+    # of a hot text the null ids lie in one run (their salt is the same), and so do equal ids
+    kept = (F.col("rank") == 1) & F.col("id").eqNullSafe(keep_id)
+    return judged.select(F.col("id").alias(id_col), keep_id.alias("keep_id"), size.alias("group_size"), kept.alias("kept"), F.col("sha").alias("text_sha256"), *(["row"] if carry else []))
 
 
 def drop_exact_duplicates(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    return exact_groups(docs, carry=True, **options).where("kept").select("row.*")
+    return exact_groups(docs, carry=True, **options).where("kept").select(*fields_of("row", docs.columns))
 
 
 def op9_exact_dedup(spark, sf_dir: str) -> DataFrame:
-    from .common import documents
-
     return exact_groups(documents(spark, sf_dir), keep="max")
 
 

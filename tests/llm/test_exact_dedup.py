@@ -36,7 +36,8 @@ def brute(rows, best):
 def test_edges(spark, monkeypatch):
     docs = spark.createDataFrame(ROWS, "doc_id long, text string").selectExpr("*", "'k' AS keep_id", "1 AS row")
     many = spark.createDataFrame([(i, "hot") for i in range(300)], "doc_id long, text string").selectExpr("*", "'k' AS keep_id", "1 AS row")
-    for keep, best in (("max", max), ("min", min)):
+    for keep, best, share in (("max", max, 0.01), ("min", min, 0.01), ("max", max, 1.0), ("min", min, 1.0)):
+        monkeypatch.setattr(ed, "SAMPLE", share)  # the whole table as sample: the 300 rows are salted
         found = exact_groups(docs.union(many), keep=keep)
         assert sorted((str(r.doc_id), str(r.keep_id), r.group_size, r.kept, r.text_sha256) for r in found.collect()) == brute([*ROWS, *((i, "hot") for i in range(300))], best)
     left = drop_exact_duplicates(docs, keep="max")
