@@ -6,10 +6,12 @@ the set bits of each two-bit segment; its Manhattan distance is never more than
 one of the grid cells that three bands name. Within a cell the join keeps pairs within the Manhattan bound and then
 verifies the Hamming distance exactly.
 
-Equal fingerprints are one point (copies never meet). Cells of more than ``HOT_CELL`` points, as a large group of near
-copies makes them, pass by another exact way: two points differ in at most k bits just if one flips floor(k/2) bits and
-the other ceil(k/2) to meet, so each point of such a cell visits the values near it, and all visitors of a value are
-linked to the least of them that needs the fewer flips. That is linear in the points.
+Equal fingerprints are one point (copies never meet). The points of a crowded cell (more than ``HOT_CELL``) are dealt out
+again: the segments that its three bands leave form ``max_bits + 3`` finer bands, of which two near points again agree in
+at least three. What is still crowded then is a dense cloud of fingerprints, as a very large group of near copies makes
+it, whose links are as many as its pairs. Its points are joined without pairs: two points differ in at most k bits just
+if one flips floor(k/2) bits and the other ceil(k/2) to meet, so each point visits the values near it, and all visitors
+of a value are linked to the least of them that needs the fewer flips. That is linear in the points and loses no link.
 
 Links are closed to components by alternating stars; fingerprints, links and components stay on the executors.
 
@@ -24,16 +26,17 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut_lineage, documents, map_batches, text_or_empty
+from .common import cut_lineage, documents, fields_of, map_batches, row_of, text_or_empty
 from .components import components
 
 WORDS = 5
 MAX_BITS = 3
 HOT_CELL = 64
+LEVELS = 2
 SLICE = 1 << 15
 LOW_BITS = 0x5555555555555555
 
@@ -84,34 +87,51 @@ def manhattan(a: Column, b: Column) -> Column:
     return F.bit_count(low) + 2 * F.bit_count(high.bitwiseAND(F.bitwise_not(low)))
 
 
-def _band_masks(max_bits: int) -> list[int]:
-    """Masks of the digits of each choice of three bands, as signed numbers."""
+def _choices(segments: list[int], max_bits: int) -> list[list[int]]:
+    """The segments of each choice of three among ``max_bits + 3`` bands."""
     n = max_bits + 3
-    cuts = [32 * i // n for i in range(n + 1)]
-    bands = [sum(3 << (2 * s) for s in range(a, b)) for a, b in zip(cuts, cuts[1:])]
-    masks = [sum(chosen) for chosen in combinations(bands, 3)]
-    return [m - (1 << 64) if m >> 63 else m for m in masks]
+    cuts = [len(segments) * i // n for i in range(n + 1)]
+    bands = [segments[a:b] for a, b in zip(cuts, cuts[1:])]
+    return [sorted(sum(chosen, [])) for chosen in combinations(bands, 3)]
+
+
+def _mask(segments: list[int]) -> int:
+    """The digits of these segments, as a signed number."""
+    m = sum(3 << (2 * s) for s in segments)
+    return m - (1 << 64) if m >> 63 else m
 
 
 def links(points: DataFrame, max_bits: int, hot_cell: int = HOT_CELL) -> DataFrame:
     """Edges (a, b) between the distinct fingerprints ``fp``; they connect just what pairs within ``max_bits`` connect."""
+    chosen = _choices(list(range(32)), max_bits)
     grid = points.select("fp", embed(F.col("fp")).alias("e"))
-    named = F.array(*[F.struct(F.lit(i).alias("c"), F.col("e").bitwiseAND(F.lit(m)).alias("cell")) for i, m in enumerate(_band_masks(max_bits))])
-    cells = grid.select("fp", "e", F.inline(named))
-    crowded = cut_lineage(cells.groupBy("c", "cell").agg(F.count("*").alias("n")).where(F.col("n") > hot_cell).select("c", "cell"))
-    calm = cells.join(crowded, ["c", "cell"], "left_anti")
-    a, b = calm.alias("a"), calm.alias("b")
-    near = a.join(
-        b,
-        (F.col("a.c") == F.col("b.c"))
-        & (F.col("a.cell") == F.col("b.cell"))
-        & (F.col("a.fp") < F.col("b.fp"))
-        & (manhattan(F.col("a.e"), F.col("b.e")) <= max_bits)
-        & (F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= max_bits),
-    ).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
+    named = F.array(*[F.struct(F.lit(i).alias("c"), F.col("e").bitwiseAND(F.lit(_mask(x))).alias("cell")) for i, x in enumerate(chosen)])
+    cells, near = grid.select("fp", "e", F.inline(named)), None
+    for level in range(LEVELS):
+        crowded = cut_lineage(cells.groupBy("c", "cell").agg(F.count("*").alias("n")).where(F.col("n") > hot_cell).select("c", "cell"))
+        a, b = (cells.join(crowded, ["c", "cell"], "left_anti").alias(x) for x in "ab")
+        found = a.join(
+            b,
+            (F.col("a.c") == F.col("b.c"))
+            & (F.col("a.cell") == F.col("b.cell"))
+            & (F.col("a.fp") < F.col("b.fp"))
+            & (manhattan(F.col("a.e"), F.col("b.e")) <= max_bits)
+            & (F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= max_bits),
+        ).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
+        near = found if near is None else near.union(found)
+        cells = cells.join(crowded, ["c", "cell"], "left_semi")
+        if level + 1 == LEVELS or crowded.isEmpty():
+            break
+        finer = [[x + y for y in _choices([s for s in range(32) if s not in x], max_bits)] for x in chosen]
+        masks = F.array(*[F.array(*[F.lit(_mask(x)) for x in xs]) for xs in finer])
+        cells = cells.select("fp", "e", "c", F.posexplode(masks[F.col("c")]).alias("j", "m"))
+        cells = cells.select("fp", "e", (F.col("c") * len(finer[0]) + F.col("j")).alias("c"), F.col("e").bitwiseAND(F.col("m")).alias("cell"))
+        chosen = sum(finer, [])
+    if crowded.isEmpty():
+        return near.distinct()
 
     few, many = max_bits // 2, max_bits - max_bits // 2
-    visits = cells.join(crowded, ["c", "cell"], "left_semi").select("fp").distinct()
+    visits = cells.select("fp").distinct()
     visits = visits.withColumns({"value": F.col("fp"), "flips": F.lit(0)})
     for _ in range(many):  # at each step flip one more bit, above the last one, or none
         at = F.col("at") if "at" in visits.columns else F.lit(-1)
@@ -138,14 +158,21 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return rows.join(named, "fp").select(F.col("id"), "th", "fp", "rep")
 
 
+def representatives(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The documents that ``reps`` (id, th: XXH64 of the text) names, one row for each, with all their columns."""
+    # nulls as a column of their own: the join and the search for repeated rows then share one exchange of the texts
+    zero = F.lit(0).cast(docs.schema[id_col].dataType)
+    key = ["is_null", "id", "th"]
+    named = lambda i: [i.isNull().alias("is_null"), F.coalesce(i, zero).alias("id")]
+    wanted = cut_lineage(reps.select(*named(F.col("id")), "th").distinct())
+    text = text_or_empty(F.col(f"`{text_col}`").cast("string"))
+    kept = docs.select(*named(F.col(f"`{id_col}`")), F.xxhash64(text).alias("th"), row_of(docs).alias("row")).join(wanted, key, "left_semi")
+    return kept.dropDuplicates(key).select(*fields_of("row", docs.columns))
+
+
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One document of each component, the one with the least id, with all its columns."""
-    reps = near_groups(docs, id_col, text_col, **options).select(F.col("rep.id").alias("__rid"), F.col("rep.th").alias("__rth"))
-    reps = cut_lineage(reps.distinct())
-    marked = docs.withColumn("__th", F.xxhash64(text_or_empty(F.col(f"`{text_col}`").cast("string"))))
-    kept = marked.join(reps, marked[id_col].eqNullSafe(reps["__rid"]) & (marked["__th"] == reps["__rth"]), "left_semi")
-    once = Window.partitionBy(id_col, "__th").orderBy(F.lit(0))
-    return kept.withColumn("__n", F.row_number().over(once)).where("__n = 1").drop("__n", "__th")
+    return representatives(docs, near_groups(docs, id_col, text_col, **options).select("rep.id", "rep.th"), id_col, text_col)
 
 
 def op10_simhash(spark, sf_dir: str) -> DataFrame:

@@ -49,7 +49,7 @@ def test_query_equals_brute_force(spark):
 
 
 @pytest.mark.parametrize("bits", [2, 3])
-@pytest.mark.parametrize("hot", [64, 1])
+@pytest.mark.parametrize("hot", [64, 4, 1])
 def test_links_connect_what_pairs_connect(spark, bits, hot):
     rng = random.Random(bits)
     values = set()
@@ -81,13 +81,15 @@ def test_manhattan_is_a_lower_bound(spark):
 def test_edges(spark):
     long = " ".join(str(i) for i in range(60_000))
     rows = [(5, "Alpha beta gamma delta"), (2, "alpha  BETA\tgamma\ndelta"), (None, "alpha beta gamma delta"), (7, None), (8, ""), (8, ""), (9, "two words"), (3, long), (4, long + " x")]
-    docs = spark.createDataFrame(rows, "id long, text string").selectExpr("*", "'z' AS fp", "'y' AS rep")
+    docs = spark.createDataFrame(rows, "id long, text string").selectExpr("*", "'z' AS fp", "'y' AS rep", "'h' AS th", "'n' AS __n", "'t' AS __th", "'r' AS row", "'i' AS is_null")
     found = near_groups(docs, "id", words=3, max_bits=2).collect()
     assert len(found) == len(rows)
     assert {(r.id, r.rep.id) for r in found} == {(5, 2), (2, 2), (None, 2), (7, 7), (8, 7), (9, 9), (3, 3), (4, 3)}
     left = drop_near_duplicates(docs, "id")
     assert left.columns == docs.columns
-    assert sorted(r.id for r in left.collect()) == [2, 3, 7, 9]
+    got = left.collect()
+    assert sorted(r.id for r in got) == [2, 3, 7, 9]
+    assert {(r.fp, r.rep, r.th, r["__n"], r["__th"], r.row, r.is_null) for r in got} == {("z", "y", "h", "n", "t", "r", "i")}
     assert near_groups(docs.limit(0), "id").count() == 0
     nulls = docs.where("id IS NULL")
     assert drop_near_duplicates(nulls.union(nulls), "id").count() == 1
