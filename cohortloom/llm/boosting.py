@@ -69,13 +69,13 @@ def to_column(model, features: list[Column]) -> Column:
     return out
 
 
-def threshold(score: np.ndarray, positive: np.ndarray, total: np.ndarray, precision: float, least: int) -> float:
+def threshold(score: np.ndarray, positive: np.ndarray, total: np.ndarray, precision: float) -> float:
     """The lowest score from which on the cells are right with at least that precision; infinite if there is none."""
     best, hits, n = float("inf"), 0, 0
     order = np.argsort(-score, kind="stable")
     for k, i in enumerate(order):
         hits, n = hits + positive[i], n + total[i]
         ends = k + 1 == len(order) or score[order[k + 1]] < score[i]
-        if ends and n >= least and hits / n >= precision:
+        if ends and hits / n >= precision:
             best = float(score[i])
     return best

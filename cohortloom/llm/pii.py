@@ -2,16 +2,28 @@
 
 Base kinds are leftmost matches of fixed patterns that pass a check (octets, Luhn, digit counts). High-recall generators
 propose more, overlapping spans: e-mail addresses with spaced or written-out signs, digit groups as cards or telephone
-numbers with any separators. Format and context of a candidate (kind, length, separators, grouping, key words before it,
-its neighbours) make a small cell; Spark counts, over the whole corpus, how many candidates of each cell hold data that
-pass the check once they are spelled plainly. Boosted trees are fitted to those cells, a threshold for each kind is
-calibrated to ``PRECISION`` on them, and the trees run as CASE expressions. Base spans always stay.
+numbers with any separators. Format and context of a candidate (length, separators, grouping, key words before it, its
+neighbours) make a small cell of features.
+
+The trees learn from labels that neither the base patterns nor the features give:
+
+* right: base spans of the corpus in their own context, rewritten as people disguise them (``[at]``, `` @ ``, other
+  separators, national telephone numbers), as far as a generator proposes the new form;
+* wrong: proposals that no base span meets and whose content fails a check (no top-level domain or a new sentence after
+  the dot; Luhn; too few or too many digits, a date, an ip address);
+* a few fixed examples of both (``EXAMPLES``), so that a small corpus is judged like a large one.
+
+All other proposals teach nothing. Spark counts the lessons of every cell; the trees are fitted to those of one half of
+the texts (by a hash) and a threshold for each generator is calibrated to ``PRECISION`` on the other half. A proposal
+becomes a span if its score reaches the threshold, its content passes the check and no base span meets it. Base spans
+always stay. The texts are searched once: base spans and candidates are checkpointed, the trees run on those.
 
 Patterns start at word edges and never give back what they took, so they stay linear on long runs of one character.
 Offsets come from the lengths of the pieces between matches, summed in blocks, so many matches in one text stay cheap.
 
 Nulls and edges: a null text counts as empty; texts may have any length; ids may be null or repeat (nothing is keyed by
-them); without candidates the trees add nothing; an empty table gives an empty result.
+them); without candidates the trees add nothing; an empty table gives an empty result; input columns may have any name
+(one called as a result, ``base`` or ``spans``, is replaced by ``find_personal_data`` and kept by ``redact``).
 """
 
 from __future__ import annotations
@@ -21,11 +33,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .boosting import fit, scores, threshold, to_column
-from .common import documents, text_or_empty, without
+from .common import cut_lineage, documents, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 PRECISION = 0.97
-LEAST = 20
 BLOCK = 128
 
 # The base patterns. Possessive quantifiers and the look-behind (or the end of the last match) leave the
@@ -42,7 +53,27 @@ EMAIL_LIKE = rf"(?<!{_LOCAL}){_LOCAL}{{1,64}}+\x20?(?:@|\[at\]|\(at\))\x20?{_LAB
 CARD_LIKE = r"(?<![0-9])[0-9](?:[\x20./-]{0,2}[0-9]){11,18}(?![0-9])"
 PHONE_LIKE = r"(?<![0-9A-Za-z])\+?\(?[0-9]{1,4}\)?(?:[\x20./()-]{1,2}[0-9]{2,4}){2,4}(?![0-9A-Za-z])"
 GENERATORS = (("email", EMAIL_LIKE, r"@|\[at\]|\(at\)"), ("card", CARD_LIKE, "[0-9][\\x20./-]?[0-9]"), ("phone", PHONE_LIKE, "[0-9][\\x20./()-]"))
-KEY_WORDS = r"(?i)(?:mail|contact|phone|tel|call|fax|mobile|card|visa|credit|account|payment)[^\n]{0,20}$"
+KEY_WORDS = {
+    "email": r"(?i)(?:mail|contact|write|reach|address)[^\n]{0,20}$",
+    "card": r"(?i)(?:card|visa|credit|debit|account|payment|karte)[^\n]{0,20}$",
+    "phone": r"(?i)(?:phone|tel|call|fax|mobile|cell|contact|number|handy)[^\n]{0,20}$",
+}
+DATE = r"^\(?(?:[0-9]{4}[./-][0-9]{1,2}[./-][0-9]{1,2}|[0-9]{1,2}[./-][0-9]{1,2}[./-][0-9]{2,4})"
+# how a base span is written otherwise: (pattern, replacement) in turn, by a hash of the span
+DISGUISES = {
+    "email": [("@", " [at] "), ("@", "(at)"), ("@", " @ "), (r"@([^.]*)\.", " [at] $1 [dot] "), (r"@([^.]*)\.", "(at)$1(dot)")],
+    "card": [("([0-9]{4})[\\x20-]?(?=[0-9])", "$1."), ("([0-9]{4})[\\x20-]?(?=[0-9])", "$1/"), ("([0-9]{4})[\\x20-]?(?=[0-9])", "$1  ")],
+    "phone": [(r"^\+[0-9]{1,3}[\x20.-]?", ""), (r"^\+[0-9]{1,3}[\x20.-]?\(?", "(0"), (r"^\+", "00"), (r"^\+[0-9]{1,3}[\x20.-]?\(?([0-9]+)\)?", "0$1")],
+}
+# fixed examples: (generator, before, proposal, after, right)
+EXAMPLES = [
+    *[(0, b, s, a, 1) for b in ("mail ", "contact me: ", "") for s in ("bob [at] example.org", "ann.lee (at) mail.example.com", "joe[at]example[dot]net", "eve @ example.com") for a in ("", " ")],
+    *[(0, b, s, a, 0) for b in ("", "see ") for s in ("thanks @alice. see", "home (at) 5. the", "sold @ 3. 50", "it @ noon. then", "a @ b. c") for a in ("", " ")],
+    *[(1, b, s, a, 1) for b in ("card ", "visa: ", "") for s in ("4111.1111.1111.1111", "4111/1111/1111/1111", "5500  0000  0000  0004", "4012 8888 8888. 1881") for a in ("", " ")],
+    *[(1, b, s, a, 0) for b in ("", "no ", "= ") for s in ("12.5 13.5 14.5 15.5 16.5", "1/2/3/4/5/6/7/8/9/10/11/12", "2019.2020.2021.2022", "10.000.000.000.000", "100 200 300 400 500") for a in ("", " ")],
+    *[(2, b, s, a, 1) for b in ("call ", "tel. ", "phone: ") for s in ("(555) 123-4567", "555-123-4567", "030 1234 5678", "(030) 123 4567", "0049 30 123 4567", "555.123.4567") for a in ("", " ")],
+    *[(2, b, s, a, 0) for b in ("", "in ", "= ", "from ") for s in ("2019 2020 2021", "12.50 13.75 100", "2021-01-02 1200", "10 20 30 40 50", "1.25 3.50 2.75", "100/200/300") for a in ("", " ")],
+]
 
 
 def running_sum(values: Column) -> Column:
@@ -107,111 +138,170 @@ def valid(kind: str, s: Column) -> Column:
     return F.when(n.between(12, 19), luhn(digits_of(s))).otherwise(F.lit(False)) if kind == "card" else n.between(9, 15)
 
 
-def base_spans(text: Column) -> Column:
-    """array<struct<start, k, end>> of the base kinds, in order of start and kind."""
+def _base_matches(text: Column) -> Column:
+    """array<struct<start, k, end, s, before, after>> of the base kinds, in order of start and kind."""
     gates = {"email": F.instr(text, "@") > 0, "ip": text.rlike(r"[0-9]\.[0-9]"), "card": text.rlike(r"[0-9][\x20-]?[0-9]"), "phone": text.rlike(r"\+[0-9]")}
 
     def of(k: int, kind: str, pattern: str) -> Column:
         good = F.filter(matches(text, pattern, gates[kind]), lambda m: valid(kind, m["s"]))
-        return F.transform(good, lambda m: F.struct(m["start"].alias("start"), F.lit(k).alias("k"), m["end"].alias("end")))
+        return F.transform(good, lambda m: F.struct(m["start"].alias("start"), F.lit(k).alias("k"), m["end"].alias("end"), *[m[c].alias(c) for c in ("s", "before", "after")]))
 
     return F.array_sort(F.concat(*[of(k, kind, p) for k, (kind, p) in enumerate(zip(KINDS, (EMAIL, IP, CARD, PHONE)))]))
 
 
-def candidates(text: Column) -> Column:
-    """array<struct<k, start, end, label, f0..f6>> of all generators; the spans overlap."""
+def _places(found: Column) -> Column:
+    return F.transform(found, lambda m: F.struct(*[m[c].alias(c) for c in ("start", "k", "end")]))
 
-    def of(g: int, kind: str, pattern: str, gate: str) -> Column:
-        return F.transform(matches(text, pattern, text.rlike(gate)), lambda m: _features(g, kind, m))
 
-    return F.concat(*[of(g, *generator) for g, generator in enumerate(GENERATORS)])
+def base_spans(text: Column) -> Column:
+    """array<struct<start, k, end>> of the base kinds, in order of start and kind."""
+    return _places(_base_matches(text))
 
 
-def _features(g: int, kind: str, m: Column) -> Column:
-    s, before, after = m["s"], m["before"], m["after"]
-    plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(s, r"\[at\]|\(at\)", "@"), r"\[dot\]|\(dot\)", "."), r"\x20", "")
+def _plain_email(s: Column) -> Column:
+    """Written-out signs as signs, without blanks."""
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(s, r"\[at\]|\(at\)", "@"), r"\[dot\]|\(dot\)", "."), r"\x20", "")
+
+
+def _content_passes(kind: str, s: Column) -> Column:
+    """The check of a proposal's content, whatever its format and context."""
     digits = F.length(digits_of(s))
-    label = {
-        "email": plain.rlike(rf"^{_LOCAL}+@{_LABEL}+(\.{_LABEL}+)*\.[A-Za-z]{{2,}}$"),
-        "card": luhn(digits_of(s)),
-        "phone": (s.startswith("+") | before.endswith("+")) & digits.between(9, 15),
-    }[kind]
+    if kind == "email":
+        sentence = s.rlike(r"\.\x20[A-Z]")
+        return _plain_email(s).rlike(rf"^{_LOCAL}+@{_LABEL}+(\.{_LABEL}+)*\.[A-Za-z]{{2,}}$") & ~sentence
+    if kind == "card":
+        return F.coalesce(digits.between(12, 19) & luhn(digits_of(s)), F.lit(False))
+    octets = s.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$")
+    return digits.between(9, 15) & ~s.rlike(DATE) & ~octets
+
+
+def _features(g: int, kind: str, m: Column) -> list[Column]:
+    """Small integers from the format of a proposal and its neighbours; no check of its content."""
+    s, before, after = m["s"], m["before"], m["after"]
     flag = lambda c: c.cast("int")
-    groups = F.size(F.split(s, "[^0-9A-Za-z]+"))
-    return F.struct(
-        F.lit(KINDS.index(kind)).alias("k"),
-        m["start"].alias("start"),
-        m["end"].alias("end"),
-        flag(F.coalesce(label, F.lit(False))).alias("label"),
+    parts = F.split(s, "[^0-9A-Za-z]+")
+    sized = lambda p: F.least(F.length(p), F.lit(5))
+    return [
         F.lit(g).alias("f0"),
         F.least(F.floor(F.length(s) / 4), F.lit(7)).cast("int").alias("f1"),
-        F.when(s.rlike(r"[\[(]at|[\[(]dot|\x20@|@\x20"), 3).when(s.rlike("[./]"), 2).when(s.rlike(r"[\x20-]"), 1).otherwise(0).alias("f2"),
-        F.least(groups, F.lit(5)).alias("f3"),
-        flag(before.rlike(KEY_WORDS)).alias("f4"),
+        F.when(s.rlike(r"\.\x20|\x20\."), 4).when(s.rlike(r"[\[(](at|dot)"), 3).when(s.rlike("[./]|\x20@"), 2).when(s.rlike(r"[\x20-]"), 1).otherwise(0).alias("f2"),
+        F.least(F.size(parts), F.lit(5)).alias("f3"),
+        flag(before.rlike(KEY_WORDS[kind])).alias("f4"),
         (flag(before.rlike(r"[0-9A-Za-z=\"'#$]\z")) + 2 * flag(after.rlike(r"[0-9A-Za-z\"'#$%]"))).alias("f5"),
-        (flag(s.startswith("+") | before.endswith("+")) + 2 * flag(s.contains("("))).alias("f6"),
-    )
+        (flag(s.startswith("(")) + 2 * flag(s.startswith("0"))).alias("f6"),
+        sized(F.try_element_at(parts, F.lit(1))).alias("f7"),
+        sized(F.try_element_at(parts, F.lit(-1))).alias("f8"),
+    ]
 
 
-FEATURES = [f"f{i}" for i in range(7)]
+FEATURES = [f"f{i}" for i in range(9)]
 
 
-def fit_selector(texts: DataFrame, precision: float = PRECISION):
-    """(trees, threshold of each generator) from the cells of all candidates; ``texts`` has a column ``text``."""
-    cells = (
-        texts.select(F.explode(candidates(F.col("text"))).alias("c"))
-        .groupBy(*[F.col(f"c.{f}").alias(f) for f in FEATURES])
-        .agg(F.sum("c.label").alias("good"), F.count("*").alias("n"))
-        .collect()
-    )
-    if not cells:
-        return None, {}
-    x = np.array([[r[f] for f in FEATURES] for r in sorted(cells)])
-    good, n = (np.array([r[c] for r in sorted(cells)], float) for c in ("good", "n"))
-    model = fit(x, good, n)
+def candidates(text: Column) -> Column:
+    """array<struct<start, k, end, passes, f0..f8>> of all generators; the spans overlap."""
+
+    def of(g: int, kind: str, pattern: str, gate: str) -> Column:
+        place = lambda m: [m["start"].alias("start"), F.lit(KINDS.index(kind)).alias("k"), m["end"].alias("end")]
+        return F.transform(matches(text, pattern, text.rlike(gate)), lambda m: F.struct(*place(m), _content_passes(kind, m["s"]).alias("passes"), *_features(g, kind, m)))
+
+    return F.concat(*[of(g, *generator) for g, generator in enumerate(GENERATORS)])
+
+
+def disguised(found: Column) -> Column:
+    """array<struct<f0..f8>>: base matches in other spellings that a generator proposes as a whole."""
+
+    def of(g: int, kind: str, pattern: str) -> Column:
+        own = F.filter(found, lambda m: m["k"] == KINDS.index(kind))
+        ways = DISGUISES[kind]
+
+        def rewrite(m: Column) -> Column:
+            out = m["s"]
+            for i, (what, by) in enumerate(ways):
+                out = F.when(F.pmod(F.xxhash64(m["s"]), F.lit(len(ways))) == i, F.regexp_replace(m["s"], what, by)).otherwise(out)
+            return F.struct(out.alias("s"), m["before"].alias("before"), m["after"].alias("after"))
+
+        new = F.filter(F.transform(own, rewrite), lambda m: m["s"].rlike(rf"^(?:{pattern})$"))
+        return F.transform(new, lambda m: F.struct(*_features(g, kind, m)))
+
+    return F.concat(*[of(g, kind, pattern) for g, (kind, pattern, _) in enumerate(GENERATORS)])
+
+
+def meets(c: Column, spans: Column) -> Column:
+    return F.exists(spans, lambda b: (c["start"] < b["end"]) & (b["start"] < c["end"]))
+
+
+def search(docs: DataFrame, text_col: str, keep: list[str] | None = None) -> DataFrame:
+    """row (the input columns, or ``keep``), half (0 or 1 by a hash of the text), base, candidates and disguised; checkpointed."""
+    text = text_or_empty(F.col(f"`{text_col}`").cast("string"))
+    row = F.struct(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)])
+    found = docs.select(row.alias("row"), text.alias("text")).withColumn("found", _base_matches(F.col("text")))
+    half = F.pmod(F.xxhash64("text"), F.lit(2)).cast("int").alias("half")
+    return cut_lineage(found.select("row", half, _places(F.col("found")).alias("base"), candidates(F.col("text")).alias("candidates"), disguised(F.col("found")).alias("disguised")))
+
+
+def _examples(spark) -> DataFrame:
+    rows = spark.createDataFrame([(g, b, s, a, r) for g, b, s, a, r in EXAMPLES], "g int, before string, s string, after string, good int")
+    m = F.struct("s", "before", "after")
+    per = [rows.where(F.col("g") == g).withColumn("m", m).select("good", *_features(g, kind, F.col("m"))) for g, (kind, _, _) in enumerate(GENERATORS)]
+    return per[0].union(per[1]).union(per[2])
+
+
+def fit_selector(found: DataFrame, precision: float = PRECISION):
+    """(trees, threshold of each generator) from the lessons of ``search``; the other half calibrates."""
+    right = found.select("half", F.lit(1).alias("good"), F.explode("disguised").alias("c"))
+    wrong = F.filter("candidates", lambda c: ~c["passes"] & ~meets(c, F.col("base")))
+    lessons = right.select("half", "good", "c.*").union(found.select("half", F.lit(0).alias("good"), F.explode(wrong).alias("c")).select("half", "good", *[F.col(f"c.{f}") for f in FEATURES]))
+    # the cells are no more than the product of the features' ranges, whatever the corpus
+    cells = sorted(lessons.groupBy("half", *FEATURES).agg(F.sum("good").alias("good"), F.count("*").alias("n")).collect())
+    fixed = [(half, *[r[f] for f in FEATURES], r.good, 1) for half in (0, 1) for r in _examples(found.sparkSession).collect()]
+    half, *rest = (np.array(c) for c in zip(*fixed, *map(tuple, cells)))
+    x, good, n = np.stack(rest[:-2], axis=1), rest[-2].astype(float), rest[-1].astype(float)
+    fitting, held = half == 0, half == 1
+    model = fit(x[fitting], good[fitting], n[fitting])
     score = scores(model, x)
-    limits = {g: threshold(score[x[:, 0] == g], good[x[:, 0] == g], n[x[:, 0] == g], precision, LEAST) for g in range(len(GENERATORS))}
+    limits = {}
+    for g in range(len(GENERATORS)):
+        own = held & (x[:, 0] == g)
+        # never below even odds
+        limits[g] = max(0.0, threshold(score[own], good[own], n[own], precision))
     return model, limits
 
 
-def find_personal_data(docs: DataFrame, text_col: str = "text", precision: float = PRECISION) -> DataFrame:
-    """``docs`` with base (spans of the base patterns) and spans (these and what the trees add): start, k, end."""
-    text = text_or_empty(F.col(f"`{text_col}`").cast("string"))
-    model, limits = fit_selector(docs.select(text.alias("text")), precision)
-    out = without(docs, ["base", "spans"])
-    out = out.withColumn("base", base_spans(text))
-    usable = {g: t for g, t in limits.items() if t < float("inf")}
-    if not usable:
-        return out.withColumn("spans", F.col("base"))
+def _find(docs: DataFrame, text_col: str, precision: float, keep: list[str] | None = None) -> DataFrame:
+    """row, base and spans."""
+    found = search(docs, text_col, keep)
+    model, limits = fit_selector(found, precision)
 
     def chosen(c: Column) -> Column:
         score = to_column(model, [c[f] for f in FEATURES])
-        limit = F.lit(float("inf"))
-        for g, t in usable.items():
-            limit = F.when(c["f0"] == g, F.lit(t - 1e-9)).otherwise(limit)
-        return score >= limit
-
-    gates = [text.rlike(gate) for g, (_, _, gate) in enumerate(GENERATORS) if g in usable]
-    some = gates[0]
-    for gate in gates[1:]:
-        some = some | gate
-    picked = F.transform(F.filter(candidates(text), chosen), lambda c: F.struct(c["start"].alias("start"), c["k"].alias("k"), c["end"].alias("end")))
-    new = F.filter("picked", lambda c: ~F.exists("base", lambda b: (c["start"] < b["end"]) & (b["start"] < c["end"])))
-    out = out.withColumn("picked", F.when(some, picked).otherwise(F.array().cast("array<struct<start:int,k:int,end:int>>")))
-    return out.withColumn("spans", F.array_sort(F.array_distinct(F.concat("base", new)))).drop("picked")
-
-
-def redact(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
+        enough = F.lit(False)
+        for g, t in limits.items():
+            if t < float("inf"):
+                enough = F.when(c["f0"] == g, score >= F.lit(t - 1e-9)).otherwise(enough)
+        return c["passes"] & ~meets(c, F.col("base")) & enough
+
+    added = F.transform(F.filter("candidates", chosen), lambda c: F.struct(*[c[f].alias(f) for f in ("start", "k", "end")]))
+    return found.select("row", "base", F.array_sort(F.array_distinct(F.concat("base", added))).alias("spans"))
+
+
+def find_personal_data(docs: DataFrame, text_col: str = "text", precision: float = PRECISION, keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (or its columns ``keep``) with base (spans of the base patterns) and spans (these and what the trees add): start, k, end."""
+    names = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("base", "spans")]
+    return _find(docs, text_col, precision, keep).select(*[F.col("row").getField(c).alias(c) for c in names], "base", "spans")
+
+
+def redact(docs: DataFrame, text_col: str = "text", precision: float = PRECISION) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; overlapping spans merge, the first one names them."""
-    found = find_personal_data(docs, text_col, **options)
-    text = F.col(f"`{text_col}`")
+    field = F.col("row").getField
+    found = _find(docs, text_col, precision).select("row", "spans", field(text_col).cast("string").alias("text"))
+    text = F.col("text")
     spot = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
     step = lambda acc, s: F.when(s["start"] < acc["at"], F.struct(acc["out"].alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))).otherwise(
         F.struct(F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.element_at(F.array(*map(F.lit, KINDS)), s["k"] + 1), F.lit("]")).alias("out"), s["end"].alias("at"))
     )
     rest = F.aggregate(F.col("spans"), spot, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
     clean = F.when(F.size("spans") == 0, text).otherwise(rest)
-    return found.withColumn("__clean", clean).select(*[(F.col("__clean").alias(c) if c == text_col else F.col(f"`{c}`")) for c in docs.columns])
+    return found.select(*[(clean if c == text_col else field(c)).alias(c) for c in docs.columns])
 
 
 def as_text(spans: Column) -> Column:
@@ -220,7 +310,7 @@ def as_text(spans: Column) -> Column:
 
 
 def op7_personal_data(spark, sf_dir: str) -> DataFrame:
-    found = find_personal_data(documents(spark, sf_dir).select("doc_id", "text"))
+    found = find_personal_data(documents(spark, sf_dir), keep=["doc_id"])
 
     def count(k: int) -> Column:
         return F.size(F.filter("base", lambda s: s["k"] == k)).cast("long").alias(f"n_{KINDS[k]}")

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import numpy as np
@@ -75,18 +76,85 @@ def test_boosting_learns_an_interaction():
     model = fit(x, good, total)
     s = scores(model, x)
     assert s[(x[:, 0] > 1) & (x[:, 1] > 0)].min() > s[~((x[:, 0] > 1) & (x[:, 1] > 0))].max()
-    t = threshold(s, good, total, 0.95, 20)
+    t = threshold(s, good, total, 0.95)
     assert ((s >= t) == (good == 99)).all()
-    assert threshold(s, good * 0, total, 0.95, 20) == float("inf")
-
-
-def test_trees_add_written_out_addresses_and_redaction(spark):
+    assert threshold(s, good * 0, total, 0.95) == float("inf")
+
+
+def card(rng):
+    digits = [4, *(rng.randrange(10) for _ in range(14))]
+    odd = sum(sum(divmod(d * (2 - i % 2), 10)) for i, d in enumerate(reversed(digits)))
+    return "".join(map(str, [*digits, -odd % 10]))
+
+
+def planted(rng, n):
+    """Texts of the small corpus' prose with base spans, disguised ones (their places are returned) and decoys."""
+    prose = "the sample holds many words and some numbers of the year and then it goes on".split()
+    texts, places = [], []
+    for i in range(n):
+        name, host = rng.choice("bob ann joe eve kim lee".split()) + str(i), rng.choice(["example.org", "mail.example.com", "post.example.net"])
+        number = card(rng)
+        quads = [number[k : k + 4] for k in range(0, 16, 4)]
+        area, a, b = rng.randrange(200, 999), rng.randrange(200, 999), f"{rng.randrange(10000):04d}"
+        kind = i % 10
+        what, hidden = [
+            (f"mail {name}@{host}", False), (f"card {' '.join(quads)}", False), (f"call +1 ({area}) {a}-{b}", False),
+            (f"mail {name}{rng.choice([' [at] ', '(at)', ' @ '])}{host}", True), (f"card {rng.choice(['.', '/', '  ']).join(quads)}", True),
+            (f"call {rng.choice([f'({area}) {a}-{b}', f'0{area} {a} {b}', f'{area}-{a}-{b}'])}", True),
+            (f"thanks @{name}. We saw {rng.randrange(9)}.{rng.randrange(99)} and {rng.randrange(99)}.{rng.randrange(99)} of it", None),
+            (f"from 20{rng.randrange(10, 25)} 20{rng.randrange(10, 25)} 20{rng.randrange(10, 25)}", None),
+            (f"home (at) {rng.randrange(9)}. Then on 20{rng.randrange(10, 25)}-0{rng.randrange(1, 9)}-1{rng.randrange(9)}", None),
+            (f"rows {rng.randrange(100)} {rng.randrange(100)} {rng.randrange(100)}", None),
+        ][kind]
+        lead = " ".join(rng.choices(prose, k=rng.randint(3, 12)))
+        text = f"{lead} {what} {' '.join(rng.choices(prose, k=5))}"
+        at = len(lead) + 1
+        start = at + what.index(" ") + 1
+        texts.append(text)
+        places.append((start, at + len(what)) if hidden is not None else None)
+        places[-1] = places[-1] and (*places[-1], hidden)
+    return texts, places
+
+
+def test_trees_add_planted_variants(spark):
+    """Disguised data are found with a precision and recall of at least 0.95; base spans stay as they are."""
+    texts, places = planted(random.Random(3), 3000)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    rows = {r.doc_id: r for r in find_personal_data(docs).collect()}
+    right = added = hidden = 0
+    for i, (text, place) in enumerate(zip(texts, places)):
+        assert as_words(rows[i].base) == brute(text)
+        new = [s for s in rows[i].spans if s not in rows[i].base]
+        assert [s for s in rows[i].spans if s in rows[i].base] == rows[i].base
+        added += len(new)
+        if place and place[2]:
+            hidden += 1
+            right += any((s.start, s.end) == place[:2] for s in new)
+    assert hidden == 900
+    assert right / hidden >= 0.95, (right, hidden)
+    assert right / added >= 0.95, (right, added)
+
+
+def as_words(spans):
+    return ",".join(f"{KINDS[s.k]}:{s.start}:{s.end}" for s in spans)
+
+
+def test_small_corpora_and_large_ones_agree(spark):
+    """A disguised address or number is found alone, too: the fixed examples decide where the corpus teaches nothing."""
+    one = [("mail bob [at] example.org now", "email"), ("tel. (555) 123-4567 please", "phone"), ("card 4111.1111.1111.1111 ok", "card"), ("thanks @alice. See you", None), ("in 2019 2020 2021", None), ("no 12.5 13.5 14.5", None)]
+    for text, kind in one:
+        found = find_personal_data(spark.createDataFrame([(text,)], "text string")).first()
+        assert not found.base and [KINDS[s.k] for s in found.spans] == ([kind] if kind else []), text
+
+
+def test_redaction_and_columns(spark):
     rows = [(f"mail bob{i}@mail{i}.example.com now", "k") for i in range(60)]
     rows += [(f"mail bob{i} [at] mail{i}.example.com now", None) for i in range(60)]
     rows += [(None, "k"), ("nothing 12 here", "k")]
-    docs = spark.createDataFrame(rows, "text string, spans string")
+    taken = ["spans", "base", "picked", "row", "found", "half", "candidates", "disguised", "Base2"]
+    docs = spark.createDataFrame(rows, "text string, spans string").selectExpr("*", *[f"'{c}' AS {c}" for c in taken[1:]])
     found = find_personal_data(docs)
-    assert found.columns == ["text", "base", "spans"]
+    assert found.columns == ["text", *[c for c in taken if c not in ("spans", "base")], "base", "spans"]
     for r in found.collect():
         if r.text and "[at]" in r.text:
             assert not r.base and [(s.start, s.end) for s in r.spans] == [(5, r.text.index(" now"))]
@@ -94,7 +162,10 @@ def test_trees_add_written_out_addresses_and_redaction(spark):
             assert len(r.base) == 1 == len(r.spans)
         else:
             assert not r.spans
+        assert r.picked == "picked" and r.candidates == "candidates"
     clean = redact(docs)
     assert clean.columns == docs.columns
-    assert {r.text for r in clean.collect()} == {"mail [email] now", None, "nothing 12 here"}
+    got = clean.collect()
+    assert {r.text for r in got} == {"mail [email] now", None, "nothing 12 here"}
+    assert all(r[c] == c for r in got for c in taken[1:]) and {r.spans for r in got} == {"k", None}
     assert find_personal_data(docs.limit(0)).count() == 0
