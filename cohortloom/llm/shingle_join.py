@@ -6,15 +6,19 @@ one order of all shingles, two sets of similarity t share a shingle among the fi
 puts shingles last that are frequent in a block of texts, so a passage that many documents hold rarely is in a prefix;
 which shingles those are changes the work, not the result.
 
-Prefix shingles name cells. First every set of a cell is compared with the least set of the cell, and fingerprints with
-their links; verified pairs close to components. Then, in cells that still hold several components, all pairs of
+Prefix shingles name cells. First every set of a cell is compared with the cell's hub, a set that it has in common with as
+many others as possible, and fingerprints with their links; verified pairs close to components. Then, in cells that still hold several components, all pairs of
 different components are compared, so a large group of near copies costs no pair of its own members.
 
 Two bounds spare exact comparisons and never drop a pair that belongs: sizes, and the parities of the shingles in each of
-512 hash classes. Two sets differ in at least as many shingles as parities, and may differ in (n + m) / 9 of them.
+as many hash classes as a set has shingles (rounded up to a power of two, folded to the smaller of both sets). Two sets
+differ in at least as many shingles as parities, and may differ in (n + m) / 9 of them.
+
+Most prefix shingles stand in one text alone. They are counted by hash alone; a bitmap of the counted ones that recur
+then thins the (shingle, set) rows before these are shuffled. When the bitmap is full, more rows travel, to no effect.
 
 Shingles are compared by their XXH64 (seed 42), sets are named by the XXH64 of their sorted shingles. Full sets are
-made only of documents in a pair that the bounds leave; a bitmap of 8 MB at most (``BITMAPS``) tells the workers which.
+made only of documents in a pair that the bounds leave. Bitmaps have 8 MB at most (``common.BITMAPS``), whatever the corpus.
 
 Nulls and edges: texts without words have the empty set and are alike; fewer words than a shingle make one shingle;
 a null id counts as larger than any other; an empty table gives an empty result.
@@ -28,9 +32,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut_lineage, shared_path, text_or_empty
+from .common import bitmap, cut_lineage, in_bitmap, map_arrow, place, stored, text_or_empty
 from .components import components
-from .simhash import HOT_CELL, MAX_BITS, WORDS, links
+from .simhash import HOT_CELL, MAX_BITS, WORDS, links, representatives
 
 #: the least similarity, as a fraction
 OVER, UNDER = 4, 5
@@ -38,8 +42,6 @@ OVER, UNDER = 4, 5
 BLOCK, OFTEN, FREQUENT = 1 << 19, 3, 1 << 17
 #: rows whose shingles a worker returns at once
 ROWS = 512
-#: bitmaps of 32,768 bits
-BITMAPS = 2048
 
 
 def shingle_bytes(text: str, words: int) -> np.ndarray:
@@ -82,24 +84,34 @@ def sizes_allow(a: Column, b: Column) -> Column:
     return F.least(a, b) * UNDER >= F.greatest(a, b) * OVER
 
 
-def parities(shingles: np.ndarray) -> tuple[int, ...]:
-    """Whether the shingles of each of 512 classes are odd in number, as eight signed numbers."""
-    odd = np.bincount(shingles & 511, minlength=512) & 1
-    return tuple(np.packbits(odd.astype(np.uint8)).view(np.int64).tolist())
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """Whether the shingles of each hash class are odd in number, 64 classes in a signed number; n to 2 n classes."""
+    classes = max(64, 1 << max(0, len(shingles) - 1).bit_length())
+    odd = np.bincount(shingles & (classes - 1), minlength=classes) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def parities_apart(a: Column, b: Column) -> Column:
+    """Number of classes whose parities differ, once the finer of both is folded."""
 
+    def folded(x: Column, y: Column) -> Column:
+        half = (F.size(x) / 2).cast("int")
+        return F.when(F.size(x) > F.size(y), F.zip_with(F.slice(x, F.lit(1), half), F.slice(x, half + 1, half), lambda u, v: u.bitwiseXOR(v))).otherwise(x)
 
-PARITIES = [f"p{i}" for i in range(8)]
+    apart = F.zip_with(folded(a, b), folded(b, a), lambda u, v: F.bit_count(u.bitwiseXOR(v)))
+    return F.aggregate(apart, F.lit(0), lambda n, v: n + v)
 
 
 def _signatures(source: DataFrame, words: int) -> DataFrame:
-    """id, th, fp, key, n and parities of each row of ``source`` (id, th, text); and rows (h, c): texts c of a block hold shingle h."""
+    """id, th, fp, key, n and marks (parities) of each row of ``source`` (id, th, text); and rows (h, c): texts c of a block hold shingle h."""
     kind = source.schema["id"].dataType
-    schema = T.StructType([T.StructField("id", kind), *[T.StructField(c, T.LongType()) for c in ("th", "fp", "key", "n", *PARITIES, "h", "c")]])
+    schema = T.StructType([T.StructField("id", kind), *[T.StructField(c, T.LongType()) for c in ("th", "fp", "key", "n")], T.StructField("marks", T.ArrayType(T.LongType())), *[T.StructField(c, T.LongType()) for c in ("h", "c")]])
+    types = [pa.list_(pa.int64()) if f.name == "marks" else pa.int64() for f in schema[2:]]
 
     def frequent(block, like):
         found, n = np.unique(np.concatenate(block), return_counts=True)
         found, n = found[n >= OFTEN], n[n >= OFTEN]
-        none = [pa.nulls(len(found), t) for t in [like.type, *[pa.int64()] * 12]]
+        none = [pa.nulls(len(found), t) for t in [like.type, pa.int64(), *types[:-2]]]
         return pa.RecordBatch.from_arrays([*none, pa.array(found), pa.array(n)], names=schema.names)
 
     def run(batches):
@@ -111,18 +123,18 @@ def _signatures(source: DataFrame, words: int) -> DataFrame:
                 shingles = shingle_set(raw)
                 ones = np.unpackbits(raw, axis=1).sum(axis=0, dtype=np.int64)
                 fp = int.from_bytes(np.packbits(2 * ones > len(raw)).tobytes(), "big", signed=True)
-                out.append((fp, set_key(shingles), len(shingles), *parities(shingles)))
+                out.append((fp, set_key(shingles), len(shingles), parities(shingles)))
                 block.append(shingles)
                 held += len(shingles)
                 if held >= BLOCK:
                     yield frequent(block, like)
                     block, held = [], 0
-            columns = [pa.array(c, pa.int64()) for c in (zip(*out) if out else [()] * 11)]
+            columns = [pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 4, types)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *columns, *[pa.nulls(len(out), pa.int64())] * 2], names=schema.names)
         if block:
             yield frequent(block, like)
 
-    return source.mapInArrow(run, schema)
+    return map_arrow(source, run, schema)
 
 
 def _prefixes(source: DataFrame, words: int, order) -> DataFrame:
@@ -150,25 +162,43 @@ def _prefixes(source: DataFrame, words: int, order) -> DataFrame:
             columns = zip(*out) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.list_(pa.int64())))], names=schema.names)
 
-    return source.select("text").mapInArrow(run, schema)
+    return map_arrow(source.select("text"), run, schema)
+
+
+def _recurring(prefixes: DataFrame) -> DataFrame:
+    """Rows (h, key) of the prefix shingles that several sets have, with ``hub``, one of those sets; stored."""
+    counted = prefixes.select(F.explode("prefix").alias("h")).groupBy("h").agg(F.count("*").alias("c")).where("c > 1")
+    counted = stored(counted.select("h"), "recurring")
+    held = prefixes.sparkSession.sparkContext.broadcast(bitmap(counted.select(place(F.col("h")).alias("p"))))
+    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("h", T.LongType())])
+
+    def run(batches):
+        table = held.value
+        for b in batches:
+            lists = b.column(1)
+            h = np.asarray(lists.flatten(), dtype=np.int64)
+            keys = np.repeat(np.asarray(b.column(0), dtype=np.int64), np.diff(np.asarray(lists.offsets)))
+            keep = in_bitmap(table, h)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[keep]), pa.array(h[keep])], names=schema.names)
+
+    rows = stored(map_arrow(prefixes.select("key", "prefix"), run, schema).join(counted, "h").distinct(), "rows")
+    sizes = cut_lineage(rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"))
+    # the hub of a cell is its set with the largest cells: a group of near copies then has few hubs, whatever its size
+    weight = rows.join(sizes, "h").groupBy("key").agg(F.sum("n").alias("w"))
+    hubs = rows.join(weight, "key").groupBy("h").agg(F.max(F.struct("w", "key"))["key"].alias("hub"))
+    return stored(rows.join(cut_lineage(hubs.join(sizes, "h").select("h", "hub")), "h"), "cells")
 
 
 def _sets(source: DataFrame, words: int, needed: DataFrame) -> DataFrame:
     """key and set of the texts whose hash ``needed`` (th) names, and of a few more that fall on the same bit."""
-    place = F.pmod("th", F.lit(BITMAPS * 32768))
-    bits = needed.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
-    table = np.zeros((BITMAPS + 1, 4096), np.uint8)
-    for r in bits.toLocalIterator():
-        table[r.k] = np.frombuffer(bytes(r.bits), np.uint8)
-    held = source.sparkSession.sparkContext.broadcast(table)
-    marked = source.select("text", F.bitmap_bucket_number(place).alias("k"), F.bitmap_bit_position(place).alias("p"))
+    held = source.sparkSession.sparkContext.broadcast(bitmap(needed.select(place(F.col("th")).alias("p"))))
+    marked = source.select("text", "th")
     schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("set", T.ArrayType(T.LongType()))])
 
     def run(batches):
         wanted, seen = held.value, set()
         for b in sliced(batches):
-            k, p = (np.asarray(b.column(i), dtype=np.int64) for i in (1, 2))
-            texts = b.column(0).filter(pa.array((wanted[k, p >> 3] >> (p & 7) & 1).astype(bool)))
+            texts = b.column(0).filter(pa.array(in_bitmap(wanted, np.asarray(b.column(1), dtype=np.int64))))
             out = []
             for text in texts.to_pylist():
                 shingles = shingle_set(shingle_bytes(text, words))
@@ -180,23 +210,27 @@ def _sets(source: DataFrame, words: int, needed: DataFrame) -> DataFrame:
             columns = zip(*out) if out else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.list_(pa.int64())))], names=schema.names)
 
-    return marked.mapInArrow(run, schema)
+    return map_arrow(marked, run, schema)
+
+
+def _may_be_alike(n: Column, marks: Column, m: Column, others: Column) -> Column:
+    """Neither sizes nor parities rule the pair out."""
+    apart = parities_apart(marks, others)
+    # with d shingles in one set alone, (n + m - d) / (n + m + d) is the similarity
+    return sizes_allow(n, m) & ((n + m - apart) * UNDER >= (n + m + apart) * OVER)
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+def _bounds(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """n and marks of each set that ``keys`` names; stored."""
+    return stored(rows.join(cut_lineage(keys.distinct()), "key", "left_semi").groupBy("key").agg(F.min("n").alias("n"), F.min("marks").alias("marks")), "bounds")
 
 
-def _possible(pairs: DataFrame, bounds: DataFrame) -> DataFrame:
+def _possible(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """The pairs (a, b) of keys that neither sizes nor parities rule out."""
-    one = pairs.join(bounds.select([F.col(c).alias(f"a_{c}") for c in bounds.columns]), F.col("a") == F.col("a_key"))
-    both = one.join(bounds.select([F.col(c).alias(f"b_{c}") for c in bounds.columns]), F.col("b") == F.col("b_key"))
-    apart = sum((F.bit_count(F.col(f"a_{p}").bitwiseXOR(F.col(f"b_{p}"))) for p in PARITIES), F.lit(0))
-    n = F.col("a_n") + F.col("b_n")
-    # with d shingles in one set alone, (n - d) / (n + d) is the similarity
-    return cut_lineage(both.where(sizes_allow(F.col("a_n"), F.col("b_n")) & ((n - apart) * UNDER >= (n + apart) * OVER)).select("a", "b"))
+    bounds = _bounds(rows, pairs.select(F.col("a").alias("key")).union(pairs.select("b")))
+    one = pairs.join(bounds.toDF("a", "a_n", "a_marks"), "a")
+    both = one.join(bounds.toDF("b", "b_n", "b_marks"), "b")
+    return cut_lineage(both.where(_may_be_alike(F.col("a_n"), F.col("a_marks"), F.col("b_n"), F.col("b_marks"))).select("a", "b"))
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, source: DataFrame, words: int) -> DataFrame:
@@ -204,7 +238,7 @@ def _verified(pairs: DataFrame, rows: DataFrame, source: DataFrame, words: int)
     keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
     needed = rows.join(keys, "key", "left_semi").groupBy("key").agg(F.min("th").alias("th"))
     sets = _sets(source, words, needed).join(keys, "key", "left_semi").dropDuplicates(["key"])
-    sets = _stored(sets, "sets")
+    sets = stored(sets, "sets")
     one = pairs.join(sets.select(F.col("key").alias("a"), F.col("set").alias("s")), "a")
     both = one.join(sets.select(F.col("key").alias("b"), F.col("set").alias("t")), "b")
     common = F.size(F.array_intersect("s", "t"))
@@ -221,35 +255,33 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     order = docs.sparkSession.sparkContext.broadcast(tuple(np.array([r[c] for r in often], np.int64) for c in ("h", "c")))
 
     row = F.struct(F.col("id").isNull().alias("is_null"), F.col("id"), F.col("th"))
-    points = cut_lineage(rows.groupBy("key").agg(F.min("fp").alias("fp"), F.min("n").alias("n"), F.min(row).alias("rep"), *[F.min(p).alias(p) for p in PARITIES]))
-    bounds = points.select("key", "n", *PARITIES)
+    points = cut_lineage(rows.groupBy("key").agg(F.min("fp").alias("fp"), F.min("n").alias("n"), F.min(row).alias("rep")))
     # of each fingerprint the least set stands for it; the others are compared with that one
     heads = cut_lineage(points.groupBy("fp").agg(F.min("key").alias("head")))
     linked = links(heads.select("fp"), max_bits, hot_cell)
     linked = linked.join(heads.toDF("a", "u"), "a").join(heads.toDF("b", "v"), "b").select("u", "v")
     near = points.join(heads, "fp").where("key <> head").select("key", "head").union(linked)
 
-    prefixes = _stored(_prefixes(source, words, order), "prefixes")
-    shingles = prefixes.select("key", "n", F.explode("prefix").alias("h"))
-    shared = shingles.groupBy("h").agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
-    shared = _stored(shared.where("lo <> hi").select("h", "lo"), "shared")
-    cells = _stored(shingles.join(shared, "h").distinct(), "cells")
-    stars = cells.where("key <> lo").select("key", "lo")
+    prefixes = stored(_prefixes(source, words, order), "prefixes")
+    cells = _recurring(prefixes)
+    stars = cells.where("key <> hub").select("key", "hub")
 
     pairs = near.union(stars).toDF("x", "y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     pairs = cut_lineage(pairs.distinct())
-    first = cut_lineage(_verified(_possible(pairs, bounds), rows, source, words))
+    first = cut_lineage(_verified(_possible(pairs, rows), rows, source, words))
     roots = cut_lineage(components(first))
 
-    placed = cells.select("h", "key", "n").join(roots, cells.key == roots.node, "left").select("h", "key", "n", F.coalesce("root", "key").alias("root"))
-    placed = cut_lineage(placed)
+    placed = cut_lineage(cells.join(roots, cells.key == roots.node, "left").select("h", "key", F.coalesce("root", "key").alias("root")))
     open_cells = cut_lineage(placed.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("h"))
-    left = placed.join(open_cells, "h", "left_semi")
+    left = cut_lineage(placed.join(open_cells, "h", "left_semi"))
+    left = left.join(_bounds(rows, left.select("key")), "key")
     x, y = left.alias("x"), left.alias("y")
-    rest = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.key") < F.col("y.key")) & (F.col("x.root") != F.col("y.root")) & sizes_allow(F.col("x.n"), F.col("y.n")))
+    # what the bounds rule out is not even a row of the join
+    alike_maybe = _may_be_alike(F.col("x.n"), F.col("x.marks"), F.col("y.n"), F.col("y.marks"))
+    rest = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.key") < F.col("y.key")) & (F.col("x.root") != F.col("y.root")) & alike_maybe)
     rest = rest.select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
     rest = cut_lineage(rest.join(pairs, ["a", "b"], "left_anti"))
-    roots = cut_lineage(components(first.union(_verified(_possible(rest, bounds), rows, source, words))))
+    roots = cut_lineage(components(first.union(_verified(rest, rows, source, words))))
 
     best = points.join(roots, points.key == roots.node).groupBy("root").agg(F.min("rep").alias("best"))
     moved = roots.join(best, "root").select(F.col("node").alias("key"), "best")
@@ -259,11 +291,4 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One document of each group, the one with the least id, with all its columns."""
-    reps = similar_groups(docs, id_col, text_col, **options).select(F.col("rep.id").alias("__i"), F.col("rep.th").alias("__h"))
-    # nulls as a column of their own: the join and the search for repeated rows then share one exchange of the texts
-    zero = F.lit(0).cast(docs.schema[id_col].dataType)
-    keyed = lambda df, i, h: df.withColumns({"__no": F.col(i).isNull(), "__id": F.coalesce(F.col(i), zero), "__th": h})
-    reps = cut_lineage(keyed(reps, "__i", F.col("__h")).select("__no", "__id", "__th").distinct())
-    marked = keyed(docs, id_col, F.xxhash64(text_or_empty(F.col(f"`{text_col}`").cast("string"))))
-    kept = marked.join(reps, ["__no", "__id", "__th"], "left_semi")
-    return kept.dropDuplicates(["__no", "__id", "__th"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return representatives(docs, similar_groups(docs, id_col, text_col, **options).select("rep.id", "rep.th"), id_col, text_col)

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import documents, shared_path, text_or_empty
+from .common import documents, map_arrow, shared_path, text_or_empty
 from .tokens import encoder, load_spec
 
 SEGMENT = 1 << 22
@@ -207,7 +207,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
             yield pa.RecordBatch.from_pylist([shard.flush()], schema)
 
     # ids are compressed already
-    ordered.mapInArrow(run, SEGMENT_SCHEMA).write.option("compression", "none").parquet(path)
+    map_arrow(ordered, run, SEGMENT_SCHEMA).write.option("compression", "none").parquet(path)
 
 
 def _parts(spark: SparkSession, path: str) -> tuple[DataFrame, object]:
@@ -279,7 +279,7 @@ def read_token_files(spark: SparkSession, path: str, id_col: str = "doc_id", spr
             if docs:
                 yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(starts, pa.int64()), pa.array(ids, pa.binary())], names=schema.names)
 
-    return parts.mapInArrow(run, schema)
+    return map_arrow(parts, run, schema)
 
 
 def read_token_range(spark: SparkSession, path: str, first: int = 0, last: int | None = None, spread: int | None = None) -> DataFrame:
@@ -304,7 +304,7 @@ def read_token_range(spark: SparkSession, path: str, first: int = 0, last: int |
             ids = ids[4 * max(0, first - at) : None if last is None else 4 * (last - at)]
             yield pa.RecordBatch.from_arrays([pa.array([max(at, first)], pa.int64()), pa.array([ids], pa.binary())], names=schema.names)
 
-    return parts.mapInArrow(run, schema)
+    return map_arrow(parts, run, schema)
 
 
 def op6_token_files(spark, sf_dir: str) -> DataFrame:
