@@ -70,12 +70,6 @@ def in_bitmap(table: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (table[1 + (p >> 15), (p & 32767) >> 3] >> (p & 7) & 1).astype(bool)
 
 
-def without(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """``df`` without the columns that a result is about to bring (names compare without case)."""
-    taken = {n.lower() for n in names}
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
-
-
 def text_or_empty(c: Column | str) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 

@@ -2,7 +2,8 @@
 
 Every round is two joins and two aggregations over edges that never grow in number; edges and the least neighbours are
 checkpointed, so that both sides of each join are plain shuffles which adaptive execution can split where a node has very
-many edges. Only a count and a checksum come to the driver.
+many edges. Only a count and a checksum come to the driver. Small edge tables are kept in few files: a round's tables have
+at most a partition for every ``ROWS`` edges.
 """
 
 from __future__ import annotations
@@ -13,23 +14,26 @@ from pyspark.sql import functions as F
 from .common import cut_lineage
 
 
+ROWS = 100_000
+
+
 def _checksum(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, large: bool, parts: int) -> DataFrame:
     """Large: larger neighbours of u go to its least neighbour (or u). Small: smaller ones and u do."""
     if large:
         sided = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
     else:
         sided = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    least = cut_lineage(sided.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")))
+    least = cut_lineage(sided.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")).coalesce(parts))
     moved = sided.join(least, "u")
     if large:
         out = moved.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
     else:
         out = moved.select(F.col("v").alias("a"), F.col("m").alias("b")).union(least.select("u", "m"))
-    return cut_lineage(out.where("a <> b").distinct())
+    return cut_lineage(out.where("a <> b").coalesce(parts).distinct().coalesce(parts))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -40,5 +44,6 @@ def components(edges: DataFrame) -> DataFrame:
         if not now[0]:
             break
         before = now
-        edges = _star(_star(edges, large=True), large=False)
+        parts = 1 + now[0] // ROWS
+        edges = _star(_star(edges, True, parts), False, parts)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select("b", "b")).distinct()
