@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, language_id, line_dedup, packing, pii, simhash, substring_dedup, token_counts, token_files
+from . import decontaminate, exact_dedup, language_id, license_scan, line_dedup, packing, pii, simhash, substring_dedup, token_counts, token_files, turns, whitening
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_simhash": simhash.op10_simhash,
+    "op11_whitening": whitening.op11_whitening,
+    "op12_turn_repair": turns.op12_turn_repair,
+    "op13_license_scan": license_scan.op13_license_scan,
 }
 
 ORACLE_SQL = {
