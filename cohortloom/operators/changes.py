@@ -156,19 +156,26 @@ def labels_from_rows(rows: DataFrame, key: str, label: str, order: Sequence[str]
 
 def current_version(spark: SparkSession, root: str) -> int:
     """The highest version under ``root``, 0 if there is none."""
-    return max(V.versions(spark, root), default=0)
+    return V.latest(spark, root)[0]
 
 
 def publish(df: DataFrame, root: str, expected: int) -> int:
-    """Write the table's next version if ``expected`` is the current one, else fail; readers never see a part."""
+    """Write the table's next version if ``expected`` is the current one, else fail; readers never see a part.
+
+    The new version's number: the next one, or a later one where something else than an entry holds that name.
+    """
     spark = df.sparkSession
+    following = V.next_version(spark, root)
     if current_version(spark, root) != expected:
         raise StaleVersion(f"version {expected} is not the current one")
     folder = V.new_folder(root, "data")
     df.write.parquet(folder)
-    V.add_entry(spark, root, expected + 1, {"folder": folder})
-    return expected + 1
+    V.add_entry(spark, root, following, {"folder": folder})
+    return following
 
 
 def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    return spark.read.parquet(V.entry(spark, root, version or current_version(spark, root))["folder"])
+    content = V.entry(spark, root, version) if version else V.latest(spark, root)[1]
+    if not content:
+        raise ValueError(f"no version under {root}")
+    return spark.read.parquet(content["folder"])

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..operators import buckets as B
 from ..operators import changes as G
 from ..operators.lineage import new_path
 from ..registry import query
@@ -61,6 +62,20 @@ def g6(t):
     return G.update_only(table(t), news(t), ["accession_number"])
 
 
+@query(
+    "G4_upsert_buckets",
+    f"""WITH n AS ({NEW_EXAMS}) SELECT coalesce(n.accession_number, e.accession_number) AS accession_number,
+CASE WHEN n.accession_number IS NOT NULL THEN n.modality ELSE e.modality END AS modality, CASE WHEN n.accession_number IS NOT NULL THEN n.bi_rads ELSE e.bi_rads END AS bi_rads, e.is_biopsy
+FROM exams e FULL JOIN n ON e.accession_number = n.accession_number""",
+)
+def g4_buckets(t):
+    root, key = new_path(t.spark, "exams"), ["accession_number"]
+    B.create(t.spark, root, table(t).schema.simpleString()[7:-1].replace(":", " "), key, 16)
+    B.merge(table(t), root, [])
+    B.merge(news(t), root, [], rule=G.upsert)
+    return B.read(t.spark, root)
+
+
 @query("G7_coerce", "SELECT accession_number, CAST(is_biopsy = 'T' AS INT) AS is_biopsy, coalesce(bi_rads, '') AS bi_rads FROM exams")
 def g7(t):
     return G.coerce(table(t), ["is_biopsy"], ["bi_rads"]).drop("modality")

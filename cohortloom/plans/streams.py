@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..operators import changes as G
+from ..operators import buckets as B
 from ..registry import query
 from ..streaming import streams as M
 from .sources import folder
@@ -37,10 +37,10 @@ def m2(t):
 def m3(t):
     root, path = folder(t, "table"), folder(t, "stream")
     # files in order of the events, so that later ones replace earlier ones
-    timeline(t).repartitionByRange(3, "event_id").write.parquet(path)
+    timeline(t).repartitionByRange(4, "event_id").write.parquet(path)
     for _ in range(2):  # the second run finds nothing new
-        M.stream_upsert(M.arrivals(t.spark, path, EVENTS, 10), root, ["patient_id"], "event_id", f"{root}-chk").awaitTermination()
-    return G.read_version(t.spark, root).select("patient_id", "event_id")
+        M.stream_upsert(M.arrivals(t.spark, path, EVENTS, 1), root, ["patient_id"], "event_id", f"{root}-chk", compact_every=3).awaitTermination()
+    return B.read(t.spark, root).select("patient_id", "event_id")
 
 
 @query("M4_stream_audit", "SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators import changes as G
+from ..operators import buckets as B
+from ..operators import versions as V
 
 LATE = "1 day"
 
@@ -29,16 +30,21 @@ def stream_skip_existing(stream: DataFrame, done: DataFrame, key: str) -> DataFr
     return stream.join(done.select(key).distinct(), key, "left_anti")
 
 
-def stream_upsert(stream: DataFrame, root: str, key: Sequence[str], order: str, checkpoint: str):
-    """M3: every batch is merged into the published table by key: the row with the largest ``order`` stays, so a late
-    older row does not displace a newer one and a repeated batch gives the same state."""
-    from ..operators.timeline import first_by
+def stream_upsert(stream: DataFrame, root: str, key: Sequence[str], order: str, checkpoint: str, buckets: int = B.BUCKETS, compact_every: int = 32):
+    """M3: every batch is merged by key into the bucketed table under ``root`` and rewrites the buckets that its keys touch:
+    the row with the largest ``order`` stays (ties: the least in its other columns), so a late older row does not displace a
+    newer one and a repeated batch gives the same state. Every so many batches the table's files are put together."""
 
-    def merge(batch: DataFrame, _: int) -> None:
+    def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        version = G.current_version(spark, root)
-        rows = G.read_version(spark, root, version).unionByName(batch) if version else batch
-        G.publish(first_by(rows, key, [F.col(order).desc_nulls_last()]), root, version)
+        version, content = V.latest(spark, root)
+        if not version:
+            B.create(spark, root, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in batch.schema), key, buckets)
+        elif content.get("marks") == {"stream": checkpoint, "batch": number}:
+            return  # the batch's own version is there
+        B.merge(batch, root, [order], marks={"stream": checkpoint, "batch": number})
+        if number % compact_every == compact_every - 1:
+            B.compact(spark, root)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

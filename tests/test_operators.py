@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortloom.functions import text as H
+from cohortloom.operators import buckets as B
 from cohortloom.operators import changes as G
 from cohortloom.operators import joins as J
 from cohortloom.operators import sampling as K
@@ -141,7 +142,7 @@ def test_late_older_rows_do_not_displace_newer_ones(spark):
     for k, rows in enumerate(([(1, 5, "new"), (2, 1, "a")], [(1, 3, "late"), (2, 2, "b"), (3, 1, "c")])):
         spark.createDataFrame(rows, "id long, at long, v string").coalesce(1).write.mode("append").parquet(path)
         M.stream_upsert(M.arrivals(spark, path, "id long, at long, v string"), root, ["id"], "at", f"{root}-chk").awaitTermination()
-    assert {r.id: r.v for r in G.read_version(spark, root).collect()} == {1: "new", 2: "b", 3: "c"}
+    assert {r.id: r.v for r in B.read(spark, root).collect()} == {1: "new", 2: "b", 3: "c"}
 
 
 def test_dedupe_within_watermark_and_link_with_late_rows(spark):
