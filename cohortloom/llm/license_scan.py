@@ -1,7 +1,8 @@
 """Licence scans by diagonal voting.
 
-All rolling word k-grams of the documents are hashed and joined in Spark to the positions of the same k-grams in the
-templates. A hit of document word i on template word j votes for the diagonal i - j: a template that stands in a text word
+All rolling word k-grams of the documents are hashed (a polynomial over word hashes, a block of texts at a time) and joined
+in Spark to the positions of the same k-grams in the templates; a bitmap of the templates' hashes spares the join those that
+no template can have. A hit of document word i on template word j votes for the diagonal i - j: a template that stands in a text word
 by word puts all its votes on one diagonal, and each word put in or left out moves the rest to the next one. Votes are
 gathered by document, template and diagonal; diagonals at most ``DRIFT`` words apart whose places follow each other are
 merged to one span. A span is verified by its words: every vote is kept only if its k words equal the template's (hashes
@@ -20,15 +21,15 @@ empty result; other columns are not read.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window
 
-from .common import documents, stored
+from .common import documents, map_arrow, stored, text_or_empty
 from .license_texts import NAMES, NOTICES, PHRASES
 
 NAME_GRAM, NOTICE_GRAM = 2, 5
@@ -36,56 +37,92 @@ NOTICE_WORDS = 12
 DRIFT = 8
 COVERAGE = 0.6
 BROADCAST_GRAMS = 1 << 20
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: The same in texts whose A-Z are not lower-cased yet.
-ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: What is no part of a word becomes a blank.
+BLANKS = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256))
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+#: Bits of the bitmap, and words whose hashes a worker remembers.
+MAP_BITS, KNOWN = 20, 1 << 20
 
 
-def _words(text: str) -> list[str]:
-    return re.findall(WORD, re.sub("[A-Z]+", lambda m: m[0].lower(), text))
+def split_words(text: str) -> list[bytes]:
+    """The words of a text, A-Z lower-cased, in UTF-8."""
+    return text.encode("utf-8", "surrogatepass").lower().translate(BLANKS).split()
 
 
-def template_grams(spark: SparkSession, templates: Sequence[tuple[str, str]]) -> DataFrame:
-    """k, t_gram (words), t (the template's number), label, m (its words), j (position)."""
-    rows = []
+class _Hashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        if len(self) >= KNOWN:
+            self.clear()
+        self[word] = h = xxhash.xxh64_intdigest(word)
+        return h
+
+
+def rolling(hashes: np.ndarray, k: int) -> np.ndarray:
+    """One number for each k consecutive words."""
+    n = max(len(hashes) - k + 1, 0)
+    out = np.zeros(n, np.uint64)
+    for d in range(k):
+        out = out * MULTIPLIER + hashes[d : d + n]
+    return (out ^ np.uint64(k)) * MULTIPLIER
+
+
+def _hashed(words: list[bytes], known: _Hashes) -> np.ndarray:
+    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+
+
+def template_grams(templates: Sequence[tuple[str, str]]) -> list[tuple]:
+    """(k, hash, gram, t, label, m, j): the k-grams of each template, its number, label, words, and the position."""
+    rows, known = [], _Hashes()
     for t, (label, text) in enumerate(templates):
-        words = _words(text)
+        words = split_words(text)
         k = NAME_GRAM if len(words) < NOTICE_WORDS else NOTICE_GRAM
         if len(words) < k:
             raise ValueError(f"template {t} has fewer than {k} words")
-        rows += [(k, words[j : j + k], t, label, len(words), j) for j in range(len(words) - k + 1)]
-    grams = spark.createDataFrame(rows, "k int, t_gram array<string>, t int, label string, m int, j int")
-    grams = grams.withColumn("t_hash", F.xxhash64("k", F.array_join("t_gram", " ")))
-    return F.broadcast(grams) if len(rows) <= BROADCAST_GRAMS else grams
-
-
-def _rolling(words: str, k: int) -> Column:
-    """(i, k, hash) of all k-grams of a column of words."""
-    at = lambda i: F.concat_ws(" ", *[F.get(words, i + d) for d in range(k)])
-    n = F.size(words) - k
-    return F.transform(
-        F.when(n >= 0, F.sequence(F.lit(0), n)).otherwise(F.array().cast("array<int>")),
-        lambda i: F.struct(i.alias("i"), F.lit(k).alias("k"), F.xxhash64(F.lit(k), F.lower(at(i))).alias("hash")),
-    )
+        found = rolling(_hashed(words, known), k).view(np.int64).tolist()
+        rows += [(k, h, b" ".join(words[j : j + k]).decode(), t, label, len(words), j) for j, h in enumerate(found)]
+    return rows
 
 
 def votes(docs: DataFrame, templates: Sequence[tuple[str, str]], id_col: str, text_col: str) -> DataFrame:
     """One row for each document (t is null) and for each k-gram it shares with a template: rid (the row), id, n_words,
     t, label, m, k, i, j. Written in one pass, so that ``rid`` names the same row ever after."""
-    read = docs.select(
-        F.monotonically_increasing_id().alias("rid"),
-        F.col(f"`{id_col}`").alias("id"),
-        F.regexp_extract_all(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), F.lit(ANY_CASE), F.lit(0)).alias("words"),
+    spark, rows = docs.sparkSession, template_grams(templates)
+    marked = np.zeros(1 << MAP_BITS, bool)
+    marked[np.array([r[1] for r in rows], np.int64).view(np.uint64) >> np.uint64(64 - MAP_BITS)] = True
+    shared = spark.sparkContext.broadcast(marked)
+    source = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(f"`{id_col}`").alias("id"), text_or_empty(F.col(f"`{text_col}`").cast("string")).alias("text"))
+    schema = T.StructType(
+        [T.StructField("rid", T.LongType()), T.StructField("id", source.schema["id"].dataType), T.StructField("n_words", T.LongType())]
+        + [T.StructField("k", T.IntegerType()), T.StructField("i", T.LongType()), T.StructField("hash", T.LongType()), T.StructField("gram", T.StringType())]
     )
-    itself = F.array(F.struct(F.lit(-1).alias("i"), F.lit(0).alias("k"), F.lit(0).cast("long").alias("hash")))
-    grams = F.concat(itself, _rolling("words", NAME_GRAM), _rolling("words", NOTICE_GRAM))
-    each = read.select("rid", "id", "words", F.size("words").cast("long").alias("n_words"), F.inline(grams))
-    known = template_grams(docs.sparkSession, templates).withColumnRenamed("k", "t_k")
-    met = each.join(known, (F.col("hash") == F.col("t_hash")) & (F.col("k") == F.col("t_k")), "left")
-    same = F.transform(F.slice("words", F.col("i") + 1, F.col("k")), lambda w: F.translate(w, UPPER, LOWER)) == F.col("t_gram")
-    kept = met.where((F.col("i") < 0) | (F.col("t").isNotNull() & same))
-    return stored(kept.select("rid", "id", "n_words", "t", "label", "m", F.col("t_k").alias("k"), "i", "j"), "licence-votes")
+
+    def run(batches):
+        table, known = shared.value, _Hashes()
+        for b in batches:
+            at, n_words, found = [], [], []
+            for row, text in enumerate(b.column(2).to_pylist()):
+                words = split_words(text)
+                mine = [(0, -1, 0, None)]
+                hashes = _hashed(words, known)
+                for k in (NAME_GRAM, NOTICE_GRAM):
+                    h = rolling(hashes, k)
+                    hits = np.flatnonzero(table[h >> np.uint64(64 - MAP_BITS)]).tolist()
+                    mine += [(k, i, v, b" ".join(words[i : i + k]).decode("utf-8", "replace")) for i, v in zip(hits, h[hits].view(np.int64).tolist())]
+                at += [row] * len(mine)
+                n_words += [len(words)] * len(mine)
+                found += mine
+            take = pa.array(at, pa.int32())
+            columns = zip(*found) if found else ((),) * 4
+            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.string())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(n_words, pa.int64()), *[pa.array(c, t) for c, t in zip(columns, kinds)]], names=schema.names)
+
+    each = map_arrow(source, run, schema)
+    known = spark.createDataFrame(rows, "t_k int, t_hash long, t_gram string, t int, label string, m int, j int")
+    known = F.broadcast(known) if len(rows) <= BROADCAST_GRAMS else known
+    met = each.join(known, (F.col("hash") == F.col("t_hash")) & (F.col("k") == F.col("t_k")) & (F.col("gram") == F.col("t_gram")), "left")
+    return stored(met.where("i < 0 OR t IS NOT NULL").select("rid", "id", "n_words", "t", "label", "m", "k", "i", "j"), "licence-votes")
 
 
 def spans(found: DataFrame) -> DataFrame:
