@@ -162,23 +162,6 @@ def best_match(matches: DataFrame) -> DataFrame:
     return matches.groupBy("accession_number", "image_name").agg(F.min(F.struct("score", "lesion_id")).alias("m")).select("accession_number", "image_name", "m.lesion_id", "m.score")
 
 
-def mean_l1(a: Column, b: Column) -> Column:
-    total = F.aggregate(F.zip_with(a, b, lambda x, y: F.abs(x - y).cast("double")), F.lit(0.0), lambda s, x: s + x)
-    return total / F.size(a)
-
-
-def nearest_in_block(df: DataFrame, block: Sequence[str], key: str, vector: str, flag: str) -> DataFrame:
-    """The nearest other row by mean absolute difference within the block, for blocks with a flagged row.
-
-    Blocks are meant to be small (the images of one exam with one crop box); true nearest, ties by key.
-    """
-    marked = df.withColumn("_any", F.max(F.col(flag).cast("int")).over(Window.partitionBy(*block))).where("_any = 1").select(*block, key, vector, flag)
-    other = marked.select(*block, F.col(key).alias("near_key"), F.col(vector).alias("_v"), F.col(flag).alias("near_flag"))
-    pairs = marked.join(other, list(block)).where(F.col(key) != F.col("near_key"))
-    best = pairs.groupBy(key, flag).agg(F.min(F.struct(F.round(mean_l1(F.col(vector), F.col("_v")), 6).alias("distance"), F.col("near_key"), F.col("near_flag"))).alias("m"))
-    return best.select(key, flag, "m.distance", "m.near_key", "m.near_flag")
-
-
 def flagged_clean_pairs(nearest: DataFrame, key: str, flag: str, limit: float) -> DataFrame:
     """Pairs of a flagged and an unflagged row within the distance, once for either order, one for each flagged row."""
     near = nearest.where((F.col("distance") <= limit) & (F.col(flag).cast("boolean") != F.col("near_flag").cast("boolean")))
@@ -207,17 +190,3 @@ def coverage(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     sides = left.select(*on).distinct().withColumn("_l", F.lit(1)).join(right.select(*on).distinct().withColumn("_r", F.lit(1)), list(on), "full")
     where = F.when(F.col("_l").isNull(), "right_only").when(F.col("_r").isNull(), "left_only").otherwise("both")
     return sides.groupBy(where.alias("side")).agg(F.count("*").alias("n"))
-
-
-def iou(ax1, ay1, ax2, ay2, bx1, by1, bx2, by2) -> Column:
-    w = F.greatest(F.least(ax2, bx2) - F.greatest(ax1, bx1), F.lit(0.0))
-    h = F.greatest(F.least(ay2, by2) - F.greatest(ay1, by1), F.lit(0.0))
-    inter = w * h
-    return F.coalesce(F.try_divide(inter, (ax2 - ax1) * (ay2 - ay1) + (bx2 - bx1) * (by2 - by1) - inter), F.lit(0.0))
-
-
-def iou_join(pred: DataFrame, truth: DataFrame, least: float) -> DataFrame:
-    """Boxes of the same image that overlap by at least ``least``; both have image_id, box_id, x1, y1, x2, y2."""
-    t = truth.select("image_id", F.col("box_id").alias("gt_id"), *[F.col(c).alias(f"t_{c}") for c in ("x1", "y1", "x2", "y2")])
-    box = lambda p: [F.col(f"{p}{c}") for c in ("x1", "y1", "x2", "y2")]
-    return pred.join(t, "image_id").withColumn("iou", F.round(iou(*box(""), *box("t_")), 6)).where(F.col("iou") >= least)

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import joins as J
+from ..operators import space as S
 from ..registry import query
 
 GAP = "date_diff('day', exam_ts, path_ts)"
@@ -126,7 +127,7 @@ n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d
 
 def nearest(t):
     rows = t.embeddings.withColumns({"exam": F.floor(F.col("vec_id") / 50), "flag": F.col("vec_id") % 3 == 0})
-    return J.nearest_in_block(rows, ["label", "exam"], "vec_id", "embedding", "flag")
+    return S.nearest_in_block(rows, ["label", "exam"], "vec_id", "embedding", "flag")
 
 
 @query("J14_nearest_in_block", NEAREST + "SELECT vec_id, near_key FROM n")
@@ -134,6 +135,17 @@ def j14(t):
     return nearest(t).select("vec_id", "near_key")
 
 
+@query(
+    "J14_nearest_large_blocks",
+    """WITH n AS (SELECT a.vec_id, b.vec_id AS near_key, round(list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda x: abs(CAST(x[1] AS FLOAT) - CAST(x[2] AS FLOAT))::DOUBLE)) / len(a.embedding), 6) AS distance
+  FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id)
+SELECT vec_id, near_key FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY distance, near_key) AS k FROM n) WHERE k = 1""",
+)
+def j14_large(t):
+    rows = t.embeddings.withColumn("flag", F.lit(True))
+    return S.nearest_in_block(rows, ["label"], "vec_id", "embedding", "flag").select("vec_id", "near_key")
+
+
 @query(
     "J15_flagged_clean_pairs",
     NEAREST + """SELECT flagged, clean FROM (SELECT flagged, clean, row_number() OVER (PARTITION BY flagged ORDER BY distance, clean) AS k FROM (
@@ -192,7 +204,7 @@ m AS (SELECT p.image_id, p.box_id, g.box_id AS gt_id, greatest(least(p.x2, g.x2)
 @query("J21_iou_join", IOU + "SELECT box_id, gt_id, round(i / (u - i), 6) AS iou FROM m WHERE round(i / (u - i), 6) >= 0.3")
 def j21(t):
     boxes = t.boxes
-    return J.iou_join(boxes.where("role = 'pred'"), boxes.where("role = 'gt'"), 0.3).select("box_id", "gt_id", "iou")
+    return S.iou_join(boxes.where("role = 'pred'"), boxes.where("role = 'gt'"), 0.3).select("box_id", "gt_id", "iou")
 
 
 @query(
