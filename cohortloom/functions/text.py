@@ -249,12 +249,6 @@ def unnegated(term: str, negations: Sequence[tuple[str, int]], reach: int) -> st
     return f"(?={term}){before}(?:{term})"
 
 
-def unnegated_in_scope(term: str, negations: Sequence[tuple[str, int]], reach: int, between: str) -> str:
-    """The same, if everything between negation and term must be ``between``; negations have a bounded length here."""
-    before = "".join(rf"(?<!{n}{between}{{0,{max(0, reach - size)}}})" for n, size in negations)
-    return f"(?={term}){before}(?:{term})"
-
-
 # Pathology wording. Negations come with the least length of their match.
 CATEGORY_NEGATIONS = (
     (r"NEGATIVE\s+FOR", 12),
@@ -372,64 +366,66 @@ LEXICON = {
     "boundary": ((r"\babrupt\s+interface\b", "abrupt interface"), (r"\bechogenic\s+halo\b", "echogenic halo"), (r"\barchitectural\s+distortion\b", "architectural distortion")),
 }
 PRE_NEGATIONS = (
-    (r"\bno\b", 2), (r"\bwithout\b", 7), (r"\babsent\b", 6), (r"\bdenies\b", 6), (r"\bnot\s(?:seen|present|identified|appreciated|visible)\b", 8), (r"\bfree\sof\b", 7),
-    (r"\backs?\b", 3), (r"\bnegative\sfor\b", 12),
+    r"\bno\b", r"\bwithout\b", r"\babsent\b", r"\bdenies\b", r"\bnot\s+(?:seen|present|identified|appreciated|visible)\b", r"\bfree\s+of\b", r"\backs?\b", r"\bnegative\s+for\b",
+    r"\bno\s+evidence\s+of\b", r"\bno\s+longer\s+(?:seen|visible|present|identified)\b",
 )
-POST_NEGATION = (
-    r"\b(?:is|are|was|were)\s+(?:no\s+longer|not)\s+(?:seen|visible|present|identified|appreciated)\b|\b(?:has|have)\s+resolved\b|\b(?:is|are)\s+absent\b"
-    r"|\b(?:was|were)\s+ruled\s+out\b"
-)
-TERMINATOR = r"\.|\bbut\b|\bhowever\b|\balthough\b|\bshowing\b|\bdemonstrat(?:es|ing)\b|\bpresent\b"
+POST_NEGATIONS = (
+    r"\b(?:is|are|was|were)\s+no\s+longer\s+(?:seen|visible|present|identified|appreciated)\b", r"\b(?:is|are|was|were)\s+not\s+(?:seen|visible|present|identified|appreciated)\b",
+    r"\b(?:has|have)\s+resolved\b", r"\b(?:is|are)\s+absent\b", r"\b(?:was|were)\s+ruled\s+out\b",
+)
+TERMINATORS = (r"\.", r"\bbut\b", r"\bhowever\b", r"\balthough\b", r"\bshowing\b", r"\bdemonstrat(?:es|ing)\b", r"\bpresent\b")
 
 
-def _one_blank(c: Column) -> Column:
-    """Lower case, runs of blanks as one: negations may be parted by any number of them."""
-    return F.regexp_replace(F.lower(c), r"\s+", " ")
+def either(patterns: Sequence[str]) -> str:
+    return "|".join(f"(?:{p})" for p in patterns)
 
 
-def lexicon_features(c: Column, lexicon=LEXICON, reach: int = 150) -> Column:
-    """Struct of each feature's values (sorted, joined) that stand without negation: none in the ``reach`` characters
-    before, since the last terminator, and none in as many after; margins and echo patterns are consolidated. Runs of
-    blanks count as one character."""
-    decided = bind(_one_blank(c), lambda text: _decide(text, lexicon, reach))
+def spans(text: Column, pattern: str) -> Column:
+    """array<struct<begins, ends>>: where a pattern's matches lie, in code points; the end is exclusive."""
+    # what lies between the matches tells their places
+    pieces = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<begins:int,ends:int>>").alias("found"))
 
-    def values(x: Column, f: str) -> Column:
-        own = F.array_sort(F.array_distinct(F.transform(F.filter(x, lambda d: (d["feature"] == f) & ~d["negated"]), lambda d: d["value"])))
-        return bind(F.array_join(bind(own, lambda v: consolidate(f, v)), ", "), lambda t: F.when(t != "", t))
+    def after(x: Column, p: Column) -> Column:
+        begins = x["at"] + F.length(p["gap"])
+        ends = begins + F.coalesce(F.length(p["hit"]), F.lit(0))
+        hit = F.struct(begins.alias("begins"), ends.alias("ends"))
+        return F.struct(ends.alias("at"), F.when(p["hit"].isNotNull(), F.array_append(x["found"], hit)).otherwise(x["found"]).alias("found"))
 
-    return bind(decided, lambda x: F.struct(*[values(x, f).alias(f) for f in lexicon]))
+    return F.aggregate(pieces, start, after, lambda x: x["found"])
 
 
-def _decide(text: Column, lexicon, reach: int) -> Column:
-    """array<struct<feature, value, negated>> of the terms that occur in a lower-case text.
+def lexicon_decisions(c: Column, lexicon=LEXICON, reach: int = 150) -> Column:
+    """array<struct<feature, value, negated, begins, ends>> of all places of all terms, in the order of the lexicon; the
+    places are in the text as it is.
 
-    What negations cover is blanked once for all terms: from a negation to the end of its scope, and the stretch before a
-    negation that follows. Only a term that occurs several times, or a scope that reaches its limit, is looked at place by
-    place.
+    A place is negated if a negation lies in the ``reach`` characters before it, behind the last terminator there (so the
+    'present' of 'not present' ends a scope and its 'not' is out of reach), or in as many characters after it.
     """
-    scope = rf"(?:(?!{TERMINATOR})[\s\S])"
-    negation = "|".join(n for n, _ in PRE_NEGATIONS)
-    after = rf"(?![\s\S]{{0,{reach}}}?(?:{POST_NEGATION}))"
-    views = F.struct(
-        text.alias("t"),
-        F.regexp_replace(text, rf"(?:{negation}){scope}{{0,{reach}}}", " ").alias("pre"),
-        F.when(text.rlike(POST_NEGATION), F.regexp_replace(text, rf"[\s\S]{{0,{reach}}}(?:{POST_NEGATION})", " ")).otherwise(text).alias("post"),
-        text.rlike(rf"(?:{negation}){scope}{{{reach - 12}}}").alias("far"),
-    )
+    last = rf"^[\s\S]*(?:{either(TERMINATORS)})"
 
-    def one(x: Column, feature: str, pattern: str, value: str) -> Column:
-        exact = x["t"].rlike(unnegated_in_scope(pattern, PRE_NEGATIONS, reach, scope) + after)
-        several = F.size(F.regexp_extract_all(x["t"], F.lit(pattern), F.lit(0))) > 1
-        begins_negated = pattern.startswith(r"\bno\s")
-        plain = F.lit(None).cast("boolean") if begins_negated else F.when(~(x["far"] | several), x["pre"].rlike(pattern) & x["post"].rlike(pattern))
-        return F.when(x["t"].rlike(pattern), F.struct(F.lit(feature).alias("feature"), F.lit(value).alias("value"), (~F.coalesce(plain, exact)).alias("negated")))
+    def negated(text: Column, p: Column) -> Column:
+        first = F.greatest(p["begins"] - reach, F.lit(0))
+        before, behind = F.substring(text, first + 1, p["begins"] - first), F.substring(text, p["ends"] + 1, F.lit(reach))
+        return F.regexp_replace(before, last, "").rlike(either(PRE_NEGATIONS)) | behind.rlike(either(POST_NEGATIONS))
 
-    return bind(views, lambda x: F.array_compact(F.array(*[one(x, f, p, v) for f, terms in lexicon.items() for p, v in terms])))
+    def places(text: Column, feature: str, pattern: str, value: str) -> Column:
+        decide = lambda p: F.struct(F.lit(feature).alias("feature"), F.lit(value).alias("value"), negated(text, p).alias("negated"), p["begins"].alias("begins"), p["ends"].alias("ends"))
+        return F.when(text.rlike(pattern), F.transform(spans(text, pattern), decide))
 
+    terms = [(f, p, v) for f, own in lexicon.items() for p, v in own]
+    return bind(F.lower(c), lambda text: F.when(text.rlike(either([p for _, p, _ in terms])), F.flatten(F.array_compact(F.array(*[places(text, *t) for t in terms])))))
 
-def lexicon_decisions(c: Column, lexicon=LEXICON, reach: int = 150) -> Column:
-    """The audit of the decisions: array<struct<feature, value, negated>> of all terms that occur."""
-    return bind(_one_blank(c), lambda text: _decide(text, lexicon, reach))
+
+def lexicon_features(c: Column, lexicon=LEXICON, reach: int = 150) -> Column:
+    """Struct of each feature's values (sorted, joined) that some place has without negation; margins and echo patterns
+    are consolidated."""
+
+    def values(x: Column, f: str) -> Column:
+        own = F.array_sort(F.array_distinct(F.transform(F.filter(x, lambda d: (d["feature"] == f) & ~d["negated"]), lambda d: d["value"])))
+        return bind(F.array_join(bind(own, lambda v: consolidate(f, v)), ", "), lambda t: F.when(t != "", t))
+
+    return bind(lexicon_decisions(c, lexicon, reach), lambda x: F.struct(*[values(x, f).alias(f) for f in lexicon]))
 
 
 def consolidate(feature: str, values: Column) -> Column:
@@ -523,13 +519,14 @@ def caption_attributes(c: Column, words=CAPTION_WORDS) -> Column:
 
 # Lesion wording by class, the first class wins.
 LESION_TYPES = (
-    ("Node", (r"\blymph\s*node\b", r"\bintramammary\s+(?:lymph\s+)?node\b", r"\baxillary\s+(?:lymph\s+)?node\b")),
+    ("Node", (r"\blymph\s*node\b", r"\bintramammary\s+(lymph\s+)?node\b", r"\baxillary\s+(lymph\s+)?node\b")),
     (
         "Lesion",
         (
-            r"\b(?:mass|lesion|complex|complicated|bilobed|calcified|solid|nodule|tumou?r|cancer|carcinoma|malignancy|septate[ds]?|septation|vascularity|vascular)\b",
-            r"\b(?:shadowing|sebaceous|adenoma|fibroadenoma|papilloma|clip|intraductal)\b",
-            r"\bblood\s*flow\b", r"\bbiopsy[- ]?proven\b", r"\bless\s+defined\b", r"\bill[- ]?defined\b", r"\birregular\s+margin\b", r"\bpartially\s+circumscribed\b",
+            r"\bmass\b", r"\blesion\b", r"\bcomplex\b", r"\bcomplicated\b", r"\bbilobed\b", r"\bcalcified\b", r"\bsolid\b", r"\bnodule\b", r"\btumou?r\b", r"\bcancer\b", r"\bcarcinoma\b",
+            r"\bmalignancy\b", r"\bseptate[ds]?\b", r"\bseptation\b", r"\bblood\s*flow\b", r"\bvascularity\b", r"\bvascular\b", r"\bshadowing\b", r"\bsebaceous\b", r"\badenoma\b",
+            r"\bfibroadenoma\b", r"\bpapilloma\b", r"\bbiopsy[- ]?proven\b", r"\bclip\b", r"\bintraductal\b", r"\bless\s+defined\b", r"\bill[- ]?defined\b", r"\birregular\s+margin\b",
+            r"\bpartially\s+circumscribed\b",
         ),
     ),
     ("Simple cyst", (r"cysts?\b", r"\bcystic\b")),

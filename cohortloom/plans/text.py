@@ -129,7 +129,10 @@ def h16(t):
 
 @query(
     "H16_lexicon_decisions",
-    """SELECT report_id, feature, value, negated FROM reports JOIN (VALUES (0, 'margin', 'circumscribed', false), (0, 'shape', 'oval', false), (0, 'echo', 'hypoechoic', false), (0, 'posterior', 'enhancement', false),
+    """SELECT report_id, feature, value, negated, CAST(strpos(CASE f WHEN 0 THEN 'oval circumscribed hypoechoic mass with posterior enhancement.' WHEN 1 THEN 'no spiculated mass.'
+    WHEN 2 THEN 'no oval area but irregular spiculated mass.' WHEN 3 THEN 'anechoic and hypoechoic round areas, circumscribed and indistinct.' WHEN 4 THEN 'complex cyst is no longer seen.'
+    ELSE 'lymph node with echogenic halo.' END, value) AS INT) - 1 AS begins, begins + CAST(length(value) AS INT) AS ends
+  FROM reports JOIN (VALUES (0, 'margin', 'circumscribed', false), (0, 'shape', 'oval', false), (0, 'echo', 'hypoechoic', false), (0, 'posterior', 'enhancement', false),
   (1, 'margin', 'spiculated', true), (2, 'shape', 'oval', true), (2, 'shape', 'irregular', false), (2, 'margin', 'spiculated', false), (3, 'echo', 'anechoic', false), (3, 'echo', 'hypoechoic', false), (3, 'shape', 'round', false),
   (3, 'margin', 'circumscribed', false), (3, 'margin', 'indistinct', false), (4, 'echo', 'complex', true), (5, 'boundary', 'echogenic halo', false)) v(k, feature, value, negated) ON f = k""",
 )
