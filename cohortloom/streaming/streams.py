@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQueryListener
 
 from ..operators import buckets as B
 from ..operators import versions as V
@@ -54,29 +54,155 @@ def stream_audit(stream: DataFrame, ts: str, by: Sequence[str], window: str = "1
     return stream.withWatermark(ts, late).groupBy(F.window(ts, window).alias("w"), *by).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), *by, "n")
 
 
-def _patient_state(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Number of events so far and worst score of one patient."""
-    events, worst = state.get if state.exists else (0, 0)
-    for pdf in batches:
-        events += int(pdf["is_event"].sum())
-        scores = pdf["score"].dropna()
-        worst = max(worst, int(scores.max())) if len(scores) else worst
-    state.update((events, worst))
-    yield pd.DataFrame({"patient_id": [key[0]], "events": [events], "worst": [worst]})
-
-
-def stream_patient_state(stream: DataFrame) -> DataFrame:
-    """M5: patient_id, is_event, score -> the patient's state after each batch."""
-    return stream.groupBy("patient_id").applyInPandasWithState(
-        _patient_state, "patient_id long, events long, worst int", "events long, worst int", "update", GroupStateTimeout.NoTimeout
-    )
-
-
-def stream_window_link(exams: DataFrame, path: DataFrame, days: int, late: str = LATE) -> DataFrame:
-    """M6: pathology of the same patient within ``days`` after an exam, both arriving; state is bounded by watermarks."""
+class StageCounters(StreamingQueryListener):
+    """M4: writes a stream's observed counters to a log under ``root``, an entry for each batch.
+
+    Entries are added only if absent, so a batch that is run again after a lost driver counts once. ``watch`` starts it.
+    """
+
+    NAME = "stage_counters"
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root, self.query = spark, root, None
+
+    def add(self, progress) -> None:
+        seen = progress.observedMetrics.get(self.NAME)
+        if seen is not None and progress.numInputRows:
+            try:
+                V.add_entry(self.spark, self.root, progress.batchId + 1, {"batch": progress.batchId, "counters": seen.asDict()})
+            except V.StaleVersion:
+                pass
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        if self.query is None or event.progress.id == self.query:
+            self.add(event.progress)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def count_stages(stream: DataFrame, counters: dict[str, str]) -> DataFrame:
+    """M4: the stream with counters (aggregates in SQL by name) that ``run_counted`` reports for each batch."""
+    return stream.observe(StageCounters.NAME, *[F.expr(c).alias(name) for name, c in counters.items()])
+
+
+def run_counted(counted: DataFrame, path: str, checkpoint: str, root: str) -> None:
+    """M4: run a counted stream over all that is there into Parquet files, its counters into the log under ``root``."""
+    spark = counted.sparkSession
+    listener = StageCounters(spark, root)
+    writer = counted.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    spark.streams.addListener(listener)
+    try:
+        q = writer.start(path)
+        listener.query = q.id
+        q.awaitTermination()
+        for progress in q.recentProgress:  # reports that have not come yet
+            listener.add(progress)
+    finally:
+        spark.streams.removeListener(listener)
+
+
+def stage_counters(spark: SparkSession, root: str) -> DataFrame:
+    """M4: counter and its total over all batches."""
+    rows = [(name, int(n or 0)) for v in V.versions(spark, root) for name, n in V.entry(spark, root, v)["counters"].items()]
+    return spark.createDataFrame(rows, "counter string, n long").groupBy("counter").agg(F.sum("n").alias("n"))
+
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+HISTORY = "event_id long, patient_id long, prior_left long, prior_right long, worst_rank int, worst_source long"
+DAY_MS = 86_400_000
+
+
+class PatientHistory(StatefulProcessor):
+    """M5: holds a patient's rows until the watermark has passed them, then gives each its history, in order of time and id.
+
+    State: the waiting rows, and for each side the flagged rows so far and the earliest of the worst scores. A patient
+    without rows for ``ttl_days`` (by the watermark) is forgotten and begins anew.
+    """
+
+    def __init__(self, ttl_days: int | None):
+        self.ttl = ttl_days and ttl_days * DAY_MS
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "us long, event_id long, side string, score int, is_event boolean")
+        self.sides = handle.getMapState("sides", "side string", "flagged long, rank int, source long")
+        self.last = handle.getValueState("last", "us long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new = []
+        for pdf in rows:
+            score = pdf["score"].astype(object).where(pdf["score"].notna(), None)
+            new += [(int(u), int(e), s, None if x is None else int(x), bool(f)) for u, e, s, x, f in zip(pdf["us"], pdf["event_id"], pdf["side"], score, pdf["is_event"])]
+        self.waiting.appendList(new)
+        self.handle.registerTimer(min(r[0] for r in new) // 1000 + 1)
+        yield pd.DataFrame()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentWatermarkInMs()
+        held = sorted(self.waiting.get()) if self.waiting.exists() else []
+        due = [r for r in held if r[0] <= now * 1000]
+        if due:
+            yield self._released(key[0], due)
+            rest = held[len(due) :]
+            if rest:
+                self.waiting.put(rest)
+                self.handle.registerTimer(rest[0][0] // 1000 + 1)
+            else:
+                self.waiting.clear()
+            self.last.update((due[-1][0],))
+            if self.ttl:
+                self.handle.registerTimer(due[-1][0] // 1000 + 1 + self.ttl)
+        elif self.ttl and not held and self.last.exists() and self.last.get()[0] // 1000 + 1 + self.ttl <= now:
+            self.sides.clear()
+            self.last.clear()
+
+    def _released(self, patient, due: list) -> pd.DataFrame:
+        sides = {s: self.sides.getValue((s,)) if self.sides.containsKey((s,)) else (0, None, None) for s in ("LEFT", "RIGHT")}
+        out = []
+        for _, event, side, score, flagged in due:
+            (left, left_rank, left_source), (right, right_rank, right_source) = sides["LEFT"], sides["RIGHT"]
+            on_right = side == "RIGHT" or side == "BILATERAL" and (left_rank is None or (right_rank is not None and right_rank > left_rank))
+            worst = (right_rank, right_source) if on_right else (left_rank, left_source) if side in ("LEFT", "BILATERAL") else (None, None)
+            out.append((event, patient, left, right, *worst))
+            for s in sides:
+                if side in (s, "BILATERAL"):
+                    n, rank, source = sides[s]
+                    sides[s] = (n + flagged, score, event) if score is not None and (rank is None or score > rank) else (n + flagged, rank, source)
+        for s, v in sides.items():
+            self.sides.updateValue((s,), v)
+        found = pd.DataFrame(out, columns=[c.split()[0] for c in HISTORY.split(", ")])
+        return found.astype({"worst_rank": "Int32", "worst_source": "Int64"})
+
+    def close(self) -> None:
+        pass
+
+
+def stream_patient_history(stream: DataFrame, ttl_days: int | None = None, late: str = LATE) -> DataFrame:
+    """M5: event_id, patient_id, ts, side, score, is_event, in any order within ``late`` -> each row once, with the flagged
+    earlier rows on each side and the worst earlier score on its side(s) with its row. Needs the RocksDB state store."""
+    if stream.sparkSession.conf.get(STATE_STORE) != ROCKS:
+        raise ValueError(f"set {STATE_STORE} to {ROCKS}")
+    rows = stream.withWatermark("ts", late).select("event_id", "patient_id", "ts", F.unix_micros("ts").alias("us"), "side", "score", F.coalesce("is_event", F.lit(False)).alias("is_event"))
+    return rows.groupBy("patient_id").transformWithStateInPandas(PatientHistory(ttl_days), HISTORY, "Append", "EventTime")
+
+
+def stream_window_link(exams: DataFrame, path: DataFrame, days: int, late: str = LATE, how: str = "inner") -> DataFrame:
+    """M6: pathology of the same patient within ``days`` after an exam, both arriving; state is bounded by watermarks.
+
+    With ``left_outer`` an exam that nothing follows comes out once both watermarks have passed its days. Rows that come
+    after their watermark are left out.
+    """
     a, b = exams.withWatermark("exam_ts", late), path.withWatermark("path_ts", late)
     near = F.expr(f"path_ts >= exam_ts AND path_ts <= exam_ts + INTERVAL {days} DAYS")
-    return a.join(b, (a["patient_id"] == b["path_patient"]) & near)
+    return a.join(b, (a["patient_id"] == b["path_patient"]) & near, how)
 
 
 def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> DataFrame:
