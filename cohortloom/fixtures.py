@@ -69,7 +69,7 @@ SELECT l_orderkey AS note_id, l_partkey AS note_part, l_suppkey AS note_lab, l_p
   'SPECIMEN FINAL DIAGNOSIS: ' || CASE l_partkey % 6 WHEN 0 THEN 'A. Left breast, invasive ductal carcinoma.' WHEN 1 THEN 'A) Right breast, negative for carcinoma.' WHEN 2 THEN 'Fibroadenoma, left.'
     WHEN 3 THEN 'A. Right breast, lobular carcinoma in situ.' WHEN 4 THEN 'A. No evidence of malignancy in nodes; DCIS was found elsewhere and far away in the second specimen.' ELSE 'A. Skin.' END ||
   CASE WHEN l_suppkey % 2 = 0 THEN chr(10) || 'B. Right breast, benign. COMMENT none' ELSE '' END || ' CLINICAL: text' AS note
-FROM lineitem WHERE l_linenumber = 1""",
+FROM lineitem""",
 }
 
 

@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 
 from ..operators import aggregates as A
+from ..operators import sketches as S
+from ..operators.lineage import new_path
 from ..registry import query
 from .predicates import RULE_SQL, image_rules
 
@@ -28,6 +30,16 @@ def a3(t):
     return A.n_unique(t.exams, "patient_id")
 
 
+@query("A3_sketches_by_day", "SELECT count(DISTINCT CAST(exam_ts AS DATE)) AS days, count(DISTINCT patient_id) AS exact, true AS within FROM exams")
+def a3_sketches(t):
+    """The union of the days' sketches beside the exact count; the days come twice."""
+    root = new_path(t.spark, "sketches")
+    for _ in range(2):
+        S.add_days(t.exams, root, "exam_ts", "patient_id")
+    counted = S.distinct_in(t.spark, root).crossJoin(A.n_unique(t.exams, "patient_id").withColumnRenamed("n_unique", "exact"))
+    return counted.select("days", "exact", (F.abs(F.col("n_unique") - F.col("exact")) <= 4 * S.ERROR * F.col("exact") + 1).alias("within"))
+
+
 @query("A4_per_group_stats", "SELECT count(*) AS groups, min(n) AS least, max(n) AS most, round(avg(n), 6) AS mean FROM (SELECT count(*) AS n FROM exams GROUP BY patient_id)")
 def a4(t):
     return A.per_group_stats(t.exams, "patient_id")

@@ -205,16 +205,43 @@ def override_audit(diagnosed: DataFrame) -> DataFrame:
     return rows.groupBy("x.side", "x.change").agg(F.count("*").alias("n"))
 
 
+def override_disagreements(diagnosed: DataFrame) -> DataFrame:
+    """The rows that the addendum rule changed from one class to the other, with side, prior, diagnosis and source."""
+    per = [F.struct(F.lit(s).alias("side"), F.col(f"{s}_prior").alias("prior"), F.col(f"{s}_diagnosis").alias("diagnosis"), F.col(f"{s}_diagnosis_source").alias("source")) for s in ("left", "right")]
+    gone = [f"{s}_{c}" for s in ("left", "right") for c in ("prior", "diagnosis", "diagnosis_source")]
+    rows = diagnosed.withColumn("_x", F.explode(F.array(*per))).select(*[c for c in diagnosed.columns if c not in gone], "_x.*")
+    return rows.where(F.col("diagnosis").endswith("4") & (F.substring("prior", 1, 3) != F.substring("diagnosis", 1, 3)))
+
+
 def final_dataset(exams: DataFrame, path: DataFrame) -> DataFrame:
-    """Linked, diagnosed, with prior positives; kept if diagnosed or ultrasound; duplicates resolved."""
+    """Linked, diagnosed, with prior positives; kept if diagnosed or ultrasound; duplicates resolved.
+
+    Where exams have an ``endpoint``, it is cleared but for ultrasound, an ultrasound row without one goes, and
+    ``study_id`` is its last part.
+    """
+    return final_tables(exams, path)["exams"]
+
+
+def final_tables(exams: DataFrame, path: DataFrame) -> dict[str, DataFrame]:
+    """``exams``, and ``lesions``: the pathology rows of the accessions that stay, with the cancer type that their
+    ``lesion_diag`` names."""
     timeline = link_timeline(exams, path)
     absent = {c: F.lit(None).cast("string") for c in ("encounter_id", "concordance", "a1_category", "a2_category") if c not in timeline.columns}
     rows = diagnose(timeline.withColumns(absent))
     positive = F.coalesce(F.greatest(*[F.coalesce(F.col(f"{s}_diagnosis").startswith("MALIGNANT"), F.lit(False)) for s in ("left", "right")]), F.lit(False))
     rows = W.prior_flag(rows, "patient_id", "ts", "accession_number", positive, "study_laterality").where("kind = 'exam'")
-    kept = P.keep_or_mask(rows, ["left_diagnosis", "right_diagnosis"], "modality", "US", [])
+    rows = cut(rows)  # the diagnoses are long expressions, which the next filters would take over each
+    placed = ["endpoint"] if "endpoint" in exams.columns else []
+    kept = P.keep_or_mask(rows, ["left_diagnosis", "right_diagnosis"], "modality", "US", placed)
+    kept = G.resolve_duplicates(kept, "accession_number", "modality", ["ts"])
+    if placed:
+        kept = kept.where(~(P.holds(P.contains_ci(F.col("modality"), "US")) & F.col("endpoint").isNull())).withColumn("study_id", H.path_part(F.col("endpoint"), -1))
     kept = P.drop_unlabelled(kept, ["left_diagnosis", "right_diagnosis"], F.col("is_biopsy") == "T")
-    return G.resolve_duplicates(kept, "accession_number", "modality", ["ts"])
+    out = {"exams": kept}
+    if "lesion_diag" in path.columns:
+        lesions = timeline.where((F.col("kind") == "path") & F.col("lesion_diag").isNotNull())
+        out["lesions"] = J.semi(lesions, kept, "accession_number").withColumn("cancer_type", H.first_unnegated(F.col("lesion_diag")))
+    return out
 
 
 UNNUMBERED = "anon-" + "0" * 12
@@ -265,19 +292,22 @@ def load_entities(studies: DataFrame, images: DataFrame, present: DataFrame) ->
     return fresh, J.semi(images, keys, "accession_number")
 
 
-def load_job(studies: DataFrame, images: DataFrame, present: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All studies of patients that have images, flagged by what their diagnoses say, and the images of patients that
-    are not there yet, of known studies only, with the side of their study where they have none.
+def load_job(studies: DataFrame, images: DataFrame, present: DataFrame, videos: DataFrame | None = None) -> tuple[DataFrame, ...]:
+    """All studies of patients that have images or videos, flagged by what their diagnoses say, and the images of
+    patients that are not there yet, of known studies only, with the side of their study where they have none; with
+    ``videos`` (as images), those of the same patients and studies too.
 
     studies: patient_id, accession_number, study_laterality, left_diagnosis, right_diagnosis. images: patient_id,
     accession_number, image_name, laterality. present: patient_id, accession_number of what is loaded.
     """
     says = lambda word: F.coalesce(F.col("left_diagnosis").contains(word), F.lit(False)) | F.coalesce(F.col("right_diagnosis").contains(word), F.lit(False))
-    kept = J.semi(studies, images, "patient_id").withColumns({"has_malignant": says("MALIGNANT"), "has_benign": says("BENIGN")})
+    files = [images] if videos is None else [images, videos]
+    owners = files[0].select("patient_id") if videos is None else images.select("patient_id").unionByName(videos.select("patient_id"))
+    kept = J.semi(studies, owners, "patient_id").withColumns({"has_malignant": says("MALIGNANT"), "has_benign": says("BENIGN")})
     known = kept.select("accession_number").unionByName(present.select("accession_number"))
-    new = J.semi(J.anti(J.semi(images, studies, "patient_id"), present, "patient_id"), known, "accession_number")
     sides = studies.groupBy("accession_number").agg(F.min("study_laterality").alias("laterality"))
-    return kept, J.fill_null_from(new, sides, "accession_number", "laterality")
+    fresh = lambda df: J.semi(J.anti(J.semi(df, studies, "patient_id"), present, "patient_id"), known, "accession_number")
+    return kept, *[J.fill_null_from(fresh(df), sides, "accession_number", "laterality") for df in files]
 
 
 def select_new_files(files: DataFrame, cohort: DataFrame, done: DataFrame) -> DataFrame:
@@ -327,9 +357,9 @@ def export_dataset(images: DataFrame, exams: DataFrame, spec: ExportSpec) -> Dat
     return out.withColumns({"split": split, "mini": K.mini_split(F.col("patient_id"), spec.mini_share, spec.seed)})
 
 
-def export_tables(images: DataFrame, exams: DataFrame, lesions: DataFrame, path: DataFrame, spec: ExportSpec) -> dict[str, DataFrame]:
-    """The tables of a release, all of them cut to what the specification keeps: images, breasts (exam sides, with
-    ``labelled``), lesions, pathology, and breasts_mini; every one has its patient's split."""
+def export_tables(images: DataFrame, exams: DataFrame, lesions: DataFrame, path: DataFrame, spec: ExportSpec, videos: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The tables of a release, cut to what the specification keeps: images, breasts (exam sides, with ``labelled``),
+    lesions, pathology, and breasts_mini; every one has its patient's split. ``videos`` are released as they are."""
     split = K.hash_split(F.col("patient_id"), spec.test_share, spec.validation_share)
     patients = exams.select("accession_number", "patient_id", split.alias("split"))
     kept = images.withColumn("excluded", P.exclusion_reasons(rules(spec))).where("excluded IS NULL").drop("excluded")
@@ -344,7 +374,7 @@ def export_tables(images: DataFrame, exams: DataFrame, lesions: DataFrame, path:
         "lesions": lesions.join(kept.select("image_name", "split"), "image_name"),
         "pathology": path.join(cases, "patient_id"),
         "breasts_mini": breasts.where("mini"),
-    }
+    } | ({} if videos is None else {"videos": videos})
 
 
 def audit_report(exams: DataFrame, images: DataFrame) -> DataFrame:
@@ -359,6 +389,28 @@ def audit_report(exams: DataFrame, images: DataFrame) -> DataFrame:
     return out
 
 
+# Words of a density description by category, the first category wins.
+DENSITIES = (("entirely_fatty", "entirely fatty"), ("fibroglandular", "fibroglandular"), ("heterogeneously", "heterogeneously"), ("extremely_dense", "extremely dense"))
+
+
+def audit_breasts(exams: DataFrame) -> DataFrame:
+    """C14: one-sided exams with a malignant or benign diagnosis of their side, by split, and exams by split and density.
+
+    exams: patient_id, study_laterality, left_diagnosis, right_diagnosis, density_desc. Zero counts are rows too.
+    """
+    category = F.lit("unknown")
+    for name, word in reversed(DENSITIES):
+        category = F.when(F.lower("density_desc").contains(word), name).otherwise(category)
+    rows = exams.select(K.hash_split(F.col("patient_id")).alias("split"), "study_laterality", "left_diagnosis", "right_diagnosis", F.coalesce(category, F.lit("unknown")).alias("density"))
+    has = lambda s, d: (F.col("study_laterality") == s) & F.col(f"{s.lower()}_diagnosis").contains(d)
+    counted = {f"{s.lower()}_{d.lower()}": F.count_if(has(s, d)) for s in reversed(SIDES) for d in BENIGN_MALIGNANT}
+    counted |= {f"density_{c}": F.count_if(F.col("density") == c) for c in [*[n for n, _ in DENSITIES], "unknown"]}
+    splits = exams.sparkSession.createDataFrame([("train",), ("val",), ("test",)], "split string")
+    per = splits.join(rows.groupBy("split").agg(*[c.alias(n) for n, c in counted.items()]), "split", "left").fillna(0)
+    long = per.unpivot(["split"], list(counted), "name", "value")
+    return long.select(F.concat_ws(".", F.lit("export"), "split", "name").alias("key"), "value")
+
+
 def dataset_stats(images: DataFrame, exams: DataFrame, steps: P.Rules, gold: DataFrame | None = None) -> DataFrame:
     """The funnel of the images, the sizes of the splits and, of each split, the gold labels (image_name, kind)."""
     funnel = A.funnel(images, steps).select(F.concat(F.lit("funnel."), "step").alias("key"), F.col("removed").alias("value"))

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators import joins as J
+from ..operators import space as S
 from ..operators import timeline as W
+from ..operators.lineage import cut
 
 
 def agreement(truth: DataFrame, pred: DataFrame, key: str, features: Sequence[str]) -> DataFrame:
@@ -54,18 +55,42 @@ def set_agreement(truth: DataFrame, pred: DataFrame, key: str, value: str) -> Da
     return out.withColumn("recall", F.round(F.try_divide(F.col("hit"), F.col("hit") + F.col("miss")), 6))
 
 
-def greedy_matches(pred: DataFrame, truth: DataFrame, limits: Sequence[float]) -> DataFrame:
+#: Images of more overlapping pairs are matched in rounds.
+CROWDED_PAIRS = 256
+
+
+def _by_rounds(pairs: DataFrame) -> DataFrame:
+    """Pairs (limit, image_id, x) that the greedy choice takes: in each round those that come first of all that their boxes
+    still have, which is the choice's own order for them; the pairs of their boxes go, and the next round follows."""
+    own = lambda c: F.min("x").over(Window.partitionBy("limit", "image_id", f"x.{c}"))
+    left, taken = cut(pairs), None
+    while not left.isEmpty():
+        won = cut(left.withColumns({"a": own("box_id"), "b": own("gt_id")}).where("x = a AND x = b").select("limit", "image_id", "x"))
+        taken = won if taken is None else taken.union(won)
+        for c in ("box_id", "gt_id"):
+            gone = won.select(F.col("limit").alias("l"), F.col("image_id").alias("i"), F.col(f"x.{c}").alias("c"))
+            left = left.join(gone, (F.col("limit") == F.col("l")) & (F.col("image_id") == F.col("i")) & (F.col(f"x.{c}") == F.col("c")), "left_anti")
+        left = cut(left)
+    return pairs if taken is None else taken
+
+
+def greedy_matches(pred: DataFrame, truth: DataFrame, limits: Sequence[float], crowded: int = CROWDED_PAIRS) -> DataFrame:
     """For each overlap limit the predictions by falling score, each taking the free true box of its image with the
     largest overlap: limit, image_id, box_id, gt_id, score, iou.
 
-    Only overlapping pairs travel; the choice is sequential within an image, whose boxes are few, and folds over them.
+    Only overlapping pairs travel; the pairs of a small image are folded in order, those of a crowded one in rounds.
     """
-    pairs = J.iou_join(pred, truth, min(limits)).select("image_id", F.struct((-F.col("score")).alias("s"), "box_id", (-F.col("iou")).alias("i"), "gt_id", "score", "iou").alias("x"))
+    pairs = S.iou_join(pred, truth, min(limits)).select("image_id", F.struct((-F.col("score")).alias("s"), "box_id", (-F.col("iou")).alias("i"), "gt_id", "score", "iou").alias("x"))
     fits = F.filter(F.array(*[F.lit(float(x)) for x in limits]), lambda limit: F.col("x.iou") >= limit)
-    ordered = pairs.withColumn("limit", F.explode(fits)).groupBy("limit", "image_id").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+    pairs = cut(pairs.withColumn("limit", F.explode(fits)).select("limit", "image_id", "x"))
+    many = cut(pairs.groupBy("limit", "image_id").agg(F.count("*").alias("n")).where(F.col("n") > crowded).drop("n"))
+    ordered = pairs.join(many, ["limit", "image_id"], "left_anti").groupBy("limit", "image_id").agg(F.array_sort(F.collect_list("x")).alias("xs"))
     free = lambda taken, x: ~F.exists(taken, lambda t: (t["box_id"] == x["box_id"]) | (t["gt_id"] == x["gt_id"]))
     kept = F.aggregate("xs", F.slice("xs", 1, 0), lambda taken, x: F.when(free(taken, x), F.array_append(taken, x)).otherwise(taken))
-    return ordered.select("limit", "image_id", F.explode(kept).alias("x")).select("limit", "image_id", "x.box_id", "x.gt_id", "x.score", "x.iou")
+    found = ordered.select("limit", "image_id", F.explode(kept).alias("x"))
+    if not many.isEmpty():
+        found = found.unionByName(_by_rounds(pairs.join(many, ["limit", "image_id"], "left_semi")))
+    return found.select("limit", "image_id", "x.box_id", "x.gt_id", "x.score", "x.iou")
 
 
 def detection_metrics(pred: DataFrame, truth: DataFrame, least: float) -> DataFrame:
@@ -86,6 +111,34 @@ def detection_metrics(pred: DataFrame, truth: DataFrame, least: float) -> DataFr
     )
 
 
+BACKGROUND = "background"
+
+
+def confusion_matrix(pred: DataFrame, truth: DataFrame, least: float) -> DataFrame:
+    """true_class, pred_class, n over matched boxes; what has no match meets the background. Both have ``cls``."""
+    hits = greedy_matches(pred, truth, [least]).select("image_id", "box_id", "gt_id")
+    p, t = pred.select("image_id", "box_id", F.col("cls").alias("pred_class")), truth.select("image_id", F.col("box_id").alias("gt_id"), F.col("cls").alias("true_class"))
+    both = p.join(hits, ["image_id", "box_id"], "full").join(t, ["image_id", "gt_id"], "full")
+    named = lambda c: F.coalesce(F.col(c), F.lit(BACKGROUND)).alias(c)
+    return both.select(named("true_class"), named("pred_class")).groupBy("true_class", "pred_class").agg(F.count("*").alias("n"))
+
+
+def image_metrics(images: DataFrame, pred: DataFrame, truth: DataFrame, least: float) -> DataFrame:
+    """One row on the level of images: how many have true boxes, predictions, false and missed boxes, images without
+    either, the part of images with a false box among those without true ones, boxes an image."""
+    n = lambda df, name: df.groupBy("image_id").agg(F.count("*").alias(name))
+    per = images.select("image_id").distinct()
+    for df, name in ((truth, "gt"), (pred, "pred"), (greedy_matches(pred, truth, [least]), "tp")):
+        per = per.join(n(df, name), "image_id", "left")
+    per = per.fillna(0).withColumns({"fp": F.col("pred") - F.col("tp"), "fn": F.col("gt") - F.col("tp")})
+    counts = per.agg(
+        F.count("*").alias("images"), F.count_if(F.col("gt") > 0).alias("with_gt"), F.count_if(F.col("pred") > 0).alias("with_pred"), F.count_if(F.col("fp") > 0).alias("with_fp"),
+        F.count_if(F.col("fn") > 0).alias("with_fn"), F.count_if((F.col("gt") == 0) & (F.col("pred") == 0)).alias("true_negative"),
+        F.round(F.avg("gt"), 6).alias("gt_per_image"), F.round(F.avg("pred"), 6).alias("pred_per_image"),
+    )
+    return counts.withColumn("fpr_image", F.round(F.coalesce(F.try_divide(F.col("with_fp"), F.col("images") - F.col("with_gt")), F.lit(0.0)), 6))
+
+
 def mean_average_precision(pred: DataFrame, truth: DataFrame, limits: Sequence[float]) -> DataFrame:
     """Average precision for each overlap limit and their mean (limit null)."""
     total = truth.count()

@@ -58,6 +58,17 @@ def e3(t):
     return E.detection_metrics(*boxes(t), 0.5)
 
 
+@query("E3_confusion_matrix")
+def e3_confusion(t):
+    cls = F.when(F.col("part") % 3 == 0, "malignant").otherwise("benign")
+    return E.confusion_matrix(*[b.withColumn("cls", cls) for b in boxes(t)], 0.5)
+
+
+@query("E3_image_metrics")
+def e3_images(t):
+    return E.image_metrics(t.boxes.select("image_id"), *boxes(t), 0.5)
+
+
 @query("E4_mean_average_precision")
 def e4(t):
     return E.mean_average_precision(*boxes(t), [0.3, 0.5, 0.7])
@@ -65,7 +76,7 @@ def e4(t):
 
 @query("E3_overlapping_pairs", IOU + "SELECT count(*) AS n FROM m WHERE round(i / (u - i), 6) >= 0.5")
 def e3b(t):
-    from ..operators.joins import iou_join
+    from ..operators.space import iou_join
 
     return iou_join(*boxes(t), 0.5).agg(F.count("*").alias("n"))
 

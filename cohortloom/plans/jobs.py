@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from ..operators import claims as Q
+from ..operators.lineage import new_path
 from ..registry import query
 from ..sources.spec import ExportSpec
 from . import cohort as C
@@ -77,8 +79,8 @@ def diagnosed(t):
     return C.diagnose(exams.unionByName(path))
 
 
-def _diagnose_sql() -> str:
-    """The rules once more, side by side, as SQL windows."""
+def _diagnose_sql(overrides: bool = False) -> str:
+    """The rules once more, side by side, as SQL windows; or what the addendum rule changed: row_id, side, prior, diagnosis."""
     later = "OVER (PARTITION BY patient_id ORDER BY us RANGE BETWEEN 1 FOLLOWING AND {} FOLLOWING)"
     day = 86_400_000_000
     w = {n: later.format(n * day) for n in (240, 450, 730, 1095)}
@@ -113,21 +115,23 @@ def _diagnose_sql() -> str:
     first = ", ".join(f"{case(steps[s], 1)} AS d_{s}, {case(steps[s], 2)} AS e_{s}" for s in sides)
     six = lambda s: f"d_{s} IS NULL AND ex AND sl IN ('{s}', 'BILATERAL') AND b = '6' AND ever_{s} AND (sl = 'BILATERAL' OR (d_LEFT IS NULL AND d_RIGHT IS NULL))"
     second = ", ".join(f"CASE WHEN {six(s)} THEN 'MALIGNANT1' ELSE d_{s} END AS f_{s}, CASE WHEN {six(s)} THEN 'birads 6 with malignancy' ELSE e_{s} END AS g_{s}" for s in sides)
-    out = []
+    out, changes = [], []
     for s in sides:
         follow = f"""CASE WHEN ex AND sl IN ('{s}', 'BILATERAL') AND f_LEFT IS NULL AND f_RIGHT IS NULL THEN CASE WHEN nm_{s} AND next_bx AND b IN ('4', '4A', '4B', '4C', '5', '6') THEN 'MALIGNANT2'
           WHEN nb_{s} AND NOT nm_{s} AND b IN ('1', '2', '3', '4', '4A', '4B') THEN 'BENIGN2' END END"""
         over = f"CASE WHEN ex AND sl IN ('{s}', 'BILATERAL') AND cat IS NOT NULL THEN CASE WHEN lower(cat) LIKE '%malignant%' OR lower(cat) LIKE '%invasive%' THEN 'MALIGNANT4' ELSE 'BENIGN4' END END"
         name = s.lower()
+        changes.append(f"SELECT row_id, '{name}' AS side, coalesce(f_{s}, {follow}) AS prior, {over} AS diagnosis FROM s2 WHERE {over} IS NOT NULL")
         out.append(f"coalesce({over}, f_{s}, {follow}) AS {name}_diagnosis")
         out.append(f"CASE WHEN {over} IS NOT NULL THEN CASE WHEN trim(a2) <> '' THEN 'addendum A2' ELSE 'addendum A1' END WHEN f_{s} IS NOT NULL THEN g_{s} WHEN {follow} = 'MALIGNANT2' THEN 'malignant pathology' WHEN {follow} IS NOT NULL THEN 'benign pathology' END AS {name}_diagnosis_source")
+    last = " UNION ALL ".join(changes) if overrides else f"SELECT row_id, {', '.join(out)} FROM s2 WHERE ex"
     return f"""WITH p AS (SELECT path_accession AS path_id, min(patient_id) AS patient_id, min(path_ts) AS path_ts, min(path_laterality) AS side, min(path_interpretation) AS pi FROM path GROUP BY path_accession),
 t AS (SELECT patient_id, accession_number AS row_id, epoch_us(exam_ts) AS us, true AS ex, CAST(year(exam_ts) AS STRING) AS enc, study_laterality AS sl, CAST(NULL AS STRING) AS pl, bi_rads AS b, is_biopsy AS bx, CAST(NULL AS STRING) AS pi,
   CASE WHEN accession_number % 13 = 0 THEN 'F' END AS cc, CASE WHEN accession_number % 17 = 0 THEN 'Malignant' WHEN accession_number % 19 = 0 THEN 'Benign' END AS a1, CASE WHEN accession_number % 34 = 0 THEN 'benign finding' ELSE ' ' END AS a2 FROM exams
 UNION ALL SELECT patient_id, -path_id, epoch_us(path_ts), false, CASE WHEN path_id % 3 = 0 THEN CAST(year(path_ts) AS STRING) END, NULL, CASE WHEN path_id % 5 > 0 THEN side END, NULL, NULL, pi, NULL, NULL, NULL FROM p),
 m AS (SELECT *, coalesce(nullif(trim(a2), ''), nullif(trim(a1), '')) AS cat, {', '.join(marks)} FROM t),
-s1 AS (SELECT *, {first} FROM m), s2 AS (SELECT *, {second} FROM s1)
-SELECT row_id, {', '.join(out)} FROM s2 WHERE ex"""
+s1 AS (SELECT *, {first} FROM m), s2 AS (SELECT *, {second} FROM s1), last AS ({last})
+SELECT * FROM last"""
 
 
 @query("C4_diagnose", _diagnose_sql())
@@ -135,17 +139,38 @@ def c4(t):
     return diagnosed(t).where("kind = 'exam'").select("row_id", "left_diagnosis", "left_diagnosis_source", "right_diagnosis", "right_diagnosis_source")
 
 
-@query("C5_override_audit")
+OVERRIDES = _diagnose_sql(True).removesuffix("SELECT * FROM last")
+
+
+@query(
+    "C5_override_audit",
+    OVERRIDES + "SELECT side, CASE WHEN prior IS NULL THEN 'filled_empty' WHEN substr(prior, 1, 3) = substr(diagnosis, 1, 3) THEN 'equivalent' ELSE 'disagreement' END AS change, count(*) AS n FROM last GROUP BY 1, 2",
+)
 def c5(t):
     return C.override_audit(diagnosed(t))
 
 
+@query("C5_override_disagreements", OVERRIDES + "SELECT row_id, side, prior, diagnosis FROM last WHERE substr(prior, 1, 3) <> substr(diagnosis, 1, 3)")
+def c5b(t):
+    return C.override_disagreements(diagnosed(t)).select("row_id", "side", "prior", "diagnosis")
+
+
 @query("C6_final_dataset")
 def c6(t):
     rows = C.final_dataset(exam_rows(t), path_rows(t))
     return rows.select("accession_number", "patient_id", "modality", "left_diagnosis", "right_diagnosis", "prior_positive")
 
 
+@query("C6_final_tables")
+def c6b(t):
+    """Study ids from endpoints and the cancer types of the lesions of accessions that stay."""
+    endpoint = F.when(F.col("accession_number") % 9 > 0, F.concat(F.lit("https://archive/studies/"), "accession_number"))
+    words = F.when(F.col("path_id") % 3 == 0, "A. invasive ductal carcinoma").when(F.col("path_id") % 3 == 1, "A. no evidence of carcinoma")
+    found = C.final_tables(exam_rows(t).withColumn("endpoint", endpoint), path_rows(t).withColumn("lesion_diag", words))
+    exams = found["exams"].select("accession_number", F.lit("exam").alias("kind"), "endpoint", "study_id", F.lit(None).cast("string").alias("cancer_type"))
+    return exams.unionByName(found["lesions"].select("accession_number", F.lit("lesion").alias("kind"), F.lit(None).cast("string").alias("endpoint"), F.lit(None).cast("string").alias("study_id"), "cancer_type"))
+
+
 @query(
     "C7_pseudonymise",
     """SELECT id, shape, 1 AS pseudonyms, 1 AS ids, n, CAST(date_trunc('month', first) AS DATE) AS month FROM (
@@ -179,14 +204,22 @@ def c8b(t):
     return C.load_entities(t.exams, t.images, t.exams.where("modality = 'MG'"))[1].select("image_name")
 
 
+def videos(t):
+    """Images of two regions count as videos of so many frames."""
+    return t.images.where("region_count = 2").select(F.col("image_name").alias("video_name"), "accession_number", "laterality", (F.col("crop_w") / 20).cast("int").alias("saved_frames"))
+
+
+VIDEOS = "SELECT image_name AS video_name, accession_number, laterality, CAST(crop_w / 20 AS INT) AS saved_frames FROM images WHERE region_count = 2"
+
+
 def _load(t):
     says = F.when(F.col("bi_rads").isin("4A", "4B", "4C", "5", "6"), "MALIGNANT2").when(F.col("bi_rads").isin("1", "2"), "BENIGN1")
     studies = t.exams.select("patient_id", "accession_number", "study_laterality", says.alias("left_diagnosis"), F.lit(None).cast("string").alias("right_diagnosis"))
-    images = t.images.where("has_calipers = 0 AND darkness > 40").join(t.exams.select("accession_number", "patient_id"), "accession_number").select("patient_id", "accession_number", "image_name", "laterality")
-    return C.load_job(studies, images, t.exams.where("modality = 'MG'"))
+    images = t.images.join(t.exams.select("accession_number", "patient_id"), "accession_number").select("patient_id", "accession_number", "image_name", "laterality")
+    return C.load_job(studies, images, t.exams.where("modality = 'MG'"), videos(t).join(t.exams.select("accession_number", "patient_id"), "accession_number"))
 
 
-SEEN = "SELECT e.patient_id, i.* FROM images i JOIN exams e ON i.accession_number = e.accession_number WHERE has_calipers = 0 AND darkness > 40"
+SEEN = "SELECT e.patient_id, i.* FROM images i JOIN exams e ON i.accession_number = e.accession_number"
 
 
 @query(
@@ -205,6 +238,14 @@ def c8d(t):
     return _load(t)[1].select("image_name", "laterality")
 
 
+@query(
+    "C8_load_new_videos",
+    f"""SELECT video_name, coalesce(v.laterality, e.study_laterality) AS laterality, saved_frames FROM ({VIDEOS}) v JOIN exams e ON v.accession_number = e.accession_number WHERE e.patient_id NOT IN (SELECT patient_id FROM exams WHERE modality = 'MG')""",
+)
+def c8e(t):
+    return _load(t)[2].select("video_name", "laterality", "saved_frames")
+
+
 @query(
     "C9_select_new_files",
     """SELECT image_name AS hash FROM images i JOIN exams e ON i.accession_number = e.accession_number WHERE e.modality = 'US' AND i.has_calipers = 0""",
@@ -263,7 +304,7 @@ def c13(t):
 
 
 def _release(t):
-    return C.export_tables(t.images, t.exams, t.lesions, t.path, ExportSpec(max_darkness=60, allow_calipers=False, mini_share=0.2))
+    return C.export_tables(t.images, t.exams, t.lesions, t.path, ExportSpec(max_darkness=60, allow_calipers=False, mini_share=0.2), videos(t))
 
 
 SPLIT = f"CASE WHEN {UNIT.format('patient_id')} < 0.15 THEN 'test' WHEN {UNIT.format('patient_id')} < 0.3 THEN 'val' ELSE 'train' END"
@@ -300,6 +341,31 @@ def c13f(t):
     return _release(t)["breasts_mini"].select("accession_number", "laterality")
 
 
+@query("C13_export_videos", VIDEOS)
+def c13g(t):
+    return _release(t)["videos"]
+
+
+AUDITED = f"""SELECT {SPLIT} AS split, study_laterality AS side, CASE WHEN bi_rads IN ('4A', '4B', '4C', '5', '6') THEN 'MALIGNANT2' WHEN bi_rads IN ('1', '2') THEN 'BENIGN1' END AS diagnosis,
+  CASE accession_number % 6 WHEN 0 THEN 'fatty' WHEN 1 THEN 'fibroglandular' WHEN 2 THEN 'heterogeneously' WHEN 3 THEN 'extremely' END AS density FROM exams"""
+
+
+@query(
+    "C14_audit_breasts",
+    f"""WITH a AS ({AUDITED}), s AS (SELECT unnest(['train', 'val', 'test']) AS split), n AS (
+SELECT s.split, unnest(['right_malignant', 'right_benign', 'left_malignant', 'left_benign', 'density_entirely_fatty', 'density_fibroglandular', 'density_heterogeneously', 'density_extremely_dense', 'density_unknown']) AS name,
+  unnest([count(*) FILTER (WHERE side = 'RIGHT' AND diagnosis LIKE 'MALIGNANT%'), count(*) FILTER (WHERE side = 'RIGHT' AND diagnosis LIKE 'BENIGN%'), count(*) FILTER (WHERE side = 'LEFT' AND diagnosis LIKE 'MALIGNANT%'),
+    count(*) FILTER (WHERE side = 'LEFT' AND diagnosis LIKE 'BENIGN%'), count(*) FILTER (WHERE density = 'fatty'), count(*) FILTER (WHERE density = 'fibroglandular'), count(*) FILTER (WHERE density = 'heterogeneously'),
+    count(*) FILTER (WHERE density = 'extremely'), count(*) FILTER (WHERE density IS NULL AND a.split IS NOT NULL)]) AS value FROM s LEFT JOIN a ON s.split = a.split GROUP BY s.split)
+SELECT 'export.' || split || '.' || name AS key, value FROM n""",
+)
+def c14b(t):
+    says = F.when(F.col("bi_rads").isin("4A", "4B", "4C", "5", "6"), "MALIGNANT2").when(F.col("bi_rads").isin("1", "2"), "BENIGN1")
+    k = F.col("accession_number") % 6
+    words = F.when(k == 0, "The breasts are almost entirely fatty").when(k == 1, "Scattered Fibroglandular tissue").when(k == 2, "heterogeneously dense").when(k == 3, "Extremely dense").when(k == 4, "not stated")
+    return C.audit_breasts(t.exams.select("patient_id", "study_laterality", says.alias("left_diagnosis"), says.alias("right_diagnosis"), words.alias("density_desc")))
+
+
 @query(
     "C14_audit_report",
     """SELECT 'modality.' || modality AS key, count(*) AS value FROM exams GROUP BY 1 UNION ALL SELECT 'side.' || study_laterality, count(*) FROM exams GROUP BY 1 UNION ALL SELECT 'scanner.' || scanner, count(*) FROM images GROUP BY 1
@@ -325,11 +391,11 @@ def c15(t):
 @query(
     "C16_seed_annotations",
     """SELECT CAST(e.accession_number AS STRING) AS image_name, CASE WHEN n IS NULL THEN 'fallback' WHEN n = 1 THEN 'linked' ELSE 'skipped' END AS outcome FROM exams e
-LEFT JOIN (SELECT accession_number AS k, count(DISTINCT (clock, distance_cm)) AS n FROM lesions WHERE distance_cm > 3 AND clock IS NOT NULL AND ord <= 3 GROUP BY 1) l ON e.accession_number = l.k""",
+LEFT JOIN (SELECT accession_number AS k, count(DISTINCT (clock, distance_cm)) AS n FROM lesions WHERE clock IS NOT NULL GROUP BY 1) l ON e.accession_number = l.k""",
 )
 def c16(t):
     """An exam's lesions stand in one image: several places make several annotations, and its mask is skipped."""
-    lesions = t.lesions.where("distance_cm > 3 AND clock IS NOT NULL AND ord <= 3").withColumn("image_name", F.col("accession_number").cast("string"))
+    lesions = t.lesions.where("clock IS NOT NULL").withColumn("image_name", F.col("accession_number").cast("string"))
     return C.seed_annotations(lesions, t.exams.select(F.col("accession_number").cast("string").alias("image_name"))).select("image_name", "outcome")
 
 
@@ -363,6 +429,20 @@ def c17b(t):
     return C.backfill_extractions(rows, "doc_id", "text", "value", results).select("doc_id", "value")
 
 
+@query("C17_claims", "SELECT md5(text) AS text_hash, CAST(min(n_chars) AS BIGINT) AS value FROM documents WHERE trim(text) <> '' GROUP BY 1")
+def c17c(t):
+    """Two workers share all texts; one is lost with what it has claimed, which the other then gets."""
+    root = new_path(t.spark, "claims")
+    texts = t.documents.where(F.trim("text") != "").groupBy(F.md5("text").alias("text_hash")).agg(F.min("n_chars").alias("n_chars"))
+    Q.open_queue(texts, root, "text_hash", 8)
+    Q.claim(t.spark, root, "lost", 60, many=3, now=0.0)
+    for now in (1.0, 100.0):
+        while tasks := Q.claim(t.spark, root, "other", 60, many=4, now=now):
+            for task in tasks:
+                Q.accept(Q.items(t.spark, root, [task]).select("text_hash", F.col("n_chars").cast("long").alias("value")), root, task)
+    return Q.results(t.spark, root, "text_hash string, value long")
+
+
 @query("C18_em_rates")
 def c18(t):
     rows = t.lineitem.select("l_orderkey", "l_returnflag", (F.col("l_discount") > 0.05).cast("int").alias("found"))

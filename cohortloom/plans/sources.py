@@ -62,6 +62,14 @@ def s8(t):
     return again.groupBy("modality").agg(F.count("*").alias("n"))
 
 
+@query("S8_snapshot_status", "SELECT DISTINCT modality AS name, modality = 'US' AS present FROM exams")
+def s8c(t):
+    paths = {r.modality: folder(t, r.modality) for r in t.exams.select("modality").distinct().collect()}
+    if "US" in paths:
+        io.snapshot(t.exams.where("modality = 'US'"), paths["US"])
+    return io.snapshot_status(t.spark, paths)
+
+
 @query("S8_snapshot_or_csv", "SELECT accession_number, modality, 'csv' AS source FROM exams UNION ALL SELECT accession_number, modality, 'snapshot' FROM exams")
 def s8b(t):
     csv, path, schema = folder(t, "csv"), folder(t, "snapshot"), "accession_number long, modality string"
