@@ -333,3 +333,42 @@ def test_final_dataset_on_literal_rows(spark):
     assert not got[10].prior_positive and got[12].prior_positive
     assert got[20].right_diagnosis == "BENIGN1"
     assert 30 not in got and 40 not in got
+
+
+def test_confusion_and_image_metrics_equal_loops(spark):
+    rng = random.Random(14)
+    pred, truth = ([(*b, rng.choice("xyz")) for image in range(30) for b in boxes(rng, rng.randrange(0, 6), image)] for _ in range(2))
+    truth = [(i, f"t{b}", *rest) for i, b, *rest in truth]
+    schema = "image_id long, box_id string, x1 double, y1 double, x2 double, y2 double, score double, cls string"
+    p, t = spark.createDataFrame(pred, schema), spark.createDataFrame(truth, schema)
+    hits = brute_greedy(pred, truth, 0.4)
+    cls = {b[1]: b[7] for b in pred + truth}
+    want = {}
+    for pair in [(cls[g], cls[b]) for b, g in hits] + [("background", b[7]) for b in pred if b[1] not in dict(hits)] + [(b[7], "background") for b in truth if b[1] not in {g for _, g in hits}]:
+        want[pair] = want.get(pair, 0) + 1
+    assert {(r.true_class, r.pred_class): r.n for r in E.confusion_matrix(p, t, 0.4).collect()} == want and len(want) > 10
+    per = {i: [sum(b[0] == i for b in truth), sum(b[0] == i for b in pred), sum(b.startswith(f"{i}_") for b, _ in hits)] for i in range(32)}
+    got = E.image_metrics(spark.range(32).withColumnRenamed("id", "image_id"), p, t, 0.4).first()
+    fp = sum(n - k > 0 for _, n, k in per.values())
+    assert (got.images, got.with_gt, got.with_pred, got.with_fp) == (32, sum(g > 0 for g, _, _ in per.values()), sum(n > 0 for _, n, _ in per.values()), fp)
+    assert got.with_fn == sum(g - k > 0 for g, _, k in per.values()) and got.true_negative == sum(g == n == 0 for g, n, _ in per.values())
+    assert got.fpr_image == round(fp / (32 - got.with_gt), 6) and got.gt_per_image == round(len(truth) / 32, 6)
+
+
+def test_final_tables_have_study_ids_and_cancer_types(spark):
+    day = lambda d: datetime.fromordinal(datetime(2020, 1, 1).toordinal() + d)
+    exams = [
+        (1, 10, day(0), "LEFT", "4A", "F", "US", "https://a/studies/s10"),
+        (1, 11, day(10), "LEFT", None, "T", "US", "https://a/studies/s11"),
+        (2, 20, day(0), "RIGHT", "1", "F", "US", None),  # ultrasound without an endpoint goes
+        (3, 30, day(0), "LEFT", "4A", "F", "MG", "https://a/studies/s30"),  # diagnosed, its endpoint is cleared
+        (3, 31, day(5), "LEFT", None, "T", "MG", None),
+    ]
+    path = [(1, 900, day(12), "LEFT", "MALIGNANT", "A. invasive lobular carcinoma"), (3, 901, day(7), "LEFT", "BENIGN", "A. fibroadenoma"), (9, 902, day(7), "LEFT", "BENIGN", "A. cyst")]
+    e = spark.createDataFrame(exams, "patient_id long, accession_number long, exam_ts timestamp, study_laterality string, bi_rads string, is_biopsy string, modality string, endpoint string")
+    p = spark.createDataFrame(path, "patient_id long, path_id long, path_ts timestamp, path_laterality string, path_interpretation string, lesion_diag string")
+    found = C.final_tables(e, p)
+    got = {r.accession_number: r for r in found["exams"].collect()}
+    assert got[10].study_id == "s10" and 20 not in got and got[30].endpoint is None and got[30].study_id is None and got[30].left_diagnosis == "BENIGN2"
+    lesions = {r.path_id: (r.accession_number, r.cancer_type) for r in found["lesions"].collect()}
+    assert lesions[900][0] == 10 and "LOBULAR" in lesions[900][1].upper() and lesions[901][0] == 30 and 902 not in lesions
