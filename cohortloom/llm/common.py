@@ -44,6 +44,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def compact(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """``df`` checkpointed, then read in a partition for every ``rows`` rows: the shuffles of small tables make few files."""
+    kept = cut_lineage(df)
+    return kept.coalesce(1 + kept.count() // rows)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a Parquet table in the shared folder and read again."""
     path = shared_path(df.sparkSession, name)

@@ -68,6 +68,23 @@ def test_links_connect_what_pairs_connect(spark, bits, hot):
     assert {x: got.get(x, x) for x in want} == want
 
 
+@pytest.mark.parametrize("one_task", [0, 1 << 20])
+def test_components_either_way(spark, one_task):
+    rng = random.Random(9)
+    nodes = [signed(rng.getrandbits(64)) for _ in range(300)]
+    edges = [tuple(rng.sample(nodes[i : i + 30], 2)) for i in range(0, 270, 30) for _ in range(40)] + list(zip(nodes[200:280], nodes[201:281])) + [(nodes[299], nodes[299])]
+    near = {x: {x} for e in edges for x in e}
+    for a, b in edges:
+        if near[a] is not near[b]:
+            near[a] |= near[b]
+            for x in near[b]:
+                near[x] = near[a]
+    want = {x: min(g) for x, g in near.items() if len(g) > 1}
+    got = components(spark.createDataFrame(edges, "a long, b long"), one_task).collect()
+    assert {r.node: r.root for r in got} == want and len(got) == len(want)
+    assert components(spark.createDataFrame([], "a long, b long"), one_task).count() == 0
+
+
 def test_manhattan_is_a_lower_bound(spark):
     rng = random.Random(5)
     rows = [(signed(a), signed(a ^ (1 << rng.randrange(64)) ^ rng.choice([0, 1 << rng.randrange(64)]))) for a in (rng.getrandbits(64) for _ in range(200))]
