@@ -1,9 +1,9 @@
 """Personal data: base patterns, and further spans by boosted trees over generated candidates; DataFrame functions only.
 
 Base kinds are leftmost matches of fixed patterns that pass a check (octets, Luhn, digit counts). High-recall generators
-propose more, overlapping spans: e-mail addresses with spaced or written-out signs, digit groups as cards or telephone
-numbers with any separators. Format and context of a candidate (length, separators, grouping, key words before it, its
-neighbours) make a small cell of features.
+propose more, overlapping spans: e-mail and ip addresses with spaced, bracketed or written-out signs, digits as cards or
+telephone numbers with any separators or none. Format and context of a candidate (length, separators, grouping, words before
+it that speak for or against it, its neighbours) make a small cell of features.
 
 The trees learn from labels that neither the base patterns nor the features give:
 
@@ -11,7 +11,8 @@ The trees learn from labels that neither the base patterns nor the features give
   separators, national telephone numbers), as far as a generator proposes the new form;
 * wrong: proposals that no base span meets and whose content fails a check (no top-level domain or a new sentence after
   the dot; Luhn; too few or too many digits, a date, an ip address);
-* a few fixed examples of both (``EXAMPLES``), so that a small corpus is judged like a large one.
+* fixed lessons of both (``LESSONS``): forms in contexts, wrong ones among them that pass the content check (order and part
+  numbers of the same shape). What the corpus teaches weighs no more than these, so that a small corpus is judged like a large one.
 
 All other proposals teach nothing. Spark counts the lessons of every cell; the trees are fitted to those of one half of
 the texts (by a hash) and a threshold for each generator is calibrated to ``PRECISION`` on the other half. A proposal
@@ -28,6 +29,8 @@ them); without candidates the trees add nothing; an empty table gives an empty r
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,32 +51,61 @@ IP = r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
-# generators: (kind, pattern, what a text must hold for it)
-EMAIL_LIKE = rf"(?<!{_LOCAL}){_LOCAL}{{1,64}}+\x20?(?:@|\[at\]|\(at\))\x20?{_LABEL}{{1,63}}+(?:\x20?(?:\.|\[dot\]|\(dot\))\x20?{_LABEL}{{1,63}}+){{1,4}}"
-CARD_LIKE = r"(?<![0-9])[0-9](?:[\x20./-]{0,2}[0-9]){11,18}(?![0-9])"
-PHONE_LIKE = r"(?<![0-9A-Za-z])\+?\(?[0-9]{1,4}\)?(?:[\x20./()-]{1,2}[0-9]{2,4}){2,4}(?![0-9A-Za-z])"
-GENERATORS = (("email", EMAIL_LIKE, r"@|\[at\]|\(at\)"), ("card", CARD_LIKE, "[0-9][\\x20./-]?[0-9]"), ("phone", PHONE_LIKE, "[0-9][\\x20./()-]"))
+# generators: (kind, pattern, what a text must hold for it). Each step of a number is one digit, so none can match in two ways.
+_OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
+_AT = rf"(?:\x20?@\x20?|\x20?{_OPEN}\x20?(?:[aA][tT]|@)\x20?{_CLOSE}\x20?|\x20[aA][tT]\x20)"
+_DOT = rf"(?:\x20?\.\x20?|\x20?{_OPEN}\x20?(?:[dD][oO][tT]|\.)\x20?{_CLOSE}\x20?|\x20[dD][oO][tT]\x20)"
+EMAIL_LIKE = rf"(?<!{_LOCAL}){_LOCAL}{{1,64}}+{_AT}{_LABEL}{{1,63}}+(?:{_DOT}{_LABEL}{{1,63}}+){{1,4}}"
+CARD_LIKE = r"(?<![0-9])[0-9](?:[\x20./_-]{0,2}[0-9]){11,18}(?![0-9])"
+PHONE_LIKE = r"(?<![0-9A-Za-z])\+?\(?[0-9](?:[\x20./()-]{0,2}[0-9]){8,14}(?![0-9A-Za-z])"
+_IP_DOT = rf"(?:\x20?{_OPEN}(?:[dD][oO][tT]|\.){_CLOSE}\x20?|\x20(?:[dD][oO][tT]|\.)\x20)"
+IP_LIKE = rf"(?<![0-9A-Za-z])[0-9]{{1,3}}+(?:{_IP_DOT}[0-9]{{1,3}}+){{3}}(?![0-9A-Za-z])"
+GENERATORS = (
+    ("email", EMAIL_LIKE, r"@|[\[({<\x20][aA][tT][\])}>\x20]"),
+    ("card", CARD_LIKE, "[0-9][\\x20./_-]?[0-9]"),
+    ("phone", PHONE_LIKE, "[0-9][\\x20./()-]{0,2}[0-9]"),
+    ("ip", IP_LIKE, rf"[0-9]{_IP_DOT}[0-9]"),
+)
+# words before a proposal that speak for its kind, and words for numbers and places that belong to nobody
 KEY_WORDS = {
-    "email": r"(?i)(?:mail|contact|write|reach|address)[^\n]{0,20}$",
-    "card": r"(?i)(?:card|visa|credit|debit|account|payment|karte)[^\n]{0,20}$",
-    "phone": r"(?i)(?:phone|tel|call|fax|mobile|cell|contact|number|handy)[^\n]{0,20}$",
+    "email": "e-?mail|contact|write|reach|address|reply|send|inbox",
+    "card": "card|visa|credit|debit|payment|amex|mastercard|charged?|karte",
+    "phone": "phone|tel|telephone|call|fax|mobile|cell|ring|dial|sms|whatsapp|contact|handy",
+    "ip": "ip|host|server|address|client|ping|login|from",
 }
+OTHER_WORDS = "order|invoice|lot|part|serial|isbn|item|ref|reference|version|case|ticket|batch|sku|article|model|page|room|release|build|tracking|section|chapter|rows?|log|parcel|permit|voucher|patent|docket|look|found|meet|sale|open|see"
 DATE = r"^\(?(?:[0-9]{4}[./-][0-9]{1,2}[./-][0-9]{1,2}|[0-9]{1,2}[./-][0-9]{1,2}[./-][0-9]{2,4})"
 # how a base span is written otherwise: (pattern, replacement) in turn, by a hash of the span
 DISGUISES = {
-    "email": [("@", " [at] "), ("@", "(at)"), ("@", " @ "), (r"@([^.]*)\.", " [at] $1 [dot] "), (r"@([^.]*)\.", "(at)$1(dot)")],
+    "email": [("@", " [at] "), ("@", "(at)"), ("@", " @ "), (r"@([^.]*)\.", " [at] $1 [dot] "), (r"@([^.]*)\.", "(at)$1(dot)"), (r"@([^.]*)\.", " at $1 dot ")],
     "card": [("([0-9]{4})[\\x20-]?(?=[0-9])", "$1."), ("([0-9]{4})[\\x20-]?(?=[0-9])", "$1/"), ("([0-9]{4})[\\x20-]?(?=[0-9])", "$1  ")],
     "phone": [(r"^\+[0-9]{1,3}[\x20.-]?", ""), (r"^\+[0-9]{1,3}[\x20.-]?\(?", "(0"), (r"^\+", "00"), (r"^\+[0-9]{1,3}[\x20.-]?\(?([0-9]+)\)?", "0$1")],
+    "ip": [(r"\.", "[.]"), (r"\.", " . "), (r"\.", "(dot)"), (r"\.", " [dot] ")],
 }
-# fixed examples: (generator, before, proposal, after, right)
-EXAMPLES = [
-    *[(0, b, s, a, 1) for b in ("mail ", "contact me: ", "") for s in ("bob [at] example.org", "ann.lee (at) mail.example.com", "joe[at]example[dot]net", "eve @ example.com") for a in ("", " ")],
-    *[(0, b, s, a, 0) for b in ("", "see ") for s in ("thanks @alice. see", "home (at) 5. the", "sold @ 3. 50", "it @ noon. then", "a @ b. c") for a in ("", " ")],
-    *[(1, b, s, a, 1) for b in ("card ", "visa: ", "") for s in ("4111.1111.1111.1111", "4111/1111/1111/1111", "5500  0000  0000  0004", "4012 8888 8888. 1881") for a in ("", " ")],
-    *[(1, b, s, a, 0) for b in ("", "no ", "= ") for s in ("12.5 13.5 14.5 15.5 16.5", "1/2/3/4/5/6/7/8/9/10/11/12", "2019.2020.2021.2022", "10.000.000.000.000", "100 200 300 400 500") for a in ("", " ")],
-    *[(2, b, s, a, 1) for b in ("call ", "tel. ", "phone: ") for s in ("(555) 123-4567", "555-123-4567", "030 1234 5678", "(030) 123 4567", "0049 30 123 4567", "555.123.4567") for a in ("", " ")],
-    *[(2, b, s, a, 0) for b in ("", "in ", "= ", "from ") for s in ("2019 2020 2021", "12.50 13.75 100", "2021-01-02 1200", "10 20 30 40 50", "1.25 3.50 2.75", "100/200/300") for a in ("", " ")],
+# fixed lessons: (generator, contexts, proposals, right)
+_CARDS = ("4111.1111.1111.1111", "4111/1111/1111/1111", "5500  0000  0000  0004", "4012_8888_8888_1881", "3782.822463.10005", "3714/496353/98431", "4111 /1111 /1111 /1111", "6011.0009.9013.9424")
+_PHONES = ("(555) 123-4567", "555-123-4567", "030 1234 5678", "(030) 123 4567", "0049 30 123 4567", "555.123.4567", "030/12345678", "07911 123456", "01 23 45 67 89", "5551234567", "020 7946 0018", "0171/234 56 78", "555 123 4567")
+_IPS = ("192[.]168[.]10[.]5", "10 . 0 . 0 . 12", "172(dot)16(dot)1(dot)9", "8 dot 8 dot 4 dot 4", "203 [dot] 0 [dot] 113 [dot] 7")
+LESSONS = [
+    (0, ("mail ", "contact me: ", "write to ", "and ", ""), ("bob [at] example.org", "ann.lee (at) mail.example.com", "joe[at]example[dot]net", "eve @ example.com", "kim at example dot com", "lee AT example DOT org", "joe {at} example.com", "max <at> example <dot> com", "pat(at)example(dot)co(dot)uk", "sam [at] example [dot] com"), 1),
+    (0, ("mail ", "contact ", "send it to "), ("bob at example.com", "ann.lee at mail.example.org"), 1),
+    (0, ("", "see ", "we "), ("thanks @alice. see", "home (at) 5. the", "sold @ 3. 50", "it @ noon. then", "a @ b. c", "look at example.com", "meet at home.then", "sale at shop.net", "and at www.example.org", "stay at inn.net"), 0),
+    (1, ("card ", "visa: ", "credit card no. ", "paid by amex ", "and ", ""), _CARDS, 1),
+    (1, ("order ", "serial no. ", "part ", "tracking: ", "batch ", "ref. "), _CARDS, 0),
+    (1, ("", "= ", "and "), ("12.5 13.5 14.5 15.5 16.5", "1/2/3/4/5/6/7/8/9/10/11/12", "2019.2020.2021.2022", "10.000.000.000.000", "100 200 300 400 500", "12 34 56 78 90 12 34"), 0),
+    (2, ("call ", "tel. ", "phone: ", "mobile ", "ring ", "fax no. "), _PHONES, 1),
+    (2, ("", "and ", "or "), ("(555) 123-4567", "555-123-4567", "(030) 123 4567", "(0171) 234567"), 1),
+    (2, ("order ", "invoice ", "lot ", "isbn ", "ref. ", "part number ", "version "), _PHONES, 0),
+    (2, ("", "in ", "= ", "and ", "rows "), ("2019 2020 2021", "12.50 13.75 100", "10 20 30 40 50", "1.25 3.50 2.75", "100/200/300 400", "0049 2021 5566", "5551234567", "123456789", "01 23 45 67 89", "555 123 4567", "030 1234 5678"), 0),
+    (3, ("ip ", "host ", "server ", "login from ", "and "), _IPS, 1),
+    (3, ("",), ("192[.]168[.]10[.]5", "172(dot)16(dot)1(dot)9"), 1),
+    (3, ("version ", "section ", "release "), _IPS, 0),
+    (3, ("", "and "), ("3 . 4 . 5 . 6", "1 . 2 . 3 . 4"), 0),
 ]
+#: Weight of each fixed lesson; those of the corpus weigh as much as the fixed ones of their generator at most, in sum.
+LESSON_WEIGHT = 4.0
+#: More kinds of proposals than this many cells are refused (their features' ranges allow for no more in practice).
+MAX_CELLS = 200_000
 
 
 def running_sum(values: Column) -> Column:
@@ -160,7 +192,7 @@ def base_spans(text: Column) -> Column:
 
 def _plain_email(s: Column) -> Column:
     """Written-out signs as signs, without blanks."""
-    return F.regexp_replace(F.regexp_replace(F.regexp_replace(s, r"\[at\]|\(at\)", "@"), r"\[dot\]|\(dot\)", "."), r"\x20", "")
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(s, _AT, "@"), _DOT, "."), r"\x20", "")
 
 
 def _content_passes(kind: str, s: Column) -> Column:
@@ -171,6 +203,8 @@ def _content_passes(kind: str, s: Column) -> Column:
         return _plain_email(s).rlike(rf"^{_LOCAL}+@{_LABEL}+(\.{_LABEL}+)*\.[A-Za-z]{{2,}}$") & ~sentence
     if kind == "card":
         return F.coalesce(digits.between(12, 19) & luhn(digits_of(s)), F.lit(False))
+    if kind == "ip":
+        return F.forall(F.regexp_extract_all(s, F.lit("[0-9]+"), F.lit(0)), lambda p: p.cast("int") <= 255)
     octets = s.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$")
     return digits.between(9, 15) & ~s.rlike(DATE) & ~octets
 
@@ -179,16 +213,26 @@ def _features(g: int, kind: str, m: Column) -> list[Column]:
     """Small integers from the format of a proposal and its neighbours; no check of its content."""
     s, before, after = m["s"], m["before"], m["after"]
     flag = lambda c: c.cast("int")
-    parts = F.split(s, "[^0-9A-Za-z]+")
+    parts = F.split(F.ltrim(s, F.lit("+(")), "[^0-9A-Za-z]+")
+    # the last word that speaks decides
+    for_it = before.rlike(rf"(?i)\b(?:{KEY_WORDS[kind]})\b(?:(?!\b(?:{OTHER_WORDS})\b)[^\n]){{0,20}}$")
+    against = before.rlike(rf"(?i)\b(?:{OTHER_WORDS})\b[^\n]{{0,20}}$")
     sized = lambda p: F.least(F.length(p), F.lit(5))
     return [
         F.lit(g).alias("f0"),
         F.least(F.floor(F.length(s) / 4), F.lit(7)).cast("int").alias("f1"),
-        F.when(s.rlike(r"\.\x20|\x20\."), 4).when(s.rlike(r"[\[(](at|dot)"), 3).when(s.rlike("[./]|\x20@"), 2).when(s.rlike(r"[\x20-]"), 1).otherwise(0).alias("f2"),
+        F.when(s.rlike(rf"(?i){_OPEN}\x20?(?:dot|\.)\x20?{_CLOSE}"), 7)
+        .when(s.rlike(rf"(?i){_OPEN}\x20?(?:at|@)\x20?{_CLOSE}"), 6)
+        .when(s.rlike(r"(?i)\x20(?:at|dot)\x20"), F.when(s.rlike(r"(?i)\x20dot\x20"), 5).otherwise(4))
+        .when(s.rlike(r"\.\x20|\x20\."), 3)
+        .when(s.rlike("[./]|\x20@"), 2)
+        .when(s.rlike(r"[\x20_-]"), 1)
+        .otherwise(0)
+        .alias("f2"),
         F.least(F.size(parts), F.lit(5)).alias("f3"),
-        flag(before.rlike(KEY_WORDS[kind])).alias("f4"),
+        F.when(for_it, 2).when(against, 0).otherwise(1).alias("f4"),
         (flag(before.rlike(r"[0-9A-Za-z=\"'#$]\z")) + 2 * flag(after.rlike(r"[0-9A-Za-z\"'#$%]"))).alias("f5"),
-        (flag(s.startswith("(")) + 2 * flag(s.startswith("0"))).alias("f6"),
+        (flag(s.contains("(") & s.rlike("[0-9]\\)")) + 2 * flag(s.startswith("0")) + 4 * flag(s.contains("-"))).alias("f6"),
         sized(F.try_element_at(parts, F.lit(1))).alias("f7"),
         sized(F.try_element_at(parts, F.lit(-1))).alias("f8"),
     ]
@@ -240,48 +284,69 @@ def search(docs: DataFrame, text_col: str, keep: list[str] | None = None) -> Dat
 
 
 def _examples(spark) -> DataFrame:
-    rows = spark.createDataFrame([(g, b, s, a, r) for g, b, s, a, r in EXAMPLES], "g int, before string, s string, after string, good int")
+    rows = [(g, b, s, a, good) for g, contexts, proposals, good in LESSONS for b in contexts for s in proposals for a in ("", " ")]
+    table = spark.createDataFrame(rows, "g int, before string, s string, after string, good int")
     m = F.struct("s", "before", "after")
-    per = [rows.where(F.col("g") == g).withColumn("m", m).select("good", *_features(g, kind, F.col("m"))) for g, (kind, _, _) in enumerate(GENERATORS)]
-    return per[0].union(per[1]).union(per[2])
+    per = [table.where(F.col("g") == g).withColumn("m", m).select("good", *_features(g, kind, F.col("m"))) for g, (kind, _, _) in enumerate(GENERATORS)]
+    return reduce(DataFrame.union, per)
 
 
 def fit_selector(found: DataFrame, precision: float = PRECISION):
-    """(trees, threshold of each generator) from the lessons of ``search``; the other half calibrates."""
+    """(trees of each generator, thresholds) from the lessons of ``search``; the other half calibrates."""
     right = found.select("half", F.lit(1).alias("good"), F.explode("disguised").alias("c"))
     wrong = F.filter("candidates", lambda c: ~c["passes"] & ~meets(c, F.col("base")))
     lessons = right.select("half", "good", "c.*").union(found.select("half", F.lit(0).alias("good"), F.explode(wrong).alias("c")).select("half", "good", *[F.col(f"c.{f}") for f in FEATURES]))
     # the cells are no more than the product of the features' ranges, whatever the corpus
-    cells = sorted(lessons.groupBy("half", *FEATURES).agg(F.sum("good").alias("good"), F.count("*").alias("n")).collect())
-    fixed = [(half, *[r[f] for f in FEATURES], r.good, 1) for half in (0, 1) for r in _examples(found.sparkSession).collect()]
-    half, *rest = (np.array(c) for c in zip(*fixed, *map(tuple, cells)))
+    cells = sorted(lessons.groupBy("half", *FEATURES).agg(F.sum("good").alias("good"), F.count("*").alias("n")).limit(MAX_CELLS + 1).collect())
+    if len(cells) > MAX_CELLS:
+        raise ValueError(f"more than {MAX_CELLS} kinds of proposals")
+    taught = [(half, *[r[f] for f in FEATURES], r.good, 1) for half in (0, 1) for r in _examples(found.sparkSession).collect()]
+    half, *rest = (np.array(c) for c in zip(*taught, *map(tuple, cells)))
     x, good, n = np.stack(rest[:-2], axis=1), rest[-2].astype(float), rest[-1].astype(float)
+    weight = np.full(len(n), LESSON_WEIGHT)
+    for g in range(len(GENERATORS)):
+        for h in (0, 1):
+            own = (x[:, 0] == g) & (half == h)
+            fixed = own & (np.arange(len(n)) < len(taught))
+            # right and wrong lessons of the corpus each weigh as much as the fixed ones at most
+            for part in (good > 0, good == 0):
+                of = own & ~fixed & part
+                weight[of] = min(1.0, LESSON_WEIGHT * fixed.sum() / max(n[of].sum(), 1.0))
+    good, n = good * weight, n * weight
     fitting, held = half == 0, half == 1
-    model = fit(x[fitting], good[fitting], n[fitting])
-    score = scores(model, x)
+    models, score = [], np.zeros(len(n))
+    for g in range(len(GENERATORS)):  # trees of its own for each generator
+        own = x[:, 0] == g
+        models.append(fit(x[fitting & own], good[fitting & own], n[fitting & own], depth=4))
+        score[own] = scores(models[g], x[own])
     limits = {}
     for g in range(len(GENERATORS)):
         own = held & (x[:, 0] == g)
         # never below even odds
         limits[g] = max(0.0, threshold(score[own], good[own], n[own], precision))
-    return model, limits
+    return models, limits
 
 
 def _find(docs: DataFrame, text_col: str, precision: float, keep: list[str] | None = None) -> DataFrame:
     """row, base and spans."""
     found = search(docs, text_col, keep)
-    model, limits = fit_selector(found, precision)
+    models, limits = fit_selector(found, precision)
 
     def chosen(c: Column) -> Column:
-        score = to_column(model, [c[f] for f in FEATURES])
         enough = F.lit(False)
         for g, t in limits.items():
             if t < float("inf"):
-                enough = F.when(c["f0"] == g, score >= F.lit(t - 1e-9)).otherwise(enough)
+                enough = F.when(c["f0"] == g, to_column(models[g], [c[f] for f in FEATURES]) >= F.lit(t - 1e-9)).otherwise(enough)
         return c["passes"] & ~meets(c, F.col("base")) & enough
 
+    def within(c: Column, others: Column) -> Column:
+        return F.exists(others, lambda o: (o["start"] <= c["start"]) & (c["end"] <= o["end"]) & (o["end"] - o["start"] > c["end"] - c["start"]))
+
     added = F.transform(F.filter("candidates", chosen), lambda c: F.struct(*[c[f].alias(f) for f in ("start", "k", "end")]))
-    return found.select("row", "base", F.array_sort(F.array_distinct(F.concat("base", added))).alias("spans"))
+    found = found.select("row", "base", F.array_distinct(added).alias("added"))
+    # a part of a longer one (the digits of a card as a telephone number) is none of its own
+    whole = F.filter("added", lambda c: ~within(c, F.col("added")))
+    return found.select("row", "base", F.array_sort(F.concat("base", whole)).alias("spans"))
 
 
 def find_personal_data(docs: DataFrame, text_col: str = "text", precision: float = PRECISION, keep: list[str] | None = None) -> DataFrame:

@@ -169,3 +169,60 @@ def test_redaction_and_columns(spark):
     assert {r.text for r in got} == {"mail [email] now", None, "nothing 12 here"}
     assert all(r[c] == c for r in got for c in taken[1:]) and {r.spans for r in got} == {"k", None}
     assert find_personal_data(docs.limit(0)).count() == 0
+
+
+def amex(rng):
+    digits = [3, 7, *(rng.randrange(10) for _ in range(12))]
+    odd = sum(sum(divmod(d * (2 - i % 2), 10)) for i, d in enumerate(reversed(digits)))
+    return "".join(map(str, [*digits, -odd % 10]))
+
+
+def unseen(rng):
+    """One text of each template, none of which is in the operator: (text, span or None, kind). The wrong ones pass the content check."""
+    name, host, word, top = rng.choice(["maria", "j.doe", "o_brien", "x12"]), rng.choice(["corp.co.uk", "uni-bonn.de", "shop.io"]), rng.choice(["acme", "orbit", "blue-sky"]), rng.choice(["net", "fr", "info"])
+    d = lambda k: "".join(str(rng.randrange(10)) for _ in range(k))
+    n1 = lambda k: str(rng.randrange(2, 10)) + d(k - 1)
+    c, x = card(rng), amex(rng)
+    q = [c[i : i + 4] for i in range(0, 16, 4)]
+    o = [str(rng.randrange(1, 255)) for _ in range(4)]
+    right = [
+        ("Drop us a line, {} any day", f"{name} (AT) {host}", "email"), ("you get me under {} most days", f"{name} at {word} dot {top}", "email"), ("my e-mail is {}", f"{name} <at> {host}", "email"),
+        ("{} is where replies go", f"{name}[at]{word}[dot]{top}", "email"), ("Questions? Contact {} today", f"{name} at {host}", "email"), ("ask {} about it", f"{name}{{at}}{word}{{dot}}{top}", "email"),
+        ("please charge {} for it", ".".join(q), "card"), ("my Mastercard reads {} so far", " / ".join(q).replace(" / ", " /"), "card"), ("the Amex was {} I think", f"{x[:4]}.{x[4:10]}.{x[10:]}", "card"), ("billed to visa no. {} then", "_".join(q), "card"),
+        ("give her a ring on {} soon", f"07{d(3)} {n1(6)}", "phone"), ("my cell is {} now", n1(10), "phone"), ("dial {} after six", f"030/{n1(8)}", "phone"), ("our fax: {}", f"{n1(2)} {d(2)} {d(2)} {d(2)} {d(2)}", "phone"), ("an SMS to {} will do", f"0171 {n1(7)}", "phone"), ("Telephone {} (day)", f"({n1(3)}) {n1(3)}.{d(4)}", "phone"),
+        ("we saw client {} again", "[.]".join(o), "ip"), ("ping {} first", " [dot] ".join(o), "ip"), ("the address was {} today", " . ".join(o), "ip"),
+    ]
+    wrong = [
+        ("purchase order {} is late", f"{n1(3)} {n1(3)} {d(4)}"), ("invoice {} was paid", f"0049 20{d(2)} {d(4)}"), ("the shipment {} left", n1(10)), ("lot {} passed", f"{n1(3)}-{n1(3)}-{d(4)}"), ("a serial of {} on it", ".".join(q)), ("parcel {} came", f"0171 {n1(7)}"),
+        ("dinner at the {} was good", f"inn at {word}.{top}"), ("you can look at {} for that", f"{word}.{top}"), ("batch no. {} went out", "/".join(q)), ("membership {} ends", f"07{d(3)} {n1(6)}"), ("chapter {} says so", " . ".join(o)), ("counts were {} that day", f"{n1(2)} {d(2)} {d(2)} {d(2)} {d(2)}"),
+        ("model {} is out", f"{x[:4]}.{x[4:10]}.{x[10:]}"), ("patent {} was filed", n1(10)), ("in build {} it works", "[.]".join(o)),
+    ]
+    lead, tail = rng.choice(["It was late. ", "", "As they said, "]), rng.choice(["", " and more words follow", "."])
+    out = []
+    for template, value, kind in right:
+        at = len(lead) + template.index("{}")
+        out.append((lead + template.format(value) + tail, (at, at + len(value)), kind))
+    return out + [(lead + template.format(value) + tail, None, None) for template, value in wrong]
+
+
+def test_unseen_templates(spark):
+    """Precision and recall of at least 0.9 on templates that were not taught, alone and within a corpus of base spans."""
+    rng = random.Random(8)
+    cases = [x for _ in range(40) for x in unseen(rng)]
+    corpus = [(len(cases) + i, t) for i, t in enumerate(planted(random.Random(3), 600)[0])]
+    for more in ([], corpus):
+        docs = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(cases)] + more, "doc_id long, text string").repartition(4)
+        rows = {r.doc_id: r for r in find_personal_data(docs).where(F.col("doc_id") < len(cases)).collect()}
+        added = right = wanted = 0
+        missed, false = set(), set()
+        for i, (text, span, kind) in enumerate(cases):
+            base = {(s.start, s.end) for s in rows[i].base}
+            new = [(s.start, s.end, KINDS[s.k]) for s in rows[i].spans if (s.start, s.end) not in base]
+            wanted, added = wanted + (span is not None), added + len(new)
+            hit = span is not None and any((a, b, k) == (*span, kind) for a, b, k in new)
+            right += hit
+            if span and not hit:
+                missed.add(text)
+            false |= {(text, n) for n in new if not (hit and n[:2] == span)}
+        print(*[f"MISS {x}" for x in sorted(missed)], *[f"FALSE {x}" for x in sorted(false)], right / wanted, right / max(added, 1), sep="\n")
+        assert right / wanted >= 0.9 and right / added >= 0.9, (right, wanted, added)
