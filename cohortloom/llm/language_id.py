@@ -50,18 +50,30 @@ def _letters() -> np.ndarray:
     return table
 
 
-def _points(text: str) -> np.ndarray:
-    """Letters with single spaces around and between their runs; empty if there is no letter."""
+def _mapped(text: str) -> np.ndarray:
+    """The lower-case letter or a space for each code point."""
     raw = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     table = _letters()
     x = table[np.minimum(raw, len(table) - 1)]
     if (far := raw >= len(table)).any():
         x[far] = [p if unicodedata.category(chr(p))[0] == "L" else 0x20 for p in raw[far].tolist()]
-    space = x == 0x20
-    if space.all():
-        return x[:0]
-    keep = ~(space & np.concatenate(([True], space[:-1])))
-    return np.concatenate((np.array([0x20], np.uint32), x[keep], np.array([0x20], np.uint32)))
+    return x
+
+
+def _points(text: str) -> Iterator[np.ndarray]:
+    """Letters with single spaces around and between their runs, for every SLICE characters; nothing if there is no letter."""
+    space, begun = np.array([0x20], np.uint32), False
+    after_space = True
+    for a in range(0, len(text), SLICE):
+        x = _mapped(text[a : a + SLICE])
+        blank = x == 0x20
+        kept = x[~(blank & np.concatenate(([after_space], blank[:-1])))]
+        after_space = bool(blank[-1])
+        if len(kept):
+            yield kept if begun else np.concatenate((space, kept))
+            begun = True
+    if begun:
+        yield space
 
 
 def _hashes(points: np.ndarray, sizes: tuple[int, ...], buckets: int) -> np.ndarray:
@@ -79,21 +91,22 @@ def _hashes(points: np.ndarray, sizes: tuple[int, ...], buckets: int) -> np.ndar
     return out
 
 
-def _slices(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(code points, document of each) in slices; a document longer than SLICE comes in parts, each with a space at its ends."""
+def _slices(texts: list[str | None], sizes: tuple[int, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(code points, document of each) in slices. A document that goes on in a further part brings its last points along,
+    marked by the complement of its number, so that its n-grams are those of the whole text."""
     held: list[np.ndarray] = []
     owners: list[np.ndarray] = []
-    size = 0
+    size, reach = 0, max(sizes) - 1
     for i, text in enumerate(texts):
-        if not text:
-            continue
-        for a in range(0, len(text), SLICE):
-            part = _points(text[a : a + SLICE])
-            if not len(part):
-                continue
+        tail = np.zeros(0, np.uint32)
+        for part in _points(text or ""):
+            if not held and len(tail):  # the slice before has what these follow
+                held.append(tail)
+                owners.append(np.full(len(tail), ~i, np.int32))
             held.append(part)
             owners.append(np.full(len(part), i, np.int32))
             size += len(part)
+            tail = np.concatenate((tail, part))[-reach:] if reach else tail
             if size >= SLICE:
                 yield np.concatenate(held), np.concatenate(owners)
                 held, owners, size = [], [], 0
@@ -102,13 +115,15 @@ def _slices(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def _grams(points: np.ndarray, owner: np.ndarray, sizes: tuple[int, ...], buckets: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(buckets, their documents), size by size; n-grams never cross from one document into the next."""
+    """(buckets, their documents), size by size; n-grams never cross from one document into the next, and one that ends in
+    points brought along was counted before."""
+    of = np.where(owner < 0, ~owner, owner)
     for size, row in zip(sizes, _hashes(points, sizes, buckets)):
         end = len(owner) - size + 1
         if end <= 0:
             continue
-        whole = owner[:end] == owner[size - 1 :]
-        yield row[:end][whole], owner[:end][whole]
+        whole = of[:end] == owner[size - 1 :]
+        yield row[:end][whole], of[:end][whole]
 
 
 def _held_out(ident: Column) -> Column:
@@ -149,7 +164,7 @@ def train(
             names = sorted(set(langs))
             number = np.array([names.index(x) for x in langs], np.int64)
             total = np.zeros(len(names) * buckets, np.int64)
-            for points, owner in _slices(texts):
+            for points, owner in _slices(texts, sizes):
                 for bucket, doc in _grams(points, owner, sizes, buckets):
                     total += np.bincount(number[doc] * buckets + bucket, minlength=len(total))
             for k, name in enumerate(names):
@@ -181,7 +196,7 @@ def train(
 
 
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str = "text", sizes: tuple[int, ...] = SIZES, keep: list[str] | None = None) -> DataFrame:
-    """``docs`` with lang_pred and score, the posterior probability of that language (equal priors).
+    """``docs`` with lang_pred and score, the tempered probability of that language (equal priors; no posterior).
 
     Neighbouring n-grams are far from independent, and the plain posterior of any long text is 1. The evidence of a text
     therefore counts as that of ``EVIDENCE`` n-grams at most: a text of mixed or unknown language keeps a low score,
@@ -194,13 +209,13 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
         for texts, _ in batches:
             total = np.zeros((len(texts), max(1, len(langs))))
             seen, grams = np.zeros(len(texts), bool), np.zeros(len(texts))
-            for points, owner in _slices(texts):
+            for points, owner in _slices(texts, sizes):
                 for bucket, doc in _grams(points, owner, sizes, len(table)) if langs else ():
                     if len(doc):
                         first = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
                         total[doc[first]] += np.add.reduceat(table[bucket], first, axis=0, dtype=np.float64)
                         grams[doc[first]] += np.diff(np.append(first, len(doc)))
-                seen[owner] = True
+                seen[owner[owner >= 0]] = True
             best = total.argmax(axis=1)
             weight = np.minimum(1.0, EVIDENCE / np.maximum(grams, 1.0))[:, None]
             chance = np.exp((total - total.max(axis=1, keepdims=True)) * weight)

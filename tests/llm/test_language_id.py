@@ -1,4 +1,5 @@
 import math
+import random
 import unicodedata
 import zlib
 from collections import Counter
@@ -121,3 +122,32 @@ def test_ties_repeated_ids_and_too_many_labels(spark):
         assert "language label" in str(e)
     else:
         raise AssertionError("a junk label column passed")
+
+
+def test_slices_give_the_ngrams_of_the_whole_text(monkeypatch):
+    rng = random.Random(3)
+    alphabet = "abcdeéß ñ  ..1\n中𝒜"
+    texts = [None, "", "...", "a"] + ["".join(rng.choices(alphabet, k=n)) for n in (5, 9, 10, 11, 40, 41, 333, 1000)] + ["a" * 31, " " * 25 + "b", "b" + " " * 25, "x" * 10 + " " * 20 + "y" * 10]
+
+    def counted():
+        found = Counter()
+        for points, owner in li._slices(texts, li.SIZES):
+            for bucket, doc in li._grams(points, owner, li.SIZES, li.BUCKETS):
+                found.update(zip(bucket.tolist(), doc.tolist()))
+        return found
+
+    def one_by_one():
+        found = Counter()
+        for i, text in enumerate(texts):
+            parts = list(li._points(text or ""))
+            if parts:
+                points = np.concatenate(parts)
+                for bucket, _ in li._grams(points, np.full(len(points), i, np.int32), li.SIZES, li.BUCKETS):
+                    found.update((b, i) for b in bucket.tolist())
+        return found
+
+    whole = one_by_one()
+    assert counted() == whole
+    for size in (1, 2, 3, 10, 64):
+        monkeypatch.setattr(li, "SLICE", size)
+        assert counted() == whole, size
