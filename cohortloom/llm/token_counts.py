@@ -3,7 +3,8 @@
 A batch of changes (inserted documents, deleted documents, revised counts) becomes signed sums, combined before the
 shuffle. Committing a batch writes its sums and the new totals, which are the totals before plus these sums (both are as
 many rows as there are groups, never the documents), to folders of their own and then adds one entry to the log of
-versions (``operators.versions``); the entry is created only if that version is not there yet. So
+versions (``operators.versions``); the entry appears whole, and only if that version is not there yet. It names the batch and
+all committed batch numbers, as ranges, so a commit reads one entry however many there are. So
 
 * a batch is committed whole or not at all: a crash before the entry leaves folders that nobody reads;
 * a batch number that is committed already is left as it is, whatever the repeated commit brings;
@@ -17,6 +18,8 @@ its insert comes; an empty batch commits as empty; without a commit the totals a
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,10 +72,26 @@ def revisions(rows: DataFrame, old: str = "old_tokens", new: str = "tokens") ->
 
 
 def committed(spark: SparkSession, root: str) -> dict[int, int]:
-    """Batch numbers and their versions."""
+    """The history: batch numbers and their versions."""
     return {V.entry(spark, root, v)["batch"]: v for v in V.versions(spark, root)}
 
 
+def _within(runs: list[list[int]], batch: int) -> bool:
+    i = bisect_right(runs, [batch, float("inf")])
+    return i > 0 and batch <= runs[i - 1][1]
+
+
+def _with(runs: list[list[int]], batch: int) -> list[list[int]]:
+    """Ranges of numbers, in order, with one more number."""
+    out: list[list[int]] = []
+    for lo, hi in sorted([*runs, [batch, batch]]):
+        if out and lo <= out[-1][1] + 1:
+            out[-1][1] = max(out[-1][1], hi)
+        else:
+            out.append([lo, hi])
+    return out
+
+
 def _write(sums: DataFrame, root: str, name: str) -> str:
     folder = V.new_folder(root, name)
     sums.write.parquet(folder)
@@ -83,22 +102,25 @@ def commit(root: str, batch: int, *changes: DataFrame) -> bool:
     """Commit signed changes under a batch number; False if that number is committed already, and nothing changes."""
     spark = changes[0].sparkSession
     folder = None
-    while batch not in (log := committed(spark, root)):
+    while True:
+        following = V.next_version(spark, root)
+        version, content = V.latest(spark, root)
+        runs = content.get("batches", [])
+        if _within(runs, batch):
+            return False
         if folder is None:
             rows = changes[0]
             for more in changes[1:]:
                 rows = rows.unionByName(more)
             folder = _write(_summed(rows), root, f"batch-{batch}")
         sums = spark.read.schema(BATCH).parquet(folder)
-        version = max(log.values(), default=0)
-        before = spark.read.schema(BATCH).parquet(V.entry(spark, root, version)["totals"]) if version else sums.limit(0)
-        after = _write(_summed(before.union(sums)).where("docs <> 0 OR tokens <> 0"), root, f"totals-{version + 1}")
+        before = spark.read.schema(BATCH).parquet(content["totals"]) if version else sums.limit(0)
+        after = _write(_summed(before.union(sums)).where("docs <> 0 OR tokens <> 0"), root, f"totals-{following}")
         try:
-            V.add_entry(spark, root, version + 1, {"batch": batch, "sums": folder, "totals": after})
+            V.add_entry(spark, root, following, {"batch": batch, "batches": _with(runs, batch), "sums": folder, "totals": after})
             return True
         except V.StaleVersion:
             continue  # somebody else has added that version
-    return False
 
 
 def _summed(rows: DataFrame) -> DataFrame:
@@ -107,14 +129,12 @@ def _summed(rows: DataFrame) -> DataFrame:
 
 def totals(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
     """source, lang, tokenizer, docs and tokens after all commits, or as they were at a version."""
-    known = V.versions(spark, root)
-    if not known or version == 0:
-        return spark.createDataFrame([], BATCH)
-    return spark.read.schema(BATCH).parquet(V.entry(spark, root, version or known[-1])["totals"])
+    content = {} if version == 0 else V.entry(spark, root, version) if version else V.latest(spark, root)[1]
+    return spark.read.schema(BATCH).parquet(content["totals"]) if content else spark.createDataFrame([], BATCH)
 
 
 def op4_token_counts(spark, sf_dir: str) -> DataFrame:
-    """Totals of all documents by source, language and two tokenizer versions (words and bytes).
+    """Totals of all documents by source, language and two tokenizer versions.
 
     All documents come in with a provisional count and get their exact one; the toxic ones leave and, once they have been
     looked at, come back. The revision is committed twice, as after a lost driver.
@@ -122,13 +142,12 @@ def op4_token_counts(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     root = shared_path(spark, "token-counts")
-    text = F.coalesce("text", F.lit(""))
-    docs = documents(spark, sf_dir).select("doc_id", "source", "lang", "text", F.ceil(F.length("text") / 4).cast("long").alias("old_tokens"), F.octet_length(text).cast("long").alias("bytes"))
-    counted = cut_lineage(count_tokens(docs, {"word_bpe_49k": public_tokenizers.path("word_bpe_49k.json")}, keep=["doc_id", "source", "lang", "old_tokens", "bytes"]))
-    by_byte = counted.withColumns({"tokenizer": F.lit("utf8_bytes"), "tokens": F.col("bytes")})
+    tokenizers = {name: public_tokenizers.path(f"{name}.json") for name in ("word_bpe_49k", "byte_bpe_50k")}
+    docs = documents(spark, sf_dir).select("doc_id", "source", "lang", "text", F.ceil(F.length("text") / 4).cast("long").alias("old_tokens"))
+    counted = cut_lineage(count_tokens(docs, tokenizers, keep=["doc_id", "source", "lang", "old_tokens"]))
     toxic = spark.read.parquet(f"{sf_dir}/labels.parquet").where("toxic = 1").select("doc_id")
-    marked = cut_lineage(counted.unionByName(by_byte).join(toxic, "doc_id", "left_semi").drop("bytes"))
-    commit(root, 1, inserts(counted, "old_tokens"), inserts(by_byte))
+    marked = cut_lineage(counted.join(toxic, "doc_id", "left_semi"))
+    commit(root, 1, inserts(counted, "old_tokens"))
     for _ in range(2):
         commit(root, 2, revisions(counted))
     commit(root, 3, deletes(marked))

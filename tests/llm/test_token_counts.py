@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 import public_tokenizers
@@ -15,12 +16,11 @@ PATHS = {"word": public_tokenizers.path("word_bpe_49k.json"), "byte": public_tok
 
 def test_query_equals_brute_force(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").collect()
-    t = Tokenizer.from_file(PATHS["word"])
     want = Counter()
-    for r, e in zip(docs, t.encode_batch([r.text or "" for r in docs], add_special_tokens=False)):
-        for tokenizer, n in (("word_bpe_49k", len(e.ids)), ("utf8_bytes", len((r.text or "").encode()))):
+    for tokenizer, path in (("word_bpe_49k", PATHS["word"]), ("byte_bpe_50k", PATHS["byte"])):
+        for r, e in zip(docs, Tokenizer.from_file(path).encode_batch([r.text or "" for r in docs], add_special_tokens=False)):
             want[r.source, r.lang, tokenizer, "docs"] += 1
-            want[r.source, r.lang, tokenizer, "tokens"] += n
+            want[r.source, r.lang, tokenizer, "tokens"] += len(e.ids)
     got = Counter()
     for r in op4_token_counts(spark, SMALL).collect():
         got[r.source, r.lang, r.tokenizer, "docs"] += r.docs
@@ -79,3 +79,32 @@ def test_crash_other_writers_and_early_deletes(spark, monkeypatch):
     assert state(spark, root) == {("a", "en", "t"): (2, 10), ("b", None, "t"): (2, 0), ("new", "en", "t"): (-1, -3)}
     commit(root, 8, inserts(spark.createDataFrame([("new", "en", "t", 3)], rows.schema)))
     assert ("new", "en", "t") not in state(spark, root)
+
+
+def test_ledger_of_batch_numbers(spark, monkeypatch):
+    rng = random.Random(1)
+    numbers = [rng.randrange(-40, 40) for _ in range(300)]
+    runs, seen = [], set()
+    for n in numbers:
+        assert tc._within(runs, n) == (n in seen)
+        runs, seen = tc._with(runs, n), seen | {n}
+        assert [x for lo, hi in runs for x in range(lo, hi + 1)] == sorted(seen)
+    root = shared_path(spark, "counts")
+    rows = spark.createDataFrame([("a", "en", "t", 5)], "source string, lang string, tokenizer string, tokens long")
+    for batch in (5, 3, 4, 9):
+        assert commit(root, batch, inserts(rows))
+    reads, read = [], tc.V._read
+    monkeypatch.setattr(tc.V, "_read", lambda *a: reads.append(a[2]) or read(*a))
+    assert not commit(root, 4, inserts(rows)) and commit(root, 6, inserts(rows))
+    assert reads == [4, 4]  # one entry a commit, however many there are
+    assert state(spark, root) == {("a", "en", "t"): (5, 25)}
+
+
+def test_a_torn_entry_stops_nobody(spark):
+    root = shared_path(spark, "counts")
+    rows = spark.createDataFrame([("a", "en", "t", 5)], "source string, lang string, tokenizer string, tokens long")
+    commit(root, 1, inserts(rows))
+    with open(f"{root.removeprefix('file:')}/_log/{2:020d}", "w") as f:
+        f.write('{"batch": 2')
+    assert state(spark, root) == {("a", "en", "t"): (1, 5)} and not commit(root, 1, inserts(rows))
+    assert commit(root, 2, inserts(rows)) and state(spark, root) == {("a", "en", "t"): (2, 10)} and committed(spark, root) == {1: 1, 2: 3}
