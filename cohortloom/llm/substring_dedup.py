@@ -15,7 +15,7 @@ others, so the windows around such a line spread over the buckets of their other
 text is packed once a batch. The sample only spreads the work: any ranking gives the same result.
 
 Nulls and edges: a null or blank text has no words; a text shorter than a window loses nothing; windows never cross from
-one document into another; repeated rows are further places of their windows; ids may be null or repeat (rows are told
+one document into another; repeated rows are further places of their windows; ids may have any type, be null or repeat (rows are told
 apart by id and a hash of the text, and equal rows lose the same words); an empty table gives an empty result.
 """
 
@@ -30,6 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import bitmap, cut_lineage, documents, fields_of, in_bitmap, map_arrow, map_batches, place, row_of, stored, text_or_empty
 
@@ -253,10 +254,12 @@ def covered_ranges(docs: DataFrame, window: int = WINDOW, m: int = MINIMISER, bu
             good = np.flatnonzero(in_bitmap(wanted.value, keys[:, 0]))
             at = (first - (np.cumsum(lengths) - lengths)[doc])[good]
             own = doc[good].tolist()
-            columns = [pa.array(keys[good, 0]), pa.array(keys[good, 1]), pa.array([ids[d] for d in own], pa.int64()), pa.array([ths[d] for d in own], pa.int64()), pa.array(at)]
+            columns = [pa.array(keys[good, 0]), pa.array(keys[good, 1]), pa.array([ids[d] for d in own], id_type), pa.array([ths[d] for d in own], pa.int64()), pa.array(at)]
             yield pa.RecordBatch.from_arrays(columns, names=["k1", "k2", "id", "th", "at"])
 
-    stand = map_arrow(docs.select("id", "th", "text"), places, "k1 long, k2 long, id long, th long, at long")
+    id_type, of = to_arrow_type(docs.schema["id"].dataType), T.StructField
+    schema = T.StructType([of("k1", T.LongType()), of("k2", T.LongType()), of("id", docs.schema["id"].dataType), of("th", T.LongType()), of("at", T.LongType())])
+    stand = map_arrow(docs.select("id", "th", "text"), places, schema)
     found = stand.join(repeated, ["k1", "k2"])
     ranges = F.transform(F.arrays_zip("a", "b"), lambda r: F.struct((F.col("at") + r["a"]).alias("a"), (F.col("at") + r["b"]).alias("b")))
     return found.select("id", "th", F.explode(ranges).alias("r")).groupBy("id", "th").agg(F.collect_set("r").alias("ranges"))
@@ -286,7 +289,7 @@ def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col:
     names = [f.name for f in RESULT]
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in names]
     row = row_of(docs, kept) if kept else F.lit(True)
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("th"), text.alias("text"), row.alias("row"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("th"), text.alias("text"), row.alias("row"))
     ranges = covered_ranges(rows.select("id", "th", "text"), window, m, bucket_bytes).toDF("r_id", "r_th", "ranges")
     joined = rows.join(ranges, F.col("id").eqNullSafe(F.col("r_id")) & (F.col("th") == F.col("r_th")), "left").select("row", "text", "ranges")
 

@@ -59,3 +59,10 @@ def test_equal_hashes_are_compared_in_full(monkeypatch):
     flags, lengths = repeated_windows([b"a b c d", b"b c x", b"q r s"], np.array([1, 1, 1]), 2)
     assert flags.tolist() == [False, True, False, False, True, False, False, False, False, False] and lengths.tolist() == [4, 3, 3]
     assert repeated_windows([b"q r s"], np.array([2]), 2)[0].tolist() == [True, True, False]
+
+
+def test_ids_of_any_type(spark):
+    passage = " ".join(f"w{i}" for i in range(50))
+    rows = [("a", passage + " one"), ("b", "two " + passage), (None, "three"), ("a", passage + " one")]
+    got = remove_repeated_passages(spark.createDataFrame(rows, "id string, text string"), "id").collect()
+    assert sorted((r.id or "", r.n_removed) for r in got) == [("", 0), ("a", 51), ("a", 51), ("b", 50)]
