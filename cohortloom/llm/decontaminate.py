@@ -6,17 +6,19 @@ pattern over the numbers of the benchmark's words; words that no item holds are
 a match is mapped back to word positions and to code-point offsets of the original.
 
 The benchmark is broadcast and each worker builds the automaton, about 110 MB for each MB of benchmark text (measured on
-random words, no two windows alike). A benchmark of more than ``max_bytes`` is refused: raise the limit where workers
-have the memory.
+random words, no two windows alike). A benchmark of more than ``max_bytes`` is dealt out to blocks of about that size by the
+hash of the item; each block has its automaton and its pass over the texts, and a document's marks of all blocks are
+joined. The result is the same.
 
 Nulls and edges: a null or empty text has no words; benchmark items without words match nothing; repeated items all
-count; an empty benchmark leaves every document clean; null item ids are reported as ``null``; input columns named like
-a result column are replaced.
+count; an empty benchmark leaves every document clean; null item ids are reported as ``null``, as is an item of that name;
+input columns named like a result column are replaced.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -25,10 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, fields_of, map_batches, row_of
+from .common import documents, fields_of, map_batches, row_of, stored
 
 WINDOW = 10
-MAX_BYTES = 8 << 20
+#: Bytes of benchmark text in one automaton, which takes about 110 MB a worker for each MB.
+MAX_BYTES = 2 << 20
 RESULT = T.StructType(
     [
         T.StructField("n_words", T.LongType()),
@@ -94,14 +97,40 @@ def _offsets(text: str, hit: np.ndarray) -> list[list[int]]:
     return [[int(points[starts[a]]), int(points[ends[b - 1]])] for a, b in zip(np.flatnonzero(run == 1), np.flatnonzero(run == -1))]
 
 
-def _items(benchmark: DataFrame, item_col: str, text_col: str, max_bytes: int) -> tuple[tuple[str, str], ...]:
-    """The benchmark's items in order, once their size is known to be within the limit."""
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, max_bytes: int) -> tuple[int, Callable[[int], tuple[tuple[str, str], ...]]]:
+    """Number of blocks of about ``max_bytes`` of text (a larger item is a block of its own size), and the items of each."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    items = benchmark.select(F.coalesce(F.col(f"`{item_col}`").cast("string"), F.lit("null")).alias("item"), text.alias("text"))
     size = benchmark.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    if size > max_bytes:
-        raise ValueError(f"the benchmark has {size} bytes of text, more than max_bytes = {max_bytes}: its automaton would take some {size >> 20} times 110 MB in each worker")
-    rows = benchmark.select(F.coalesce(F.col(f"`{item_col}`").cast("string"), F.lit("null")), text).collect()
-    return tuple(sorted(map(tuple, rows)))
+    blocks = max(1, -(-size // max_bytes))
+
+    def of(k: int) -> tuple[tuple[str, str], ...]:
+        own = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
+        return tuple(sorted(map(tuple, own.collect())))
+
+    return blocks, of
+
+
+def _marks(texts: list[str | None], items: tuple[tuple[str, str], ...], window: int) -> Iterator[tuple[int, np.ndarray | None, list[str]]]:
+    """Number of words, which of them are hit (None: none), and the names of the items, for each text."""
+    built = _automaton(items, window)
+    for text in texts:
+        n, hits = _scan(text, *built)
+        hit = None
+        if hits:
+            hit = np.zeros(n, bool)
+            for a, k, _ in hits:
+                hit[a : a + k] = True
+        yield n, hit, sorted({items[k][0] for _, _, ks in hits for k in ks})
+
+
+def _result(texts: list[str | None], marks: list[tuple[int, np.ndarray | None, list[str]]]) -> list[pa.Array]:
+    return [
+        pa.array([n for n, _, _ in marks], pa.int64()),
+        pa.array([0 if hit is None else int(hit.sum()) for _, hit, _ in marks], pa.int64()),
+        pa.array([names for _, _, names in marks], pa.list_(pa.string())),
+        pa.array([[] if hit is None else _offsets(text, hit) for text, (_, hit, _) in zip(texts, marks)], pa.list_(pa.list_(pa.int64()))),
+    ]
 
 
 def decontaminate(
@@ -118,34 +147,56 @@ def decontaminate(
 
     ``hit_spans`` are code-point [start, end) ranges of the original text.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(_items(benchmark, item_col, item_text_col, max_bytes))
+    blocks, items_of = _blocks(benchmark, item_col, item_text_col, max_bytes)
+    if blocks > 1:
+        return _by_blocks(docs, blocks, items_of, text_col, window, keep)
+    shared = docs.sparkSession.sparkContext.broadcast(items_of(0))
 
     def run(batches):
-        items = shared.value
-        built = _automaton(items, window)
         for texts, _ in batches:
-            n_words, n_hit, names, spans = [], [], [], []
-            for text in texts:
-                n, hits = _scan(text, *built)
-                hit = None
-                if hits:
-                    hit = np.zeros(n, bool)
-                    for a, k, _ in hits:
-                        hit[a : a + k] = True
-                n_words.append(n)
-                n_hit.append(0 if hit is None else int(hit.sum()))
-                names.append(sorted({items[k][0] for _, _, ks in hits for k in ks}))
-                spans.append([] if hit is None else _offsets(text, hit))
-            yield [
-                pa.array(n_words, pa.int64()),
-                pa.array(n_hit, pa.int64()),
-                pa.array(names, pa.list_(pa.string())),
-                pa.array(spans, pa.list_(pa.list_(pa.int64()))),
-            ]
+            yield _result(texts, list(_marks(texts, shared.value, window)))
 
     return map_batches(docs, text_col, run, RESULT, keep)
 
 
+def _by_blocks(docs: DataFrame, blocks: int, items_of: Callable, text_col: str, window: int, keep: list[str] | None) -> DataFrame:
+    """The same with one pass over the texts for each block of the benchmark; the ranges of hit words are kept in between."""
+    spark, taken = docs.sparkSession, {f.name for f in RESULT}
+    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in taken]
+    row = row_of(docs, kept) if kept else F.lit(True)
+    table = docs.select(row.alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"), F.array().cast("array<array<bigint>>").alias("ranges"), F.array().cast("array<string>").alias("names"))
+    new = T.StructType([T.StructField("new_ranges", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("new_names", T.ArrayType(T.StringType()))])
+    for k in range(blocks):
+        shared = spark.sparkContext.broadcast(items_of(k))
+
+        def scan(batches, shared=shared):
+            for texts, _ in batches:
+                ranges, names = [], []
+                for _, hit, own in _marks(texts, shared.value, window):
+                    edge = np.zeros(0, np.int64) if hit is None else np.flatnonzero(np.diff(np.concatenate(([0], hit.astype(np.int8), [0]))))
+                    ranges.append(edge.reshape(-1, 2).tolist())
+                    names.append(own)
+                yield [pa.array(ranges, pa.list_(pa.list_(pa.int64()))), pa.array(names, pa.list_(pa.string()))]
+
+        seen = map_batches(table, "text", scan, new, keep=["row", "text", "ranges", "names"])
+        table = stored(seen.select("row", "text", F.concat("ranges", "new_ranges").alias("ranges"), F.array_union("names", "new_names").alias("names")), "block")
+
+    def finish(batches):
+        for texts, batch in batches:
+            marks = []
+            for text, ranges, names in zip(texts, batch.column(0).field(1).to_pylist(), batch.column(0).field(2).to_pylist()):
+                n, hit = len(words_of(text)), None
+                if ranges:
+                    hit = np.zeros(n, bool)
+                    for a, b in ranges:
+                        hit[a:b] = True
+                marks.append((n, hit, sorted(names)))
+            yield _result(texts, marks)
+
+    done = map_batches(table, "text", finish, RESULT, keep=["row", "ranges", "names"])
+    return done.select(*fields_of("row", kept), *[f.name for f in RESULT])
+
+
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The documents without any benchmark window, with the columns they had."""
     packed = docs.select(row_of(docs).alias("row"), F.col(f"`{text_col}`").alias("text"))

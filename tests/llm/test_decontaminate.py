@@ -80,11 +80,14 @@ def test_edges_and_offsets(spark):
     assert {(r.n_words, r.row, r["__row"]) for r in got} == {("k", "r", "t")}
 
 
-def test_large_benchmark_is_refused(spark):
-    docs = spark.createDataFrame(DOCS, "doc_id long, text string, n_words string")
+@pytest.mark.parametrize("max_bytes", [30, 60])
+def test_large_benchmarks_go_block_by_block(spark, max_bytes):
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string, n_words string").selectExpr("*", "'r' AS row", "'t' AS ranges")
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
-    with pytest.raises(ValueError, match="max_bytes"):
-        decontaminate(docs, bench, max_bytes=100)
+    one, many = decontaminate(docs, bench), decontaminate(docs, bench, max_bytes=max_bytes)
+    assert one.columns == many.columns
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, many.collect()))
+    assert sorted(r.doc_id for r in drop_contaminated(docs, bench, max_bytes=max_bytes).collect()) == [3, 4, 6]
 
 
 def test_empty_tables(spark):
