@@ -142,7 +142,7 @@ def op4_token_counts(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     root = shared_path(spark, "token-counts")
-    tokenizers = {name: public_tokenizers.path(f"{name}.json") for name in ("word_bpe_49k", "byte_bpe_50k")}
+    tokenizers = {"word_bpe_49k": public_tokenizers.path("word_bpe_49k.json"), "byte_bpe_50k": public_tokenizers.path("byte_bpe_50k.tiktoken")}
     docs = documents(spark, sf_dir).select("doc_id", "source", "lang", "text", F.ceil(F.length("text") / 4).cast("long").alias("old_tokens"))
     counted = cut_lineage(count_tokens(docs, tokenizers, keep=["doc_id", "source", "lang", "old_tokens"]))
     toxic = spark.read.parquet(f"{sf_dir}/labels.parquet").where("toxic = 1").select("doc_id")

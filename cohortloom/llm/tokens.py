@@ -4,10 +4,14 @@ A tokenizer that throws white space away and closes every word with a suffix giv
 stands. For such a one, a text of plain letters, digits and signs is cut at white space and chunks seen before are looked
 up; new ones are cut into the tokenizer's words, of which only new ones go to the tokenizers library (many at a time).
 Words with any other character go to the library as they are, and any other tokenizer gets the whole text.
+
+A file of ranks (a token in base64 and its rank a line) is a byte-level tokenizer of the tiktoken library; special tokens in
+a text are ordinary text to it.
 """
 
 from __future__ import annotations
 
+import base64
 import json
 import re
 from functools import lru_cache
@@ -120,6 +124,22 @@ class Encoder:
         return out
 
 
+# Fixed value: the pattern by which byte-level tokenizers of rank files cut a text.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+class RankEncoder:
+    def __init__(self, spec: str):
+        import tiktoken
+
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(str.split, spec.splitlines())}
+        self.tokenizer = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text; a null text has none."""
+        return [np.array(self.tokenizer.encode_ordinary(t or ""), np.uint32).tobytes() for t in texts]
+
+
 @lru_cache(maxsize=2)
-def encoder(spec: str) -> Encoder:
-    return Encoder(spec)
+def encoder(spec: str) -> Encoder | RankEncoder:
+    return Encoder(spec) if spec.lstrip().startswith("{") else RankEncoder(spec)

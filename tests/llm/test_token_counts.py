@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -108,3 +109,14 @@ def test_a_torn_entry_stops_nobody(spark):
         f.write('{"batch": 2')
     assert state(spark, root) == {("a", "en", "t"): (1, 5)} and not commit(root, 1, inserts(rows))
     assert commit(root, 2, inserts(rows)) and state(spark, root) == {("a", "en", "t"): (2, 10)} and committed(spark, root) == {1: 1, 2: 3}
+
+
+def test_rank_files_give_the_ids_of_the_same_tokenizer():
+    from cohortloom.llm.tokens import encoder, load_spec
+
+    rng = random.Random(2)
+    parts = ["word", " Two", "'s", "'re", "it's", "  ", " ", "\n", "\n\n ", "\t", "12", " 345", "é", " ß中", "!?", " ...", "<|end", "a" * 300, "\u00a0", "\u2003x", "💥", "\r\n"]
+    texts = ["", None, " ", "\n"] + ["".join(rng.choices(parts, k=rng.randint(1, 60))) for _ in range(400)]
+    direct = Tokenizer.from_file(PATHS["byte"])
+    for t, ids in zip(texts, encoder(load_spec(public_tokenizers.path("byte_bpe_50k.tiktoken"))).encode(texts)):
+        assert np.frombuffer(ids, np.uint32).tolist() == direct.encode(t or "", add_special_tokens=False).ids, t
