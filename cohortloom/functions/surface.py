@@ -42,10 +42,9 @@ def register(spark: SparkSession) -> None:
     spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION tidy_caption(text STRING) RETURNS STRING RETURN trim(regexp_replace(replace(lower(text), '$', 's'), '\\\\s+', ' '))")
     spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION join_values(vals ARRAY<STRING>) RETURNS STRING RETURN array_join(array_sort(array_distinct(filter(transform(vals, v -> trim(v)), v -> v <> ''))), '; ')")
 
-    @F.udtf(returnType="letter string, part string")
-    class LetteredParts:
-        def eval(self, text: str):
-            for m in re.finditer(r"(?:^|\n)([A-Z])[.)]\s+((?:(?!\n[A-Z][.)]\s).)*)", text or "", re.S):
-                yield m[1], m[2].strip()
-
-    spark.udtf.register("lettered_parts", LetteredParts)
+    # a part begins with a letter at the start of a line and goes on to the next one
+    part = r"(?s)(?:^|\\n)([A-Z][.)]\\s+(?:(?!\\n[A-Z][.)]\\s).)*)"
+    spark.sql(
+        f"""CREATE OR REPLACE TEMPORARY FUNCTION lettered_parts(text STRING) RETURNS TABLE (letter STRING, part STRING) RETURN
+        SELECT substring(p, 1, 1), regexp_replace(substring(p, 3), '^\\\\s+|\\\\s+\\\\z', '') FROM (SELECT explode(regexp_extract_all(text, '{part}', 1)) AS p)"""
+    )
