@@ -20,13 +20,13 @@ SCORES = [
     ("BIRADS ASSESSMENT: CODE: 4-suspicious", "4", "suspicious"),
     ("BI-RADS Code 2, benign", "2", "benign"),
     ("Ultrasound BI-RADS: (3) Probable thing", "3", "Probable"),
-    ("BI-RADS ASSESSMENT: 5 - highly suggestive of malignancy. End", "5", "highly suggestive of malignancy"),
+    ("BI-RADS ASSESSMENT: 5 - highly suggestive of malignancy. End", "5", "- highly suggestive of malignancy"),
     ("ASSESSMENT: BI-RADS CATEGORY: 4b, suspicious.", "4B", "suspicious"),
-    ("IMPRESSION: BI-RADS 1 - Negative.", "1", "Negative"),
+    ("IMPRESSION: BI-RADS 1 - Negative.", "1", "- Negative"),
     ("BI-RADS: benign (2)", "2", "benign"),
     ("Final Assessment: 4c, suspicious", "4C", "suspicious"),
     ("BI-RADS® ATLAS category (overall): 6 Known cancer.", "6", "Known cancer"),
-    ("BI-RADS® Category: 0 - Incomplete.", "0", "Incomplete"),
+    ("BI-RADS® Category: 0 - Incomplete.", "0", "- Incomplete"),
     ("US BIRADS: 2", "2", None),
     ("BI-RADS 3", "3", None),
     ("OVERALL STUDY BI-RADS: 1", "1", None),
