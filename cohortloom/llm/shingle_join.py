@@ -8,7 +8,9 @@ which shingles those are changes the work, not the result.
 
 Prefix shingles name cells. First every set of a cell is compared with the cell's hub, a set that it has in common with as
 many others as possible, and fingerprints with their links; verified pairs close to components. Then, in cells that still hold several components, all pairs of
-different components are compared, so a large group of near copies costs no pair of its own members.
+different components are compared, so a large group of near copies costs no pair of its own members. A crowded one of these
+is dealt out first: sets alike that share a shingle of their prefixes share a second one, once a shingle longer, and so on, so
+cells are named by two and then three shingles (``SPLITS``).
 
 Two bounds spare exact comparisons and never drop a pair that belongs: sizes, and the parities of the shingles in each of
 as many hash classes as a set has shingles (rounded up to a power of two, folded to the smaller of both sets). Two sets
@@ -32,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bitmap, cut_lineage, in_bitmap, map_arrow, place, stored, text_or_empty
+from .common import bitmap, compact, cut_lineage, in_bitmap, map_arrow, place, stored, text_or_empty
 from .components import components
 from .simhash import HOT_CELL, MAX_BITS, WORDS, links, representatives
 
@@ -42,6 +44,8 @@ OVER, UNDER = 4, 5
 BLOCK, OFTEN, FREQUENT = 1 << 19, 3, 1 << 17
 #: rows whose shingles a worker returns at once
 ROWS = 512
+#: open cells of more sets are named by one more shingle, so many times
+CROWDED, SPLITS = 1024, 2
 
 
 def shingle_bytes(text: str, words: int) -> np.ndarray:
@@ -138,8 +142,9 @@ def _signatures(source: DataFrame, words: int) -> DataFrame:
 
 
 def _prefixes(source: DataFrame, words: int, order) -> DataFrame:
-    """key, n and prefix of the texts; of equal sets a task returns the first alone, as far as it can remember them."""
-    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("n", T.LongType()), T.StructField("prefix", T.ArrayType(T.LongType()))])
+    """key, p and prefix of the texts: its first p shingles name cells, up to ``SPLITS`` more split them. Of equal sets a
+    task returns the first alone, as far as it can remember them."""
+    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("p", T.LongType()), T.StructField("prefix", T.ArrayType(T.LongType()))])
 
     def run(batches):
         often, level = order.value
@@ -157,8 +162,8 @@ def _prefixes(source: DataFrame, words: int, order) -> DataFrame:
                 if len(often):
                     at = np.minimum(np.searchsorted(often, shingles), len(often) - 1)
                     rank = np.where(often[at] == shingles, level[at], 0)
-                first = np.lexsort((shingles, rank))[: n + (-OVER * n // UNDER) + 1]
-                out.append((key, n, shingles[first]))
+                p = n + (-OVER * n // UNDER) + 1
+                out.append((key, p, shingles[np.lexsort((shingles, rank))[: p + SPLITS]]))
             columns = zip(*out) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.list_(pa.int64())))], names=schema.names)
 
@@ -167,6 +172,7 @@ def _prefixes(source: DataFrame, words: int, order) -> DataFrame:
 
 def _recurring(prefixes: DataFrame) -> DataFrame:
     """Rows (h, key) of the prefix shingles that several sets have, with ``hub``, one of those sets; stored."""
+    prefixes = prefixes.select("key", F.slice("prefix", F.lit(1), F.col("p").cast("int")).alias("prefix"))
     counted = prefixes.select(F.explode("prefix").alias("h")).groupBy("h").agg(F.count("*").alias("c")).where("c > 1")
     counted = stored(counted.select("h"), "recurring")
     held = prefixes.sparkSession.sparkContext.broadcast(bitmap(counted.select(place(F.col("h")).alias("p"))))
@@ -182,11 +188,11 @@ def _recurring(prefixes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys[keep]), pa.array(h[keep])], names=schema.names)
 
     rows = stored(map_arrow(prefixes.select("key", "prefix"), run, schema).join(counted, "h").distinct(), "rows")
-    sizes = cut_lineage(rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"))
+    sizes = compact(rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"))
     # the hub of a cell is its set with the largest cells: a group of near copies then has few hubs, whatever its size
     weight = rows.join(sizes, "h").groupBy("key").agg(F.sum("n").alias("w"))
     hubs = rows.join(weight, "key").groupBy("h").agg(F.max(F.struct("w", "key"))["key"].alias("hub"))
-    return stored(rows.join(cut_lineage(hubs.join(sizes, "h").select("h", "hub")), "h"), "cells")
+    return stored(rows.join(compact(hubs.join(sizes, "h").select("h", "hub")), "h"), "cells")
 
 
 def _sets(source: DataFrame, words: int, needed: DataFrame) -> DataFrame:
@@ -222,7 +228,8 @@ def _may_be_alike(n: Column, marks: Column, m: Column, others: Column) -> Column
 
 def _bounds(rows: DataFrame, keys: DataFrame) -> DataFrame:
     """n and marks of each set that ``keys`` names; stored."""
-    return stored(rows.join(cut_lineage(keys.distinct()), "key", "left_semi").groupBy("key").agg(F.min("n").alias("n"), F.min("marks").alias("marks")), "bounds")
+    found = rows.join(keys.distinct(), "key", "left_semi").groupBy("key").agg(F.min("n").alias("n"), F.min("marks").alias("marks"))
+    return stored(found, "bounds")
 
 
 def _possible(pairs: DataFrame, rows: DataFrame) -> DataFrame:
@@ -230,7 +237,7 @@ def _possible(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     bounds = _bounds(rows, pairs.select(F.col("a").alias("key")).union(pairs.select("b")))
     one = pairs.join(bounds.toDF("a", "a_n", "a_marks"), "a")
     both = one.join(bounds.toDF("b", "b_n", "b_marks"), "b")
-    return cut_lineage(both.where(_may_be_alike(F.col("a_n"), F.col("a_marks"), F.col("b_n"), F.col("b_marks"))).select("a", "b"))
+    return compact(both.where(_may_be_alike(F.col("a_n"), F.col("a_marks"), F.col("b_n"), F.col("b_marks"))).select("a", "b"))
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, source: DataFrame, words: int) -> DataFrame:
@@ -245,19 +252,43 @@ def _verified(pairs: DataFrame, rows: DataFrame, source: DataFrame, words: int)
     return both.where(alike(common, F.size("s"), F.size("t"))).select("a", "b")
 
 
-def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, max_bits: int = MAX_BITS, hot_cell: int = HOT_CELL) -> DataFrame:
+def _dealt_out(left: DataFrame, prefixes: DataFrame, crowded: int) -> DataFrame:
+    """The rows (h, key, root) of open cells; crowded cells are dealt out to cells of one more shingle where that leaves
+    fewer pairs (sets that are near in truth share most of theirs, so they stay where they are)."""
+    cells, done = left.select("h", "key", "root", F.array("h").alias("used")), None
+    for level in range(SPLITS + 1):
+        several = F.min("root") != F.max("root")
+        sizes = cells.groupBy("h").agg(F.count("*").alias("c"), several.alias("open")).where("open").drop("open")
+        cells = compact(cells.join(sizes, "h"))
+        many = cells.where(F.col("c") > crowded)
+        if level == SPLITS or many.isEmpty():
+            break
+        longer = F.explode(F.slice("prefix", F.lit(1), F.col("p").cast("int") + level + 1)).alias("g")
+        finer = many.join(prefixes.dropDuplicates(["key"]), "key").select("h", "c", "key", "root", "used", longer).where(~F.array_contains("used", F.col("g")))
+        finer = compact(finer.select(F.col("h").alias("from"), "c", "key", "root", F.array_sort(F.concat("used", F.array("g"))).alias("used")).withColumn("h", F.xxhash64("used")))
+        pairs = finer.groupBy("from", "h").agg(F.count("*").alias("n"), F.any_value("c").alias("c"), several.alias("open"))
+        cost = pairs.groupBy("from").agg(F.sum(F.when(F.col("open"), F.col("n") * F.col("n")).otherwise(0)).alias("n"), F.max("c").alias("c"))
+        worth = compact(cost.where(F.col("n") < F.col("c") * F.col("c")).select("from"))
+        stay = cells.join(worth, F.col("h") == F.col("from"), "left_anti").select("h", "key", "root")
+        done = stay if done is None else done.union(stay)
+        cells = finer.join(worth, "from", "left_semi").select("h", "key", "root", "used").distinct()
+    rest = cells.select("h", "key", "root")
+    return rest if done is None else done.union(rest)
+
+
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, max_bits: int = MAX_BITS, hot_cell: int = HOT_CELL, crowded: int = CROWDED) -> DataFrame:
     """id, th (XXH64 of the whole text), key of the set, and rep: the least row (is_null, id, th) of its component."""
     source = docs.select(F.col(f"`{id_col}`").alias("id"), text_or_empty(F.col(f"`{text_col}`").cast("string")).alias("text"))
     source = source.select("id", F.xxhash64("text").alias("th"), "text")
     found = cut_lineage(_signatures(source, words))
     rows = found.where("h IS NULL").drop("h", "c")
-    often = found.where("h IS NOT NULL").groupBy("h").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "h").limit(FREQUENT).orderBy("h").collect()
-    order = docs.sparkSession.sparkContext.broadcast(tuple(np.array([r[c] for r in often], np.int64) for c in ("h", "c")))
+    often = found.where("h IS NOT NULL").groupBy("h").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "h").limit(FREQUENT).orderBy("h").toArrow()
+    order = docs.sparkSession.sparkContext.broadcast(tuple(often.column(c).to_numpy() for c in ("h", "c")))
 
     row = F.struct(F.col("id").isNull().alias("is_null"), F.col("id"), F.col("th"))
-    points = cut_lineage(rows.groupBy("key").agg(F.min("fp").alias("fp"), F.min("n").alias("n"), F.min(row).alias("rep")))
+    points = compact(rows.groupBy("key").agg(F.min("fp").alias("fp"), F.min("n").alias("n"), F.min(row).alias("rep")))
     # of each fingerprint the least set stands for it; the others are compared with that one
-    heads = cut_lineage(points.groupBy("fp").agg(F.min("key").alias("head")))
+    heads = compact(points.groupBy("fp").agg(F.min("key").alias("head")))
     linked = links(heads.select("fp"), max_bits, hot_cell)
     linked = linked.join(heads.toDF("a", "u"), "a").join(heads.toDF("b", "v"), "b").select("u", "v")
     near = points.join(heads, "fp").where("key <> head").select("key", "head").union(linked)
@@ -267,25 +298,24 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     stars = cells.where("key <> hub").select("key", "hub")
 
     pairs = near.union(stars).toDF("x", "y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    pairs = cut_lineage(pairs.distinct())
-    first = cut_lineage(_verified(_possible(pairs, rows), rows, source, words))
-    roots = cut_lineage(components(first))
+    pairs = compact(pairs.distinct())
+    first = compact(_verified(_possible(pairs, rows), rows, source, words))
+    roots = components(first)
 
-    placed = cut_lineage(cells.join(roots, cells.key == roots.node, "left").select("h", "key", F.coalesce("root", "key").alias("root")))
-    open_cells = cut_lineage(placed.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("h"))
-    left = cut_lineage(placed.join(open_cells, "h", "left_semi"))
+    placed = cells.join(roots, cells.key == roots.node, "left").select("h", "key", F.coalesce("root", "key").alias("root"))
+    left = compact(_dealt_out(placed, prefixes, crowded))
     left = left.join(_bounds(rows, left.select("key")), "key")
     x, y = left.alias("x"), left.alias("y")
     # what the bounds rule out is not even a row of the join
     alike_maybe = _may_be_alike(F.col("x.n"), F.col("x.marks"), F.col("y.n"), F.col("y.marks"))
     rest = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.key") < F.col("y.key")) & (F.col("x.root") != F.col("y.root")) & alike_maybe)
     rest = rest.select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
-    rest = cut_lineage(rest.join(pairs, ["a", "b"], "left_anti"))
-    roots = cut_lineage(components(first.union(_verified(rest, rows, source, words))))
+    rest = compact(rest.join(pairs, ["a", "b"], "left_anti"))
+    roots = components(first.union(_verified(rest, rows, source, words)))
 
     best = points.join(roots, points.key == roots.node).groupBy("root").agg(F.min("rep").alias("best"))
     moved = roots.join(best, "root").select(F.col("node").alias("key"), "best")
-    named = cut_lineage(points.join(moved, "key", "left").select("key", F.coalesce("best", "rep").alias("rep")))
+    named = compact(points.join(moved, "key", "left").select("key", F.coalesce("best", "rep").alias("rep")))
     return rows.join(named, "key").select("id", "th", "key", "rep")
 
 

@@ -56,13 +56,13 @@ def planted():
     return {i: " ".join(t) for i, t in enumerate([*texts, [], [], ["two", "words"], ["Two", " words"]])}
 
 
-@pytest.mark.parametrize("hot", [64, 1])
-def test_groups_equal_brute_force_jaccard(spark, hot):
+@pytest.mark.parametrize("hot,crowded", [(64, 128), (1, 1)])
+def test_groups_equal_brute_force_jaccard(spark, hot, crowded):
     docs = planted()
     want, far = brute_groups(docs)
     assert far > 20  # pairs that three bits do not link
     table = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(3)
-    got = similar_groups(table, hot_cell=hot).collect()
+    got = similar_groups(table, hot_cell=hot, crowded=crowded).collect()
     assert {r.id: r.rep.id for r in got} == want and len(got) == len(docs)
 
 
