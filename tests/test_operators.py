@@ -372,3 +372,37 @@ def test_final_tables_have_study_ids_and_cancer_types(spark):
     assert got[10].study_id == "s10" and 20 not in got and got[30].endpoint is None and got[30].study_id is None and got[30].left_diagnosis == "BENIGN2"
     lesions = {r.path_id: (r.accession_number, r.cancer_type) for r in found["lesions"].collect()}
     assert lesions[900][0] == 10 and "LOBULAR" in lesions[900][1].upper() and lesions[901][0] == 30 and 902 not in lesions
+
+
+def test_clean_exam_windows_equal_loops(spark):
+    """Worst earlier scores, days to biopsies, guidance from biopsies near, and prior biopsies, patient by patient."""
+    from cohortloom.plans.jobs import raw_reports
+    from cohortloom.registry import Tables
+
+    rows = C.clean_exams(raw_reports(Tables(spark, "/root/testdata/sf0.001"))).collect()
+    ranks = {s: i for i, s in enumerate(C.RANKS)}
+    day = lambda a, b: (a - b).days
+    patients, seen = {}, set()
+    for r in rows:
+        patients.setdefault(r.patient_id, []).append(r)
+    for own in patients.values():
+        own.sort(key=lambda r: (r.exam_ts, r.accession_number))
+        biopsies = [r for r in own if r.is_biopsy == "T"]
+        for i, r in enumerate(own):
+            worst = {}
+            for side in ("LEFT", "RIGHT"):
+                scored = [(ranks[e.bi_rads], -k, e.accession_number) for k, e in enumerate(own[:i]) if e.bi_rads is not None and e.study_laterality in (side, "BILATERAL")]
+                worst[side] = max(scored) if scored else None
+                prior = sum(e.is_biopsy == "T" and e.study_laterality in (side, "BILATERAL") for e in own[:i])
+                assert prior == (r.prior_left if side == "LEFT" else r.prior_right)
+            left, right = worst["LEFT"], worst["RIGHT"]
+            best = {"LEFT": left, "RIGHT": right}.get(r.study_laterality, right if left is None or (right and right[0] > left[0]) else left)
+            assert (r.worst_rank, r.worst_source) == ((best[0] + 1, best[2]) if best else (None, None))
+            ahead, behind = [b.exam_ts for b in biopsies if b.exam_ts > r.exam_ts], [b.exam_ts for b in biopsies if b.exam_ts < r.exam_ts]
+            here = any(b.exam_ts == r.exam_ts for b in biopsies)
+            assert r.days_to_biopsy == (0 if here else day(min(ahead), r.exam_ts) if ahead else -day(r.exam_ts, max(behind)) if behind else None)
+            near = [b for b in biopsies if -30 <= day(b.exam_ts, r.exam_ts) <= 120]
+            want = "US" if r.description.startswith("US GUIDED") else "US" if near else None
+            assert r.guidance == want
+            seen |= {("worst", best is None), ("days", (r.days_to_biopsy or 0) > 0), ("guidance", want), ("prior", r.prior_right > 0)}
+    assert len(seen) == 8
