@@ -1,4 +1,4 @@
-"""Joins by place: overlapping boxes by a grid, nearest vectors by rings around pivots.
+"""Joins by place: overlapping boxes by a grid, nearest vectors by rings around pivots or by tiles.
 
 Small groups (images or blocks of at most ``CROWDED`` rows) are joined as they are. Larger ones are cut into cells first, so
 that the pairs looked at follow the rows and a hot group's work is spread over its cells. Either way gives the same rows.
@@ -7,7 +7,11 @@ that the pairs looked at follow the rows and a hot group's work is spread over i
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import ROUND_HALF_UP, Decimal
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +21,9 @@ CROWDED = 64
 PIVOTS = 8
 #: Neighbours, on either side in the orders by the distances to the first ``ORDERS`` pivots, that give a first bound.
 LOOK, ORDERS = 3, 3
+#: Rings leave out next to nothing among vectors of many dimensions, whose distances are all alike: longer ones meet in tiles
+#: of about ``TILE`` vectors.
+MAX_RING_DIMS, TILE = 16, 4096
 #: Distances are compared after rounding to six digits.
 EPS = 1e-6
 BOX = ("x1", "y1", "x2", "y2")
@@ -106,6 +113,88 @@ def ring_pairs(points: DataFrame, by: list[str]) -> DataFrame:
     return a.join(b, [*by, "ring"]).where((F.col("k1") != F.col("near")) & (apart <= F.col("u"))).select(*by, "k1", "v", "near", "near_f", "w")
 
 
+def _rounded(d: np.ndarray) -> np.ndarray:
+    """Distances in millionths, rounded half up as Spark's round() does: by their decimal digits where these decide."""
+    scaled = d * 1e6
+    out = np.floor(scaled + 0.5)
+    finite = np.isfinite(d)
+    scaled = np.where(finite, scaled, 0.0)
+    close = finite & ((np.abs(scaled - np.floor(scaled) - 0.5) < 1e-3) | (d > 1e6))
+    if close.any():
+        values, back = np.unique(d[close], return_inverse=True)
+        out[close] = np.array([float(Decimal(repr(float(x))).quantize(Decimal("1e-6"), ROUND_HALF_UP) * 1_000_000) for x in values])[back]
+    return out
+
+
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """Vectors of one length as the rows of a matrix of their own type; absent entries are NaN."""
+    lists = column.combine_chunks()
+    flat = lists.flatten()
+    flat = flat if pa.types.is_floating(flat.type) else flat.cast(pa.float64())
+    return flat.to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+
+
+def _tile_nearest(a: pa.Table, b: pa.Table) -> pa.Table:
+    """For each vector of tile a the nearest of tile b with another key, and its distance; ties by key.
+
+    Entries are added one dimension after the other, as ``mean_l1`` adds them, so the sums are the same to the last bit.
+    """
+    by = [c for c in a.column_names if c.startswith("b")]
+    if not a.num_rows or not b.num_rows:
+        return pa.table({**{c: b[c].slice(0, 0) for c in by}, "k1": b["near"].slice(0, 0), "distance": pa.array([], pa.float64()), "near": b["near"].slice(0, 0), "near_f": b["near_f"].slice(0, 0)})
+    b = b.take(pc.sort_indices(b["near"]))
+    v, w = _matrix(a["v"]), np.ascontiguousarray(_matrix(b["w"]).T)
+    at = pc.index_in(a["k1"], b["near"].combine_chunks()).cast(pa.float64()).to_numpy()
+    best, chosen = np.full(len(v), np.nan), np.full(len(v), -1)
+    step = max(1, 131_072 // max(1, w.shape[1]))
+    for lo in range(0, len(v), step):
+        some = v[lo : lo + step]
+        sums = np.zeros((len(some), w.shape[1]))
+        gap = np.empty(sums.shape, np.result_type(v, w))
+        for d in range(len(w)):
+            np.subtract(some[:, d, None], w[d], out=gap)
+            sums += np.abs(gap, out=gap)
+        sums /= len(w)
+        sums[np.isnan(sums)] = np.inf
+        own = at[lo : lo + step]
+        own = np.where(np.isnan(own), -1, own).astype(int)
+        with_own = np.flatnonzero(own >= 0)
+        sums[with_own, own[with_own]] = np.inf
+        least = sums.min(axis=1)
+        # all that may round to the least distance, which for large ones is apart by the steps of a double
+        row, col = np.nonzero(sums <= (least + 1.1e-6 + 4 * np.spacing(np.where(np.isfinite(least), least, 0.0)))[:, None])
+        other = col != own[row]
+        row, col = row[other], col[other]
+        if not len(row):
+            continue
+        rounded = _rounded(sums[row, col])
+        order = np.lexsort((col, rounded, row))
+        first = order[np.r_[True, np.diff(row[order]) > 0]]
+        best[lo + row[first]], chosen[lo + row[first]] = rounded[first] / 1e6, col[first]
+    has = np.flatnonzero(chosen >= 0)
+    near = b.select(["near", "near_f"]).take(pa.array(chosen[has]))
+    got = a.select([*by, "k1"]).take(pa.array(has))
+    return pa.table({**{c: got[c] for c in got.column_names}, "distance": pa.array(best[has]), "near": near["near"], "near_f": near["near_f"]})
+
+
+def tile_nearest(points: DataFrame, by: list[str], tile: int = TILE) -> DataFrame:
+    """The nearest other vector in each tile of the block, for vectors of many dimensions: by, k1, distance, near, near_f.
+
+    All pairs of a block are looked at, by tiles: a block of n vectors is dealt out by hash into n / ``tile`` tiles, and each
+    pair of them is a group of its own, so that what travels is the block once for each of its tiles and a task holds two
+    tiles. Groups give one row for each vector of their first tile.
+    """
+    sizes = points.groupBy(*by).agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
+    dealt = cut(points.where("k1 IS NOT NULL").join(sizes, by).withColumn("tile", F.pmod(F.xxhash64("k1"), "tiles").cast("int")))
+    others = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
+    # a vector that others share has a neighbour at distance zero already
+    a = dealt.where("k2 IS NULL").select(*by, F.col("tile").alias("i"), others.alias("j"), "k1", "v")
+    b = dealt.select(*by, others.alias("i"), F.col("tile").alias("j"), F.col("k1").alias("near"), F.col("f1").alias("near_f"), F.col("v").alias("w"))
+    key = [*by, "i", "j"]
+    shape = points.select(*by, "k1", F.lit(0.0).alias("distance"), F.col("k1").alias("near"), F.col("f1").alias("near_f")).schema
+    return a.groupBy(*key).cogroup(b.groupBy(*key)).applyInArrow(_tile_nearest, shape)
+
+
 def nearest_in_block(df: DataFrame, block: Sequence[str], key: str, vector: str, flag: str, crowded: int = CROWDED) -> DataFrame:
     """The nearest other row by mean absolute difference within the block, for blocks with a flagged row; ties by key.
 
@@ -116,13 +205,18 @@ def nearest_in_block(df: DataFrame, block: Sequence[str], key: str, vector: str,
     sizes = rows.groupBy(*by).agg(F.count("*").alias("n"), F.max(F.col("f").cast("int")).alias("any")).where((F.col("any") == 1) & (F.col("n") > 1))
     marked = rows.join(sizes.drop("any"), by)
     small, large = (marked.where(F.col("n") <= crowded).drop("n"), marked.where(F.col("n") > crowded).drop("n"))
+    long = F.size("v") > MAX_RING_DIMS
 
     least = lambda d, k, f: F.min(F.struct(F.round(d, 6).alias("distance"), k.alias("near_key"), f.alias("near_flag"))).alias("m")
     other = small.select(*by, F.col("k").alias("near"), F.col("v").alias("w"), F.col("f").alias("near_f"))
     found = [small.join(other, by).where(F.col("k") != F.col("near")).groupBy("k", "f").agg(least(mean_l1(F.col("v"), F.col("w")), F.col("near"), F.col("near_f")))]
     if not sizes.where(F.col("n") > crowded).isEmpty():
         points = cut(_first_two(large, by))
-        best = ring_pairs(points, by).groupBy(*by, "k1").agg(least(mean_l1(F.col("v"), F.col("w")), F.col("near"), F.col("near_f")))
+        # the distance is worked out before pairs are sorted for their least one, so that no vectors are sorted
+        by_rings = lambda p: ring_pairs(p, by).select(*by, "k1", mean_l1(F.col("v"), F.col("w")).alias("distance"), "near", "near_f")
+        parts = [f(p) for f, p in ((by_rings, points.where(~long)), (lambda p: tile_nearest(p, by), points.where(long))) if not p.isEmpty()]
+        near = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        best = near.groupBy(*by, "k1").agg(least(F.col("distance"), F.col("near"), F.col("near_f")))
         found.append(best.join(points.select(*by, "k1", "f1"), [*by, "k1"]).select(F.col("k1").alias("k"), F.col("f1").alias("f"), "m"))
         shared = large.join(points.where("k2 IS NOT NULL"), [*by, "v"])
         first = F.col("k") == F.col("k1")

@@ -130,3 +130,27 @@ def test_comparisons_in_a_block_of_20000(spark):
     df = spark.createDataFrame(rows, SCHEMA).select(F.col("block").alias("b0"), F.col("key").alias("k"), "v", F.col("flag").alias("f"))
     looked = S.ring_pairs(S._first_two(df, ["b0"]), ["b0"]).count()
     assert looked < 0.02 * 20_000**2
+
+
+def test_long_vectors_meet_in_tiles(spark):
+    rng = np.random.default_rng(7)
+    v = np.round(rng.normal(0, 0.13, (700, 64)).astype("float32"), 3)
+    rows = [(f"b{i % 2}", i, [float(x) for x in v[i]], True) for i in range(700)]
+    rows += [("b0", 1000 + i, [float(i % 5 == d) for d in range(64)], i % 2 == 0) for i in range(10)]  # shared vectors, ties
+    want = nearest(rows)
+    got = found(spark, rows)
+    assert got.keys() == want.keys()
+    assert all(got[k][0] == pytest.approx(want[k][0], abs=2e-6) for k in want)
+    assert sum(got[k][1:] == want[k][1:] for k in want) >= len(want) - 2  # equal to six digits or nearly so
+    df = spark.createDataFrame(rows[:700], SCHEMA).select(F.col("block").alias("b0"), F.col("key").alias("k"), "v", F.col("flag").alias("f"))
+    points = S._first_two(df, ["b0"])
+    tiles = S.tile_nearest(points, ["b0"], 100)
+    assert tiles.count() <= 700 * 4  # a row for each vector and tile, no row for a pair
+    least = {r.k1: r.m.near for r in tiles.groupBy("k1").agg(F.min(F.struct("distance", "near")).alias("m")).collect()}
+    assert least == {k: x[1] for k, x in found(spark, rows[:700]).items()}
+
+
+def test_distances_are_rounded_as_spark_rounds_them(spark):
+    values = [0.0000005, 0.1234565, 1.0000015, 2.5e-6, 0.0000015, 123456.7890125, 3e9 + 0.25, 7.0, 0.30000049999, float("inf")]
+    want = [r.x for r in spark.createDataFrame([(x,) for x in values], "x double").select(F.round("x", 6).alias("x")).collect()]
+    assert list(S._rounded(np.array(values)) / 1e6) == want
