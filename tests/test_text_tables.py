@@ -101,3 +101,24 @@ def test_lettered_parts_in_sql(spark):
     rows = spark.createDataFrame([(1, "A. left\nB) right\nmore"), (2, "no parts"), (3, None), (4, "C. one")], "id int, note string")
     got = {(r.id, r.letter, r.part) for r in spark.sql("SELECT id, letter, part FROM {n}, LATERAL lettered_parts(note)", n=rows).collect()}
     assert got == {(1, "A", "left"), (1, "B", "right\nmore"), (4, "C", "one")}
+
+
+def test_words_that_every_match_holds():
+    assert H.words_of(r"INVASIVE\s+(?:GRADE\s+\d+.*?)?DUCTAL\s+CARCINOMA") == ("INVASIVE", "DUCTAL", "CARCINOMA")
+    assert H.words_of(r"\bMALIGNAN(?:T|CY)\b") == ("MALIGNAN",) and H.words_of(r"DYSTROPHIC\s+CALCIFICATIONS?") == ("DYSTROPHIC", "CALCIFICATION")
+    assert H.words_of("LEFT|RIGHT") == H.words_of(r"\b(?:oval|ovoid)\b") == ()
+    for p in [*H.MALIGNANT, *H.NEGATED, *H.BENIGN, *H.TYPE_BENIGN, *[p for p, _ in H.CANCER_TYPES]]:
+        assert H.words_of(p), p  # a text without them is not searched at all
+
+
+def test_plain_words_first_finds_what_the_search_finds(spark):
+    texts = ["", "BENIGN", "MALIGNANCY", "xBENIGNx", "FREE OF\nTUMOR", "FREE  TUMOR OF", "NO RESIDUAL DCIS", "FIBROTIC", "FIBROTIC X", "IN SITU LOBULAR CARCINOMA", "LOBULAR CARCINOMA IN-SITU"]
+    patterns = [*H.MALIGNANT, *H.NEGATED, *H.BENIGN]
+    df = spark.createDataFrame([(x,) for x in [*texts, None]], "t string")
+    assert [r.a for r in df.select(H.some_of(F.col("t"), patterns).alias("a")).collect()] == [r.a for r in df.select(H.any_of(F.col("t"), patterns).alias("a")).collect()]
+
+
+def test_markup_blanks_and_ends(spark):
+    raw = ["{\\rtf1\\plain\\f1\\fs20 a \t b\t\tc  d e\\tab f\\'e9g\\~h \\par\\par\\par\\par i }", " a b ", "\ta", "a \t", "\x0b a\r\n"]
+    got = [r.a for r in spark.createDataFrame([(x,) for x in raw], "t string").select(H.strip_rtf(F.col("t")).alias("a")).collect()]
+    assert got == ["a b c d e f gh\n\ni", "a b", "a", "a", "a"]
