@@ -106,13 +106,15 @@ def centroid(points: Column) -> Column:
 
 def shrink(points: Column, factor: float) -> Column:
     """Every point moved towards the centroid."""
-    mid = centroid(points)
-    return F.transform(points, lambda p: F.struct((mid["x"] + (p["x"] - mid["x"]) * factor).alias("x"), (mid["y"] + (p["y"] - mid["y"]) * factor).alias("y")))
+    # the centroid is worked out once, not for every point
+    towards = lambda mid: F.transform(points, lambda p: F.struct((mid["x"] + (p["x"] - mid["x"]) * factor).alias("x"), (mid["y"] + (p["y"] - mid["y"]) * factor).alias("y")))
+    return F.element_at(F.transform(F.array(centroid(points)), towards), 1)
 
 
 def bbox(points: Column) -> Column:
-    xs, ys = F.transform(points, lambda p: p["x"]), F.transform(points, lambda p: p["y"])
-    return F.struct(F.array_min(xs).alias("x1"), F.array_min(ys).alias("y1"), F.array_max(xs).alias("x2"), F.array_max(ys).alias("y2"))
+    xs, ys = lambda ps: F.transform(ps, lambda p: p["x"]), lambda ps: F.transform(ps, lambda p: p["y"])
+    edges = lambda ps: F.struct(F.array_min(xs(ps)).alias("x1"), F.array_min(ys(ps)).alias("y1"), F.array_max(xs(ps)).alias("x2"), F.array_max(ys(ps)).alias("y2"))
+    return F.element_at(F.transform(F.array(points), edges), 1)
 
 
 def shape_class(points: Column) -> Column:

@@ -406,3 +406,11 @@ def test_clean_exam_windows_equal_loops(spark):
             assert r.guidance == want
             seen |= {("worst", best is None), ("days", (r.days_to_biopsy or 0) > 0), ("guidance", want), ("prior", r.prior_right > 0)}
     assert len(seen) == 8
+
+
+def test_a_polygon_s_centre_is_worked_out_once(spark):
+    from cohortloom.functions import values
+
+    df = spark.createDataFrame([([(0.0, 0.0), (4.0, 0.0), (4.0, 2.0), (0.0, 2.0)],), ([],), (None,)], "p array<struct<x:double,y:double>>").select(values.shrink(F.col("p"), 0.5).alias("s"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") <= 2
+    assert [r.s and [tuple(p) for p in r.s] for r in df.collect()] == [[(1.0, 0.5), (3.0, 0.5), (3.0, 1.5), (1.0, 1.5)], [], None]
