@@ -152,8 +152,10 @@ def merge_lesions(existing: DataFrame, matched: DataFrame, cm: float = 0.5) -> D
     """
     own = existing.select("image_name", "measured_cm", "lesion_id")
     near = F.abs(F.col("measured_cm") - F.col("sizing_cm")) <= cm
-    pairs = matched.join(own, "image_name").where(near).groupBy("image_name", "description_id").agg(F.min("lesion_id").alias("lesion_id"))
-    rows = matched.select("image_name", "description_id").distinct().join(pairs, ["image_name", "description_id"], "left")
+    own = own.withColumnRenamed("image_name", "_image")
+    # matches are made and dealt out once: those without a lesion of their size stay in the join and in the group
+    pairs = matched.join(own, (F.col("image_name") == F.col("_image")) & near, "left")
+    rows = pairs.groupBy("image_name", "description_id").agg(F.min("lesion_id").alias("lesion_id"))
     return rows.withColumn("action", F.when(F.col("lesion_id").isNull(), "create").otherwise("update"))
 
 

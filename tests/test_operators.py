@@ -414,3 +414,12 @@ def test_a_polygon_s_centre_is_worked_out_once(spark):
     df = spark.createDataFrame([([(0.0, 0.0), (4.0, 0.0), (4.0, 2.0), (0.0, 2.0)],), ([],), (None,)], "p array<struct<x:double,y:double>>").select(values.shrink(F.col("p"), 0.5).alias("s"))
     assert df._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") <= 2
     assert [r.s and [tuple(p) for p in r.s] for r in df.collect()] == [[(1.0, 0.5), (3.0, 0.5), (3.0, 1.5), (1.0, 1.5)], [], None]
+
+
+def test_matches_are_made_once_for_merging(spark):
+    matched = spark.createDataFrame([("i", "d1", 1.0), ("i", "d1", 1.2), ("i", "d2", 9.0), ("j", "d3", 1.0), ("k", "d4", None), (None, "d5", 1.0)], "image_name string, description_id string, sizing_cm double")
+    existing = spark.createDataFrame([("l2", "i", 1.1), ("l1", "i", 1.5), ("l3", "k", 1.0), ("l4", None, 1.0)], "lesion_id string, image_name string, measured_cm double")
+    df = J.merge_lesions(existing, matched)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 2
+    got = {(r.image_name, r.description_id): (r.action, r.lesion_id) for r in df.collect()}
+    assert got == {("i", "d1"): ("update", "l1"), ("i", "d2"): ("create", None), ("j", "d3"): ("create", None), ("k", "d4"): ("create", None), (None, "d5"): ("create", None)}
