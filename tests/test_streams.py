@@ -64,6 +64,34 @@ def test_idle_state_goes(spark, rocks):
     assert full[3] > 100 and (103, 3, 0, 0, 2, 3) in kept[-1]
 
 
+def test_history_makes_few_calls_to_the_state_store():
+    """Each call is a message to another process: seven for a patient's rows of a batch and their release."""
+    calls = []
+
+    class State:
+        def __init__(self):
+            self.held = []
+
+        def __getattr__(self, name):
+            def call(*args):
+                calls.append(name)
+                if name == "appendList":
+                    self.held += args[0]
+                if name == "clear":
+                    self.held = []
+                return iter(self.held) if name in ("get", "iterator") else None
+
+            return call
+
+    p, times = M.PatientHistory(None), type("T", (), {"getCurrentWatermarkInMs": lambda self: 10**15})()
+    p.handle, p.waiting, p.sides, p.last = State(), State(), State(), State()
+    rows = [{"us": 1000 * i, "event_id": i, "side": "LEFT", "score": i, "is_event": True} for i in (2, 1, 3)]
+    assert list(p.handleInputRows((7,), iter(rows), times)) == []
+    out = list(p.handleExpiredTimer((7,), times, None))
+    assert [tuple(r) for r in out] == [(1, 7, 0, 0, None, None), (2, 7, 1, 0, 1, 1), (3, 7, 2, 0, 2, 2)]
+    assert sorted(calls) == sorted(["appendList", "registerTimer", "get", "iterator", "updateValue", "updateValue", "clear"])
+
+
 def test_the_state_store_must_be_set(spark):
     with pytest.raises(ValueError):
         M.stream_patient_history(spark.readStream.format("rate").load())
