@@ -140,12 +140,18 @@ def image_metrics(images: DataFrame, pred: DataFrame, truth: DataFrame, least: f
 
 
 def mean_average_precision(pred: DataFrame, truth: DataFrame, limits: Sequence[float]) -> DataFrame:
-    """Average precision for each overlap limit and their mean (limit null)."""
-    total = truth.count()
-    hits = greedy_matches(pred, truth, limits).select("limit", "image_id", "box_id", F.lit(1).alias("hit"))
-    every = pred.withColumn("limit", F.explode(F.array(*[F.lit(float(x)) for x in limits])))
-    rows = every.join(hits, ["limit", "image_id", "box_id"], "left").select("limit", "score", "box_id", F.coalesce("hit", F.lit(0)).alias("hit"))
-    ap = W.average_precision(W.precision_recall(rows, ["limit"], "score", "box_id", F.col("hit") == 1, F.lit(total)), ["limit"])
+    """Average precision for each overlap limit and their mean (limit null).
+
+    The order is the same for every limit, so a prediction travels once, with a mark for each limit that it hits at.
+    """
+    total, marks = truth.count(), {f"_hit{i}": F.col("limit") == float(x) for i, x in enumerate(limits)}
+    hits = greedy_matches(pred, truth, limits).groupBy("image_id", "box_id").agg(*[F.max(hit.cast("int")).alias(m) for m, hit in marks.items()])
+    rows = pred.select("image_id", "box_id", "score").join(hits, ["image_id", "box_id"], "left").select("score", "box_id", *marks)
+    curve = W.running_totals(rows, [], [F.col("score").desc(), "box_id"], {m: F.coalesce(m, F.lit(0)) for m in marks} | {"_rows": F.lit(1)})
+    best = [F.array(*[F.coalesce(F.max(F.when(F.try_divide(m, F.lit(total)) >= i / 10, F.col(m) / F.col("_rows"))), F.lit(0.0)) for i in range(11)]).alias(m) for m in marks]
+    found = curve.agg(F.count("*").alias("n"), *best).where("n > 0")
+    mean = lambda m: F.round(F.aggregate(m, F.lit(0.0), lambda s, x: s + x) / 11, 6)
+    ap = found.select(F.inline(F.array(*[F.struct(F.lit(float(x)).alias("limit"), mean(m).alias("ap")) for x, m in zip(limits, marks)])))
     return ap.unionByName(ap.agg(F.lit(None).cast("double").alias("limit"), F.round(F.avg("ap"), 6).alias("ap")))
 
 

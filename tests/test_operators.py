@@ -423,3 +423,23 @@ def test_matches_are_made_once_for_merging(spark):
     assert df._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 2
     got = {(r.image_name, r.description_id): (r.action, r.lesion_id) for r in df.collect()}
     assert got == {("i", "d1"): ("update", "l1"), ("i", "d2"): ("create", None), ("j", "d3"): ("create", None), ("k", "d4"): ("create", None), (None, "d5"): ("create", None)}
+
+
+def test_average_precision_orders_a_prediction_once_for_all_limits(spark, monkeypatch):
+    box = lambda image, i, x, score: (image, f"b{i}", float(x), 0.0, x + 10.0, 10.0, score)
+    schema = "image_id long, box_id string, x1 double, y1 double, x2 double, y2 double, score double"
+    pred = spark.createDataFrame([box(i % 5, i, i % 7, i / 40) for i in range(40)], schema)
+    truth = spark.createDataFrame([box(i, 100 + i, 2 + i, 0.0) for i in range(5)], schema)
+    sizes, totals = [], W.running_totals
+    monkeypatch.setattr(W, "running_totals", lambda df, *rest: sizes.append(df.count()) or totals(df, *rest))
+    assert E.mean_average_precision(pred, truth, [0.3, 0.5, 0.7]).count() == 4
+    assert sizes == [40]
+    assert E.mean_average_precision(pred.where("false"), truth, [0.3, 0.5]).collect() == [(None, None)]
+
+
+def test_ranges_of_running_totals_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(W, "PART_ROWS", 50, raising=False)
+    df = spark.range(2000).select((F.col("id") % 2).alias("g"), "id")
+    out = W.running_totals(df, ["g"], ["id"], {"n": F.lit(1)})
+    assert max(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()) <= 500
+    assert out.where(F.col("n") != F.floor(F.col("id") / 2) + 1).isEmpty()
