@@ -2,6 +2,10 @@
 
 from datetime import timedelta
 
+from pyspark.sql import functions as F
+
+from cohortloom.operators import timeline as W
+from cohortloom.plans import jobs
 from cohortloom.plans.jobs import diagnosed
 from cohortloom.registry import Tables
 from conftest import SMALL
@@ -74,3 +78,12 @@ def test_rules_equal_plain_loops(spark):
     assert got == want
     seen = {v for x in want.values() for v in (x[0], x[2]) if v}
     assert {"BENIGN0", "MALIGNANT0", "BENIGN4", "MALIGNANT4", "BENIGN2"} <= seen
+
+
+def test_tasks_of_the_rules_follow_the_rows(spark, monkeypatch):
+    """C4, both queries of C5 and C6 share the windows by patient."""
+    monkeypatch.setattr(W, "PART_ROWS", 400, raising=False)
+    largest = lambda df: max(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+    t = Tables(spark, SMALL)
+    assert largest(diagnosed(t)) <= 400  # of 2,900
+    assert largest(jobs.C.final_tables(jobs.exam_rows(t), jobs.path_rows(t))["exams"]) <= 400
