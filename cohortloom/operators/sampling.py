@@ -35,7 +35,7 @@ def sample_n(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
 
 def _in_hash_order(df: DataFrame, by: Sequence[str], key: str, seed: int) -> DataFrame:
     """``_k``, the row's number within its group in hash order, and ``_k_all``, the group's size; groups may be of any size."""
-    return running_totals(df.withColumn("_h", seeded(F.col(key), seed)), by, ["_h", key], {"_k": F.lit(1)}).drop("_h")
+    return running_totals(df.withColumn("_h", F.unhex(seeded(F.col(key), seed))), by, ["_h", key], {"_k": F.lit(1)}).drop("_h")
 
 
 def sample_per_class(df: DataFrame, group: str, key: str, n: int, seed: int, least: int = 0) -> DataFrame:

@@ -443,3 +443,15 @@ def test_ranges_of_running_totals_follow_the_rows(spark, monkeypatch):
     out = W.running_totals(df, ["g"], ["id"], {"n": F.lit(1)})
     assert max(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()) <= 500
     assert out.where(F.col("n") != F.floor(F.col("id") / 2) + 1).isEmpty()
+
+
+def test_the_detector_table_carries_no_other_columns(spark, monkeypatch):
+    from cohortloom.operators import sampling
+    from cohortloom.plans import jobs
+    from cohortloom.registry import Tables
+    from conftest import SMALL
+
+    seen, totals = [], sampling.running_totals
+    monkeypatch.setattr(sampling, "running_totals", lambda df, *rest: seen.append(set(df.columns)) or totals(df, *rest))
+    assert jobs.c21(Tables(spark, SMALL)).columns == ["image_name", "positive", "split"]
+    assert seen and all(s <= {"image_name", "has_calipers", "scanner", "positive", "_h"} for s in seen)
