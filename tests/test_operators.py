@@ -445,6 +445,15 @@ def test_ranges_of_running_totals_follow_the_rows(spark, monkeypatch):
     assert out.where(F.col("n") != F.floor(F.col("id") / 2) + 1).isEmpty()
 
 
+def test_done_files_go_before_the_others_are_sorted(spark):
+    files = spark.createDataFrame([("/a/1_10/x.dcm", "x"), ("/b/1_10/x.dcm", "x"), ("/a/1_10/y.dcm", "y"), ("/b/2_20/z.dcm", "z"), ("/c/9_90/w.dcm", "w"), ("/a/1_10/n.dcm", None)], "path string, hash string")
+    cohort = spark.createDataFrame([("1", "10"), ("2", "20")], "patient_id string, accession_number string")
+    out = C.select_new_files(files, cohort, spark.createDataFrame([("y",)], "hash string"))
+    assert sorted(map(tuple, out.select("path", "accession_number").collect())) == [("/a/1_10/n.dcm", "10"), ("/a/1_10/x.dcm", "10"), ("/b/2_20/z.dcm", "20")]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LeftSemi") < plan.index("Window") < plan.index("LeftAnti")
+
+
 def test_the_detector_table_carries_no_other_columns(spark, monkeypatch):
     from cohortloom.operators import sampling
     from cohortloom.plans import jobs
