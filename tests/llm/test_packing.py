@@ -37,6 +37,36 @@ def test_cached_ids_equal_the_library(spark, monkeypatch):
     assert got == [np.array(t.encode(x or "", add_special_tokens=False).ids, np.uint32).tobytes() for x in ODD]
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["a", "the", "ß", "É", "x2", "10", "'s", "'", "''", ",", ".'", "!?", "(", ")", "|", " ", "  ", "\n", "'Re", "-", "ÿ", "à", "日", "\t"]), max_size=12).map("".join), max_size=6))
+def test_chunks_equal_the_library(texts):
+    assert encoder(load_spec(PATH)).encode(texts) == direct(texts)
+
+
+def test_every_plain_character_and_long_texts(monkeypatch):
+    from cohortloom.llm import tokens
+
+    plain = [c for c in map(chr, range(256)) if tokens._PLAIN.fullmatch(c)]
+    texts = [f"a{c}b {c}{c}, x{c} {c}s{c}" for c in plain] + ["word, another one.\nand more words " * 30, "endless" * 40]
+    monkeypatch.setattr(tokens, "TOGETHER", 50)
+    assert tokens.Encoder(load_spec(PATH)).encode(texts) == direct(texts)
+
+
+def test_words_that_recur_stay_in_a_full_dictionary(monkeypatch):
+    from cohortloom.llm import tokens
+
+    learnt, whole = [], tokens.Encoder._learn
+    monkeypatch.setattr(tokens, "MAX_PIECES", 200)
+    monkeypatch.setattr(tokens.Encoder, "_learn", lambda self, new, *more: (learnt.extend(new), whole(self, new, *more))[1])
+    coder = tokens.Encoder(load_spec(PATH))
+    name = lambda k: "".join(chr(97 + k // 26**i % 26) for i in range(4))
+    texts = ["common words, these. " + " ".join(name(20 * k + i) for i in range(20)) for k in range(60)]
+    for t in texts:
+        assert coder.encode([t]) == direct([t])
+    assert len(coder.pieces) + len(coder.older) <= 300
+    assert learnt.count("common") == learnt.count("these") == learnt.count(",") == 1
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 1024), max_size=60))
 def test_windows_hold_all_items_within_capacity(sizes):
