@@ -528,23 +528,30 @@ QUADRANTS = ("uoq", "uiq", "liq", "loq")
 
 def caption_attributes(c: Column, words=CAPTION_WORDS) -> Column:
     """struct<area, laterality, orientation, clock_pos, nipple_dist> of an image's caption."""
-    plain = F.replace(F.replace(F.lower(c), F.lit(" "), F.lit("")), F.lit("$"), F.lit("s"))
 
-    def attribute(levels: dict) -> Column:
+    def attribute(plain: Column, levels: dict) -> Column:
         out = F.lit("unknown")
         for name, tokens in reversed(levels.items()):
-            out = F.when(any_of(plain, [re.escape(t) for t in tokens]), name).otherwise(out)
+            has = plain.contains(tokens[0])
+            for t in tokens[1:]:
+                has = has | plain.contains(t)
+            out = F.when(has, name).otherwise(out)
         return out
 
+    # blanks and dollar signs are mended once for all words
+    plain = F.translate(F.lower(c), "$ ", "s")
+    named = bind(plain, lambda t: F.struct(*[attribute(t, levels).alias(name) for name, levels in words.items()]))
+
     clock = F.translate(F.regexp_replace(F.regexp_extract(c, r"\d{1,2}\s*[:.*]\s*\d{1,2}", 0), r"\s", ""), ".*", "::")
     quadrant = F.lit("unknown")
     for q in reversed(QUADRANTS):
         quadrant = F.when(c.contains(q), q).otherwise(quadrant)
     cm = F.regexp_extract(F.replace(F.lower(c), F.lit("scm"), F.lit("5cm")), r"(\d+)(?:-(\d+))?\s*cm", 0)
-    low, high = F.regexp_extract(cm, r"^(\d+)", 1).try_cast("int"), F.regexp_extract(cm, r"-(\d+)", 1).try_cast("int")
+    # no number is null before the cast: a try_cast of an empty text throws and catches an exception for each row
+    low, high = found(cm, r"^(\d+)").try_cast("int"), found(cm, r"-(\d+)").try_cast("int")
     distance = F.when(high.isNull(), low).otherwise(F.bround((low + high) / 2).cast("int"))
     return F.struct(
-        *[attribute(levels).alias(name) for name, levels in words.items()],
+        *[named[name].alias(name) for name in words],
         F.when(clock != "", clock).otherwise(quadrant).alias("clock_pos"),
         F.when((distance > 0) & (distance <= 25), distance).alias("nipple_dist"),
     )
