@@ -57,6 +57,15 @@ def some_of(c: Column, patterns: Sequence[str], search: Sequence[str] | None = N
     return out
 
 
+def could(c: Column, patterns: Sequence[str]) -> Column:
+    """Whether the plain words of some pattern are there: no text without them matches any of the patterns."""
+    out = None
+    for words in dict.fromkeys(map(words_of, patterns)):
+        test = holds(c, words) if words else F.lit(True)
+        out = test if out is None else out | test
+    return out
+
+
 def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(" \t\n\x0b\f\r"))
 
@@ -188,6 +197,27 @@ PLAIN_SCORES = (
 END_WORDS = ("benign", "malignant", "malignancy", "suspicious", "negative", "positive", "cancer", "indeterminate", "incomplete")
 
 
+def score_words(pattern: str) -> list[str]:
+    """Words in capitals, with a colon where there must be one, that every text of a form of the score holds."""
+    bare = "~".join(re.split(r"\\[bds](?:[*+?])?", pattern))
+    if bare.startswith("(?:BI-?RADS"):
+        return ["RADS"]
+    bare = re.sub(r"\[[^\]]*\](?:[*+?])?", "~", bare.replace(r"\(", "~").replace(r"\)", "~"))
+    while (less := re.sub(r"\([^()]*\)(?:[*+?])?", "~", bare)) != bare:
+        bare = less
+    return list(dict.fromkeys(re.findall("[A-Z]{2,}:?", re.sub(r".[*?]", "~", bare).upper())))
+
+
+def score(c: Column) -> Column:
+    """H7: the score alone; a form is searched for once, and only in texts that have its words."""
+
+    def first(up: Column) -> Column:
+        forms = [*((p, k) for p, k, _ in SCORED), *((p, 1) for p in PLAIN_SCORES)]
+        return F.coalesce(*[F.when(holds(up, score_words(p)), found(c, f"(?i){p}", k)) for p, k in forms])
+
+    return F.upper(bind(F.upper(c), first))
+
+
 def ordinal_score(c: Column) -> Column:
     """H7: struct<score, description> by the first form that occurs; the description ends with its first key word."""
     end = rf"(?is)^(.*?\b(?:{'|'.join(END_WORDS)}))(?:\W.*|\z)"
@@ -440,14 +470,17 @@ def lexicon_decisions(c: Column, lexicon=LEXICON, reach: int = 150) -> Column:
     def negated(text: Column, p: Column) -> Column:
         first = F.greatest(p["begins"] - reach, F.lit(0))
         before, behind = F.substring(text, first + 1, p["begins"] - first), F.substring(text, p["ends"] + 1, F.lit(reach))
-        return F.regexp_replace(before, last, "").rlike(either(PRE_NEGATIONS)) | behind.rlike(either(POST_NEGATIONS))
+        # plain words first: most places have none of a negation
+        ahead = bind(before, lambda t: could(t, PRE_NEGATIONS) & F.regexp_replace(t, last, "").rlike(either(PRE_NEGATIONS)))
+        return ahead | bind(behind, lambda t: could(t, POST_NEGATIONS) & t.rlike(either(POST_NEGATIONS)))
 
     def places(text: Column, feature: str, pattern: str, value: str) -> Column:
         decide = lambda p: F.struct(F.lit(feature).alias("feature"), F.lit(value).alias("value"), negated(text, p).alias("negated"), p["begins"].alias("begins"), p["ends"].alias("ends"))
         return F.when(some_of(text, [pattern]), F.transform(spans(text, pattern), decide))
 
     terms = [(f, p, v) for f, own in lexicon.items() for p, v in own]
-    return bind(F.lower(c), lambda text: F.when(some_of(text, [p for _, p, _ in terms]), F.flatten(F.array_compact(F.array(*[places(text, *t) for t in terms])))))
+    every = bind(F.lower(c), lambda text: F.flatten(F.array_compact(F.array(*[places(text, *t) for t in terms]))))
+    return bind(every, lambda x: F.when(F.size(x) > 0, x))
 
 
 def lexicon_features(c: Column, lexicon=LEXICON, reach: int = 150) -> Column:
