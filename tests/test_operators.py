@@ -464,3 +464,48 @@ def test_the_detector_table_carries_no_other_columns(spark, monkeypatch):
     monkeypatch.setattr(sampling, "running_totals", lambda df, *rest: seen.append(set(df.columns)) or totals(df, *rest))
     assert jobs.c21(Tables(spark, SMALL)).columns == ["image_name", "positive", "split"]
     assert seen and all(s <= {"image_name", "has_calipers", "scanner", "positive", "_h"} for s in seen)
+
+
+def frame_views(frames, lesions):
+    """By plain loops: a place's lesion ids in order, the side of the least id, and every frame of the exam and side."""
+    places, out = {}, set()
+    for exam, clock, distance, side, _, i in lesions:
+        if None not in (exam, clock, distance):
+            places.setdefault((exam, clock, distance), []).append((i, side))
+    for (exam, _, _), rows in places.items():
+        ids = ",".join(sorted({i for i, _ in rows if i is not None}))
+        side = min(((i is not None, i or "", s) for i, s in rows if s is not None), default=(0, "", None))[2]
+        out |= {(ids, name) for e, name, s in frames if e == exam and (s is None or side is None or s == side)}
+    return out
+
+
+@pytest.mark.parametrize("held", [True, False])
+def test_frame_views_equal_loops(spark, held):
+    rng = random.Random(5)
+    sides = ["LEFT", "RIGHT", "BILATERAL", None]
+    name = lambda e, kind: None if rng.random() < 0.2 else f"{e if held else 0}_{kind}{rng.randrange(4)}"
+    exams = [rng.choice([*range(25), None]) for _ in range(300)]
+    frames = [(e, name(e, "f"), rng.choice(sides)) for e in exams]
+    lesions = [(e, rng.choice([3, 9, None]), rng.choice([1.0, 2.0, None]), rng.choice(sides[:2]), 1.0, name(e, "l")) for e in exams]
+    # alike in all exams: one frame and one annotation without a name each, one of both sides' rows
+    frames += [(e, None, None) for e in range(30, 33)] + [(40, "40_f", s) for s in ("LEFT", "RIGHT", "LEFT")]
+    lesions += [(e, 3, 1.0, "LEFT", 1.0, None) for e in range(30, 33)] + [(40, c, 1.0, s, 1.0, "40_l") for c, s in ((1, "LEFT"), (2, "RIGHT"), (3, None))]
+    df = C.seed_frame_views(
+        spark.createDataFrame(frames, "accession_number long, frame_name string, laterality string"),
+        spark.createDataFrame(lesions, "accession_number long, clock long, distance_cm double, laterality string, size_cm double, lesion_id string"),
+        names_hold_exam=held,
+    )
+    got, want = [tuple(r) for r in df.collect()], frame_views(frames, lesions)
+    assert len(got) == len(set(got)) and set(got) == want
+    assert {("", None), ("40_l", "40_f")} <= want
+
+
+def test_frame_views_are_not_dealt_by_pairs(spark):
+    from cohortloom.plans import jobs
+    from cohortloom.registry import Tables
+    from conftest import SMALL
+
+    df = jobs.c16b(Tables(spark, SMALL))
+    assert len(df.collect()) > 10000
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert set(re.findall(r"hashpartitioning\((\w+)#", plan)) == {"accession_number"}
